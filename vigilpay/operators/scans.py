@@ -6,8 +6,8 @@ The operators here cut the order into blocks of bounded size, summarise each
 block with an ordinary aggregation, carry the summaries forward, and finish
 inside the blocks.
 
-They rely on one property of ``arrival_seq``: it is a sequence number, so a
-range of ``2**b`` numbers holds about ``2**b`` rows, whatever the key skew.
+They rely on one property of ``arrival_seq``: no two arrivals share a number, so
+a range of ``2**b`` numbers holds at most ``2**b`` rows, whatever the key skew.
 """
 
 from __future__ import annotations
@@ -60,11 +60,10 @@ def running_max_before(
     value: str,
     name: str,
     seq: str = "arrival_seq",
-    tie: str = "event_id",
     block_bits: int = BLOCK_BITS,
     group_bits: int = GROUP_BITS,
 ) -> DataFrame:
-    """Add ``name``: the largest ``value`` among strictly earlier rows in ``(seq, tie)`` order.
+    """Add ``name``: the largest ``value`` among rows of smaller ``seq``.
 
     One shuffle of ``rows`` by block.  The block carry joins on the same key and
     so moves only its own few rows.
@@ -72,7 +71,7 @@ def running_max_before(
     rows = rows.withColumn("_blk", F.shiftright(seq, block_bits))
     blocks = rows.groupBy("_blk").agg(F.max(value).alias("_blk_max"))
     carry = prefix_before(blocks, "_blk", "_blk_max", F.max, "_carry", group_bits).drop("_blk_max")
-    inside = F.max(value).over(_before(Window.partitionBy("_blk").orderBy(seq, tie)))
+    inside = F.max(value).over(_before(Window.partitionBy("_blk").orderBy(seq)))
     return (
         rows.withColumn("_inside", inside)
         .join(carry, "_blk", "left")

@@ -70,9 +70,12 @@ def distinct_user_windows(events: DataFrame, key: str, minutes: int, threshold:
     Adds ``distinct_user_count`` and ``users``, the first ``sample`` users in
     arrival order.
     """
-    seen = panes(events, [key, "user_id"], F.min("arrival_seq").alias("first_seq"))
-    # ``first_seq`` does not change this order (panes are unique per user); naming
-    # it keeps both uses of ``seen`` alike, so they share one shuffle.
+    # The join below would ask for known keys on one of the two uses of ``seen``
+    # only, and only one needs ``first_seq``.  Asking for both in both keeps the
+    # two plans alike, so they share one shuffle.
+    seen = panes(events, [key, "user_id"], F.min("arrival_seq").alias("first_seq")).filter(
+        F.col(key).isNotNull() & F.col("pane").isNotNull()
+    )
     previous = F.lag("pane").over(Window.partitionBy(key, "user_id").orderBy("pane", "first_seq"))
     opens = F.greatest(F.col("pane") - (minutes - 1), previous + 1)
     deltas = seen.select(key, "pane", opens.alias("opens")).select(
