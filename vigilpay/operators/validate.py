@@ -41,10 +41,17 @@ def parse_transactions(raw: DataFrame, value: str = "value") -> DataFrame:
         schemas.TRANSACTION_TEXT.fields + [T.StructField(_CORRUPT, T.StringType())]
     )
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
-    parsed = raw.withColumn("_j", F.from_json(F.col(value), with_corrupt, options))
-    field = lambda name: F.col(f"_j.{name}")
-
-    malformed = F.col("_j").isNull() | field(_CORRUPT).isNotNull() | ~F.col(value).rlike(r"^\s*\{")
+    # A projected struct would be parsed again for every filter on its fields;
+    # a generator parses each row once.
+    columns = raw.columns
+    document = F.array(F.from_json(F.col(value), with_corrupt, options))
+    names = [f"_{n}" for n in with_corrupt.names]
+    parsed = raw.select(*columns, F.inline_outer(document).alias(*names))
+    field = lambda name: F.col(f"_{name}")
+
+    malformed = field(_CORRUPT).isNotNull() | ~F.coalesce(
+        F.col(value).rlike(r"^\s*\{"), F.lit(False)
+    )
     amount = F.when(field("amount").isNull(), F.lit(0)).otherwise(
         F.when(field("amount").rlike(_NUMBER), F.trim(field("amount")).try_cast(schemas.MONEY))
     )
@@ -62,9 +69,9 @@ def parse_transactions(raw: DataFrame, value: str = "value") -> DataFrame:
         "is_black_device": black_device,
         "is_black_card": black_card,
     }
-    columns = [typed.get(f, field(f)).alias(f) for f in schemas.TRANSACTION_FIELDS]
+    fields = [typed.get(f, field(f)).alias(f) for f in schemas.TRANSACTION_FIELDS]
     return parsed.select(
-        *raw.columns, *columns, event_ts.alias("event_ts"), reason.alias("reject_reason")
+        *columns, *fields, event_ts.alias("event_ts"), reason.alias("reject_reason")
     )
 
 

@@ -106,7 +106,7 @@ def _(spark, sf):
 @query("source_aml_csv")
 def _(spark, sf):
     path = session.new_dir(spark, "aml_csv")
-    adapter.aml_rows(spark, sf).write.option("header", True).option("emptyValue", "").csv(path)
+    files.write_aml_csv(adapter.aml_rows(spark, sf), path)
     rows = files.read_aml_csv(spark, path)
     return rows.select(*[F.coalesce(F.col(c), F.lit("")).alias(c) for c in rows.columns])
 

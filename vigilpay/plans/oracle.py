@@ -231,30 +231,25 @@ ORACLE["late_store"] = _sql(
 
 
 def _replay() -> str:
-    """Window rules over everything; windows without late events keep their first result."""
+    """Window rules over all events where late ones touch a window, and over on-time ones elsewhere."""
     keys = {"R001": ("user_id", 1), "R002": ("user_id", 5), "R003": ("device_id", 10), "R004": ("card_id", 10)}
-    base = _PREP.replace("ont AS (SELECT *", "base AS (SELECT *, us // 60000000 AS m FROM ded),\nont0 AS (SELECT *")
-    ctes, parts = [], []
-    for rule, (key, minutes) in keys.items():
-        for tag, src in (("old", "ont0"), ("new", "base")):
-            body = _RULE_CTES[rule].replace("FROM ont ", f"FROM {src} ").replace("FROM ont)", f"FROM {src})")
-            body = body.replace("FROM paid)", f"FROM {src} WHERE transaction_status = 'SUCCESS')")
-            out = _RULE_BODY[rule]
-            for n in ("f", "a", "dev", "crd", "dev_u", "dev_r", "crd_u", "crd_r"):
-                for old in (f"\n{n} AS", f"FROM {n}\n", f"FROM {n} "):
-                    body = body.replace(old, old.replace(n, f"{n}_{tag}", 1))
-                out = (out + "\n").replace(f"FROM {n} ", f"FROM {n}_{tag} ").replace(f"FROM {n}\n", f"FROM {n}_{tag}\n")
-            ctes.append(body)
-            ctes.append(f"\n{rule}_{tag} AS ({out})")
-        touched = f"{rule}_touched"
-        ctes.append(f"\n{touched} AS (SELECT DISTINCT {key} AS k, {_windows(minutes)} * 60000 AS s FROM base WHERE is_late)")
-        pick = "alert_id, rule_id, window_start, evidence"
-        hit = f"EXISTS (SELECT 1 FROM {touched} WHERE k = x.{key} AND s = x.window_start)"
-        parts.append(f"SELECT {pick} FROM {rule}_new x WHERE {hit}")
-        # an old alert whose window is computed again always fires again
-        parts.append(f"SELECT {pick} FROM {rule}_old x WHERE NOT {hit}")
-    base = base.replace("ont0 AS (SELECT *, us", "ont0 AS (SELECT *, us")
-    return _sql("\nUNION ALL\n".join(parts), *ctes, base=base.replace("paid AS (SELECT * FROM ont ", "paid AS (SELECT * FROM ont0 "))
+    ctes = ", ".join(_RULE_CTES[r] for r in keys)
+    fired = "\nUNION ALL\n".join(_RULE_BODY[r] for r in keys)
+    touched = "\nUNION\n".join(
+        f"SELECT '{r}' AS rule, {key} AS k, {_windows(n)} * 60000 AS s FROM every WHERE is_late"
+        for r, (key, n) in keys.items()
+    )
+    hit = """EXISTS (SELECT 1 FROM touched WHERE rule = rule_id AND s = window_start
+        AND k = coalesce(user_id, device_id, card_id))"""
+    pick = "SELECT alert_id, rule_id, window_start, evidence"
+    return _sql(
+        f"{pick} FROM after WHERE {hit} UNION ALL {pick} FROM before WHERE NOT {hit}",
+        "\nevery AS (SELECT *, us // 60000000 AS m FROM ded)",
+        f"\ntouched AS ({touched})",
+        f"\nbefore AS (WITH {ctes} {fired})",
+        "\nafter AS (WITH ont AS (SELECT * FROM every), "
+        f"paid AS (SELECT * FROM ont WHERE transaction_status = 'SUCCESS'), {ctes} {fired})",
+    )
 
 
 ORACLE["late_replay"] = _replay()

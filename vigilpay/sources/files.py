@@ -28,10 +28,9 @@ def parse_json_lines(
     with_corrupt = T.StructType(schema.fields + [T.StructField(corrupt, T.StringType())])
     kept = lines.filter(~is_blank(F.col(value)) & ~F.col(value).rlike(r"^\s*#"))
     parsed = F.from_json(F.col(value), with_corrupt, {"columnNameOfCorruptRecord": corrupt})
-    good = kept.select(parsed.alias("_j")).filter(
-        F.col("_j").isNotNull() & F.col(f"_j.{corrupt}").isNull()
-    )
-    rows = good.select(*[F.col(f"_j.{n}").alias(n) for n in schema.names])
+    # As a generator the text is parsed once per row, whatever reads the fields
+    # (the outer form, as the inner one adds a filter that parses again).
+    rows = kept.select(F.inline_outer(F.array(parsed))).filter(F.col(corrupt).isNull()).drop(corrupt)
     return rows if limit is None else rows.limit(limit)
 
 
@@ -77,6 +76,12 @@ def read_aml_csv(
     return placed.join(offsets, ["_file", "_split"]).filter(wanted).select(*rows.columns)
 
 
+def write_aml_csv(rows: DataFrame, path: str) -> None:
+    """Rows as quoted text with a header, blanks kept."""
+    keep = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False, "emptyValue": ""}
+    rows.write.options(header=True, **keep).csv(path)
+
+
 def register_dwd_transactions(spark: SparkSession, name: str, location: str) -> DataFrame:
     """An external JSON table over converted events."""
     columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schemas.TRANSACTION.fields)
