@@ -17,7 +17,7 @@ from vigilpay.operators.alerts import evidence, event_alerts, union_alerts, wind
 from vigilpay.operators.prepare import successful_payments
 
 _START = Window.unboundedPreceding
-_EVENT_COLUMNS = [
+EVENT_COLUMNS = [
     "event_id", "transaction_id", "account_id", "card_id", "merchant_id", "device_id",
     "amount", "event_time", "event_ts",
 ]
@@ -31,7 +31,11 @@ def user_frequency_windows(events: DataFrame) -> DataFrame:
 
 def r001_user_frequency(events: DataFrame, cfg: RuleConfig = DEFAULTS) -> DataFrame:
     """More than ``user_txn_count`` events of a user in a minute, whatever their status."""
-    hits = user_frequency_windows(events).filter(F.col("transaction_count") > cfg.user_txn_count)
+    return frequency_alerts(user_frequency_windows(events), cfg)
+
+
+def frequency_alerts(counted: DataFrame, cfg: RuleConfig = DEFAULTS) -> DataFrame:
+    hits = counted.filter(F.col("transaction_count") > cfg.user_txn_count)
     proof = evidence(
         user_id=F.col("user_id"), transaction_count=F.col("transaction_count"),
         threshold=str(cfg.user_txn_count), window="1 minute tumbling event-time window",
@@ -55,7 +59,11 @@ def user_amount_windows(events: DataFrame, above=None) -> DataFrame:
 
 def r002_user_amount(events: DataFrame, cfg: RuleConfig = DEFAULTS) -> DataFrame:
     """A user's successful payments in a five-minute window sum to more than ``user_amount``."""
-    hits = user_amount_windows(events, cfg.user_amount)
+    return amount_alerts(user_amount_windows(events, cfg.user_amount), cfg)
+
+
+def amount_alerts(summed: DataFrame, cfg: RuleConfig = DEFAULTS) -> DataFrame:
+    hits = summed.filter(F.col("total_amount") > F.lit(cfg.user_amount))
     proof = evidence(
         user_id=F.col("user_id"), total_amount=fixed2(F.col("total_amount")),
         threshold=f"{cfg.user_amount:.2f}", window="5 minute sliding event-time window",
@@ -104,7 +112,7 @@ def failure_runs(
     """
     failed = same_text(F.col("transaction_status"), "FAILED")
     # Events that did not fail only end runs; they travel without their columns.
-    payload = F.when(failed, F.struct(*_EVENT_COLUMNS))
+    payload = F.when(failed, F.struct(*EVENT_COLUMNS))
     rows = events.select(
         "user_id", "arrival_seq", failed.alias("failed"), payload.alias("event")
     )
@@ -142,7 +150,11 @@ def r005_consecutive_failure(
     events: DataFrame, cfg: RuleConfig = DEFAULTS, hot: DataFrame | None = None
 ) -> DataFrame:
     """A user's ``consecutive_failures``-th failure in a row, and every further one."""
-    hits = failure_runs(events, hot).filter(F.col("failed_run") >= cfg.consecutive_failures)
+    return failure_alerts(failure_runs(events, hot), cfg)
+
+
+def failure_alerts(runs: DataFrame, cfg: RuleConfig = DEFAULTS) -> DataFrame:
+    hits = runs.filter(F.col("failed_run") >= cfg.consecutive_failures)
     proof = evidence(
         user_id=F.col("user_id"), consecutive_failed_count=F.col("failed_run"),
         threshold=str(cfg.consecutive_failures),
@@ -160,7 +172,7 @@ def payment_history(
     events: DataFrame, hot: DataFrame | None = None, bits: int = scans.HOT_BLOCK_BITS
 ) -> DataFrame:
     """Successful payments with the count and total of the user's earlier ones, by arrival."""
-    paid = successful_payments(events).select("user_id", "arrival_seq", *_EVENT_COLUMNS)
+    paid = successful_payments(events).select("user_id", "arrival_seq", *EVENT_COLUMNS)
     rows, hot_rows = scans.split_hot(paid, "user_id", _hot(events, "user_id", hot), bits=bits)
     earlier = (
         Window.partitionBy("user_id", "_blk").orderBy("arrival_seq").rowsBetween(_START, -1)
@@ -195,7 +207,11 @@ def r007_user_amount_spike(
     events: DataFrame, cfg: RuleConfig = DEFAULTS, hot: DataFrame | None = None
 ) -> DataFrame:
     """A payment above ``user_spike_multiplier`` times the user's mean so far."""
-    hits = payment_history(events, hot).filter(
+    return user_spike_alerts(payment_history(events, hot), cfg)
+
+
+def user_spike_alerts(history: DataFrame, cfg: RuleConfig = DEFAULTS) -> DataFrame:
+    hits = history.filter(
         (F.col("history_count") >= cfg.user_spike_min_samples)
         & _exceeds_mean("amount", "history_count", "history_total", cfg.user_spike_multiplier)
     )
@@ -214,13 +230,16 @@ def r008_merchant_spike(merchant_windows: DataFrame, cfg: RuleConfig = DEFAULTS)
     so its history is bounded by the time the data spans.
     """
     earlier = Window.partitionBy("merchant_id").orderBy("window_end").rowsBetween(_START, -1)
-    hits = (
-        merchant_windows.withColumn("history_count", F.count(F.lit(1)).over(earlier))
-        .withColumn("history_total", F.sum("amount").over(earlier).cast("decimal(32,2)"))
-        .filter(
-            (F.col("history_count") >= cfg.merchant_spike_min_windows)
-            & _exceeds_mean("amount", "history_count", "history_total", cfg.merchant_spike_multiplier)
-        )
+    history = merchant_windows.withColumn("history_count", F.count(F.lit(1)).over(earlier)).withColumn(
+        "history_total", F.sum("amount").over(earlier).cast("decimal(32,2)")
+    )
+    return merchant_spike_alerts(history, cfg)
+
+
+def merchant_spike_alerts(history: DataFrame, cfg: RuleConfig = DEFAULTS) -> DataFrame:
+    hits = history.filter(
+        (F.col("history_count") >= cfg.merchant_spike_min_windows)
+        & _exceeds_mean("amount", "history_count", "history_total", cfg.merchant_spike_multiplier)
     )
     proof = evidence(
         merchant_id=F.col("merchant_id"), current_window_amount=fixed2(F.col("amount")),
