@@ -64,6 +64,7 @@ class RiskStream:
         self.spark, self.cfg = spark, cfg
         self.source = source or (lambda: kafka.transactions(spark, cfg))
         self.work = f"{cfg.checkpoint_dir}/tables"
+        self.evict = True  # timers that evict silent keys; off in runs that stop by themselves
 
     # --- tables ---------------------------------------------------------------
 
@@ -256,19 +257,19 @@ class RiskStream:
             "failed", same_text(F.col("transaction_status"), "FAILED")
         )
         rows = rows.select("user_id", "arrival_seq", "failed", *rules.EVENT_COLUMNS).withColumn("amount", F.col("amount").cast("string"))
-        return state.failure_runs(rows, self.cfg.rules.consecutive_failures)
+        return state.failure_runs(rows, self.cfg.rules.consecutive_failures, evict=self.evict)
 
     def _user_history(self) -> DataFrame:
         rows = prepare.successful_payments(tables.stream(self.spark, self._table("on_time"), _EVENT))
         rows = rows.select("user_id", "arrival_seq", *rules.EVENT_COLUMNS, state.cents().alias("cents")).drop("amount")
         return state.amount_history(
-            rows, "user_id", "arrival_seq", self.cfg.rules.user_spike_min_samples, state.USER_MEAN_TTL_MS
+            rows, "user_id", "arrival_seq", self.cfg.rules.user_spike_min_samples, state.USER_MEAN_TTL_MS, self.evict
         )
 
     def _merchant_history(self) -> DataFrame:
         rows = tables.stream(self.spark, self._table("merchant_windows"), _MERCHANT_WINDOW)
         return state.amount_history(
-            rows, "merchant_id", "window_end", self.cfg.rules.merchant_spike_min_windows, state.MERCHANT_MEAN_TTL_MS
+            rows, "merchant_id", "window_end", self.cfg.rules.merchant_spike_min_windows, state.MERCHANT_MEAN_TTL_MS, self.evict
         )
 
     def start(self, stage: Stage, once: bool = False) -> StreamingQuery:
@@ -287,6 +288,7 @@ class RiskStream:
 
     def catch_up(self) -> None:
         """Process what is there now, level after level, then stop."""
+        self.evict = False
         stages = self.stages()
         for level in sorted({stage.level for stage in stages}):
             started = [self.start(s, once=True) for s in stages if s.level == level]

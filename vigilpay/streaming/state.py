@@ -30,9 +30,10 @@ def _load(state: GroupState, ttl_ms: int) -> tuple[int, int]:
     return (first, second) if fresh else (0, 0)
 
 
-def _store(state: GroupState, first: int, second: int, ttl_ms: int) -> None:
+def _store(state: GroupState, first: int, second: int, ttl_ms: int, evict: bool) -> None:
     state.update((int(first), int(second), state.getCurrentProcessingTimeMs()))
-    state.setTimeoutDuration(ttl_ms)
+    if evict:
+        state.setTimeoutDuration(ttl_ms)
 
 
 def _in_order(frames: Iterator[pd.DataFrame], order: str) -> pd.DataFrame:
@@ -52,15 +53,19 @@ def fold_history(values: np.ndarray, count: int, total: int) -> tuple[np.ndarray
     return count + np.arange(len(values)), total + np.cumsum(values) - values
 
 
-def _with_state(rows: DataFrame, key: str, fold, added: T.StructType) -> DataFrame:
+def _with_state(rows: DataFrame, key: str, fold, added: T.StructType, evict: bool) -> DataFrame:
+    # With a timer pending, a query that should stop when it has caught up never
+    # does; such a run asks for no timers and only forgets on reading.  The two
+    # kinds store state differently, so a checkpoint serves one of them.
+    timers = GroupStateTimeout.ProcessingTimeTimeout if evict else GroupStateTimeout.NoTimeout
     output = T.StructType(rows.schema.fields + added.fields)
     state = "first bigint, second bigint, written bigint"
-    return rows.groupBy(key).applyInPandasWithState(
-        fold, output, state, "append", GroupStateTimeout.ProcessingTimeTimeout
-    )
+    return rows.groupBy(key).applyInPandasWithState(fold, output, state, "append", timers)
 
 
-def failure_runs(rows: DataFrame, threshold: int, ttl_ms: int = FAILURE_TTL_MS) -> DataFrame:
+def failure_runs(
+    rows: DataFrame, threshold: int, ttl_ms: int = FAILURE_TTL_MS, evict: bool = True
+) -> DataFrame:
     """Failed rows whose run reaches ``threshold``, with ``failed_run``.
 
     ``rows`` has ``user_id``, ``arrival_seq`` and a flag ``failed``.
@@ -73,17 +78,17 @@ def failure_runs(rows: DataFrame, threshold: int, ttl_ms: int = FAILURE_TTL_MS)
         batch = _in_order(frames, "arrival_seq")
         runs = fold_failures(batch, _load(state, ttl_ms)[0])
         if runs[-1]:
-            _store(state, runs[-1], 0, ttl_ms)
+            _store(state, runs[-1], 0, ttl_ms, evict)
         elif state.exists:
             state.remove()
         batch["failed_run"] = runs
         yield batch[batch["failed"] & (runs >= threshold)]
 
-    return _with_state(rows, "user_id", fold, T.StructType().add("failed_run", "long"))
+    return _with_state(rows, "user_id", fold, T.StructType().add("failed_run", "long"), evict)
 
 
 def amount_history(
-    rows: DataFrame, key: str, order: str, min_count: int, ttl_ms: int
+    rows: DataFrame, key: str, order: str, min_count: int, ttl_ms: int, evict: bool = True
 ) -> DataFrame:
     """Rows with enough history, with ``history_count`` and ``history_cents`` before them.
 
@@ -98,12 +103,12 @@ def amount_history(
         cents = batch["cents"].to_numpy(dtype=np.int64)
         count, total = _load(state, ttl_ms)
         counts, totals = fold_history(cents, count, total)
-        _store(state, count + len(cents), total + cents.sum(), ttl_ms)
+        _store(state, count + len(cents), total + cents.sum(), ttl_ms, evict)
         batch["history_count"], batch["history_cents"] = counts, totals
         yield batch[counts >= min_count]
 
     added = T.StructType().add("history_count", "long").add("history_cents", "long")
-    return _with_state(rows, key, fold, added)
+    return _with_state(rows, key, fold, added, evict)
 
 
 def cents(amount: str = "amount"):
