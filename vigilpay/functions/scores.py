@@ -11,7 +11,11 @@ def same_text(column: Column, value: str) -> Column:
 
 
 def is_blank(column: Column) -> Column:
-    return column.isNull() | ~column.rlike(r"\S")
+    """Null, empty or only white space."""
+    first = F.substring(column, 1, 1)
+    # a printable first character settles it without a pattern match
+    printable = (first > " ") & (first <= "~")
+    return column.isNull() | ~(printable | column.rlike(r"\S"))
 
 
 def fixed2(number: Column) -> Column:

@@ -8,12 +8,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from vigilpay import schemas, session
+from vigilpay.config import StreamConfig
 from vigilpay.functions import ids, times
 from vigilpay.operators import (
     alerts as al, aml, dashboard as dash, extensions as ext, metrics as mt, prepare, rules,
     scans, serving, validate, windows,
 )
 from vigilpay.sources import adapter, files, kafka
+from vigilpay.streaming import job
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -125,11 +127,7 @@ def _(spark, sf):
 def _(spark, sf):
     path = session.new_dir(spark, "alerts_json")
     files.write_json_lines(rules.r006_black_device(on_time(spark, sf)), path)
-    schema = T.StructType([
-        T.StructField(f.name, T.LongType() if isinstance(f.dataType, T.TimestampType) else f.dataType)
-        for f in schemas.ALERT.fields
-    ])
-    return files.read_json_lines(spark, path, schema).select(
+    return files.read_json_lines(spark, path, schemas.ALERT_JSON).select(
         "alert_id", "rule_id", "event_id", "amount", "event_time", "alert_time", "evidence"
     )
 
@@ -565,3 +563,20 @@ def _(spark, sf):
 @query("alert_cooldown")
 def _(spark, sf):
     return ext.alert_cooldown(alerts(spark, sf)).select("alert_id", "rule_id", "alert_time")
+
+
+# --- streaming -----------------------------------------------------------------------------------------
+
+@query("stream_user_frequency")
+def _(spark, sf):
+    """The frequency rule by the streaming job, over raw text, as one catch-up run."""
+    root = session.new_dir(spark, "stream")
+    adapter.raw_lines(spark, sf).select("value").write.text(f"{root}/source")
+    cfg = StreamConfig(
+        metric_output=f"{root}/metrics", alert_output=f"{root}/alerts", late_output=f"{root}/late",
+        dead_letter_output=f"{root}/dead", checkpoint_dir=f"{root}/checkpoint",
+    )
+    stream = job.RiskStream(spark, cfg, job.text_source(spark, f"{root}/source", max_files=100_000))
+    stream.catch_up(["ingest", "route", "user_frequency"])
+    found = spark.read.schema(schemas.ALERT_JSON).json(f"{root}/alerts/user_frequency")
+    return found.select("alert_id", "rule_id", "user_id", "window_start", "window_end", "evidence")

@@ -580,3 +580,12 @@ ORACLE["alert_cooldown"] = _sql(
     """SELECT alert_id, rule_id, alert_time FROM alerts QUALIFY row_number() OVER (
     PARTITION BY rule_id, CASE WHEN rule_id = 'R006' THEN device_id ELSE coalesce(user_id, device_id, card_id, merchant_id) END,
     alert_time // 600000 ORDER BY alert_time, alert_id) = 1""", *_ALERTS)
+
+# --- streaming: one batch, so nothing is late; windows close by the watermark ---------------------
+_CLOSED = """
+good AS (SELECT DISTINCT event_id, user_id, us FROM raw WHERE reject_reason IS NULL),
+f AS (SELECT user_id, us // 60000000 AS w, count(*) AS n FROM good GROUP BY 1, 2
+      HAVING (us // 60000000 + 1) * 60000 <= (SELECT max(us) // 1000 - 60000 FROM good))"""
+ORACLE["stream_user_frequency"] = _sql(
+    f"SELECT alert_id, rule_id, user_id, window_start, window_end, evidence FROM ({_RULE_BODY['R001']})",
+    _CLOSED, base=_RAW)

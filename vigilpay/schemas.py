@@ -53,6 +53,9 @@ ALERT = _struct(
     ("alert_time", _TS), ("window_start", _TS), ("window_end", _TS), ("evidence", TEXT_MAP),
 )
 
+#: alerts as published: times in epoch milliseconds
+ALERT_JSON = _struct(*[(f.name, _L if f.dataType == _TS else f.dataType) for f in ALERT.fields])
+
 METRIC = _struct(
     ("metric_id", _S), ("metric_name", _S), ("dimensions", TEXT_MAP), ("value", T.DoubleType()),
     ("count", _L), ("window_start", _TS), ("window_end", _TS), ("emit_time", _TS),

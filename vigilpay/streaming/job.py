@@ -35,12 +35,6 @@ _MERCHANT_WINDOW = T.StructType(
         T.StructField("cents", T.LongType()),
     ]
 )
-_ALERT_JSON = T.StructType(
-    [
-        T.StructField(f.name, T.LongType() if isinstance(f.dataType, T.TimestampType) else f.dataType)
-        for f in schemas.ALERT.fields
-    ]
-)
 ALERT_QUERIES = [
     "user_frequency", "user_amount", "device_users", "card_users",
     "consecutive_failure", "black_device", "user_spike", "merchant_spike",
@@ -83,7 +77,7 @@ class RiskStream:
     def alerts(self) -> DataFrame:
         """All alerts; an alert written again after a failure counts once."""
         parts = [
-            tables.stream(self.spark, f"{self.cfg.alert_output}/{name}", _ALERT_JSON, "json")
+            tables.stream(self.spark, f"{self.cfg.alert_output}/{name}", schemas.ALERT_JSON, "json")
             for name in ALERT_QUERIES
         ]
         all_alerts = al.union_alerts(*parts)
@@ -286,10 +280,10 @@ class RiskStream:
         """Start all queries; they run until stopped."""
         return [self.start(stage) for stage in self.stages()]
 
-    def catch_up(self) -> None:
-        """Process what is there now, level after level, then stop."""
+    def catch_up(self, names: list[str] | None = None) -> None:
+        """Process what is there now, level after level, then stop; ``names`` picks stages."""
         self.evict = False
-        stages = self.stages()
+        stages = [s for s in self.stages() if names is None or s.name in names]
         for level in sorted({stage.level for stage in stages}):
             started = [self.start(s, once=True) for s in stages if s.level == level]
             for running in started:
