@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 
@@ -33,7 +34,7 @@ def local_session(cores: str | int = "*", shuffle_partitions: int = 8) -> SparkS
         SparkSession.builder.master(f"local[{cores}]")
         .appName("vigilpay")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-        .config("spark.driver.memory", "20g")
+        .config("spark.driver.memory", os.environ.get("VIGILPAY_DRIVER_MEMORY", "12g"))
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         # call sites in error messages cost a round trip to the JVM per expression
@@ -48,12 +49,16 @@ def local_session(cores: str | int = "*", shuffle_partitions: int = 8) -> SparkS
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors can reach.
 
-    A cluster names it in ``spark.checkpoint.dir``.  Only where that is unset
-    (tests, a laptop) does this fall back to a temporary folder, one per
-    application.
+    A cluster names it in ``spark.checkpoint.dir``.  Only on a local master
+    (tests, a laptop), where driver and executors are one process, does this
+    fall back to a temporary folder, one per application.  Elsewhere an unset
+    folder is an error: each executor would write to its own disk.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         app = spark.sparkContext.applicationId
         if app not in _FALLBACK:
             _FALLBACK[app] = tempfile.mkdtemp(prefix="vigilpay-")
@@ -75,3 +80,9 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     path = new_dir(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def drop(spark: SparkSession, path: str) -> None:
+    """Remove a staged folder, wherever the shared file system keeps it."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
