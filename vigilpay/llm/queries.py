@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vigilpay.llm import quality, ring
+from vigilpay.llm import quality, ring, simhash
 
 SHARDS = 8
 
@@ -13,6 +13,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return quality.quality_report(docs).select("doc_id", *quality.COUNTS, "base_failed", "kept")
@@ -26,6 +30,7 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op3_simhash_near_dedup": op3_simhash_near_dedup,
     "op5_quality_rules": op5_quality_rules,
     "op9_sharding": op9_sharding,
 }
