@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vigilpay.llm import quality, ring, simhash
+from vigilpay.llm import quality, ring, simhash, substring
 
 SHARDS = 8
 
@@ -13,6 +13,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.repeat_report(_table(spark, sf_dir, "documents"))
+
+
 def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
@@ -30,12 +34,33 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_substring_dedup": op2_substring_dedup,
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
     "op5_quality_rules": op5_quality_rules,
     "op9_sharding": op9_sharding,
 }
 
 ORACLE = {
+    "op2_substring_dedup": r"""
+WITH d AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws
+  FROM documents
+), w AS (
+  SELECT doc_id, i, array_to_string(ws[i:i + 12], ' ') AS g
+  FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 11)) AS i FROM d)
+), m AS (
+  SELECT g, min(doc_id) AS lo FROM w GROUP BY g
+), gone AS (
+  SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS p FROM w JOIN m USING (g) WHERE lo < doc_id
+), kept AS (
+  SELECT doc_id, string_agg(word, ' ' ORDER BY p) AS words, count(*) AS n
+  FROM (SELECT doc_id, unnest(ws) AS word, unnest(range(1, len(ws) + 1)) AS p FROM d) ANTI JOIN gone USING (doc_id, p)
+  GROUP BY doc_id
+)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(len(ws) - coalesce(n, 0) AS BIGINT) AS n_removed,
+  sha256(coalesce(words, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)
+""",
     "op5_quality_rules": r"""
 WITH d AS (
   SELECT row_number() OVER () AS k, doc_id, coalesce(text, '') AS t FROM documents
