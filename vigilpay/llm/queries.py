@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vigilpay.llm import quality, ring, simhash, substring
+from vigilpay.llm import mixing, quality, ring, simhash, substring
 
 SHARDS = 8
 
@@ -26,6 +26,11 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_report(docs).select("doc_id", *quality.COUNTS, "base_failed", "kept")
 
 
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    return mixing.mix_report(docs).select("doc_id", "size", "source_size", "target", "taken")
+
+
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = ring.shard_documents(_table(spark, sf_dir, "documents"), SHARDS)
     return placed.selectExpr(
@@ -37,6 +42,7 @@ QUERIES = {
     "op2_substring_dedup": op2_substring_dedup,
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
     "op5_quality_rules": op5_quality_rules,
+    "op8_mixing": op8_mixing,
     "op9_sharding": op9_sharding,
 }
 
