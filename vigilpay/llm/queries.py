@@ -2,17 +2,30 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import os
 
-from vigilpay.llm import mixing, quality, ring, simhash, substring
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from vigilpay.llm import mixing, pieces, quality, ring, simhash, substring
 
 SHARDS = 8
+#: The SentencePiece model of the queries; the operators take any path.
+PIECE_MODEL = os.environ.get("VIGILPAY_PIECE_MODEL", "/opt/tokenizers/piece_bpe_32k.model")
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = pieces.load_model(PIECE_MODEL)
+    encoded = pieces.encode(_table(spark, sf_dir, "documents").select("doc_id", "text"), model)
+    both = pieces.decode(encoded, model)
+    return both.select(
+        "doc_id", F.size("ids").alias("n_ids"), "ids", F.col("text").eqNullSafe(F.col("decoded")).alias("round_trip")
+    )
+
+
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.repeat_report(_table(spark, sf_dir, "documents"))
 
@@ -39,6 +52,7 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_sentencepiece": op1_sentencepiece,
     "op2_substring_dedup": op2_substring_dedup,
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
     "op5_quality_rules": op5_quality_rules,
