@@ -6,13 +6,17 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from vigilpay.llm import mixing, pieces, quality, ring, simhash, substring
+from vigilpay.llm import language, lm, mixing, pieces, quality, ring, simhash, substring
 
 SHARDS = 8
 #: The SentencePiece model of the queries; the operators take any path.
 PIECE_MODEL = os.environ.get("VIGILPAY_PIECE_MODEL", "/opt/tokenizers/piece_bpe_32k.model")
 
 
+#: Documents that the target model of op10 learns from.
+TARGET = "quality = 1 AND toxic = 0"
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -39,6 +43,10 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_report(docs).select("doc_id", *quality.COUNTS, "base_failed", "kept")
 
 
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(_table(spark, sf_dir, "documents"))
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     return mixing.mix_report(docs).select("doc_id", "size", "source_size", "target", "taken")
@@ -51,13 +59,20 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    return lm.cross_entropy_difference(docs, labels, TARGET)
+
+
 QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_substring_dedup": op2_substring_dedup,
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
     "op5_quality_rules": op5_quality_rules,
+    "op6_language_id": op6_language_id,
     "op8_mixing": op8_mixing,
     "op9_sharding": op9_sharding,
+    "op10_lm_scoring": op10_lm_scoring,
 }
 
 ORACLE = {
