@@ -6,7 +6,7 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from vigilpay.llm import language, lm, mixing, pieces, quality, ring, simhash, substring
+from vigilpay.llm import language, lm, mixing, pieces, quality, ring, simhash, substring, vectors
 
 SHARDS = 8
 #: The SentencePiece model of the queries; the operators take any path.
@@ -38,6 +38,10 @@ def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op4_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.near_duplicates(_table(spark, sf_dir, "embeddings"))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return quality.quality_report(docs).select("doc_id", *quality.COUNTS, "base_failed", "kept")
@@ -68,6 +72,7 @@ QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_substring_dedup": op2_substring_dedup,
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
+    "op4_embedding_near_dedup": op4_embedding_near_dedup,
     "op5_quality_rules": op5_quality_rules,
     "op6_language_id": op6_language_id,
     "op8_mixing": op8_mixing,
