@@ -6,7 +6,7 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from vigilpay.llm import language, lm, mixing, pieces, quality, ring, simhash, substring, vectors
+from vigilpay.llm import language, lm, mixing, pieces, quality, ring, simhash, substring, suffix, vectors
 
 SHARDS = 8
 #: The SentencePiece model of the queries; the operators take any path.
@@ -51,6 +51,10 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(_table(spark, sf_dir, "documents"))
 
 
+def op7_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix.repeat_report(_table(spark, sf_dir, "documents"))
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     return mixing.mix_report(docs).select("doc_id", "size", "source_size", "target", "taken")
@@ -75,6 +79,7 @@ QUERIES = {
     "op4_embedding_near_dedup": op4_embedding_near_dedup,
     "op5_quality_rules": op5_quality_rules,
     "op6_language_id": op6_language_id,
+    "op7_suffix_array_dedup": op7_suffix_array_dedup,
     "op8_mixing": op8_mixing,
     "op9_sharding": op9_sharding,
     "op10_lm_scoring": op10_lm_scoring,
