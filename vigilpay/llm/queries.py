@@ -2,15 +2,12 @@
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+import corpus_pipeline
 from vigilpay.llm import language, lm, mixing, pieces, quality, ring, simhash, substring, suffix, vectors
 
 SHARDS = 8
-#: The SentencePiece model of the queries; the operators take any path.
-PIECE_MODEL = os.environ.get("VIGILPAY_PIECE_MODEL", "/opt/tokenizers/piece_bpe_32k.model")
 
 
 #: Documents that the target model of op10 learns from.
@@ -22,7 +19,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    model = pieces.load_model(PIECE_MODEL)
+    model = pieces.load_model(corpus_pipeline.PIECE_MODEL)
     encoded = pieces.encode(_table(spark, sf_dir, "documents").select("doc_id", "text"), model)
     both = pieces.decode(encoded, model)
     return both.select(
@@ -73,6 +70,7 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "pipeline": corpus_pipeline.run,
     "op1_sentencepiece": op1_sentencepiece,
     "op2_substring_dedup": op2_substring_dedup,
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
@@ -136,3 +134,5 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM based
 """,
 }
+if corpus_pipeline.ORACLE_SQL:
+    ORACLE["pipeline"] = corpus_pipeline.ORACLE_SQL
