@@ -150,6 +150,15 @@ def order_rules(
     return sorted(rules, key=lambda rule: -rates[rule.name])
 
 
+def _settled(name: str) -> Column:
+    """The column as it is, in a form that no filter on it moves below the measures.
+
+    The condition never fails, but it is not deterministic.  A filter pushed
+    down would take each measure anew wherever the verdict uses it.
+    """
+    return F.when(F.monotonically_increasing_id() >= 0, F.col(name))
+
+
 def cascade(docs: DataFrame, ordered: list[Rule], text: str = "text") -> DataFrame:
     """``docs`` with ``rejected_by``: the first rule in the order given that rejects, or null."""
     keep = pass_through(docs, ["rejected_by"])
@@ -160,7 +169,7 @@ def cascade(docs: DataFrame, ordered: list[Rule], text: str = "text") -> DataFra
         df = _measure(df, missing, F.col("__rejected").isNull())
         taken.update(missing)
         df = df.withColumn("__rejected", F.coalesce("__rejected", F.when(rule.failed(), F.lit(rule.name))))
-    return df.select(*keep, F.col("__rejected").alias("rejected_by"))
+    return df.select(*keep, _settled("__rejected").alias("rejected_by"))
 
 
 def quality_filter(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text") -> DataFrame:
@@ -183,7 +192,7 @@ def quality_report(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str =
     base = F.lit(False)
     for rule in BASE_RULES:
         base = base | rule.failed()
-    df = df.withColumn("__rejected", verdict)
+    df = df.withColumn("__rejected", verdict).withColumn("__rejected", _settled("__rejected"))
     return df.select(
         *pass_through(docs, own), *[F.col(f"__{c}").alias(c) for c in COUNTS], base.alias("base_failed"),
         F.col("__rejected").alias("rejected_by"), (~base & F.col("__rejected").isNull()).alias("kept"),
