@@ -12,7 +12,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes of text that a task turns into arrays at once; a longer text is a chunk of its own.
-CHUNK_BYTES = 1 << 22
+CHUNK_BYTES = 1 << 21
 _RADIX = 0x9E3779B97F4A7C15 | 1
 _RADIX_INVERSE = pow(_RADIX, -1, 1 << 64)
 

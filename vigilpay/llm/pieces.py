@@ -39,7 +39,11 @@ SPACE = "▁"
 _R = np.uint64(0xD6E8FEB86659FD93)
 _NEVER = np.int64(1) << 40
 #: Distinct units that a worker remembers before it starts afresh.
-REMEMBERED = 1_500_000
+REMEMBERED = 1_200_000
+#: Units learned last, which are merged into the others when they are this many.
+FRESH = 100_000
+#: Bytes of text that are encoded at once.
+AT_ONCE = CHUNK_BYTES
 _PAIR_SLOTS = 1 << 20
 #: Units of one length that advance together.
 TOGETHER = 20_000
@@ -81,7 +85,6 @@ class PieceModel:
     lengths: np.ndarray  # by id, in characters
     runs: dict[int, int] = field(default_factory=dict)  # spaces in a run piece -> id
 
-    @property
     def longest(self) -> int:
         return int(self.lengths[self.ids].max())
 
@@ -156,27 +159,33 @@ def build_model(texts: dict[str, int], scores: np.ndarray, decoded: list[bytes],
     )
 
 
+def _merged(one: tuple, two: tuple) -> tuple:
+    keys = np.concatenate([one[0], two[0]])
+    by_key = np.argsort(keys, kind="stable")
+    return keys[by_key], *(np.concatenate([a, b])[by_key] for a, b in zip(one[1:], two[1:]))
+
+
 class Encoder:
     """What a worker keeps of a model: lookup tables, units it has seen, pairs it has compared."""
 
     def __init__(self, model: PieceModel):
-        self.m, self.across = model, len(model.chars) + 1
+        self.m, self.across, self.longest = model, len(model.chars) + 1, model.longest()
         self.class_of = np.zeros(0x110000, np.int32)
         self.class_of[model.chars] = np.arange(1, self.across)
         self.class_of[0x20], self.class_of[0x2581] = self.class_of[0x2581], 0
         self.joined = np.zeros((self.across, self.across), bool)
         self.joined.flat[model.pairs] = True
         self.table = mix(np.arange(1, self.across + 1, dtype=np.uint64) * _R) | np.uint64(1)
-        self.radix = np.multiply.accumulate(np.r_[np.ones(1, np.uint64), np.full(model.longest + 1, _R)])
+        self.radix = np.multiply.accumulate(np.r_[np.ones(1, np.uint64), np.full(self.longest + 1, _R)])
         self.pair_tags = np.full(_PAIR_SLOTS, -1, np.int64)
         self.pair_fits = np.zeros(_PAIR_SLOTS, bool)
         self.run_cache: dict[int, list[int]] = {}
         self.forget()
 
     def forget(self) -> None:
-        self.known = np.zeros(0, np.uint64)
-        self.at, self.count = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        self.pool = self.m.singles.copy()
+        self.known = [(np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int32)) for _ in range(2)]
+        self.pool = np.concatenate([self.m.singles, np.zeros(1 << 16, np.int32)])
+        self.used = len(self.m.singles)
 
     def piece(self, hashes: np.ndarray) -> np.ndarray:
         """The id of the piece with each hash, or -1."""
@@ -242,7 +251,7 @@ class Encoder:
         last = np.full((length + 1, n), -1, np.int32)  # backpointer: the piece that ends here
         best = np.zeros((length + 1, n))
         for end in range(1, length + 1):
-            lens = np.arange(1, min(end, m.longest) + 1)
+            lens = np.arange(1, min(end, self.longest) + 1)
             begins = end - lens
             hashes = prefix[end][None, :] - prefix[begins] * self.radix[lens][:, None]
             ids = self.piece(hashes)
@@ -274,7 +283,7 @@ class Encoder:
 
     def _learn(self, hashes: np.ndarray, starts: np.ndarray, lengths: np.ndarray, classes: np.ndarray) -> None:
         """Segment new distinct units and remember them."""
-        found_at, found_n, pools, size = np.zeros(len(hashes), np.int64), np.zeros(len(hashes), np.int64), [], len(self.pool)
+        found_at, found_n = np.zeros(len(hashes), np.int64), np.zeros(len(hashes), np.int32)
         order = np.argsort(lengths, kind="stable")
         cuts = np.flatnonzero(np.diff(lengths[order])) + 1
         for group in np.split(order, cuts):
@@ -283,15 +292,28 @@ class Encoder:
             for lo in range(0, len(group), step):
                 part = group[lo : lo + step]
                 tokens, counts = self._advance(classes[starts[part][:, None] + np.arange(length)])
-                found_at[part], found_n[part] = size + np.cumsum(counts) - counts, counts
-                pools.append(tokens.astype(np.int32))
-                size += len(tokens)
-        self.pool = np.concatenate([self.pool, *pools])
-        keys = np.concatenate([self.known, hashes])
-        by_key = np.argsort(keys, kind="stable")
-        self.known = keys[by_key]
-        self.at = np.concatenate([self.at, found_at])[by_key]
-        self.count = np.concatenate([self.count, found_n])[by_key]
+                found_at[part], found_n[part] = self.used + np.cumsum(counts) - counts, counts
+                end = self.used + len(tokens)
+                if end > len(self.pool):
+                    self.pool = np.concatenate([self.pool, np.zeros(max(end, len(self.pool) // 2), np.int32)])
+                self.pool[self.used : end] = tokens
+                self.used = end
+        old, fresh = self.known
+        fresh = _merged(fresh, (hashes, found_at, found_n))
+        if len(fresh[0]) > FRESH:
+            old, fresh = _merged(old, fresh), tuple(x[:0] for x in fresh)
+        self.known = [old, fresh]
+
+    def _find(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Which units are remembered, and their place in the pool and number of pieces."""
+        seen, at, count = np.zeros(len(hashes), bool), np.zeros(len(hashes), np.int64), np.zeros(len(hashes), np.int64)
+        for keys, places, counts in self.known:
+            if len(keys):
+                k = np.minimum(np.searchsorted(keys, hashes), len(keys) - 1)
+                hit = keys[k] == hashes
+                at[hit], count[hit] = places[k[hit]], counts[k[hit]]
+                seen |= hit
+        return seen, at, count
 
     def _units(self, starts: np.ndarray, lengths: np.ndarray, classes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Place in the pool and number of pieces of each unit."""
@@ -304,16 +326,14 @@ class Encoder:
             s, e = starts[long], starts[long] + lengths[long]
             hashes = mix((sums[e] - sums[s]) * down[s] + lengths[long].astype(np.uint64))
             unique, first, inverse = np.unique(hashes, return_index=True, return_inverse=True)
-            if len(self.known) + len(unique) > REMEMBERED:
+            if sum(len(k[0]) for k in self.known) + len(unique) > REMEMBERED:
                 self.forget()
-            place = np.searchsorted(self.known, unique)
-            new = np.ones(len(unique), bool)
-            inside = place < len(self.known)
-            new[inside] = self.known[place[inside]] != unique[inside]
-            if new.any():
+            seen, place, number = self._find(unique)
+            if not seen.all():
+                new = ~seen
                 self._learn(unique[new], s[first[new]], lengths[long][first[new]], classes)
-            place = np.searchsorted(self.known, unique)
-            at[long], count[long] = self.at[place][inverse], self.count[place][inverse]
+                _, place[new], number[new] = self._find(unique[new])
+            at[long], count[long] = place[inverse], number[inverse]
         return at, count
 
     def _run(self, n: int) -> list[int]:
@@ -346,7 +366,7 @@ class Encoder:
         starts = np.flatnonzero(cut)
         lengths = np.diff(np.r_[starts, len(codes)])
         at, count = self._units(starts, lengths, classes)
-        pool = self.pool
+        pool = self.pool[: self.used]
         strange = np.flatnonzero(classes[starts] == 0)  # a unit of its own each
         if len(strange):
             kinds, inverse = np.unique(codes[starts[strange]], return_inverse=True)
@@ -425,24 +445,36 @@ class _Shared:
         return self._broadcast.value
 
 
-def encode(docs: DataFrame, model: PieceModel, text: str = "text", ids: str = "ids") -> DataFrame:
-    """``docs`` with the piece ids of the text."""
-    keep = pass_through(docs, [ids])
-    schema = T.StructType([docs.schema[c] for c in keep] + [T.StructField(ids, T.ArrayType(T.IntegerType(), False))])
+def encode(docs: DataFrame, model: PieceModel, text: str = "text", ids: str = "ids", check: str | None = None) -> DataFrame:
+    """``docs`` with the piece ids of the text; ``check`` names a column that tells whether they decode to it."""
+    results = [ids, check] if check else [ids]
+    keep = pass_through(docs, results)
+    fields = [T.StructField(ids, T.ArrayType(T.IntegerType(), False))]
+    if check:
+        fields.append(T.StructField(check, T.BooleanType()))
+    schema = T.StructType([docs.schema[c] for c in keep] + fields)
     shared, at = _Shared(docs.sparkSession, model), keep.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(shared)
         for batch in batches:
             data, offsets = text_bytes(batch.column(at))
-            for lo, hi in chunks(offsets, 2 * CHUNK_BYTES):
-                found, begins = encoder.encode(data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo])
+            for lo, hi in chunks(offsets, AT_ONCE):
+                own, starts = data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo]
+                found, begins = encoder.encode(own, starts)
                 part = batch.slice(lo, hi - lo)
                 missing = part.column(at).is_null()
-                lists = pa.ListArray.from_arrays(
+                columns = [*part.columns, pa.ListArray.from_arrays(
                     pa.array(begins, pa.int32()), pa.array(found, pa.int32()), mask=missing if missing.true_count else None
-                )
-                yield pa.RecordBatch.from_arrays([*part.columns, lists], names=[*keep, ids])
+                )]
+                if check:
+                    back, places = encoder.decode(found.astype(np.int64), begins)
+                    if np.array_equal(back, own) and np.array_equal(places, starts):
+                        equal = np.ones(hi - lo, bool)
+                    else:
+                        equal = [back[a:b].tobytes() == own[c:d].tobytes() for a, b, c, d in zip(places, places[1:], starts, starts[1:])]
+                    columns.append(pa.array(equal, pa.bool_()))
+                yield pa.RecordBatch.from_arrays(columns, names=[*keep, *results])
 
     return docs.select(*keep).mapInArrow(run, schema)
 
@@ -455,10 +487,10 @@ def decode(docs: DataFrame, model: PieceModel, ids: str = "ids", text: str = "de
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(shared)
-        for batch in batches:
+        for batch in (whole.slice(lo, 500) for whole in batches for lo in range(0, whole.num_rows, 500)):
             column = batch.column(at)
             begins = column.offsets.to_numpy()
-            values = column.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+            values = column.values.to_numpy(zero_copy_only=False)[begins[0] : begins[-1]].astype(np.int64) if len(column) else np.zeros(0, np.int64)
             data, places = encoder.decode(values, begins - begins[0] if len(begins) else np.zeros(1, np.int64))
             raw, valid = data.tobytes(), column.is_valid().to_pylist()
             texts = [raw[a:b].decode(errors="replace") if v else None for a, b, v in zip(places, places[1:], valid)]

@@ -20,11 +20,8 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = pieces.load_model(corpus_pipeline.PIECE_MODEL)
-    encoded = pieces.encode(_table(spark, sf_dir, "documents").select("doc_id", "text"), model)
-    both = pieces.decode(encoded, model)
-    return both.select(
-        "doc_id", F.size("ids").alias("n_ids"), "ids", F.col("text").eqNullSafe(F.col("decoded")).alias("round_trip")
-    )
+    encoded = pieces.encode(_table(spark, sf_dir, "documents").select("doc_id", "text"), model, check="round_trip")
+    return encoded.select("doc_id", F.size("ids").alias("n_ids"), "ids", "round_trip")
 
 
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
