@@ -170,7 +170,7 @@ def predict(docs: DataFrame, model: LanguageModel, text: str = "text") -> DataFr
             names, scores = [], []
             for value in batch.column(batch.num_columns - 1).to_pylist():
                 sums, n = np.zeros(width), 0
-                for words in letters(value or ""):
+                for words in letters(value or "") if width else ():
                     n += len(words)
                     new = {w for w in words if w not in place}
                     if new:
@@ -184,7 +184,7 @@ def predict(docs: DataFrame, model: LanguageModel, text: str = "text") -> DataFr
                             vectors[len(place)] = model.word(w)
                             place[w] = len(place)
                     sums += vectors[[place[w] for w in words]].sum(axis=0)
-                if not n or not width:
+                if not n:
                     names.append(UNKNOWN)
                     scores.append(0.0)
                 else:
