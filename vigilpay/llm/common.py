@@ -59,6 +59,16 @@ def counted_ranks(rows: DataFrame, group: list[str], identity: list[str], total:
     )
 
 
+def identified(docs: DataFrame, doc_id: str, text: str, rest: list[str] | None = None) -> DataFrame:
+    """Rows with an id, as ``doc_id`` (long), ``text`` and the columns ``rest``.
+
+    Columns that have these names already are not renamed, so that plans which
+    read the same rows twice stay equal and share their shuffle.
+    """
+    own = "doc_id" if doc_id == "doc_id" and docs.schema[doc_id].dataType.typeName() == "long" else F.col(doc_id).cast("long").alias("doc_id")
+    return docs.select(own, text if text == "text" else F.col(text).alias("text"), *(rest or [])).filter("doc_id IS NOT NULL")
+
+
 def pass_through(df: DataFrame, own: list[str]) -> list[str]:
     """Columns of ``df`` that an operator carries along; its own result columns replace those of the same name."""
     return [c for c in df.columns if c not in own]

@@ -22,7 +22,7 @@ FLUSH = 1 << 21
 #: Bytes of text whose values make one bucket.  Larger executors can take more.
 BUCKET_BYTES = 24 << 20
 
-#: What a probe function yields: document ids, hash values, second halves (or None), marks (or None).
+#: What a probe function yields: document ids, hash values, 32 more bits of them (or None), marks (or None).
 Probes = tuple[np.ndarray, np.ndarray, "np.ndarray | None", "np.ndarray | None"]
 _SCHEMA = "bucket int, doc_id long, ids binary, keys binary, checks binary, marks binary"
 
@@ -103,7 +103,7 @@ def _answer(blocks: list[tuple], bucket: int, buckets: int, later: bool) -> Iter
     ids = np.concatenate([np.cumsum(np.frombuffer(zlib.decompress(x[0]), np.int64)) for x in blocks])
     if wide:
         keys = np.concatenate([np.frombuffer(x[1], np.uint64) for x in blocks])
-        checks = np.concatenate([np.frombuffer(x[2], np.uint64) for x in blocks])
+        checks = np.concatenate([np.frombuffer(x[2], np.uint32) for x in blocks])
     else:
         keys = np.concatenate([np.frombuffer(x[1], np.uint32) for x in blocks])
         checks = None
@@ -132,7 +132,7 @@ def shared_values(
 
     ``probe`` turns a batch of ``rows`` into probes.  With ``later``, a value is
     answered to every document but the smallest that holds it, and two values
-    are equal if both halves are.  Otherwise a value is answered to all its
+    are equal if their further bits are, too.  Otherwise a value is answered to all its
     documents if at least two hold it and, where they are in different blocks,
     one of them has marked it; then only ``key_bits`` bits of a value count.
     """

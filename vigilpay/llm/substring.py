@@ -4,7 +4,7 @@ A window is 13 consecutive words.  Every document is cut into non-overlapping
 blocks of 7 words, which are the index; every rolling run of 7 words probes it.
 A window holds a whole block of its document wherever it begins, so two
 documents that share a window meet at an anchor.  Around the anchors, windows
-are compared as wholes (128-bit hashes), and runs of equal windows are the
+are compared as wholes (96-bit hashes), and runs of equal windows are the
 maximal exact repeats.  A word goes if a window over it also begins in a
 document with a smaller id.
 
@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from vigilpay.llm.arrays import chunks, covered, prefix_sums, rolling, span_hashes, text_bytes, word_spans
-from vigilpay.llm.common import pass_through
+from vigilpay.llm.common import identified, pass_through
 from vigilpay.llm.exchange import Probes, bucket_count, key_bits, shared_values
 
 WINDOW = 13
@@ -97,7 +97,7 @@ def _window_probe(window: int, bits: int):
             before = np.r_[0, np.cumsum(hit)]
             begins = words.windows()
             begins = begins[before[begins + words.window - words.block + 1] > before[begins]]
-            one, two = rolling(words.hashes, window), rolling(words.second, window)
+            one, two = rolling(words.hashes, window), (rolling(words.second, window) >> np.uint64(32)).astype(np.uint32)
             yield ids[lo:hi][words.doc[begins]], one[begins], two[begins], None
 
     return probe
@@ -106,16 +106,18 @@ def _window_probe(window: int, bits: int):
 def repeated_windows(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """(doc_id, found): hashes of the windows of each document that a smaller document has too.
 
-    ``docs`` has ``doc_id`` (not null) and ``text``, and nothing else.
+    ``docs`` has ``doc_id`` (long, not null) and ``text`` first; other columns
+    only go along, so that a later join can share the shuffle.
     """
     spark = docs.sparkSession
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = bucket_count(size, int(spark.conf.get("spark.sql.shuffle.partitions")))
     bits = key_bits(buckets)
-    anchors = shared_values(docs, _anchor_probe(window, bits), buckets, later=False)
+    rest = docs.columns[2:]
+    anchors = shared_values(docs.select("doc_id", "text"), _anchor_probe(window, bits), buckets, later=False)
     anchors = anchors.select(F.col("doc_id").alias("__id"), F.col("found").alias("__found"))
     # both joins of the texts are on the document and share one shuffle of them
-    near = docs.join(anchors, F.col("doc_id") == F.col("__id")).select("doc_id", "text", "__found")
+    near = docs.join(anchors, F.col("doc_id") == F.col("__id")).select("doc_id", "text", "__found", *rest)
     return shared_values(near, _window_probe(window, bits), buckets, later=True)
 
 
@@ -176,28 +178,33 @@ def _without(text: bytes, spans: _Words, gone: np.ndarray) -> bytes:
     return np.frombuffer(text, np.uint8)[keep].tobytes()
 
 
-def _judged(docs: DataFrame, text: str, doc_id: str, window: int) -> DataFrame:
-    """``docs`` with what ``repeated_windows`` found as ``__found``."""
-    narrow = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).filter("doc_id IS NOT NULL")
-    found = repeated_windows(narrow, window).select(F.col("doc_id").alias("__id"), F.col("found").alias("__found"))
-    return docs.join(found, F.col(doc_id) == F.col("__id"), "left").drop("__id")
-
-
 def repeat_report(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", window: int = WINDOW) -> DataFrame:
     """One row per document: id, ``n_words``, ``n_removed`` and the SHA-256 of the kept words."""
-    narrow = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    some = _judged(narrow.filter("doc_id IS NOT NULL"), "text", "doc_id", window)
-    none = narrow.filter("doc_id IS NULL").withColumn("__found", F.lit(None).cast("array<binary>"))
+    some = identified(docs, doc_id, text)
+    found = repeated_windows(some, window).select(F.col("doc_id").alias("__id"), F.col("found").alias("__found"))
+    rows = some.join(found, F.col("doc_id") == F.col("__id"), "left").select("doc_id", "text", "__found")
+    none = docs.filter(F.col(doc_id).isNull()).select(
+        F.lit(None).cast("long").alias("doc_id"), F.col(text).alias("text"), F.lit(None).cast("array<binary>").alias("__found")
+    )
     names = ["doc_id", "n_words", "n_removed", "kept_sha256"]
     schema = "doc_id long, n_words long, n_removed long, kept_sha256 string"
-    rows = some.unionByName(none).select("doc_id", "text", "__found")
-    return rows.mapInArrow(_cut(window, names, with_text=False), schema)
+    run = _cut(window, names, with_text=False)
+    return rows.mapInArrow(run, schema).unionByName(none.mapInArrow(run, schema))
 
 
 def remove_repeats(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", window: int = WINDOW) -> DataFrame:
     """``docs`` with repeated words cut out of the text; all rows and columns stay."""
     others = pass_through(docs, [text])
-    rows = _judged(docs, text, doc_id, window).select(*others, text, "__found")
+    alias = {c: f"__c{i}" for i, c in enumerate(others)}
+    if doc_id == "doc_id" and text == "text":
+        alias = {c: c for c in others if c not in ("doc_id", "__found", "__id")}
+    carried = docs.select(doc_id, text, *[F.col(c).alias(a) if a != c else c for c, a in alias.items()])
+    some = identified(carried, doc_id, text, list(alias.values()))
+    found = repeated_windows(some, window).select(F.col("doc_id").alias("__id"), F.col("found").alias("__found"))
+    rows = some.join(found, F.col("doc_id") == F.col("__id"), "left")
+    back = [F.col(alias[c]).alias(c) if c in alias else F.col("doc_id").cast(docs.schema[c].dataType).alias(c) for c in others]
+    rows = rows.select(*back, F.col("text").alias(text), "__found")
+    none = docs.filter(F.col(doc_id).isNull()).select(*others, text).withColumn("__found", F.lit(None).cast("array<binary>"))
     schema = T.StructType([docs.schema[c] for c in others] + [T.StructField(text, T.StringType())])
-    cut = rows.mapInArrow(_cut(window, [*others, text], with_text=True), schema)
-    return cut.select(*docs.columns)
+    run = _cut(window, [*others, text], with_text=True)
+    return rows.mapInArrow(run, schema).unionByName(none.mapInArrow(run, schema)).select(*docs.columns)

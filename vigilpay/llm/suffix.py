@@ -36,6 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from vigilpay.llm.arrays import _powers, chunks, covered, mix, prefix_sums, ragged, span_hashes, text_bytes
+from vigilpay.llm.common import identified
 from vigilpay.llm.exchange import FLUSH, Probes, bucket_count, key_bits, shared_values
 
 LENGTH = 50
@@ -378,11 +379,12 @@ def removed_bytes(text: bytes, found: list[bytes]) -> np.ndarray:
 
 def repeat_report(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """One row per document: id, ``n_bytes``, ``n_removed``, ``n_spans`` and the SHA-256 of the bytes that stay."""
-    narrow = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    some = narrow.filter("doc_id IS NOT NULL")
+    some = identified(docs, doc_id, text)
     found = repeated_strings(some).select(F.col("doc_id").alias("__id"), F.col("found").alias("__found"))
     judged = some.join(found, F.col("doc_id") == F.col("__id"), "left").select("doc_id", "text", "__found")
-    none = narrow.filter("doc_id IS NULL").withColumn("__found", F.lit(None).cast("array<binary>"))
+    none = docs.filter(F.col(doc_id).isNull()).select(
+        F.lit(None).cast("long").alias("doc_id"), F.col(text).alias("text"), F.lit(None).cast("array<binary>").alias("__found")
+    )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -405,4 +407,4 @@ def repeat_report(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -
             )
 
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
-    return judged.unionByName(none).mapInArrow(run, schema)
+    return judged.mapInArrow(run, schema).unionByName(none.mapInArrow(run, schema))
