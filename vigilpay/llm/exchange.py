@@ -15,16 +15,17 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 
 #: Values a task gathers before it ships them.
-FLUSH = 1 << 21
+FLUSH = 1 << 20
 #: Bytes of text whose values make one bucket.  Larger executors can take more.
 BUCKET_BYTES = 24 << 20
 
 #: What a probe function yields: document ids, hash values, 32 more bits of them (or None), marks (or None).
 Probes = tuple[np.ndarray, np.ndarray, "np.ndarray | None", "np.ndarray | None"]
-_SCHEMA = "bucket int, doc_id long, ids binary, keys binary, checks binary, marks binary"
+_SCHEMA = "bucket int, known boolean, ids binary, keys binary, checks binary, marks binary"
+_ANSWER = "part int, ids binary, found binary"
 
 
 def bucket_count(text_bytes: int, least: int, bucket_bytes: int = BUCKET_BYTES) -> int:
@@ -36,12 +37,60 @@ def key_bits(buckets: int) -> int:
     return 32 + int(math.log2(buckets))
 
 
-def _by_document(ids: np.ndarray, keys: np.ndarray) -> Iterator[tuple[int, bytes]]:
-    order = np.argsort(ids, kind="stable")
-    ids, keys = ids[order], keys[order]
-    starts = np.flatnonzero(np.r_[True, ids[1:] != ids[:-1]]) if len(ids) else np.zeros(0, np.int64)
-    for a, b in zip(starts, np.r_[starts[1:], len(ids)]):
-        yield int(ids[a]), keys[a:b].tobytes()
+def pack_ids(ids: np.ndarray) -> bytes:
+    return zlib.compress(np.diff(ids, prepend=0).tobytes(), 1)
+
+
+def unpack_ids(packed: bytes) -> np.ndarray:
+    return np.cumsum(np.frombuffer(zlib.decompress(packed), np.int64))
+
+
+def answers_by_part(ids: np.ndarray, found: np.ndarray, parts: int) -> Iterator[tuple[int, bytes, bytes]]:
+    """Answers to documents in one block per part of the documents; ``found`` has a row per answer."""
+    part = np.mod(ids, parts)
+    order = np.lexsort((ids, part))
+    ids, found = ids[order], found[order]
+    cuts = np.searchsorted(part[order], np.arange(parts + 1))
+    for p in np.flatnonzero(np.diff(cuts)):
+        a, b = cuts[p], cuts[p + 1]
+        yield int(p), pack_ids(ids[a:b]), found[a:b].tobytes()
+
+
+def answer_batch(rows: list[tuple[int, bytes, bytes]]) -> pa.RecordBatch:
+    kinds = [pa.int32(), pa.binary(), pa.binary()]
+    columns = zip(*rows) if rows else [[]] * 3
+    return pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(columns, kinds)], names=["part", "ids", "found"])
+
+
+def by_document(answers: DataFrame, width: int) -> DataFrame:
+    """(doc_id, found) from blocks of answers: all answers to a document, ``width`` numbers each, as one binary."""
+
+    def out(blocks: list[tuple[bytes, bytes]]) -> Iterator[pa.RecordBatch]:
+        ids = np.concatenate([unpack_ids(b[0]) for b in blocks])
+        found = np.concatenate([np.frombuffer(b[1], np.uint64) for b in blocks]).reshape(-1, width)
+        order = np.argsort(ids, kind="stable")
+        ids, found = ids[order], found[order]
+        starts = np.flatnonzero(np.r_[True, ids[1:] != ids[:-1]])
+        ends = np.r_[starts[1:], len(ids)]
+        for lo in range(0, len(starts), 5000):
+            values = [found[a:b].tobytes() for a, b in zip(starts[lo : lo + 5000], ends[lo : lo + 5000])]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(ids[starts[lo : lo + 5000]], pa.int64()), pa.array(values, pa.binary())], names=["doc_id", "found"]
+            )
+
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, part = [], None
+        for batch in batches:
+            for p, ids, found in zip(*(c.to_pylist() for c in batch.columns)):
+                if held and p != part:
+                    yield from out(held)
+                    held = []
+                part = p
+                held.append((ids, found))
+        if held:
+            yield from out(held)
+
+    return answers.repartition("part").sortWithinPartitions("part").mapInArrow(gather, "doc_id long, found binary")
 
 
 def _sorted(ids, keys, checks, marks):
@@ -56,8 +105,8 @@ def _sorted(ids, keys, checks, marks):
 
 
 def _table(rows: list[tuple]) -> pa.RecordBatch:
-    kinds = [pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.binary()]
-    names = ["bucket", "doc_id", "ids", "keys", "checks", "marks"]
+    kinds = [pa.int32(), pa.bool_(), pa.binary(), pa.binary(), pa.binary(), pa.binary()]
+    names = ["bucket", "known", "ids", "keys", "checks", "marks"]
     columns = zip(*rows) if rows else [[]] * 6
     return pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(columns, kinds)], names=names)
 
@@ -72,9 +121,8 @@ def _ship(parts: list[Probes], buckets: int, later: bool) -> Iterator[pa.RecordB
     sizes = np.diff(np.r_[starts, len(keys)])
     low = np.minimum.reduceat(ids, starts)
     known = ids > np.repeat(low, sizes) if later else np.repeat(np.maximum.reduceat(ids, starts) > low, sizes)
-    rows = [
-        (int(doc % buckets), doc, None, values, None, None) for doc, values in _by_document(ids[known], keys[known])
-    ]
+    # a known answer travels with the bucket of its part of the documents
+    rows = [(part, True, who, found, None, None) for part, who, found in answers_by_part(ids[known], keys[known], buckets)]
     settled = np.zeros(len(starts), bool) if later else known[starts]
     marked = np.zeros(len(starts), bool) if marks is None else np.maximum.reduceat(marks, starts)
     keys = keys[starts]
@@ -87,9 +135,8 @@ def _ship(parts: list[Probes], buckets: int, later: bool) -> Iterator[pa.RecordB
     rest = keys if wide else (keys // np.uint64(buckets)).astype(np.uint32)
     for b in np.flatnonzero(np.diff(cuts)):
         at = order[cuts[b] : cuts[b + 1]]
-        steps = np.diff(low[at], prepend=0)
         rows.append((
-            int(b), None, zlib.compress(steps.tobytes(), 1), rest[at].tobytes(),
+            int(b), False, pack_ids(low[at]), rest[at].tobytes(),
             checks[at].tobytes() if wide else None,
             np.packbits(np.concatenate([settled[at], marked[at]])).tobytes(),
         ))
@@ -97,10 +144,10 @@ def _ship(parts: list[Probes], buckets: int, later: bool) -> Iterator[pa.RecordB
         yield _table(rows[i : i + 2000])
 
 
-def _answer(blocks: list[tuple], bucket: int, buckets: int, later: bool) -> Iterator[tuple[int, bytes]]:
+def _answer(blocks: list[tuple], bucket: int, buckets: int, later: bool) -> Iterator[tuple[int, bytes, bytes]]:
     """Documents of one bucket with the values that they share."""
     wide = blocks[0][2] is not None
-    ids = np.concatenate([np.cumsum(np.frombuffer(zlib.decompress(x[0]), np.int64)) for x in blocks])
+    ids = np.concatenate([unpack_ids(x[0]) for x in blocks])
     if wide:
         keys = np.concatenate([np.frombuffer(x[1], np.uint64) for x in blocks])
         checks = np.concatenate([np.frombuffer(x[2], np.uint32) for x in blocks])
@@ -122,13 +169,13 @@ def _answer(blocks: list[tuple], bucket: int, buckets: int, later: bool) -> Iter
     found = keys[reply]
     if not wide:
         found = found.astype(np.uint64) * np.uint64(buckets) + np.uint64(bucket)
-    yield from _by_document(ids[reply], found)
+    yield from answers_by_part(ids[reply], found, buckets)
 
 
 def shared_values(
     rows: DataFrame, probe: Callable[[pa.RecordBatch], Iterator[Probes]], buckets: int, later: bool
 ) -> DataFrame:
-    """(doc_id, found): the hash values of each document that others hold, as an array of binaries of uint64.
+    """(doc_id, found): the hash values of each document that others hold, as one binary of uint64.
 
     ``probe`` turns a batch of ``rows`` into probes.  With ``later``, a value is
     answered to every document but the smallest that holds it, and two values
@@ -150,28 +197,22 @@ def shared_values(
 
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, bucket = [], None
-
-        def out(pairs) -> pa.RecordBatch:
-            pairs = list(pairs)
-            ids, values = [p[0] for p in pairs], [p[1] for p in pairs]
-            return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(values, pa.binary())], names=["doc_id", "found"])
-
         for batch in batches:
             known = []
-            for b, doc, ids, keys, checks, marks in zip(*(c.to_pylist() for c in batch.columns)):
-                if doc is not None:
-                    known.append((doc, keys))
+            for b, settled, ids, keys, checks, marks in zip(*(c.to_pylist() for c in batch.columns)):
+                if settled:
+                    known.append((b, ids, keys))
                     continue
                 if held and b != bucket:
-                    yield out(_answer(held, bucket, buckets, later))
+                    yield answer_batch(list(_answer(held, bucket, buckets, later)))
                     held = []
                 bucket = b
                 held.append((ids, keys, checks, marks))
             if known:
-                yield out(known)
+                yield answer_batch(known)
         if held:
-            yield out(_answer(held, bucket, buckets, later))
+            yield answer_batch(list(_answer(held, bucket, buckets, later)))
 
     shipped = rows.mapInArrow(ship, _SCHEMA)
-    answers = shipped.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(answer, "doc_id long, found binary")
-    return answers.groupBy("doc_id").agg(F.collect_list("found").alias("found"))
+    answers = shipped.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(answer, _ANSWER)
+    return by_document(answers, 1)

@@ -77,10 +77,6 @@ def _anchor_probe(window: int, bits: int):
     return probe
 
 
-def _values(found) -> np.ndarray:
-    return np.concatenate([np.frombuffer(x, np.uint64) for x in found]) if found else np.zeros(0, np.uint64)
-
-
 def _window_probe(window: int, bits: int):
     def probe(batch: pa.RecordBatch) -> Iterator[Probes]:
         ids = batch.column(0).to_numpy()
@@ -92,7 +88,7 @@ def _window_probe(window: int, bits: int):
             for i in range(hi - lo):
                 a, b = cuts[i], cuts[i + 1]
                 if b > a:
-                    hit[at[a:b]] = np.isin(keys[a:b], _values(found[lo + i].as_py()))
+                    hit[at[a:b]] = np.isin(keys[a:b], np.frombuffer(found[lo + i].as_py(), np.uint64))
             # hits before each place; a window is looked at if a block inside it is a hit
             before = np.r_[0, np.cumsum(hit)]
             begins = words.windows()
@@ -146,7 +142,7 @@ def _cut(window: int, names: list[str], with_text: bool):
                     own = np.frombuffer(text, np.uint8)
                     spans = _Words(own, np.array([0, len(own)]), window)
                     begins = spans.windows()
-                    hit = begins[np.isin(rolling(spans.hashes, window)[begins], _values(found[i].as_py()))]
+                    hit = begins[np.isin(rolling(spans.hashes, window)[begins], np.frombuffer(found[i].as_py(), np.uint64))]
                     gone = covered(len(spans.doc), hit, window)
                     words = _kept(text, spans.begins, spans.ends, gone)
                     total.append(len(gone))
@@ -184,7 +180,7 @@ def repeat_report(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", w
     found = repeated_windows(some, window).select(F.col("doc_id").alias("__id"), F.col("found").alias("__found"))
     rows = some.join(found, F.col("doc_id") == F.col("__id"), "left").select("doc_id", "text", "__found")
     none = docs.filter(F.col(doc_id).isNull()).select(
-        F.lit(None).cast("long").alias("doc_id"), F.col(text).alias("text"), F.lit(None).cast("array<binary>").alias("__found")
+        F.lit(None).cast("long").alias("doc_id"), F.col(text).alias("text"), F.lit(None).cast("binary").alias("__found")
     )
     names = ["doc_id", "n_words", "n_removed", "kept_sha256"]
     schema = "doc_id long, n_words long, n_removed long, kept_sha256 string"
@@ -204,7 +200,7 @@ def remove_repeats(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     rows = some.join(found, F.col("doc_id") == F.col("__id"), "left")
     back = [F.col(alias[c]).alias(c) if c in alias else F.col("doc_id").cast(docs.schema[c].dataType).alias(c) for c in others]
     rows = rows.select(*back, F.col("text").alias(text), "__found")
-    none = docs.filter(F.col(doc_id).isNull()).select(*others, text).withColumn("__found", F.lit(None).cast("array<binary>"))
+    none = docs.filter(F.col(doc_id).isNull()).select(*others, text).withColumn("__found", F.lit(None).cast("binary"))
     schema = T.StructType([docs.schema[c] for c in others] + [T.StructField(text, T.StringType())])
     run = _cut(window, [*others, text], with_text=True)
     return rows.mapInArrow(run, schema).unionByName(none.mapInArrow(run, schema)).select(*docs.columns)

@@ -28,23 +28,24 @@ an empty table.
 from __future__ import annotations
 
 import hashlib
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from vigilpay.llm.arrays import _powers, chunks, covered, mix, prefix_sums, ragged, span_hashes, text_bytes
+from vigilpay.llm.arrays import CHUNK_BYTES, _powers, chunks, covered, mix, prefix_sums, ragged, span_hashes, text_bytes
 from vigilpay.llm.common import identified
-from vigilpay.llm.exchange import FLUSH, Probes, bucket_count, key_bits, shared_values
+from vigilpay.llm.exchange import (
+    FLUSH, Probes, answer_batch, answers_by_part, bucket_count, by_document, key_bits, pack_ids, shared_values, unpack_ids,
+)
 
 LENGTH = 50
 GRAM = 20
 #: Strings of one segment at most; the bits of an answer.
 STRINGS = 64
 #: Bytes of text whose markers make one bucket.
-BUCKET_BYTES = 8 << 20
+BUCKET_BYTES = 4 << 20
 #: Symbols of one shard.
 SHARD = 1 << 18
 #: UTF-8 has no such byte.
@@ -67,14 +68,14 @@ def segments(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
         width *= 2
     if width < span:
         low = np.minimum(low[: len(low) - (span - width)], low[span - width :])
-    doc = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))[:n]
+    doc = np.repeat(np.arange(len(offsets) - 1, dtype=np.int32), np.diff(offsets))[:n]
     whole = np.arange(n) + LENGTH <= offsets[1:][doc]
     new = np.ones(n, bool)
     new[1:] = (low[1:] != low[:-1]) | (doc[1:] != doc[:-1])
     begins = np.flatnonzero(new)
     ends = np.r_[begins[1:], n]
     # strings that run over the end of a text are the last ones of its last segments
-    inside = np.r_[0, np.cumsum(whole)]
+    inside = np.r_[0, np.cumsum(whole, dtype=np.int32)]
     counts = inside[ends] - inside[begins]
     begins, counts = begins[counts > 0], counts[counts > 0]
     if len(counts) and counts.max() > STRINGS:  # one gram over and over
@@ -90,7 +91,7 @@ def _marker_probe(bits: int):
     def probe(batch: pa.RecordBatch) -> Iterator[Probes]:
         ids = batch.column(0).to_numpy()
         data, offsets = text_bytes(batch.column(1))
-        for lo, hi in chunks(offsets):
+        for lo, hi in chunks(offsets, CHUNK_BYTES // 2):
             part = data[offsets[lo] : offsets[hi]]
             doc, _, _, marker = segments(part, offsets[lo : hi + 1] - offsets[lo])
             yield ids[lo:hi][doc], marker >> np.uint64(64 - bits), None, np.ones(len(doc), bool)
@@ -114,7 +115,7 @@ def transform(text: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.
     """Suffix array (to 64 symbols), Burrows-Wheeler transform, steps to the suffix one longer, leading symbols."""
     n = len(text)
     keys = _leading(text)
-    order = np.argsort(keys, kind="stable")
+    order = np.argsort(keys, kind="stable").astype(np.int32)
     new = np.ones(n, bool)
     new[1:] = keys[order][1:] != keys[order][:-1]
     depth = _FIRST
@@ -135,8 +136,8 @@ def transform(text: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.
         split[1:] = (second[1:] != second[:-1]) & (block[at][1:] == block[at][:-1])
         new[at[split]] = True
         depth *= 2
-    place = np.empty(n, np.int64)
-    place[order] = np.arange(n)
+    place = np.empty(n, np.int32)
+    place[order] = np.arange(n, dtype=np.int32)
     before = order - 1  # the first suffix is preceded by the last symbol, an end mark
     return order, text[before], place[before], keys[order]
 
@@ -147,13 +148,14 @@ def repeated_intervals(shards: list[np.ndarray], length: int = LENGTH) -> tuple[
     Each shard ends with an end mark; prefixes do not run over one.
     """
     parts = [transform(s) for s in shards]
-    base = np.cumsum([0] + [len(s) for s in shards])
+    base = np.cumsum([0] + [len(s) for s in shards]).astype(np.int32)  # a bucket is small
     suffix = np.concatenate([p[0] + b for p, b in zip(parts, base)])
     symbol = np.concatenate([p[1] for p in parts])
     longer = np.concatenate([p[2] + b for p, b in zip(parts, base)])
     keys = np.concatenate([p[3] for p in parts])
     # the interleave by the leading symbols; each shard is a sorted run, so this merges runs
-    merged = np.argsort(keys, kind="stable")
+    del parts
+    merged = np.argsort(keys, kind="stable").astype(np.int32)
     keys = keys[merged]
     new = np.ones(len(keys), bool)
     new[1:] = keys[1:] != keys[:-1]
@@ -162,8 +164,9 @@ def repeated_intervals(shards: list[np.ndarray], length: int = LENGTH) -> tuple[
     marked = np.zeros(len(keys), bool)
     for s in shifts:
         marked |= (keys >> s) & np.uint64(0xFF) == _END
-    block = np.cumsum(new)
+    block = np.cumsum(new, dtype=np.int32)
     merged, block = _several(merged[~marked], block[~marked])
+    del keys, marked
     for _ in range(length - _FIRST):
         c = symbol[merged]
         order = np.argsort(c, kind="stable")
@@ -171,7 +174,7 @@ def repeated_intervals(shards: list[np.ndarray], length: int = LENGTH) -> tuple[
         c, merged, block = c[order], longer[merged[order]], block[order]
         new = np.ones(len(c), bool)
         new[1:] = (c[1:] != c[:-1]) | (block[1:] != block[:-1])
-        merged, block = _several(merged, np.cumsum(new))
+        merged, block = _several(merged, np.cumsum(new, dtype=np.int32))
     return suffix[merged], block
 
 
@@ -187,25 +190,21 @@ def _several(merged: np.ndarray, block: np.ndarray) -> tuple[np.ndarray, np.ndar
 
 # --- shipping segments and answering them ------------------------------------------------
 
-_SCHEMA = "bucket int, doc_id long, ids binary, sizes binary, texts binary, answer binary"
+_SCHEMA = "bucket int, known boolean, ids binary, sizes binary, texts binary"
 _FULL = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
 def _table(rows: list[tuple]) -> pa.RecordBatch:
-    kinds = [pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.binary()]
-    columns = zip(*rows) if rows else [[]] * 6
+    kinds = [pa.int32(), pa.bool_(), pa.binary(), pa.binary(), pa.binary()]
+    columns = zip(*rows) if rows else [[]] * 5
     return pa.RecordBatch.from_arrays(
-        [pa.array(list(c), k) for c, k in zip(columns, kinds)], names=["bucket", "doc_id", "ids", "sizes", "texts", "answer"]
+        [pa.array(list(c), k) for c, k in zip(columns, kinds)], names=["bucket", "known", "ids", "sizes", "texts"]
     )
 
 
-def _answers(ids: np.ndarray, hashes: np.ndarray, strings: np.ndarray) -> Iterator[tuple[int, bytes]]:
-    """Per document: pairs of segment hash and the strings in it that go, as bits."""
-    order = np.argsort(ids, kind="stable")
-    ids, both = ids[order], np.stack([hashes[order], strings[order]], axis=1)
-    cuts = np.flatnonzero(np.r_[True, ids[1:] != ids[:-1]]) if len(ids) else np.zeros(0, np.int64)
-    for a, b in zip(cuts, np.r_[cuts[1:], len(ids)]):
-        yield int(ids[a]), both[a:b].tobytes()
+def _answers(ids: np.ndarray, hashes: np.ndarray, strings: np.ndarray, parts: int) -> Iterator[tuple[int, bytes, bytes]]:
+    """Answers: pairs of segment hash and the strings in it that go, as bits."""
+    return answers_by_part(ids, np.stack([hashes, strings], axis=1), parts)
 
 
 def _distinct(ids: np.ndarray, one: np.ndarray, two: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -227,15 +226,16 @@ def _ship(parts: list[tuple], buckets: int) -> Iterator[pa.RecordBatch]:
     places = np.cumsum(sizes) - sizes
     first, own, _ = _distinct(ids, one, two)
     later = ids > ids[first][own]
-    rows = [(int(d % buckets), d, None, None, None, a) for d, a in _answers(ids[later], one[later], np.full(int(later.sum()), _FULL))]
+    # a known answer travels with the bucket of its part of the documents
+    known = _answers(ids[later], one[later], np.full(int(later.sum()), _FULL), buckets)
+    rows = [(part, True, who, None, found) for part, who, found in known]
     bucket = (marker[first] % np.uint64(buckets)).astype(np.int64)
     order = np.lexsort((ids[first], bucket))
     cuts = np.searchsorted(bucket[order], np.arange(buckets + 1))
     for b in np.flatnonzero(np.diff(cuts)):
         at = first[order[cuts[b] : cuts[b + 1]]]
         rows.append((
-            int(b), None, zlib.compress(np.diff(ids[at], prepend=0).tobytes(), 1), sizes[at].astype(np.uint8).tobytes(),
-            texts[ragged(places[at], sizes[at])].tobytes(), None,
+            int(b), False, pack_ids(ids[at]), sizes[at].astype(np.uint8).tobytes(), texts[ragged(places[at], sizes[at])].tobytes(),
         ))
     for i in range(0, len(rows), 500):
         yield _table(rows[i : i + 500])
@@ -245,7 +245,7 @@ def _segment_rows(batch: pa.RecordBatch, bits: int) -> Iterator[tuple]:
     """Segments of documents whose marker is shared: ids, markers, both hashes, sizes, texts."""
     ids, found = batch.column(0).to_numpy(), batch.column(2)
     data, offsets = text_bytes(batch.column(1))
-    for lo, hi in chunks(offsets):
+    for lo, hi in chunks(offsets, CHUNK_BYTES // 2):
         part = data[offsets[lo] : offsets[hi]]
         doc, begins, counts, marker = segments(part, offsets[lo : hi + 1] - offsets[lo])
         keys = marker >> np.uint64(64 - bits)
@@ -254,7 +254,7 @@ def _segment_rows(batch: pa.RecordBatch, bits: int) -> Iterator[tuple]:
         for i in range(hi - lo):
             a, b = cuts[i], cuts[i + 1]
             if b > a:
-                keep[a:b] = np.isin(keys[a:b], np.concatenate([np.frombuffer(x, np.uint64) for x in found[lo + i].as_py()]))
+                keep[a:b] = np.isin(keys[a:b], np.frombuffer(found[lo + i].as_py(), np.uint64))
         doc, begins, counts, marker = doc[keep], begins[keep], counts[keep], marker[keep]
         sizes = counts + LENGTH - 1
         one = span_hashes(prefix_sums(part), begins, begins + sizes)
@@ -262,9 +262,9 @@ def _segment_rows(batch: pa.RecordBatch, bits: int) -> Iterator[tuple]:
         yield ids[lo:hi][doc], marker, one, two, sizes, part[ragged(begins, sizes)]
 
 
-def _answer(blocks: list[tuple]) -> Iterator[tuple[int, bytes]]:
+def _answer(blocks: list[tuple], parts: int) -> Iterator[tuple[int, bytes, bytes]]:
     """Answers for the segments of one bucket."""
-    ids = np.concatenate([np.cumsum(np.frombuffer(zlib.decompress(b[0]), np.int64)) for b in blocks])
+    ids = np.concatenate([unpack_ids(b[0]) for b in blocks])
     sizes = np.concatenate([np.frombuffer(b[1], np.uint8) for b in blocks]).astype(np.int64)
     text = np.concatenate([np.frombuffer(b[2], np.uint8) for b in blocks])
     begins = np.cumsum(sizes) - sizes
@@ -304,7 +304,7 @@ def _answer(blocks: list[tuple]) -> Iterator[tuple[int, bytes]]:
     n = strings[own]
     gone = least[ragged(start[own], n)] < np.repeat(ids, n)
     bits = np.where(gone, np.uint64(1) << ragged(np.zeros(len(n), np.int64), n).astype(np.uint64), np.uint64(0))
-    yield from _answers(ids, one[first][own], np.bitwise_or.reduceat(bits, np.cumsum(n) - n))
+    yield from _answers(ids, one[first][own], np.bitwise_or.reduceat(bits, np.cumsum(n) - n), parts)
 
 
 def repeated_strings(docs: DataFrame) -> DataFrame:
@@ -334,37 +334,30 @@ def repeated_strings(docs: DataFrame) -> DataFrame:
 
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, bucket = [], None
-
-        def out(pairs) -> pa.RecordBatch:
-            pairs = list(pairs)
-            return pa.RecordBatch.from_arrays(
-                [pa.array([p[0] for p in pairs], pa.int64()), pa.array([p[1] for p in pairs], pa.binary())], names=["doc_id", "found"]
-            )
-
         for batch in batches:
             known = []
-            for b, doc, ids, sizes, texts, reply in zip(*(c.to_pylist() for c in batch.columns)):
-                if doc is not None:
-                    known.append((doc, reply))
+            for b, settled, ids, sizes, texts in zip(*(c.to_pylist() for c in batch.columns)):
+                if settled:
+                    known.append((b, ids, texts))
                     continue
                 if held and b != bucket:
-                    yield out(_answer(held))
+                    yield answer_batch(list(_answer(held, buckets)))
                     held = []
                 bucket = b
                 held.append((ids, sizes, texts))
             if known:
-                yield out(known)
+                yield answer_batch(known)
         if held:
-            yield out(_answer(held))
+            yield answer_batch(list(_answer(held, buckets)))
 
     shipped = near.mapInArrow(ship, _SCHEMA).repartition("bucket").sortWithinPartitions("bucket")
-    return shipped.mapInArrow(answer, "doc_id long, found binary").groupBy("doc_id").agg(F.collect_list("found").alias("found"))
+    return by_document(shipped.mapInArrow(answer, "part int, ids binary, found binary"), 2)
 
 
-def removed_bytes(text: bytes, found: list[bytes]) -> np.ndarray:
+def removed_bytes(text: bytes, found: bytes) -> np.ndarray:
     """Which bytes of a text go, from what was found for its segments."""
     data = np.frombuffer(text, np.uint8)
-    both = np.concatenate([np.frombuffer(x, np.uint64).reshape(-1, 2) for x in found])
+    both = np.frombuffer(found, np.uint64).reshape(-1, 2)
     both = both[np.argsort(both[:, 0], kind="stable")]
     heads = np.flatnonzero(np.r_[True, both[1:, 0] != both[:-1, 0]])
     keys, strings = both[heads, 0], np.bitwise_or.reduceat(both[:, 1], heads)
@@ -383,7 +376,7 @@ def repeat_report(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -
     found = repeated_strings(some).select(F.col("doc_id").alias("__id"), F.col("found").alias("__found"))
     judged = some.join(found, F.col("doc_id") == F.col("__id"), "left").select("doc_id", "text", "__found")
     none = docs.filter(F.col(doc_id).isNull()).select(
-        F.lit(None).cast("long").alias("doc_id"), F.col(text).alias("text"), F.lit(None).cast("array<binary>").alias("__found")
+        F.lit(None).cast("long").alias("doc_id"), F.col(text).alias("text"), F.lit(None).cast("binary").alias("__found")
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
