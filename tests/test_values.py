@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 from tests.events import event, frame
 from vigilpay import schemas
-from vigilpay.config import StreamConfig
+from vigilpay.config import stream_config
 from vigilpay.functions.ids import name_uuid
 from vigilpay.functions.scores import risk_score
 from vigilpay.operators import alerts, aml, dashboard, rules
@@ -102,10 +102,13 @@ def test_kafka_frames(spark):
     rows = [event(1), event(2, user_id=""), event(3, user_id=None, device_id="")]
     got = kafka.keyed_records(frame(spark, rows), F.lit("now")).collect()
     assert sorted(r.key for r in got) == ["device-2", "evt-000003", "user-1"]
-    options = kafka.source_options(StreamConfig())
+    options = kafka.source_options(stream_config("/unused"))
     assert options["startingOffsets"] == "latest" and options["subscribe"] == "payment_transaction_events"
-    records = spark.createDataFrame([(bytearray(b"{}"), 5, 2)], "value binary, offset long, partition int")
-    assert kafka.raw_transactions(records).first().asDict() == {"value": "{}", "arrival_seq": 5 * 1024 + 2}
+    records = spark.createDataFrame(
+        [(bytearray(b"b"), 5, 2000, 10), (bytearray(b"a"), 900, 3, 9)], "value binary, offset long, partition int, timestamp long"
+    )
+    # by the time in the log, whatever the partition and its offsets
+    assert [r.value for r in kafka.raw_transactions(records).orderBy("arrival_order").collect()] == ["a", "b"]
 
 
 def test_empty_dashboard(spark):

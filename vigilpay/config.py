@@ -50,11 +50,15 @@ class RuleConfig:
             "R003": ("device_users", int), "R004": ("card_users", int),
             "R005": ("consecutive_failures", int), "R007": ("user_spike_multiplier", _ratio),
             "R008": ("merchant_spike_multiplier", _ratio),
+            "R007.min_samples": ("user_spike_min_samples", int),
+            "R008.min_windows": ("merchant_spike_min_windows", int),
         }
         changed = {}
         for rule_id, value in thresholds.items():
-            name, kind = names[rule_id]
-            changed[name] = kind(value)
+            # R006 asks for a flag and has no threshold
+            if rule_id in names and value is not None:
+                name, kind = names[rule_id]
+                changed[name] = kind(value)
         return replace(self, version=version, **changed)
 
 
@@ -68,17 +72,30 @@ def _ratio(value) -> Decimal:
 
 @dataclass(frozen=True)
 class StreamConfig:
-    """Options of the streaming job."""
+    """Options of the streaming job.
 
+    Outputs and checkpoints are folders that the driver and all executors reach,
+    so none of them has a default.
+    """
+
+    metric_output: str
+    alert_output: str
+    late_output: str
+    dead_letter_output: str
+    checkpoint_dir: str
     bootstrap_servers: str = "localhost:9092"
     transaction_topic: str = "payment_transaction_events"
     starting_offsets: str = "latest"
-    metric_output: str = "data/output/realtime_metrics"
-    alert_output: str = "data/alerts/risk_alerts"
-    late_output: str = "data/late_events"
-    dead_letter_output: str = "data/output/dead_letter"
-    checkpoint_dir: str = "data/checkpoints"
     watermark_seconds: int = 60
     trigger_seconds: int = 10
     max_offsets_per_trigger: int = 5_000_000
+    max_files_per_trigger: int = 1000
     rules: RuleConfig = field(default_factory=RuleConfig)
+
+
+def stream_config(root: str, **options) -> StreamConfig:
+    """All folders of the job below one root."""
+    return StreamConfig(
+        metric_output=f"{root}/metrics", alert_output=f"{root}/alerts", late_output=f"{root}/late",
+        dead_letter_output=f"{root}/dead", checkpoint_dir=f"{root}/checkpoint", **options,
+    )

@@ -15,15 +15,19 @@ def with_watermark(
     delay_seconds: int = WATERMARK_SECONDS,
     block_bits: int = scans.BLOCK_BITS,
     group_bits: int = scans.GROUP_BITS,
+    newest_us: int | None = None,
 ) -> DataFrame:
     """Add ``watermark_ts``: the largest event time that arrived before the row, less the delay.
 
-    Null for the first arrival, before which there is no watermark.
+    Null for the first arrival, before which there is no watermark.  Where
+    ``events`` go on from earlier ones, ``newest_us`` is the largest event time
+    of those, in microseconds.
     """
+    earlier = F.lit(None).cast("timestamp") if newest_us is None else F.timestamp_micros(F.lit(newest_us))
     return scans.running_max_before(
         events, "event_ts", "_max_before", block_bits=block_bits, group_bits=group_bits
     ).withColumn(
-        "watermark_ts", F.col("_max_before") - F.make_dt_interval(secs=F.lit(delay_seconds))
+        "watermark_ts", F.greatest("_max_before", earlier) - F.make_dt_interval(secs=F.lit(delay_seconds))
     ).drop("_max_before")
 
 
@@ -45,6 +49,7 @@ def flag_late(
     delay_seconds: int = WATERMARK_SECONDS,
     block_bits: int = scans.BLOCK_BITS,
     group_bits: int = scans.GROUP_BITS,
+    newest_us: int | None = None,
 ) -> DataFrame:
     """Deduplicated events with ``is_late``: strictly behind the watermark on arrival.
 
@@ -54,7 +59,7 @@ def flag_late(
     """
     narrow = events.select("event_id", "arrival_seq", "event_ts")
     late = (
-        with_watermark(narrow, delay_seconds, block_bits, group_bits)
+        with_watermark(narrow, delay_seconds, block_bits, group_bits, newest_us)
         .filter(F.col("event_ts") < F.col("watermark_ts"))
         # an id's first arrival is its smallest number, so the smallest late
         # number equals it exactly when that first arrival was late

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from vigilpay import schemas, session
-from vigilpay.config import StreamConfig
+from vigilpay.config import stream_config
 from vigilpay.functions import ids, times
 from vigilpay.operators import (
     alerts as al, aml, dashboard as dash, extensions as ext, metrics as mt, prepare, rules,
@@ -567,16 +567,59 @@ def _(spark, sf):
 
 # --- streaming -----------------------------------------------------------------------------------------
 
-@query("stream_user_frequency")
-def _(spark, sf):
-    """The frequency rule by the streaming job, over raw text, as one catch-up run."""
+_BATCHES = 6
+_PREPARING = ["ingest", "route"]
+
+
+def _streamed(spark, sf, *runs: list[str]):
+    """The job over raw text that arrives in several micro-batches; ``runs`` name the stages of each run."""
     root = session.new_dir(spark, "stream")
-    adapter.raw_lines(spark, sf).select("value").write.text(f"{root}/source")
-    cfg = StreamConfig(
-        metric_output=f"{root}/metrics", alert_output=f"{root}/alerts", late_output=f"{root}/late",
-        dead_letter_output=f"{root}/dead", checkpoint_dir=f"{root}/checkpoint",
-    )
-    stream = job.RiskStream(spark, cfg, job.text_source(spark, f"{root}/source", max_files=100_000))
-    stream.catch_up(["ingest", "route", "user_frequency"])
-    found = spark.read.schema(schemas.ALERT_JSON).json(f"{root}/alerts/user_frequency")
-    return found.select("alert_id", "rule_id", "user_id", "window_start", "window_end", "evidence")
+    lines = session.stage(adapter.raw_lines(spark, sf).select("value", "arrival_seq"), "stream_lines")
+    last = lines.agg(F.max("arrival_seq")).first()[0]
+    for i in range(_BATCHES):
+        # files of consecutive arrivals, each read as a micro-batch of its own
+        part = lines.filter(F.floor(F.col("arrival_seq") * _BATCHES / (last + 1)) == i)
+        part.coalesce(1).write.mode("append").parquet(f"{root}/source")
+    cfg = stream_config(root, max_files_per_trigger=16)
+    stream = job.RiskStream(spark, cfg, job.numbered_source(spark, f"{root}/source", max_files=1))
+    for names in runs:
+        stream.catch_up(names)
+    return cfg
+
+
+def _stream_alerts(spark, cfg, name):
+    found = spark.read.schema(schemas.ALERT_JSON).option("recursiveFileLookup", True).json(f"{cfg.alert_output}/{name}")
+    return found.select("alert_id", "rule_id", "user_id", "merchant_id", "event_id", "window_start", "window_end", "evidence")
+
+
+def _stream_rule(stage, *before):
+    return lambda spark, sf: _stream_alerts(spark, _streamed(spark, sf, [*_PREPARING, *before, stage]), stage)
+
+
+query("stream_user_frequency")(_stream_rule("user_frequency"))
+query("stream_consecutive_failure")(_stream_rule("consecutive_failure"))
+query("stream_user_spike")(_stream_rule("user_spike"))
+query("stream_merchant_spike")(_stream_rule("merchant_spike", "merchant_amount"))
+
+
+@query("stream_late_events")
+def _(spark, sf):
+    cfg = _streamed(spark, sf, _PREPARING)
+    rows = spark.read.schema(schemas.TRANSACTION_TEXT).option("recursiveFileLookup", True).json(cfg.late_output)
+    return rows.select("event_id", "transaction_id", "user_id", "process_time")
+
+
+@query("stream_alert_counts")
+def _(spark, sf):
+    """Alert counts, with the window rules two runs behind the event rules and the counts."""
+    counts, quick = ["alert_count", "high_alert_count"], ["black_device", "consecutive_failure", "user_spike"]
+    slow = [n for n in job.ALERT_QUERIES if n not in quick] + ["merchant_amount"]
+    cfg = _streamed(spark, sf, [*_PREPARING, *quick, *counts], slow, counts)
+    rows = [
+        spark.read.option("recursiveFileLookup", True).json(f"{cfg.metric_output}/{name}").select(
+            "metric_name", F.col("window_start").cast("bigint"), F.col("window_end").cast("bigint"), F.col("count").cast("bigint")
+        )
+        for name in counts
+    ]
+    # a count is written again when it grows
+    return rows[0].unionByName(rows[1]).groupBy("metric_name", "window_start", "window_end").agg(F.max("count").alias("n"))

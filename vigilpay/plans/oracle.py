@@ -581,11 +581,28 @@ ORACLE["alert_cooldown"] = _sql(
     PARTITION BY rule_id, CASE WHEN rule_id = 'R006' THEN device_id ELSE coalesce(user_id, device_id, card_id, merchant_id) END,
     alert_time // 600000 ORDER BY alert_time, alert_id) = 1""", *_ALERTS)
 
-# --- streaming: one batch, so nothing is late; windows close by the watermark ---------------------
-_CLOSED = """
-good AS (SELECT DISTINCT event_id, user_id, us FROM raw WHERE reject_reason IS NULL),
-f AS (SELECT user_id, us // 60000000 AS w, count(*) AS n FROM good GROUP BY 1, 2
-      HAVING (us // 60000000 + 1) * 60000 <= (SELECT max(us) // 1000 - 60000 FROM good))"""
-ORACLE["stream_user_frequency"] = _sql(
-    f"SELECT alert_id, rule_id, user_id, window_start, window_end, evidence FROM ({_RULE_BODY['R001']})",
-    _CLOSED, base=_RAW)
+# --- streaming: the rules over all that arrived, windows that the watermark has closed -----------
+_STREAM = _RAW + _PREP[len(_SRC):].replace("FROM arr)", "FROM raw WHERE reject_reason IS NULL)")
+_CLOSED = "window_end <= (SELECT max(us) // 1000 - 60000 FROM ont)"
+_STREAM_COLUMNS = "alert_id, rule_id, user_id, merchant_id, event_id, window_start, window_end, evidence"
+
+
+def _stream_rule(rule: str) -> str:
+    return _sql(
+        f"SELECT {_STREAM_COLUMNS} FROM ({_RULE_BODY[rule]}) WHERE window_end IS NULL OR {_CLOSED}",
+        _RULE_CTES[rule], base=_STREAM)
+
+
+ORACLE["stream_user_frequency"] = _stream_rule("R001")
+ORACLE["stream_consecutive_failure"] = _stream_rule("R005")
+ORACLE["stream_user_spike"] = _stream_rule("R007")
+ORACLE["stream_merchant_spike"] = _stream_rule("R008")
+ORACLE["stream_late_events"] = _sql(
+    "SELECT event_id, transaction_id, user_id, process_time FROM ded WHERE is_late", base=_STREAM)
+_COUNTED = f"FROM alerts WHERE window_end IS NULL OR {_CLOSED}"
+ORACLE["stream_alert_counts"] = _sql(
+    f"""SELECT metric_name, minute AS window_start, minute + 60000 AS window_end, count(*) AS n FROM (
+      SELECT 'risk_alert_count_1m' AS metric_name, alert_time // 60000 * 60000 AS minute {_COUNTED}
+      UNION ALL
+      SELECT 'high_risk_alert_count_1m', alert_time // 60000 * 60000 FROM (SELECT * {_COUNTED}) WHERE risk_level = 'HIGH')
+    GROUP BY 1, 2""", *_ALERTS, base=_STREAM)

@@ -24,14 +24,14 @@ def reader(spark: SparkSession, cfg: StreamConfig) -> DataStreamReader:
 
 
 def raw_transactions(records: DataFrame) -> DataFrame:
-    """Kafka records to ``value`` text with an arrival number.
+    """Kafka records to ``value`` text with the order of arrival.
 
-    Offsets order one partition only; the partition number in the low bits
-    keeps numbers apart between partitions, which are read side by side.
+    Offsets order one partition only; records of different partitions are put
+    in order by their time in the log.
     """
     return records.select(
         F.col("value").cast("string").alias("value"),
-        (F.shiftleft(F.col("offset"), 10) + F.col("partition")).alias("arrival_seq"),
+        F.struct("timestamp", "partition", "offset").alias("arrival_order"),
     )
 
 

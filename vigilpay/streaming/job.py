@@ -7,10 +7,15 @@ own and because state per key cannot follow a streaming aggregation:
                  |                  |         `-----> rules with state per user
              dead letters         late            merchant windows -> merchant rule
                                                   all alerts -> alert metrics
+
+Arrivals are numbered as they are ingested, and whether one is late is decided
+there, against the largest event time of all earlier arrivals.  A row of state
+per micro-batch carries both on, so the cut into micro-batches changes nothing.
 """
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -24,9 +29,13 @@ from vigilpay.operators import alerts as al, metrics as mt, prepare, rules, vali
 from vigilpay.sources import files, kafka
 from vigilpay.streaming import state, tables
 
-DEDUP_HOURS = 24
 _EVENT = schemas.EVENT
-_PARSED = T.StructType(_EVENT.fields + [T.StructField("ingest_ts", T.TimestampType())])
+#: First arrivals of a micro-batch.  Money as text and instants as numbers, as pandas keeps those.
+_PARSED = T.StructType(
+    [T.StructField(f.name, {"amount": T.StringType(), "event_ts": T.LongType()}.get(f.name, f.dataType)) for f in _EVENT.fields]
+    + [T.StructField("is_late", T.BooleanType()), T.StructField("ingest_ms", T.LongType())]
+)
+_PROGRESS = "next_seq bigint, newest_us bigint"
 _MERCHANT_WINDOW = T.StructType(
     [
         T.StructField("merchant_id", T.StringType()),
@@ -49,6 +58,8 @@ class Stage:
     frame: Callable[[], DataFrame]
     sink: Callable[[DataFrame, int], None]
     level: int = 2  # stages of a level read only tables of lower levels
+    mode: str = "append"
+    timers: bool = False  # has state that is forgotten by the clock
 
 
 class RiskStream:
@@ -58,7 +69,7 @@ class RiskStream:
         self.spark, self.cfg = spark, cfg
         self.source = source or (lambda: kafka.transactions(spark, cfg))
         self.work = f"{cfg.checkpoint_dir}/tables"
-        self.evict = True  # timers that evict silent keys; off in runs that stop by themselves
+        self.clock: Callable[[], int] = lambda: time.time_ns() // 1_000_000
 
     # --- tables ---------------------------------------------------------------
 
@@ -72,20 +83,25 @@ class RiskStream:
         behind this one, so no row is dropped here.
         """
         delay = f"{self.cfg.watermark_seconds} seconds"
-        return tables.stream(self.spark, self._table("on_time"), _EVENT).withWatermark("event_ts", delay)
+        return self._stream("on_time", _EVENT).withWatermark("event_ts", delay)
+
+    def _stream(self, name: str, schema: T.StructType) -> DataFrame:
+        return tables.stream(self.spark, self._table(name), schema, max_files=self.cfg.max_files_per_trigger)
 
     def alerts(self) -> DataFrame:
-        """All alerts; an alert written again after a failure counts once."""
+        """Identity, level and minute of all alerts.
+
+        Rules run at their own pace, so there is no event time that all of them
+        have passed: alert counts follow every alert, however late it comes.
+        """
         parts = [
-            tables.stream(self.spark, f"{self.cfg.alert_output}/{name}", schemas.ALERT_JSON, "json")
+            tables.stream(
+                self.spark, f"{self.cfg.alert_output}/{name}", schemas.ALERT_JSON, "json", self.cfg.max_files_per_trigger
+            )
             for name in ALERT_QUERIES
         ]
-        all_alerts = al.union_alerts(*parts)
-        timed = all_alerts.withColumn("window_end", F.timestamp_millis("window_end")).select(
-            "alert_id", "risk_level", al.alert_event_time().alias("event_ts")
-        )
-        delay = f"{self.cfg.watermark_seconds} seconds"
-        return timed.withWatermark("event_ts", delay).dropDuplicatesWithinWatermark(["alert_id"])
+        timed = al.union_alerts(*parts).withColumn("window_end", F.timestamp_millis("window_end"))
+        return timed.select("risk_level", al.alert_event_time().alias("event_ts"))
 
     # --- sinks ------------------------------------------------------------------
 
@@ -109,49 +125,75 @@ class RiskStream:
 
     # --- ingest and routing --------------------------------------------------------
 
+    def _progress(self, batch_id: int) -> tuple[int, int | None]:
+        """The next arrival number and the largest event time so far, as the batch before left them."""
+        if batch_id == 0:
+            return 0, None
+        before = tables.read_batch(self.spark, self._table("progress"), batch_id - 1)
+        row = before.first() if before is not None else None
+        if row is None:
+            raise RuntimeError(f"no progress of batch {batch_id - 1} in {self._table('progress')}")
+        return row["next_seq"], row["newest_us"]
+
+    @staticmethod
+    def _numbered(rows: DataFrame, base: int) -> DataFrame:
+        """Rows with dense arrival numbers from ``base``, in the order of ``_id``."""
+        in_part = 33  # low bits of an id that count rows of one partition
+        parts = rows.groupBy(F.shiftright("_id", in_part).alias("_part")).agg(F.count(F.lit(1)).alias("_n"))
+        # one row per partition of the batch
+        before = F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+        parts = parts.select("_part", (before + F.lit(base)).alias("_base"))
+        place = F.col("_id").bitwiseAND(F.lit((1 << in_part) - 1))
+        return rows.join(F.broadcast(parts), F.shiftright("_id", in_part) == F.col("_part")).withColumn(
+            "arrival_seq", F.col("_base") + place
+        )
+
     def _ingest(self, batch: DataFrame, batch_id: int) -> None:
-        """Parse; store rejects; store the first arrival of every id of the batch."""
-        if "arrival_seq" not in batch.columns:
-            # sources without offsets: the order of batches, then of rows read
-            batch = batch.withColumn(
-                "arrival_seq", F.lit(batch_id << 46) + F.monotonically_increasing_id()
-            )
-        now = F.current_timestamp()
-        parsed = validate.parse_transactions(batch.select("value", "arrival_seq")).persist()
+        """Number and parse; store rejects and the first arrival of every id of the batch, late or not."""
+        next_seq, newest_us = self._progress(batch_id)
+        numbered = "arrival_seq" in batch.columns
+        if not numbered:
+            # in the source's order if it tells one
+            batch = batch.orderBy("arrival_order") if "arrival_order" in batch.columns else batch
+            batch = batch.withColumn("_id", F.monotonically_increasing_id()).persist()
+        arrived = batch if numbered else self._numbered(batch, next_seq)
+        parsed = validate.parse_transactions(arrived.select("value", "arrival_seq")).persist()
         try:
-            rejects = validate.dead_letters(parsed, self.cfg.transaction_topic, now)
+            rejects = validate.dead_letters(parsed, self.cfg.transaction_topic, F.current_timestamp())
             tables.write_batch(files.json_view(rejects), self.cfg.dead_letter_output, batch_id, "json")
-            good = prepare.dedup(validate.valid_events(parsed)).withColumn("ingest_ts", now)
+            good = prepare.flag_late(validate.valid_events(parsed), self.cfg.watermark_seconds, newest_us=newest_us)
+            good = good.withColumn("amount", F.col("amount").cast("string")).withColumn(
+                "event_ts", F.unix_micros("event_ts")
+            ).withColumn("ingest_ms", F.lit(self.clock()).cast("bigint"))
             tables.write_batch(good.select(*_PARSED.names), self._table("parsed"), batch_id)
+            after = parsed.agg(
+                F.coalesce(F.max("arrival_seq") + 1, F.lit(next_seq)).alias("next_seq"),
+                F.greatest(
+                    F.max(F.when(F.col("reject_reason").isNull(), F.unix_micros("event_ts"))), F.lit(newest_us).cast("bigint")
+                ).alias("newest_us"),
+            )
+            tables.write_batch(after.coalesce(1), self._table("progress"), batch_id, keep_empty=True)
+            # the batch before may still be needed if this one runs again; older ones are not
+            tables.drop_batch(self.spark, self._table("progress"), batch_id - 2)
         finally:
             parsed.unpersist()
+            if not numbered:
+                batch.unpersist()
 
     def _deduplicated(self) -> DataFrame:
-        # A clock of arrival, not of events: an id is remembered for a day from its
-        # first sight, and no event is ever too old for this operator.
-        parsed = tables.stream(self.spark, self._table("parsed"), _PARSED)
-        return parsed.withWatermark("ingest_ts", f"{DEDUP_HOURS} hours").dropDuplicatesWithinWatermark(["event_id"])
+        """The first arrival of every id within a day of its first sight."""
+        return state.first_sights(self._stream("parsed", _PARSED))
 
     def _route(self, batch: DataFrame, batch_id: int) -> None:
-        """Split by the watermark of all earlier batches, which is stored with each batch."""
-        path = self._table("watermark")
-        before = tables.read_batch(self.spark, path, batch_id - 1)
-        seen = before.first()["max_us"] if before is not None else None
-        batch = batch.persist()
+        events = batch.withColumn("amount", F.col("amount").cast(schemas.MONEY)).withColumn(
+            "event_ts", F.timestamp_micros("event_ts")
+        ).persist()
         try:
-            newest = batch.agg(F.greatest(F.max(F.unix_micros("event_ts")), F.lit(seen).cast("bigint")).alias("max_us"))
-            tables.write_batch(newest.coalesce(1), path, batch_id)
-            behind = F.lit(False)
-            if seen is not None:
-                behind = F.unix_micros("event_ts") < seen - self.cfg.watermark_seconds * 1_000_000
-            events = batch.drop("ingest_ts")
-            tables.write_batch(
-                files.json_view(events.filter(behind).select(*schemas.TRANSACTION_FIELDS)),
-                self.cfg.late_output, batch_id, "json",
-            )
-            tables.write_batch(events.filter(~behind).select(*_EVENT.names), self._table("on_time"), batch_id)
+            behind = events.filter("is_late").select(*schemas.TRANSACTION_FIELDS)
+            tables.write_batch(files.json_view(behind), self.cfg.late_output, batch_id, "json")
+            tables.write_batch(events.filter("NOT is_late").select(*_EVENT.names), self._table("on_time"), batch_id)
         finally:
-            batch.unpersist()
+            events.unpersist()
 
     # --- windows ----------------------------------------------------------------------
 
@@ -221,7 +263,7 @@ class RiskStream:
 
         return [
             Stage("ingest", self.source, self._ingest, 0),
-            Stage("route", self._deduplicated, self._route, 1),
+            Stage("route", self._deduplicated, self._route, 1, timers=True),
             Stage("user_frequency", lambda: self._windowed(["user_id"], 1, transaction_count=n),
                   alerts("user_frequency", lambda r: rules.frequency_alerts(r, cfg))),
             Stage("user_amount", lambda: self._windowed(["user_id"], 5, success=True, total_amount=amount),
@@ -231,63 +273,85 @@ class RiskStream:
             Stage("card_users", lambda: users("card_id"),
                   alerts("card_users", self._shared_key(config.R004, "card_id", cfg.card_users))),
             Stage("black_device", self.on_time, alerts("black_device", rules.r006_black_device)),
-            Stage("consecutive_failure", self._failures, alerts("consecutive_failure", lambda r: rules.failure_alerts(r, cfg))),
-            Stage("user_spike", self._user_history, alerts("user_spike", lambda r: rules.user_spike_alerts(_history(r), cfg))),
+            Stage("consecutive_failure", self._failures, alerts("consecutive_failure", lambda r: rules.failure_alerts(r, cfg)), timers=True),
+            Stage("user_spike", self._user_history, alerts("user_spike", lambda r: rules.user_spike_alerts(_history(r), cfg)), timers=True),
             Stage("merchant_amount", lambda: self._windowed(["merchant_id"], 5, success=True, amount=amount), merchant_sink),
             Stage("merchant_spike", self._merchant_history,
-                  alerts("merchant_spike", lambda r: rules.merchant_spike_alerts(_history(r), cfg)), 3),
+                  alerts("merchant_spike", lambda r: rules.merchant_spike_alerts(_history(r), cfg)), 3, timers=True),
             Stage("transaction_count", lambda: self._windowed([], 1, n=n),
                   metrics("transaction_count", minute_metric(mt.TRANSACTION_COUNT))),
             Stage("transaction_amount", lambda: self._windowed([], 5, success=True, amount=amount),
                   metrics("transaction_amount", lambda r: mt.as_metric(r, mt.TRANSACTION_AMOUNT, F.col("amount"), F.lit(0)))),
             Stage("channel_rate", lambda: self._windowed(["channel"], 5, total=n, success_count=ok),
                   metrics("channel_rate", rate)),
-            Stage("alert_count", alert_count(False), metrics("alert_count", minute_metric(mt.ALERT_COUNT)), 4),
-            Stage("high_alert_count", alert_count(True), metrics("high_alert_count", minute_metric(mt.HIGH_ALERT_COUNT)), 4),
+            Stage("alert_count", alert_count(False), metrics("alert_count", minute_metric(mt.ALERT_COUNT)), 4, "update"),
+            Stage("high_alert_count", alert_count(True), metrics("high_alert_count", minute_metric(mt.HIGH_ALERT_COUNT)), 4, "update"),
         ]
 
     def _failures(self) -> DataFrame:
-        rows = tables.stream(self.spark, self._table("on_time"), _EVENT).withColumn(
+        rows = self._stream("on_time", _EVENT).withColumn(
             "failed", same_text(F.col("transaction_status"), "FAILED")
         )
         rows = rows.select("user_id", "arrival_seq", "failed", *rules.EVENT_COLUMNS).withColumn("amount", F.col("amount").cast("string"))
-        return state.failure_runs(rows, self.cfg.rules.consecutive_failures, evict=self.evict)
+        return state.failure_runs(rows, self.cfg.rules.consecutive_failures)
 
     def _user_history(self) -> DataFrame:
-        rows = prepare.successful_payments(tables.stream(self.spark, self._table("on_time"), _EVENT))
+        rows = prepare.successful_payments(self._stream("on_time", _EVENT))
         rows = rows.select("user_id", "arrival_seq", *rules.EVENT_COLUMNS, state.cents().alias("cents")).drop("amount")
         return state.amount_history(
-            rows, "user_id", "arrival_seq", self.cfg.rules.user_spike_min_samples, state.USER_MEAN_TTL_MS, self.evict
+            rows, "user_id", "arrival_seq", self.cfg.rules.user_spike_min_samples, state.USER_MEAN_TTL_MS
         )
 
     def _merchant_history(self) -> DataFrame:
-        rows = tables.stream(self.spark, self._table("merchant_windows"), _MERCHANT_WINDOW)
+        rows = self._stream("merchant_windows", _MERCHANT_WINDOW)
         return state.amount_history(
-            rows, "merchant_id", "window_end", self.cfg.rules.merchant_spike_min_windows, state.MERCHANT_MEAN_TTL_MS, self.evict
+            rows, "merchant_id", "window_end", self.cfg.rules.merchant_spike_min_windows, state.MERCHANT_MEAN_TTL_MS
         )
 
-    def start(self, stage: Stage, once: bool = False) -> StreamingQuery:
-        writer = (
-            stage.frame().writeStream.queryName(stage.name).outputMode("append")
+    def start(self, stage: Stage, every: int | None = None) -> StreamingQuery:
+        seconds = self.cfg.trigger_seconds if every is None else every
+        return (
+            stage.frame().writeStream.queryName(stage.name).outputMode(stage.mode)
             .option("checkpointLocation", f"{self.cfg.checkpoint_dir}/queries/{stage.name}")
-            .foreachBatch(stage.sink)
+            .foreachBatch(stage.sink).trigger(processingTime=f"{seconds} seconds").start()
         )
-        if once:
-            return writer.trigger(availableNow=True).start()
-        return writer.trigger(processingTime=f"{self.cfg.trigger_seconds} seconds").start()
 
     def run(self) -> list[StreamingQuery]:
         """Start all queries; they run until stopped."""
         return [self.start(stage) for stage in self.stages()]
 
     def catch_up(self, names: list[str] | None = None) -> None:
-        """Process what is there now, level after level, then stop; ``names`` picks stages."""
-        self.evict = False
+        """Process what is there now, level after level, then stop; ``names`` picks stages.
+
+        The queries and their checkpoints are those of ``run``.
+        """
         stages = [s for s in self.stages() if names is None or s.name in names]
         for level in sorted({stage.level for stage in stages}):
-            started = [self.start(s, once=True) for s in stages if s.level == level]
-            for running in started:
-                running.awaitTermination()
+            started = [(s, self.start(s, every=0)) for s in stages if s.level == level]
+            try:
+                for stage, running in started:
+                    _drain(stage, running)
+            finally:
+                for _, running in started:
+                    running.stop()
+
+
+def _drain(stage: Stage, running: StreamingQuery) -> None:
+    """Wait until a query has read all its input.
+
+    With timers a query goes on with batches without input; the first of them
+    comes when there is no more input.
+    """
+    if not stage.timers:
+        running.processAllAvailable()
+        return
+    while True:
+        if running.exception():
+            raise running.exception()
+        last = running.lastProgress
+        if last is not None and last["numInputRows"] == 0:
+            return
+        time.sleep(0.05)
 
 
 def _history(rows: DataFrame) -> DataFrame:
@@ -299,3 +363,9 @@ def _history(rows: DataFrame) -> DataFrame:
 def text_source(spark: SparkSession, path: str, max_files: int = 1000) -> Callable[[], DataFrame]:
     """Raw events from text files that appear in a folder, one JSON document per line."""
     return lambda: spark.readStream.option("maxFilesPerTrigger", max_files).text(path)
+
+
+def numbered_source(spark: SparkSession, path: str, max_files: int = 1000) -> Callable[[], DataFrame]:
+    """Raw events from parquet files with ``value`` and a number of arrival, ``arrival_seq``."""
+    schema = "value string, arrival_seq bigint"
+    return lambda: spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files).parquet(path)

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 HOUR_MS = 3_600_000
+DEDUP_TTL_MS = 24 * HOUR_MS
 FAILURE_TTL_MS = 6 * HOUR_MS
 USER_MEAN_TTL_MS = 30 * 24 * HOUR_MS
 MERCHANT_MEAN_TTL_MS = 14 * 24 * HOUR_MS
@@ -27,13 +28,12 @@ def _load(state: GroupState, ttl_ms: int) -> tuple[int, int]:
         return 0, 0
     first, second, written = state.get
     fresh = state.getCurrentProcessingTimeMs() - written <= ttl_ms
-    return (first, second) if fresh else (0, 0)
+    return (int(first), int(second)) if fresh else (0, 0)
 
 
-def _store(state: GroupState, first: int, second: int, ttl_ms: int, evict: bool) -> None:
-    state.update((int(first), int(second), state.getCurrentProcessingTimeMs()))
-    if evict:
-        state.setTimeoutDuration(ttl_ms)
+def _store(state: GroupState, first: int, second: int, ttl_ms: int) -> None:
+    state.update((int(first), str(second), state.getCurrentProcessingTimeMs()))
+    state.setTimeoutDuration(ttl_ms)
 
 
 def _in_order(frames: Iterator[pd.DataFrame], order: str) -> pd.DataFrame:
@@ -49,22 +49,47 @@ def fold_failures(rows: pd.DataFrame, run_before: int) -> np.ndarray:
 
 
 def fold_history(values: np.ndarray, count: int, total: int) -> tuple[np.ndarray, np.ndarray]:
-    """Count and total of the earlier values at each place."""
+    """Count and total of the earlier values at each place; totals are Python integers, which do not wrap."""
+    values = values.astype(object)
     return count + np.arange(len(values)), total + np.cumsum(values) - values
 
 
-def _with_state(rows: DataFrame, key: str, fold, added: T.StructType, evict: bool) -> DataFrame:
-    # With a timer pending, a query that should stop when it has caught up never
-    # does; such a run asks for no timers and only forgets on reading.  The two
-    # kinds store state differently, so a checkpoint serves one of them.
-    timers = GroupStateTimeout.ProcessingTimeTimeout if evict else GroupStateTimeout.NoTimeout
+def _with_state(rows: DataFrame, key: str, fold, added: T.StructType) -> DataFrame:
     output = T.StructType(rows.schema.fields + added.fields)
-    state = "first bigint, second bigint, written bigint"
-    return rows.groupBy(key).applyInPandasWithState(fold, output, state, "append", timers)
+    # the second number as text: totals of money go beyond 64 bits
+    state = "first bigint, second string, written bigint"
+    return rows.groupBy(key).applyInPandasWithState(fold, output, state, "append", GroupStateTimeout.ProcessingTimeTimeout)
+
+
+def first_sights(rows: DataFrame, ttl_ms: int = DEDUP_TTL_MS) -> DataFrame:
+    """The first arrival of every ``event_id``, and again the first one later than ``ttl_ms`` after it.
+
+    ``rows`` has ``event_id``, ``arrival_seq`` and ``ingest_ms``, the clock of
+    the rule; columns are of types that pandas keeps.
+    """
+
+    def fold(key, frames: Iterator[pd.DataFrame], state: GroupState):
+        if state.hasTimedOut:
+            state.remove()
+            return
+        batch = _in_order(frames, "arrival_seq")
+        seen = state.get[0] if state.exists else None
+        passed = []
+        for at in batch["ingest_ms"].tolist():
+            passed.append(seen is None or at - seen > ttl_ms)
+            if passed[-1]:
+                seen = at
+        state.update((int(seen),))
+        state.setTimeoutDuration(ttl_ms + 1)
+        yield batch[np.array(passed, dtype=bool)]
+
+    return rows.groupBy("event_id").applyInPandasWithState(
+        fold, rows.schema, "seen bigint", "append", GroupStateTimeout.ProcessingTimeTimeout
+    )
 
 
 def failure_runs(
-    rows: DataFrame, threshold: int, ttl_ms: int = FAILURE_TTL_MS, evict: bool = True
+    rows: DataFrame, threshold: int, ttl_ms: int = FAILURE_TTL_MS
 ) -> DataFrame:
     """Failed rows whose run reaches ``threshold``, with ``failed_run``.
 
@@ -78,17 +103,17 @@ def failure_runs(
         batch = _in_order(frames, "arrival_seq")
         runs = fold_failures(batch, _load(state, ttl_ms)[0])
         if runs[-1]:
-            _store(state, runs[-1], 0, ttl_ms, evict)
+            _store(state, runs[-1], 0, ttl_ms)
         elif state.exists:
             state.remove()
         batch["failed_run"] = runs
         yield batch[batch["failed"] & (runs >= threshold)]
 
-    return _with_state(rows, "user_id", fold, T.StructType().add("failed_run", "long"), evict)
+    return _with_state(rows, "user_id", fold, T.StructType().add("failed_run", "long"))
 
 
 def amount_history(
-    rows: DataFrame, key: str, order: str, min_count: int, ttl_ms: int, evict: bool = True
+    rows: DataFrame, key: str, order: str, min_count: int, ttl_ms: int
 ) -> DataFrame:
     """Rows with enough history, with ``history_count`` and ``history_cents`` before them.
 
@@ -103,12 +128,12 @@ def amount_history(
         cents = batch["cents"].to_numpy(dtype=np.int64)
         count, total = _load(state, ttl_ms)
         counts, totals = fold_history(cents, count, total)
-        _store(state, count + len(cents), total + cents.sum(), ttl_ms, evict)
-        batch["history_count"], batch["history_cents"] = counts, totals
+        _store(state, count + len(cents), total + sum(cents.tolist()), ttl_ms)
+        batch["history_count"], batch["history_cents"] = counts, [str(t) for t in totals]
         yield batch[counts >= min_count]
 
-    added = T.StructType().add("history_count", "long").add("history_cents", "long")
-    return _with_state(rows, key, fold, added, evict)
+    added = T.StructType().add("history_count", "long").add("history_cents", "string")
+    return _with_state(rows, key, fold, added)
 
 
 def cents(amount: str = "amount"):

@@ -1,39 +1,70 @@
-"""Tables between the streaming queries: one folder per micro-batch."""
+"""Tables between the streaming queries: one folder per micro-batch that has rows.
+
+A batch is written into a hidden folder and renamed when it is complete, so a
+reader sees all of it or nothing, and a batch that runs again after a failure
+finds its folder and leaves it.  Batches without rows make no folder.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, types as T
 
+from vigilpay.session import drop
+
+#: Files older than this, next to the newest, would be skipped by the file source.
+_MAX_FILE_AGE = "36500d"
+
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def _file_system(spark: SparkSession, path: str):
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    system, target = _file_system(spark, path)
+    return system.exists(target)
 
 
-def write_batch(df: DataFrame, path: str, batch_id: int, fmt: str = "parquet") -> None:
-    """Write a micro-batch into its own folder.
+def _folder(path: str, batch_id: int) -> str:
+    # no "name=value": the source would take it for a partition column
+    return f"{path}/batch-{batch_id:012d}"
 
-    A batch that runs again after a failure finds its finished folder and
-    leaves it, or replaces an unfinished one, so no batch is stored twice.
-    """
-    folder = f"{path}/batch={batch_id}"
-    if not _exists(df.sparkSession, f"{folder}/_SUCCESS"):
-        writer = df.write.mode("overwrite")
-        if fmt == "json":
-            writer = writer.option("ignoreNullFields", "false")
-        writer.format(fmt).save(folder)
+
+def write_batch(df: DataFrame, path: str, batch_id: int, fmt: str = "parquet", keep_empty: bool = False) -> None:
+    """Write a micro-batch into its own folder, once."""
+    spark, folder = df.sparkSession, _folder(path, batch_id)
+    if exists(spark, folder):
+        return
+    hidden = f"{path}/_writing-{batch_id:012d}"
+    writer = df.write.mode("overwrite")
+    if fmt == "json":
+        writer = writer.option("ignoreNullFields", "false")
+    writer.format(fmt).save(hidden)
+    written = spark.read.text(hidden) if fmt == "json" else spark.read.schema(df.schema).format(fmt).load(hidden)
+    if not keep_empty and written.isEmpty():
+        drop(spark, hidden)
+        return
+    system, source = _file_system(spark, hidden)
+    if not system.rename(source, _file_system(spark, folder)[1]):
+        raise OSError(f"could not publish {folder}")
 
 
 def read_batch(spark: SparkSession, path: str, batch_id: int) -> DataFrame | None:
-    folder = f"{path}/batch={batch_id}"
-    return spark.read.parquet(folder) if _exists(spark, folder) else None
+    folder = _folder(path, batch_id)
+    return spark.read.parquet(folder) if exists(spark, folder) else None
+
 
+def drop_batch(spark: SparkSession, path: str, batch_id: int) -> None:
+    drop(spark, _folder(path, batch_id))
 
-def stream(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet") -> DataFrame:
+
+def stream(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet", max_files: int = 1000) -> DataFrame:
     """The batches as a stream, in the order they were written."""
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(target)
+    system, target = _file_system(spark, path)
+    system.mkdirs(target)
     return (
-        spark.readStream.schema(schema).format(fmt).option("pathGlobFilter", f"*.{fmt}")
+        spark.readStream.schema(schema).format(fmt)
+        .option("recursiveFileLookup", True).option("pathGlobFilter", f"*.{fmt}")
+        .option("maxFileAge", _MAX_FILE_AGE).option("maxFilesPerTrigger", max_files)
         .load(path).select(*schema.names)
     )
