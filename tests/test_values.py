@@ -2,11 +2,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.events import event, frame
-from vigilpay import schemas
+from vigilpay import schemas, session
 from vigilpay.config import stream_config
 from vigilpay.functions.ids import name_uuid
 from vigilpay.functions.scores import risk_score
-from vigilpay.operators import alerts, aml, dashboard, rules
+from vigilpay.operators import alerts, aml, dashboard, extensions as ext, rules
 from vigilpay.sources import files, kafka
 
 GOLDEN_IDS = {
@@ -116,3 +116,78 @@ def test_empty_dashboard(spark):
     assert dashboard.time_series(nothing).count() == 0
     assert dashboard.risk_scatter(nothing).count() == 0
     assert dashboard.flow_links(nothing).count() == 0
+
+
+def test_csv_quotes_and_header_names(spark, tmp_path):
+    names = schemas.AML_ROW.names
+    moved = [names[3], names[0]] + [n for n in names if n not in (names[3], names[0])]
+    values = {n: f"v-{n}" for n in names} | {names[2]: 'Foo ""Bar"" Ltd'}
+    text = ",".join(moved) + "\n" + ",".join(f'"{values[n]}"' for n in moved) + "\n"
+    (tmp_path / "rows.csv").write_text(text)
+    row = files.read_aml_csv(spark, f"{tmp_path}/rows.csv").first().asDict()
+    assert row == {n: values[n].replace('""', '"') for n in names}
+    short = [n for n in names if n != names[5]]
+    (tmp_path / "short.csv").write_text(",".join(short) + "\n" + ",".join("x" for _ in short) + "\n")
+    assert files.read_aml_csv(spark, f"{tmp_path}/short.csv").first()[names[5]] is None
+
+
+def test_csv_skip_and_limit(spark, tmp_path):
+    rows = [tuple(f"{n}{i:03d}" for n in schemas.AML_ROW.names) for i in range(300)]
+    df = spark.createDataFrame(rows, schemas.AML_ROW)
+    files.write_aml_csv(df.orderBy(df.columns[0]), f"{tmp_path}/rows")
+    got = files.read_aml_csv(spark, f"{tmp_path}/rows", skip=40, limit=25)
+    assert sorted(map(tuple, got.collect())) == rows[40:65]
+
+
+def test_aml_numbers(spark):
+    texts = ["5d", "nan", "inf", "-Infinity", "1e400", " 12.5 ", "-3", ".5", "1e3", "0x10", "", None, "7."]
+    got = spark.createDataFrame([(t,) for t in texts], "t string").select(aml.parse_float(F.col("t"))).collect()
+    assert [r[0] for r in got] == [0, 0, 0, 0, 0, 12.5, -3, 0.5, 1000, 0, 0, 0, 7]
+
+
+def test_aml_amounts_that_do_not_fit_are_set_aside(spark):
+    base = {n: "1" for n in schemas.AML_ROW.names} | {"timestamp": "2022-09-01T00:08:00Z", "is_laundering": "True"}
+    amounts = ["1e20", "49999.996", "50000"]
+    rows = [tuple({**base, "record_key": a, "amount_paid": a}[n] for n in schemas.AML_ROW.names) for a in amounts]
+    df = spark.createDataFrame(rows, schemas.AML_ROW)
+    assert [r.record_key for r in aml.unmappable(df).collect()] == ["1e20"]
+    flags = {str(r.amount): r.is_black_card for r in aml.to_transactions(df).collect()}
+    assert sorted(aml.to_transactions(df).select("is_black_card").collect()) == [(False,), (True,)]
+    assert set(flags) == {"50000.00"}  # both round to it, one is below the limit
+
+
+def test_rule_table_with_all_rules(spark):
+    table = spark.createDataFrame(
+        [(1, "R006", 1.0), (2, "R006", 0.0), (1, "R001", 12.0), (3, "R007.min_samples", 9.0), (1, "R999", 4.0)],
+        "version int, rule_id string, threshold double",
+    )
+    cfg = ext.rules_from_config(table)
+    assert (cfg.user_txn_count, cfg.user_spike_min_samples, cfg.version) == (12, 9, 3)
+
+
+def test_cooldown_counts_from_the_emitted_alert(spark):
+    from vigilpay.config import R001
+
+    minutes = [0.0, 9.99, 10.0, 15.0, 20.0, 20.5, 29.99, 31.0]
+    rows = [(f"a{i}", R001.rule_id, "u", m) for i, m in enumerate(minutes)] + [("b", R001.rule_id, "w", 9.99)]
+    alerts = spark.createDataFrame(rows, "alert_id string, rule_id string, user_id string, m double").select(
+        "alert_id", "rule_id", "user_id", *[F.lit(None).cast("string").alias(c) for c in ("device_id", "card_id", "merchant_id")],
+        F.timestamp_millis((F.col("m") * 60000).cast("bigint")).alias("alert_time"),
+    )
+    got = sorted(r.alert_id for r in ext.alert_cooldown(alerts).collect())
+    assert got == ["a0", "a2", "a4", "a7", "b"]
+
+
+def test_shared_folder_is_required_off_a_local_master(spark):
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Context:
+        master = "spark://host:7077"
+
+    class Session:
+        conf, sparkContext = Conf(), Context()
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.shared_dir(Session())

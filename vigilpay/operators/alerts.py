@@ -90,8 +90,8 @@ def upsert(old: DataFrame, new: DataFrame) -> DataFrame:
 
 
 def latest(alerts: DataFrame) -> DataFrame:
-    """One row per ``alert_id``: the one with the newest alert time."""
-    order = Window.partitionBy("alert_id").orderBy(F.desc("alert_time"))
+    """One row per ``alert_id``: the one with the newest alert time, of equal ones that with the larger evidence."""
+    order = Window.partitionBy("alert_id").orderBy(F.desc("alert_time"), F.desc(F.to_json("evidence")), F.desc("reason"))
     return alerts.withColumn("_nth", F.row_number().over(order)).filter("_nth = 1").drop("_nth")
 
 

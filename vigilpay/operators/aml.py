@@ -26,6 +26,7 @@ TRUE_WORDS = ["true", "1", "yes", "y"]
 HIGH_SCORE, BLACK_SCORE, BLACK_CARD_AMOUNT, FAILED_PER_MILLE = 0.85, 0.97, 50000, 4
 # ---------------------------------------------------------------------------
 
+_NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
 _UNSET = "1970-01-01T00:00:00Z"
 
 
@@ -42,8 +43,13 @@ def parse_bool(text: Column) -> Column:
 
 
 def parse_float(text: Column) -> Column:
-    """A number, or 0 for anything that is not one."""
-    return F.coalesce(F.trim(text).try_cast("double"), F.lit(0.0))
+    """A finite number, or 0 for anything that is not one.
+
+    The pattern keeps out what a cast to double would take besides: type
+    suffixes as in "5d", "nan" and "inf".
+    """
+    number = F.when(F.trim(text).rlike(_NUMBER), F.trim(text).try_cast("double"))
+    return F.coalesce(F.when(F.abs(number) < F.lit(float("inf")), number), F.lit(0.0))
 
 
 def iso_timestamp(text: Column, as_of: str = _UNSET) -> Column:
@@ -73,12 +79,13 @@ def transaction_type(payment_format: Column) -> Column:
 
 def country_location(country: Column) -> tuple[Column, Column]:
     """Province and city of a country code."""
-    pairs = [F.lit(x) for code, place in COUNTRY_LOCATION.items() for x in (code, "/".join(place))]
+    place = lambda p: F.struct(F.lit(p[0]).alias("province"), F.lit(p[1]).alias("city"))
+    pairs = [c for code, p in COUNTRY_LOCATION.items() for c in (F.lit(code), place(p))]
     known = F.element_at(F.create_map(*pairs), F.upper(F.coalesce(country, F.lit(""))))
     unknown_city = F.coalesce(F.nullif(country, F.lit("")), F.lit("Unknown"))
     return (
-        F.coalesce(F.split_part(known, F.lit("/"), F.lit(1)), F.lit("Global")),
-        F.coalesce(F.split_part(known, F.lit("/"), F.lit(2)), unknown_city),
+        F.coalesce(known["province"], F.lit("Global")),
+        F.coalesce(known["city"], unknown_city),
     )
 
 
@@ -98,14 +105,21 @@ def _with_basics(rows: DataFrame, as_of: str) -> DataFrame:
         .withColumn("_score", parse_float(F.col("model_score")))
         .withColumn("_laundering", parse_bool(F.col("is_laundering")))
         .withColumn("_predicted", parse_bool(F.col("predicted_alert")))
-        .withColumn("_amount", parse_float(_first_filled("amount_paid", "amount_received")).cast(MONEY))
+        .withColumn("_value", parse_float(_first_filled("amount_paid", "amount_received")))
+        .withColumn("_amount", F.col("_value").try_cast(MONEY))
         .withColumn("_event_time", iso_timestamp(F.col(time), as_of))
     )
 
 
+def unmappable(rows: DataFrame) -> DataFrame:
+    """Rows whose amount does not fit the money type; ``to_transactions`` leaves them out."""
+    names = [c for c in rows.columns]
+    return _with_basics(rows, _UNSET).filter(F.col("_amount").isNull()).select(*names)
+
+
 def to_transactions(rows: DataFrame, as_of: str = _UNSET) -> DataFrame:
-    """The published event for every row; ``as_of`` stands in for a blank time."""
-    df = _with_basics(rows, as_of)
+    """The published event for every row whose amount fits; ``as_of`` stands in for a blank time."""
+    df = _with_basics(rows, as_of).filter(F.col("_amount").isNotNull())
     key, account, to_account = F.col("_key"), _text("from_account"), _text("to_account")
     event_hash = stable_hash(key, 24)
     province, city = country_location(F.col("from_country"))
@@ -144,7 +158,7 @@ def to_transactions(rows: DataFrame, as_of: str = _UNSET) -> DataFrame:
             number(stable_int(key, 10)),
         ).alias("app_version"),
         (F.col("_laundering") | (F.col("_score") >= BLACK_SCORE)).alias("is_black_device"),
-        (F.col("_laundering") & (F.col("_amount") >= BLACK_CARD_AMOUNT)).alias("is_black_card"),
+        (F.col("_laundering") & (F.col("_value") >= BLACK_CARD_AMOUNT)).alias("is_black_card"),
         risk_label(F.col("_laundering"), F.col("_predicted"), F.col("_score")).alias("risk_label"),
     )
 

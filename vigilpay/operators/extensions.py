@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from vigilpay import config
@@ -36,10 +39,11 @@ def consecutive_failure_users(alerts: DataFrame) -> DataFrame:
 def rules_from_config(rule_table: DataFrame) -> RuleConfig:
     """Thresholds from a table of ``(version, rule_id, threshold)``, newest version per rule.
 
-    The result is one number per rule, at most eight rows.
+    ``R007.min_samples`` and ``R008.min_windows`` set how much history those
+    rules need.  The result is one number per rule, at most ten rows.
     """
     newest = (
-        rule_table.filter(F.col("rule_id").isin(RULE_IDS))
+        rule_table.filter(F.col("rule_id").isin([*RULE_IDS, "R007.min_samples", "R008.min_windows"]))
         .groupBy("rule_id")
         .agg(F.max_by("threshold", "version").alias("threshold"), F.max("version").alias("version"))
         .collect()
@@ -69,23 +73,35 @@ def blacklist_join(
 
 
 def alert_cooldown(alerts: DataFrame, minutes: int = 10) -> DataFrame:
-    """At most one alert, the first, per rule, key and period of ``minutes``.
+    """Alerts that are not within ``minutes`` after an emitted alert of the same rule and key.
 
-    Periods are aligned to the epoch, so the choice needs no scan along a key
-    and the first of a period is already chosen before the shuffle.
+    Which alert comes next depends on the one before, so each key is followed in
+    order of time: rows arrive sorted and only the last emitted time is held,
+    never a key's alerts.  Of the alerts, id and time alone make the trip.
     """
     # a window alert fills only the key its rule counts by; event rules follow
     # the user, except the device rule
     key = F.when(F.col("rule_id") == "R006", F.col("device_id")).otherwise(
         F.coalesce("user_id", "device_id", "card_id", "merchant_id")
     )
-    period = F.floor(F.unix_seconds("alert_time") / (minutes * 60))
-    order = Window.partitionBy("rule_id", "_key", "_period").orderBy("alert_time", "alert_id")
-    return (
-        alerts.withColumn("_key", key).withColumn("_period", period)
-        .withColumn("_nth", F.row_number().over(order)).filter("_nth = 1")
-        .drop("_key", "_period", "_nth")
+    period = minutes * 60_000_000
+    follows = ["_follow", "_us", "_id"]
+
+    def emitted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, last = None, 0
+        for batch in batches:
+            ids = []
+            for follow, us, alert_id in zip(*(c.to_pylist() for c in batch.columns)):
+                if follow != current or us - last >= period:
+                    current, last = follow, us
+                    ids.append(alert_id)
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.string())], names=["_emitted"])
+
+    timed = alerts.select(
+        F.concat_ws("|", "rule_id", key).alias("_follow"), F.unix_micros("alert_time").alias("_us"), F.col("alert_id").alias("_id")
     )
+    passed = timed.repartition("_follow").sortWithinPartitions(*follows).mapInArrow(emitted, "_emitted string")
+    return alerts.join(passed, F.col("alert_id") == F.col("_emitted"), "left_semi")
 
 
 def feature_stream(alerts: DataFrame) -> DataFrame:

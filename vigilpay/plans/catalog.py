@@ -105,11 +105,37 @@ def _(spark, sf):
     return rows.select("event_id", "transaction_id", "city", "process_time")
 
 
+@query("source_dir_filter")
+def _(spark, sf):
+    """Lines of the data files of a folder, beside files with endings that are never data."""
+    path = session.new_dir(spark, "mixed")
+    lines = adapter.raw_lines(spark, sf).select("value")
+    lines.write.text(f"{path}/good/deep")
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    for ending in ("md", "crc", "inprogress", "MD"):
+        lines.limit(5).coalesce(1).write.text(f"{path}/{ending}")
+        place = hadoop.Path(f"{path}/{ending}/part-*")
+        system = place.getFileSystem(spark._jsc.hadoopConfiguration())
+        for found in system.globStatus(place):
+            system.rename(found.getPath(), hadoop.Path(f"{path}/{ending}/notes.{ending}"))
+    event_id = F.get_json_object("value", "$.event_id").alias("event_id")
+    return files.text_lines(spark, path).groupBy(event_id).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("sink_alert_table")
+def _(spark, sf):
+    """Alerts as the serving table stores them."""
+    rows = files.alerts_table(alerts(spark, sf), F.col("alert_time"))
+    return rows.select("alert_id", "rule_id", "user_id", "event_time", "alert_time", "created_at")
+
+
 @query("source_aml_csv")
 def _(spark, sf):
     path = session.new_dir(spark, "aml_csv")
-    files.write_aml_csv(adapter.aml_rows(spark, sf), path)
-    rows = files.read_aml_csv(spark, path)
+    rows = adapter.aml_rows(spark, sf)
+    files.write_aml_csv(rows.orderBy(*rows.columns), path)
+    # a part of the file, as a conversion that is picked up in the middle reads it
+    rows = files.read_aml_csv(spark, path, skip=100, limit=5000)
     return rows.select(*[F.coalesce(F.col(c), F.lit("")).alias(c) for c in rows.columns])
 
 
@@ -126,7 +152,7 @@ def _(spark, sf):
 @query("sink_jsonl")
 def _(spark, sf):
     path = session.new_dir(spark, "alerts_json")
-    files.write_json_lines(rules.r006_black_device(on_time(spark, sf)), path)
+    files.write_json_lines(alerts(spark, sf), path)
     return files.read_json_lines(spark, path, schemas.ALERT_JSON).select(
         "alert_id", "rule_id", "event_id", "amount", "event_time", "alert_time", "evidence"
     )
@@ -134,7 +160,7 @@ def _(spark, sf):
 
 def _two_runs(spark, sf):
     """Stored alerts and a later run over the same events: new times, changed evidence."""
-    first = session.stage(rules.r001_user_frequency(on_time(spark, sf)), "stored")
+    first = staged_alerts(spark, sf)
     later = first.withColumn("alert_time", F.col("alert_time") + F.expr("INTERVAL 1 HOUR"))
     later = later.withColumn("reason", F.lit("changed")).withColumn(
         "evidence", F.map_concat("evidence", F.create_map(F.lit("run"), F.lit("2")))
@@ -171,7 +197,11 @@ def _(spark, sf):
 @query("late_store")
 def _(spark, sf):
     rows = files.late_table(late(spark, sf), F.try_to_timestamp("process_time"))
-    return rows.withColumn("raw_event", F.get_json_object("raw_event", "$.device_id"))
+    # the stored text, field by field
+    field = lambda name: F.get_json_object("raw_event", f"$.{name}")
+    names = [n for n in schemas.TRANSACTION_FIELDS if n != "amount"]
+    texts = F.concat_ws("|", field("amount").cast("decimal(18,2)").cast("string"), *[field(n) for n in names])
+    return rows.withColumn("raw_event", texts)
 
 
 @query("late_replay")
@@ -353,9 +383,7 @@ def _(spark, sf):
 
 @query("alert_event_time")
 def _(spark, sf):
-    ev = on_time(spark, sf)
-    both = rules.r006_black_device(ev).unionByName(rules.r001_user_frequency(ev))
-    return both.select("alert_id", "rule_id", al.alert_event_time().alias("alert_event_time"))
+    return alerts(spark, sf).select("alert_id", "rule_id", al.alert_event_time().alias("alert_event_time"))
 
 
 # --- metrics ---------------------------------------------------------------------------
@@ -376,7 +404,8 @@ def _(spark, sf):
 
 @query("metric_id")
 def _(spark, sf):
-    rows = mt.channel_success_rate_5m(on_time(spark, sf))
+    events = staged(spark, sf)
+    rows = mt.realtime_metrics(events, session.stage(rules.risk_alerts(events), "alerts"))
     return rows.select("metric_id", "metric_name", "window_start", "window_end")
 
 
@@ -462,7 +491,7 @@ def _(spark, sf):
 @query("recent_metrics")
 def _(spark, sf):
     ev = staged(spark, sf)
-    rows = mt.transaction_count_1m(ev).unionByName(mt.channel_success_rate_5m(ev))
+    rows = mt.realtime_metrics(ev, session.stage(rules.risk_alerts(ev), "alerts"))
     return dash.recent(rows, "emit_time", "metric_id").select("metric_id", "metric_name", "value", "emit_time")
 
 

@@ -7,9 +7,25 @@ tables, sliding windows by generating every window of a row.
 from __future__ import annotations
 
 from vigilpay import config
-from vigilpay.config import RULE_IDS
-from vigilpay.operators.aml import CHANNEL_ORDER, COUNTRY_LOCATION
-from vigilpay.sources.adapter import AML_COUNTRIES, LOCATIONS
+from vigilpay.schemas import TRANSACTION_FIELDS
+
+# --- fixed values, written out so that a slip in the operators shows ---------------------
+RULE_IDS = ["R001", "R002", "R003", "R004", "R005", "R006", "R007", "R008"]
+COUNTRY_LOCATION = {
+    "US": ("California", "San Francisco"),
+    "CN": ("Shanghai", "Shanghai"),
+    "SG": ("Singapore", "Singapore"),
+    "UK": ("England", "London"),
+    "DE": ("Hessen", "Frankfurt"),
+    "FR": ("Ile-de-France", "Paris"),
+    "JP": ("Tokyo", "Tokyo"),
+    "KR": ("Seoul", "Seoul"),
+    "AU": ("New South Wales", "Sydney"),
+    "CA": ("Ontario", "Toronto"),
+}
+CHANNEL_ORDER = ["APP", "H5", "API", "POS", "MINI_PROGRAM"]
+AML_COUNTRIES = ["US", "CN", "SG", "UK", "DE", "FR", "JP", "KR", "AU", "CA", "BR", ""]
+# -----------------------------------------------------------------------------------------
 
 ORACLE: dict[str, str] = {}
 
@@ -54,8 +70,8 @@ arr AS (
   SELECT no, us, copy, 'evt-'||no AS event_id, 'txn-'||no AS transaction_id, 'user-'||u AS user_id,
     'acct-'||u AS account_id, 'card-'||(k % 37) AS card_id, 'merchant-'||k AS merchant_id,
     'device-'||k AS device_id, '10.0.0.'||k AS ip,
-    {_list(p for p, _ in LOCATIONS)}[u % 7 + 1] AS province,
-    {_list(c for _, c in LOCATIONS)}[u % 7 + 1] AS city,
+    'province-'||(u % 5) AS province,
+    'city-'||(u % 7) AS city,
     CAST(value * 100 AS DECIMAL(18,2)) AS amount, 'CNY' AS currency,
     ['BALANCE','BANK_CARD','CREDIT_CARD','DEBIT_CARD','WALLET'][no % 5 + 1] AS payment_method,
     ['PAY','REFUND','TRANSFER','WITHDRAW'][no % 4 + 1] AS transaction_type,
@@ -188,7 +204,7 @@ for _name, _id in {
 }.items():
     ORACLE[_name] = _sql(_RULE_BODY[_id], *[c for c in [_RULE_CTES[_id]] if c])
 ORACLE["risk_alerts"] = _sql("SELECT * FROM alerts", *_ALERTS)
-_SINK_R001 = [_RULE_CTES["R001"], f"\nal AS ({_RULE_BODY['R001']})"]
+_STORED = [*_ALERTS, "\nal AS (SELECT * FROM alerts)"]
 
 ORACLE["merchant_window_amount"] = _sql(
     "SELECT merchant_id, CAST(amount AS DOUBLE) AS amount, w * 60000 AS window_start, (w + 5) * 60000 AS window_end FROM mw",
@@ -197,25 +213,26 @@ ORACLE["alert_id"] = _sql(
     f"SELECT arrival_seq, event_id, {_uuid('''concat_ws('|','R006',event_id)''')} AS event_alert_id, "
     f"{_uuid('''concat_ws('|','R008','商户',merchant_id)''')} AS key_alert_id FROM arr", base=_SRC)
 ORACLE["alert_event_time"] = _sql(
-    "SELECT alert_id, rule_id, alert_time AS alert_event_time FROM both_rules",
-    _RULE_CTES["R001"], f"\nboth_rules AS ({_RULE_BODY['R006']} UNION ALL {_RULE_BODY['R001']})")
+    "SELECT alert_id, rule_id, alert_time AS alert_event_time FROM alerts", *_ALERTS)
 
 # --- sinks ---------------------------------------------------------------------
 ORACLE["sink_jsonl"] = _sql(
-    "SELECT alert_id, rule_id, event_id, amount, event_time, alert_time, evidence FROM al",
-    f"\nal AS ({_RULE_BODY['R006']})")
+    "SELECT alert_id, rule_id, event_id, amount, event_time, alert_time, evidence FROM alerts", *_ALERTS)
+ORACLE["sink_alert_table"] = _sql(
+    "SELECT alert_id, rule_id, user_id, CASE WHEN window_start IS NULL THEN alert_time END AS event_time, alert_time, alert_time AS created_at FROM alerts",
+    *_ALERTS)
 _HEX = "('0x' || substr(alert_id, 1, 1))::INT"
 _RUN2 = "replace(evidence, '}', ',\"run\":\"2\"}')"
 _OTHER = ", ".join(c for c in _ALERT_COLUMNS if c not in ("alert_time", "evidence", "reason"))
 ORACLE["sink_alert_upsert"] = _sql(
     f"""SELECT {_OTHER}, CASE WHEN {_HEX} < 8 THEN reason ELSE 'changed' END AS reason,
     CASE WHEN {_HEX} >= 4 THEN alert_time + 3600000 ELSE alert_time END AS alert_time,
-    CASE WHEN {_HEX} >= 4 THEN {_RUN2} ELSE evidence END AS evidence FROM al""", *_SINK_R001)
+    CASE WHEN {_HEX} >= 4 THEN {_RUN2} ELSE evidence END AS evidence FROM al""", *_STORED)
 ORACLE["sink_alert_dedup_latest"] = _sql(
-    "SELECT alert_id, rule_id, alert_time + 3600000 AS alert_time, 'changed' AS reason FROM al", *_SINK_R001)
+    "SELECT alert_id, rule_id, alert_time + 3600000 AS alert_time, 'changed' AS reason FROM al", *_STORED)
 ORACLE["check_alert_uniqueness"] = _sql(
-    "SELECT rule_id, user_id, '' AS device_id, '' AS card_id, '' AS merchant_id, window_start, window_end, "
-    "CAST(2 AS BIGINT) AS copies FROM al", *_SINK_R001)
+    "SELECT rule_id, coalesce(user_id, '') AS user_id, coalesce(device_id, '') AS device_id, coalesce(card_id, '') AS card_id, "
+    "coalesce(merchant_id, '') AS merchant_id, window_start, window_end, CAST(2 AS BIGINT) AS copies FROM al WHERE window_start IS NOT NULL", *_STORED)
 _START5, _END5 = "w * 60000", "(w + 5) * 60000"
 _MERCHANT_METRIC_ID = _uuid(
     f"concat_ws('|','merchant_realtime_amount_5m',merchant_id,({_START5})::VARCHAR,({_END5})::VARCHAR)")
@@ -226,8 +243,9 @@ ORACLE["sink_table_mapping"] = _sql(
     {_END5} AS created_at FROM mw""", _RULE_CTES["R008"])
 ORACLE["late_store"] = _sql(
     """SELECT event_id, transaction_id, user_id, merchant_id, us // 1000 AS event_time,
-    process_us // 1000 AS process_time, device_id AS raw_event, process_us // 1000 AS created_at
-    FROM ded WHERE is_late""")
+    process_us // 1000 AS process_time,
+    concat_ws('|', amount::VARCHAR, """ + ", ".join(f"{c}::VARCHAR" for c in TRANSACTION_FIELDS if c != "amount") + """) AS raw_event,
+    process_us // 1000 AS created_at FROM ded WHERE is_late""")
 
 
 def _replay() -> str:
@@ -267,6 +285,8 @@ raw AS (
 ORACLE["source_jsonl"] = _sql(
     """SELECT event_id, transaction_id, city, process_time FROM arr
     WHERE no % 83 <> 0 AND no % 19 <> 0 AND no % 23 <> 0""", base=_SRC)
+ORACLE["source_dir_filter"] = _sql(
+    "SELECT CASE WHEN no % 83 <> 0 THEN event_id END AS event_id, count(*) AS n FROM arr GROUP BY 1", base=_SRC)
 ORACLE["parse_transactions"] = _sql(
     """SELECT arrival_seq, event_id, transaction_id, user_id, account_id, card_id, merchant_id, device_id, ip,
     province, city, CAST(amount AS DOUBLE) AS amount, currency, payment_method, transaction_type, transaction_status,
@@ -358,10 +378,9 @@ ORACLE["metric_channel_success_rate_5m"] = _sql(_M_RATE)
 ORACLE["metric_merchant_amount_5m"] = _sql(_M_MERCHANT, _RULE_CTES["R008"])
 ORACLE["metric_risk_alert_count_1m"] = _sql(_M_ALERTS, *_ALERTS)
 ORACLE["metric_high_risk_alert_count_1m"] = _sql(_M_HIGH, *_ALERTS)
-ORACLE["realtime_metrics"] = _sql(
-    "\nUNION ALL\n".join([_M_COUNT, _M_AMOUNT, _M_RATE, _M_MERCHANT, _M_ALERTS, _M_HIGH]), *_ALERTS)
-ORACLE["metric_id"] = _sql(
-    "SELECT metric_id, metric_name, window_start, window_end FROM rates", f"\nrates AS ({_M_RATE})")
+_ALL_METRICS = "\nUNION ALL\n".join([_M_COUNT, _M_AMOUNT, _M_RATE, _M_MERCHANT, _M_ALERTS, _M_HIGH])
+ORACLE["realtime_metrics"] = _sql(_ALL_METRICS, *_ALERTS)
+ORACLE["metric_id"] = _sql(f"SELECT metric_id, metric_name, window_start, window_end FROM ({_ALL_METRICS})", *_ALERTS)
 
 # --- serving -----------------------------------------------------------------------------
 ORACLE["q_alert_volume_by_minute"] = _sql(
@@ -430,7 +449,7 @@ ct AS (SELECT *, row_number() OVER (ORDER BY t DESC, name) - 1 AS i FROM
 ORACLE["recent_alerts"] = _sql(
     "SELECT alert_id, rule_id, alert_time FROM alerts ORDER BY alert_time DESC, alert_id DESC LIMIT 30", *_ALERTS)
 ORACLE["recent_metrics"] = _sql(
-    f"SELECT metric_id, metric_name, value, emit_time FROM ({_M_COUNT} UNION ALL {_M_RATE}) ORDER BY emit_time DESC, metric_id DESC LIMIT 30")
+    f"SELECT metric_id, metric_name, value, emit_time FROM ({_ALL_METRICS}) ORDER BY emit_time DESC, metric_id DESC LIMIT 30", *_ALERTS)
 ORACLE["filter_alerts"] = _sql(
     "SELECT alert_id, user_id, alert_time FROM alerts WHERE rule_id = 'R002' ORDER BY alert_time DESC, alert_id DESC LIMIT 16",
     *_ALERTS)
@@ -512,7 +531,7 @@ def _aml(columns: str) -> str:
     return f"WITH {_AML.strip()}\nSELECT from_account, to_account, to_bank, {columns} FROM amlsrc"
 
 
-ORACLE["source_aml_csv"] = f"WITH {_AML.strip()}\nSELECT * FROM amlsrc"
+ORACLE["source_aml_csv"] = f"WITH {_AML.strip()}\nSELECT * FROM amlsrc ORDER BY ALL LIMIT 5000 OFFSET 100"
 ORACLE["stable_hash"] = _aml(f"{_hash('from_account', 16)} AS hash16, {_hash('to_bank', 24)} AS hash24")
 ORACLE["stable_int"] = _aml(f"{_int('from_account', 240)} AS mod240, {_int('to_account', 1000)} AS mod1000")
 ORACLE["parse_bool"] = _aml(
@@ -577,9 +596,13 @@ ORACLE["blacklist_join"] = _sql(
       is_black_card OR EXISTS (SELECT 1 FROM supplier WHERE s_acctbal < 0 AND 'card-' || s_suppkey = card_id) AS is_black_card
       FROM ont) WHERE is_black_device OR is_black_card""")
 ORACLE["alert_cooldown"] = _sql(
-    """SELECT alert_id, rule_id, alert_time FROM alerts QUALIFY row_number() OVER (
-    PARTITION BY rule_id, CASE WHEN rule_id = 'R006' THEN device_id ELSE coalesce(user_id, device_id, card_id, merchant_id) END,
-    alert_time // 600000 ORDER BY alert_time, alert_id) = 1""", *_ALERTS)
+    """SELECT alert_id, rule_id, alert_time FROM emitted""", *_ALERTS, """
+keyed AS (SELECT alert_id, rule_id, alert_time, rule_id || '|' || CASE WHEN rule_id = 'R006' THEN device_id
+      ELSE coalesce(user_id, device_id, card_id, merchant_id) END AS k FROM alerts),
+ordered AS (SELECT *, row_number() OVER (PARTITION BY k ORDER BY alert_time, alert_id) AS r FROM keyed),
+nexts AS (SELECT *, (SELECT min(o.r) FROM ordered o WHERE o.k = ordered.k AND o.alert_time >= ordered.alert_time + 600000) AS nr FROM ordered),
+emitted AS (SELECT k, r, nr, alert_id, rule_id, alert_time FROM nexts WHERE r = 1
+  UNION ALL SELECT n.k, n.r, n.nr, n.alert_id, n.rule_id, n.alert_time FROM emitted e JOIN nexts n ON n.k = e.k AND n.r = e.nr)""").replace("WITH ", "WITH RECURSIVE ", 1)
 
 # --- streaming: the rules over all that arrived, windows that the watermark has closed -----------
 _STREAM = _RAW + _PREP[len(_SRC):].replace("FROM arr)", "FROM raw WHERE reject_reason IS NULL)")

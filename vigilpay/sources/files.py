@@ -41,19 +41,27 @@ def read_json_lines(
 
 
 def read_aml_csv(
-    spark: SparkSession, path: str, skip: int = 0, limit: int = 0, header: bool = True
+    spark: SparkSession, path: str, skip: int = 0, limit: int = 0, header: bool = True, escape: str = '"'
 ) -> DataFrame:
     """The raw anti-money-laundering file as text columns, optionally rows ``skip .. skip+limit``.
 
+    Columns are found by their names in the header (without one, by position);
+    one that is missing is null, and files whose headers differ are an error.
+    Quotes inside a value are doubled; ``escape`` names another dialect.
+
     Row positions follow file and offset.  They come from counting the rows of
     each input split, so nothing is sorted or gathered.
     """
-    reader = spark.read.option("header", header).option("escape", "\\")
-    rows = reader.schema(schemas.AML_ROW).csv(path)
+    reader = spark.read.option("header", header).option("escape", escape)
+    names = schemas.AML_ROW.names
+    found = reader.option("inferSchema", False).csv(path).columns if header else names
+    layout = T.StructType([T.StructField(n, T.StringType()) for n in found])
+    text = lambda n: F.col(f"`{n}`") if n in found else F.lit(None).cast("string").alias(n)
+    rows = reader.schema(layout).option("enforceSchema", not header).csv(path)
     if not skip and not limit:
-        return rows
+        return rows.select(*[text(n) for n in names])
     placed = rows.select(
-        "*",
+        *[text(n) for n in names],
         F.col("_metadata.file_path").alias("_file"),
         F.col("_metadata.file_block_start").alias("_split"),
         F.monotonically_increasing_id().alias("_id"),
@@ -73,12 +81,12 @@ def read_aml_csv(
     wanted = position >= skip
     if limit:
         wanted = wanted & (position < skip + limit)
-    return placed.join(offsets, ["_file", "_split"]).filter(wanted).select(*rows.columns)
+    return placed.join(offsets, ["_file", "_split"]).filter(wanted).select(*names)
 
 
 def write_aml_csv(rows: DataFrame, path: str) -> None:
     """Rows as quoted text with a header, blanks kept."""
-    keep = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False, "emptyValue": ""}
+    keep = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False, "emptyValue": "", "escape": '"'}
     rows.write.options(header=True, **keep).csv(path)
 
 
