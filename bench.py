@@ -7,7 +7,7 @@ import os
 import time
 
 from vigilpay.plans.catalog import QUERIES
-from vigilpay.session import local_session
+from vigilpay.session import drop_staged, local_session
 
 HEADLINE = [
     "parse_transactions", "dead_letter", "dedup_event_id", "route_late", "on_time_events",
@@ -35,6 +35,7 @@ def main() -> None:
         "metric": "total_seconds", "value": round(sum(seconds.values()), 3), "unit": "sec",
         "queries": seconds, "sf": os.path.basename(sf_dir.rstrip("/")),
     }))
+    drop_staged(spark)
     spark.stop()
 
 

@@ -10,6 +10,7 @@ from vigilpay.config import Rule
 from vigilpay.functions.ids import stable_id
 from vigilpay.functions.times import millis
 from vigilpay.schemas import ALERT
+from vigilpay.session import stage
 
 _WINDOW_KEYS = ["user_id", "device_id", "card_id", "merchant_id"]
 
@@ -89,6 +90,36 @@ def upsert(old: DataFrame, new: DataFrame) -> DataFrame:
     return o.join(n, F.col("o.alert_id") == F.col("n.alert_id"), "full_outer").select(*columns)
 
 
+_BUCKETS = 32
+
+
+def _bucketed(alerts: DataFrame) -> DataFrame:
+    return alerts.withColumn("bucket", F.pmod(F.crc32(F.col("alert_id").cast("binary")), F.lit(_BUCKETS)).cast("int"))
+
+
+def merge_into(path: str, new: DataFrame, batch_id: int | None = None) -> None:
+    """Merge alerts into the table at ``path`` as ``upsert`` does; a sink for ``foreachBatch`` too.
+
+    The table is partitioned by a bucket of the alert id.  Only buckets that
+    ``new`` touches are read and replaced, and a merge that runs again changes
+    nothing.
+    """
+    spark = new.sparkSession
+    new = stage(_bucketed(new), "merge-new")
+    merged = new
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target):
+        stored = spark.read.schema(new.schema).parquet(path)
+        touched = [r["bucket"] for r in new.select("bucket").distinct().collect()]  # at most _BUCKETS
+        stored = stored.filter(F.col("bucket").isin(touched))
+        # written aside first: the partitions read are the partitions replaced
+        merged = stage(_bucketed(upsert(stored.drop("bucket"), new.drop("bucket"))), "merge-done")
+    (
+        merged.repartition("bucket").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .partitionBy("bucket").parquet(path)
+    )
+
+
 def latest(alerts: DataFrame) -> DataFrame:
     """One row per ``alert_id``: the one with the newest alert time, of equal ones that with the larger evidence."""
     order = Window.partitionBy("alert_id").orderBy(F.desc("alert_time"), F.desc(F.to_json("evidence")), F.desc("reason"))

@@ -15,6 +15,7 @@ from vigilpay.functions.scores import fixed2, same_text
 from vigilpay.operators import scans, windows
 from vigilpay.operators.alerts import evidence, event_alerts, union_alerts, window_alerts
 from vigilpay.operators.prepare import successful_payments
+from vigilpay.session import stage
 
 _START = Window.unboundedPreceding
 EVENT_COLUMNS = [
@@ -256,7 +257,13 @@ def risk_alerts(
     hot_users: DataFrame | None = None,
     merchant_windows: DataFrame | None = None,
 ) -> DataFrame:
-    """All rules over on-time events.  Stage the events first: each rule scans them."""
+    """All rules over on-time events.  Stage the events first: each rule scans them.
+
+    The users too frequent for one task are worked out once for both rules that
+    follow users, and merchant windows can be given if others need them, too.
+    """
+    if hot_users is None:
+        hot_users = stage(scans.hot_keys(events, "user_id"), "hot-users")
     if merchant_windows is None:
         merchant_windows = windows.merchant_window_amount(successful_payments(events))
     return union_alerts(

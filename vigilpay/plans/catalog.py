@@ -176,6 +176,18 @@ def _(spark, sf):
     return al.upsert(stored.filter(some < 8), later.filter(some >= 4))
 
 
+@query("sink_alert_merge")
+def _(spark, sf):
+    """The same two runs, merged into a stored table bucket by bucket, the second one twice."""
+    stored, later = _two_runs(spark, sf)
+    some = F.conv(F.substring("alert_id", 1, 1), 16, 10).cast("int")
+    path = session.new_dir(spark, "alert_table")
+    al.merge_into(path, stored.filter(some < 8))
+    for _ in range(2):
+        al.merge_into(path, later.filter(some >= 4))
+    return spark.read.parquet(path).drop("bucket")
+
+
 @query("sink_alert_dedup_latest")
 def _(spark, sf):
     stored, later = _two_runs(spark, sf)

@@ -228,6 +228,7 @@ ORACLE["sink_alert_upsert"] = _sql(
     f"""SELECT {_OTHER}, CASE WHEN {_HEX} < 8 THEN reason ELSE 'changed' END AS reason,
     CASE WHEN {_HEX} >= 4 THEN alert_time + 3600000 ELSE alert_time END AS alert_time,
     CASE WHEN {_HEX} >= 4 THEN {_RUN2} ELSE evidence END AS evidence FROM al""", *_STORED)
+ORACLE["sink_alert_merge"] = ORACLE["sink_alert_upsert"]
 ORACLE["sink_alert_dedup_latest"] = _sql(
     "SELECT alert_id, rule_id, alert_time + 3600000 AS alert_time, 'changed' AS reason FROM al", *_STORED)
 ORACLE["check_alert_uniqueness"] = _sql(

@@ -20,6 +20,7 @@ _RUNTIME = {
 
 
 _FALLBACK: dict[str, str] = {}
+_STAGED: dict[str, list[str]] = {}
 
 
 def configure(spark: SparkSession) -> SparkSession:
@@ -75,10 +76,11 @@ def stage(df: DataFrame, name: str) -> DataFrame:
 
     Used where several consumers share an expensive input: lineage is cut by
     files that outlive an executor, and each consumer still reads only the
-    columns it needs.
+    columns it needs.  The application owns the folder until ``drop_staged``.
     """
     path = new_dir(df.sparkSession, name)
     df.write.parquet(path)
+    _STAGED.setdefault(df.sparkSession.sparkContext.applicationId, []).append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -86,3 +88,11 @@ def drop(spark: SparkSession, path: str) -> None:
     """Remove a staged folder, wherever the shared file system keeps it."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def drop_staged(spark: SparkSession) -> int:
+    """Remove all that this application has staged, once its results are read; the number of folders."""
+    paths = _STAGED.pop(spark.sparkContext.applicationId, [])
+    for path in paths:
+        drop(spark, path)
+    return len(paths)
