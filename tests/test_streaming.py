@@ -278,6 +278,24 @@ def test_a_batch_is_published_once_and_whole(spark, tmp_path):
     assert sorted(r.n for r in seen) == list(range(5))
 
 
+def test_rules_and_lists_are_read_for_every_batch(spark, tmp_path):
+    source, table, listed = tmp_path / "source", f"{tmp_path}/rules", f"{tmp_path}/devices"
+    source.mkdir()
+    job = RiskStream(
+        spark, stream_config(f"{tmp_path}/out", rule_table=table, device_list=listed), text_source(spark, str(source))
+    )
+    batches = [(2.0, "device-1"), (9.0, "device-9")]
+    for i, (failures, device) in enumerate(batches):
+        spark.createDataFrame([(i, "R005", failures)], "version int, rule_id string, threshold double").write.mode("overwrite").parquet(table)
+        spark.createDataFrame([(device,)], "device_id string").write.mode("overwrite").parquet(listed)
+        rows = [event(10 * i + k, 10 * i + k, user_id=f"user-{i}", transaction_status="FAILED", device_id=f"device-{10 * i + k}") for k in range(3)]
+        (source / f"part-{i}.json").write_text("\n".join(as_json(r) for r in rows))
+        job.catch_up(["ingest", "route", "black_device", "consecutive_failure"])
+    found = sorted((r["rule_id"], r["event_id"]) for r in read_json(tmp_path / "out/alerts"))
+    # two in a row in the first batch, nine asked for in the second; only device-1 was listed in time
+    assert found == [("R005", "evt-000001"), ("R005", "evt-000002"), ("R006", "evt-000001")]
+
+
 def test_a_lost_progress_row_is_an_error(spark, tmp_path):
     job = RiskStream(spark, stream_config(f"{tmp_path}"), None)
     with pytest.raises(RuntimeError, match="no progress of batch 6"):

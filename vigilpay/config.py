@@ -90,6 +90,10 @@ class StreamConfig:
     trigger_seconds: int = 10
     max_offsets_per_trigger: int = 5_000_000
     max_files_per_trigger: int = 1000
+    #: Parquet tables that are read anew for every micro-batch: thresholds
+    #: (version, rule_id, threshold) and black devices (device_id).
+    rule_table: str = ""
+    device_list: str = ""
     rules: RuleConfig = field(default_factory=RuleConfig)
 
 

@@ -25,7 +25,7 @@ from pyspark.sql.streaming import StreamingQuery
 from vigilpay import config, schemas
 from vigilpay.config import StreamConfig
 from vigilpay.functions.scores import same_text
-from vigilpay.operators import alerts as al, metrics as mt, prepare, rules, validate
+from vigilpay.operators import alerts as al, extensions as ext, metrics as mt, prepare, rules, validate
 from vigilpay.sources import files, kafka
 from vigilpay.streaming import state, tables
 
@@ -103,6 +103,24 @@ class RiskStream:
         timed = al.union_alerts(*parts).withColumn("window_end", F.timestamp_millis("window_end"))
         return timed.select("risk_level", al.alert_event_time().alias("event_ts"))
 
+    # --- rules and lists that change while the job runs ---------------------------
+
+    def rules_now(self) -> config.RuleConfig:
+        """The thresholds of this moment: those of the rule table if there is one."""
+        if not self.cfg.rule_table:
+            return self.cfg.rules
+        return ext.rules_from_config(self.spark.read.parquet(self.cfg.rule_table))
+
+    def _least(self, fixed: int) -> int:
+        """What state must let through; with a rule table, the sink decides."""
+        return 1 if self.cfg.rule_table else fixed
+
+    def _listed(self, events: DataFrame) -> DataFrame:
+        if not self.cfg.device_list:
+            return events
+        listed = self.spark.read.parquet(self.cfg.device_list)
+        return ext.blacklist_join(events, devices=listed).select(*events.columns)
+
     # --- sinks ------------------------------------------------------------------
 
     def _write_alerts(self, name: str, build: Callable[[DataFrame], DataFrame]):
@@ -208,10 +226,11 @@ class RiskStream:
             .select(*keys, *measures, F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"))
         )
 
-    def _shared_key(self, rule: config.Rule, key: str, threshold: int):
+    def _shared_key(self, rule: config.Rule, key: str, live: Callable[[], int]):
         """Counts the users of windows that closed; a closed window arrives in one batch."""
 
         def build(rows: DataFrame) -> DataFrame:
+            threshold = live()
             window = [key, "window_start", "window_end"]
             counts = rows.groupBy(*window).agg(F.count(F.lit(1)).alias("distinct_user_count")).filter(
                 F.col("distinct_user_count") > threshold
@@ -234,7 +253,7 @@ class RiskStream:
     # --- the queries ----------------------------------------------------------------------
 
     def stages(self) -> list[Stage]:
-        cfg, n = self.cfg.rules, F.count(F.lit(1))
+        now, n = self.rules_now, F.count(F.lit(1))
         users = lambda key: self._windowed([key, "user_id"], 10, first_seq=F.min("arrival_seq"))
         amount, ok = F.sum("amount"), F.count_if(same_text(F.col("transaction_status"), "SUCCESS"))
         alerts, metrics = self._write_alerts, self._write_metrics
@@ -265,19 +284,19 @@ class RiskStream:
             Stage("ingest", self.source, self._ingest, 0),
             Stage("route", self._deduplicated, self._route, 1, timers=True),
             Stage("user_frequency", lambda: self._windowed(["user_id"], 1, transaction_count=n),
-                  alerts("user_frequency", lambda r: rules.frequency_alerts(r, cfg))),
+                  alerts("user_frequency", lambda r: rules.frequency_alerts(r, now()))),
             Stage("user_amount", lambda: self._windowed(["user_id"], 5, success=True, total_amount=amount),
-                  alerts("user_amount", lambda r: rules.amount_alerts(r, cfg))),
+                  alerts("user_amount", lambda r: rules.amount_alerts(r, now()))),
             Stage("device_users", lambda: users("device_id"),
-                  alerts("device_users", self._shared_key(config.R003, "device_id", cfg.device_users))),
+                  alerts("device_users", self._shared_key(config.R003, "device_id", lambda: now().device_users))),
             Stage("card_users", lambda: users("card_id"),
-                  alerts("card_users", self._shared_key(config.R004, "card_id", cfg.card_users))),
-            Stage("black_device", self.on_time, alerts("black_device", rules.r006_black_device)),
-            Stage("consecutive_failure", self._failures, alerts("consecutive_failure", lambda r: rules.failure_alerts(r, cfg)), timers=True),
-            Stage("user_spike", self._user_history, alerts("user_spike", lambda r: rules.user_spike_alerts(_history(r), cfg)), timers=True),
+                  alerts("card_users", self._shared_key(config.R004, "card_id", lambda: now().card_users))),
+            Stage("black_device", self.on_time, alerts("black_device", lambda r: rules.r006_black_device(self._listed(r)))),
+            Stage("consecutive_failure", self._failures, alerts("consecutive_failure", lambda r: rules.failure_alerts(r, now())), timers=True),
+            Stage("user_spike", self._user_history, alerts("user_spike", lambda r: rules.user_spike_alerts(_history(r), now())), timers=True),
             Stage("merchant_amount", lambda: self._windowed(["merchant_id"], 5, success=True, amount=amount), merchant_sink),
             Stage("merchant_spike", self._merchant_history,
-                  alerts("merchant_spike", lambda r: rules.merchant_spike_alerts(_history(r), cfg)), 3, timers=True),
+                  alerts("merchant_spike", lambda r: rules.merchant_spike_alerts(_history(r), now())), 3, timers=True),
             Stage("transaction_count", lambda: self._windowed([], 1, n=n),
                   metrics("transaction_count", minute_metric(mt.TRANSACTION_COUNT))),
             Stage("transaction_amount", lambda: self._windowed([], 5, success=True, amount=amount),
@@ -293,19 +312,19 @@ class RiskStream:
             "failed", same_text(F.col("transaction_status"), "FAILED")
         )
         rows = rows.select("user_id", "arrival_seq", "failed", *rules.EVENT_COLUMNS).withColumn("amount", F.col("amount").cast("string"))
-        return state.failure_runs(rows, self.cfg.rules.consecutive_failures)
+        return state.failure_runs(rows, self._least(self.cfg.rules.consecutive_failures))
 
     def _user_history(self) -> DataFrame:
         rows = prepare.successful_payments(self._stream("on_time", _EVENT))
         rows = rows.select("user_id", "arrival_seq", *rules.EVENT_COLUMNS, state.cents().alias("cents")).drop("amount")
         return state.amount_history(
-            rows, "user_id", "arrival_seq", self.cfg.rules.user_spike_min_samples, state.USER_MEAN_TTL_MS
+            rows, "user_id", "arrival_seq", self._least(self.cfg.rules.user_spike_min_samples), state.USER_MEAN_TTL_MS
         )
 
     def _merchant_history(self) -> DataFrame:
         rows = self._stream("merchant_windows", _MERCHANT_WINDOW)
         return state.amount_history(
-            rows, "merchant_id", "window_end", self.cfg.rules.merchant_spike_min_windows, state.MERCHANT_MEAN_TTL_MS
+            rows, "merchant_id", "window_end", self._least(self.cfg.rules.merchant_spike_min_windows), state.MERCHANT_MEAN_TTL_MS
         )
 
     def start(self, stage: Stage, every: int | None = None) -> StreamingQuery:
