@@ -121,9 +121,10 @@ def _ship(parts: list[Probes], buckets: int, later: bool) -> Iterator[pa.RecordB
     sizes = np.diff(np.r_[starts, len(keys)])
     low = np.minimum.reduceat(ids, starts)
     known = ids > np.repeat(low, sizes) if later else np.repeat(np.maximum.reduceat(ids, starts) > low, sizes)
+    settled = np.zeros(len(starts), bool) if later else known[starts]
+    known = known if later else known & marks
     # a known answer travels with the bucket of its part of the documents
     rows = [(part, True, who, found, None, None) for part, who, found in answers_by_part(ids[known], keys[known], buckets)]
-    settled = np.zeros(len(starts), bool) if later else known[starts]
     marked = np.zeros(len(starts), bool) if marks is None else np.maximum.reduceat(marks, starts)
     keys = keys[starts]
     checks = None if checks is None else checks[starts]
@@ -164,8 +165,8 @@ def _answer(blocks: list[tuple], bucket: int, buckets: int, later: bool) -> Iter
     if later:
         reply = ids > np.repeat(low, sizes)
     else:
-        shared = (np.maximum.reduceat(ids, starts) > low) & np.maximum.reduceat(marks[:, 1], starts)
-        reply = np.repeat(shared, sizes) & ~marks[:, 0]
+        shared = np.maximum.reduceat(ids, starts) > low
+        reply = np.repeat(shared, sizes) & ~marks[:, 0] & marks[:, 1]
     found = keys[reply]
     if not wide:
         found = found.astype(np.uint64) * np.uint64(buckets) + np.uint64(bucket)
@@ -179,9 +180,9 @@ def shared_values(
 
     ``probe`` turns a batch of ``rows`` into probes.  With ``later``, a value is
     answered to every document but the smallest that holds it, and two values
-    are equal if their further bits are, too.  Otherwise a value is answered to all its
-    documents if at least two hold it and, where they are in different blocks,
-    one of them has marked it; then only ``key_bits`` bits of a value count.
+    are equal if their further bits are, too.  Otherwise a value that at least two
+    documents hold is answered to those that have marked it; then only
+    ``key_bits`` bits of a value count.
     """
     def ship(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts, n = [], 0

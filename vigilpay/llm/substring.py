@@ -2,10 +2,10 @@
 
 A window is 13 consecutive words.  Every document is cut into non-overlapping
 blocks of 7 words, which are the index; every rolling run of 7 words probes it.
-A window holds a whole block of its document wherever it begins, so two
-documents that share a window meet at an anchor.  Around the anchors, windows
-are compared as wholes (96-bit hashes), and runs of equal windows are the
-maximal exact repeats.  A word goes if a window over it also begins in a
+A window holds one whole block of its own document wherever it begins, and if
+another document has the window, one of its probes finds that block.  Around the
+blocks that were found, the anchors, windows are compared as wholes (96-bit
+hashes), and runs of equal windows are the maximal exact repeats.  A word goes if a window over it also begins in a
 document with a smaller id.
 
 The text is read twice and shuffled once, by document.  Anchors and windows are
@@ -83,13 +83,15 @@ def _window_probe(window: int, bits: int):
         found = batch.column(2)
         for lo, hi, words in _texts(batch, 1, window, second=True):
             at, keys = words.anchors(bits)
+            own = (at - words.first[words.doc[at]]) % words.block == 0
+            at, keys = at[own], keys[own]
             hit = np.zeros(len(words.doc) + 1, np.int64)
             cuts = np.searchsorted(at, words.first)
             for i in range(hi - lo):
                 a, b = cuts[i], cuts[i + 1]
                 if b > a:
                     hit[at[a:b]] = np.isin(keys[a:b], np.frombuffer(found[lo + i].as_py(), np.uint64))
-            # hits before each place; a window is looked at if a block inside it is a hit
+            # hits before each place; a window is looked at if the block inside it is a hit
             before = np.r_[0, np.cumsum(hit)]
             begins = words.windows()
             begins = begins[before[begins + words.window - words.block + 1] > before[begins]]
