@@ -354,17 +354,20 @@ def repeated_strings(docs: DataFrame) -> DataFrame:
     return by_document(shipped.mapInArrow(answer, "part int, ids binary, found binary"), 2)
 
 
-def removed_bytes(text: bytes, found: bytes) -> np.ndarray:
-    """Which bytes of a text go, from what was found for its segments."""
-    data = np.frombuffer(text, np.uint8)
-    both = np.frombuffer(found, np.uint64).reshape(-1, 2)
+def removed_bytes(data: np.ndarray, offsets: np.ndarray, found: list[bytes]) -> np.ndarray:
+    """Which bytes of some texts, laid end to end, go, from what was found for the segments of each."""
+    both = np.concatenate([np.frombuffer(f, np.uint64).reshape(-1, 2) for f in found])
+    # an answer holds for its own document: the document is part of the key
+    own = mix(np.arange(1, len(found) + 1, dtype=np.uint64))
+    both[:, 0] += np.repeat(own, [len(f) // 16 for f in found])
     both = both[np.argsort(both[:, 0], kind="stable")]
     heads = np.flatnonzero(np.r_[True, both[1:, 0] != both[:-1, 0]])
     keys, strings = both[heads, 0], np.bitwise_or.reduceat(both[:, 1], heads)
-    _, begins, counts, _ = segments(data, np.array([0, len(data)]))
-    hashes = span_hashes(prefix_sums(data), begins, begins + counts + LENGTH - 1)
+    doc, begins, counts, _ = segments(data, offsets)
+    hashes = span_hashes(prefix_sums(data), begins, begins + counts + LENGTH - 1) + own[doc]
     at = np.minimum(np.searchsorted(keys, hashes), len(keys) - 1)
-    bits = np.where(keys[at] == hashes, strings[at], np.uint64(0))
+    hit = np.flatnonzero(keys[at] == hashes)
+    begins, counts, bits = begins[hit], counts[hit], strings[at[hit]]
     starts, nth = ragged(begins, counts), ragged(np.zeros(len(counts), np.int64), counts)
     gone = (np.repeat(bits, counts) >> nth.astype(np.uint64)) & np.uint64(1)
     return covered(len(data), starts[gone.astype(bool)], LENGTH)
@@ -382,16 +385,23 @@ def repeat_report(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = text_bytes(batch.column(1))
-            raw, found, rows = data.tobytes(), batch.column(2), []
-            for i in range(batch.num_rows):
-                own = raw[offsets[i] : offsets[i + 1]]
-                if not found[i].is_valid:
-                    rows.append((len(own), 0, 0, hashlib.sha256(own).hexdigest()))
-                    continue
-                gone = removed_bytes(own, found[i].as_py())
-                spans = int((gone & ~np.r_[False, gone[:-1]]).sum())
-                kept = np.frombuffer(own, np.uint8)[~gone].tobytes()
-                rows.append((len(own), int(gone.sum()), spans, hashlib.sha256(kept).hexdigest()))
+            found, rows = batch.column(2), []
+            asked = found.is_valid().to_numpy(zero_copy_only=False)
+            for lo, hi in chunks(offsets, CHUNK_BYTES // 2):
+                own = [data[offsets[i] : offsets[i + 1]] for i in range(lo, hi)]
+                some = [i for i in range(lo, hi) if asked[i]]
+                if some:
+                    laid = np.concatenate([own[i - lo] for i in some])
+                    places = np.cumsum([0] + [len(own[i - lo]) for i in some])
+                    all_gone = removed_bytes(laid, places, [found[i].as_py() for i in some])
+                    cuts = {i: all_gone[a:b] for i, a, b in zip(some, places, places[1:])}
+                for i, text in zip(range(lo, hi), own):
+                    if not asked[i]:
+                        rows.append((len(text), 0, 0, hashlib.sha256(text).hexdigest()))
+                        continue
+                    gone = cuts[i]
+                    spans = int((gone & ~np.r_[False, gone[:-1]]).sum())
+                    rows.append((len(text), int(gone.sum()), spans, hashlib.sha256(text[~gone]).hexdigest()))
             columns = list(zip(*rows)) if rows else [[]] * 4
             kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string()]
             yield pa.RecordBatch.from_arrays(
