@@ -232,3 +232,56 @@ def test_lm_target_is_bounded_and_empty_tables_pass(spark):
     assert lm.score(empty, lm.fit(empty, none)).collect() == []
     docs = cases.documents(spark)
     assert lm.score(docs, lm.fit(docs, none)).count() == docs.count()
+
+
+def test_lm_uses_every_word_bigram_and_target_document(spark):
+    # more words and bigrams and labelled documents than a model of bounded size holds
+    import random
+
+    r = random.Random(8)
+    rows = [(1000 + i, " ".join(f"w{r.randrange(45000)}" for _ in range(26)), "en", "s", 1) for i in range(22000)]
+    rows += [r for r in cases.odd_rows() if r[0] is not None]
+    target = {r[0] for r in rows if r[0] >= 1000 and r[0] % 50} | {1, 2, 3, 40}
+    labels = spark.createDataFrame([(i, 1) for i in target] + [(None, 1), (1, 1), (5, 0)], "doc_id long, quality int")
+    docs = cases.clashing(cases.documents(spark, rows + [(None, "w1 w2", "en", "s", 1)]))
+    assert len(target) > lm.TARGET_ROWS
+    texts = [(r[0], (r[1] or "").lower().split()) for r in rows] + [(None, ["w1", "w2"])]
+    models = []
+    for some in ([x for x in texts if x[0] in target], texts):
+        pairs = Counter(p for _, ws in some for p in zip(["<s>", *ws], ws))
+        ones, after = Counter(w for _, ws in some for w in ws), Counter()
+        for (a, _), n in pairs.items():
+            after[a] += n
+        models.append((pairs, ones, after, sum(ones.values()) + len({w for _, ws in texts for w in ws}) + 1))
+
+    def loss(ws, pairs, ones, after, size):
+        probability = lambda a, b: (pairs[a, b] + lm.PRIOR * (ones[b] + 1) / size) / (after[a] + lm.PRIOR)
+        return -sum(math.log(probability(a, b)) for a, b in zip(["<s>", *ws], ws)) / len(ws)
+
+    expected = {i: (len(ws), *[loss(ws, *m) if ws else None for m in models]) for i, ws in texts}
+    assert len(models[1][1]) > lm.MOST_WORDS and len(models[1][0]) > lm.MOST_BIGRAMS
+    got = lm.cross_entropy_difference(docs, labels, "quality = 1").collect()
+    assert len(got) == len(rows) + 1
+    for r in got:
+        n, t, b = expected[r["doc_id"]]
+        assert r["n_tokens"] == n
+        if n:
+            assert r["target_loss"] == pytest.approx(t, rel=1e-9) and r["background_loss"] == pytest.approx(b, rel=1e-9)
+            assert r["score"] == pytest.approx(t - b, abs=1e-9)
+        else:
+            assert r["target_loss"] is None and r["score"] is None
+
+
+def test_lm_blocks_change_nothing(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    docs = cases.documents(spark).filter("doc_id IS NOT NULL").coalesce(1)
+    labels = docs.select("doc_id", F.expr("1").alias("quality")).filter("doc_id % 3 = 0")
+    whole = cases.rows_of(lm.cross_entropy_difference(docs, labels, "quality = 1"))
+    monkeypatch.setattr(lm, "BLOCK", 50)
+    parts = cases.rows_of(lm.cross_entropy_difference(docs, labels, "quality = 1"))
+    assert [r[:2] for r in parts] == [r[:2] for r in whole]
+    assert all(a[4] == pytest.approx(b[4]) for a, b in zip(parts, whole) if a[4] is not None)
+    empty = cases.documents(spark, [])
+    assert lm.cross_entropy_difference(empty, labels, "quality = 1").collect() == []
+    assert lm.cross_entropy_difference(docs, labels, "quality = 0").count() == docs.count()
