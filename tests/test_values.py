@@ -7,6 +7,7 @@ from vigilpay.config import stream_config
 from vigilpay.functions.ids import name_uuid
 from vigilpay.functions.scores import risk_score
 from vigilpay.operators import alerts, aml, dashboard, extensions as ext, rules
+from vigilpay.plans import catalog
 from vigilpay.sources import files, kafka
 
 GOLDEN_IDS = {
@@ -139,6 +140,13 @@ def test_csv_skip_and_limit(spark, tmp_path):
     assert sorted(map(tuple, got.collect())) == rows[40:65]
 
 
+def test_csv_query_returns_the_whole_file(spark, monkeypatch):
+    rows = [tuple(f"{n}{i:03d}" for n in schemas.AML_ROW.names) for i in range(300)]
+    monkeypatch.setattr(catalog.adapter, "aml_rows", lambda *_: spark.createDataFrame(rows, schemas.AML_ROW))
+    assert sorted(map(tuple, catalog.QUERIES["source_aml_csv"](spark, "").collect())) == rows
+    assert sorted(map(tuple, catalog.QUERIES["source_aml_csv_part"](spark, "").collect())) == rows[100:]
+
+
 def test_aml_numbers(spark):
     texts = ["5d", "nan", "inf", "-Infinity", "1e400", " 12.5 ", "-3", ".5", "1e3", "0x10", "", None, "7."]
     got = spark.createDataFrame([(t,) for t in texts], "t string").select(aml.parse_float(F.col("t"))).collect()

@@ -131,10 +131,18 @@ def _(spark, sf):
 
 @query("source_aml_csv")
 def _(spark, sf):
+    path = session.new_dir(spark, "aml_csv")
+    files.write_aml_csv(adapter.aml_rows(spark, sf), path)
+    rows = files.read_aml_csv(spark, path)
+    return rows.select(*[F.coalesce(F.col(c), F.lit("")).alias(c) for c in rows.columns])
+
+
+@query("source_aml_csv_part")
+def _(spark, sf):
+    """A part of the file, as a conversion that is picked up in the middle reads it."""
     path = session.new_dir(spark, "aml_csv")
     rows = adapter.aml_rows(spark, sf)
     files.write_aml_csv(rows.orderBy(*rows.columns), path)
-    # a part of the file, as a conversion that is picked up in the middle reads it
     rows = files.read_aml_csv(spark, path, skip=100, limit=5000)
     return rows.select(*[F.coalesce(F.col(c), F.lit("")).alias(c) for c in rows.columns])
 

@@ -532,7 +532,8 @@ def _aml(columns: str) -> str:
     return f"WITH {_AML.strip()}\nSELECT from_account, to_account, to_bank, {columns} FROM amlsrc"
 
 
-ORACLE["source_aml_csv"] = f"WITH {_AML.strip()}\nSELECT * FROM amlsrc ORDER BY ALL LIMIT 5000 OFFSET 100"
+ORACLE["source_aml_csv"] = f"WITH {_AML.strip()}\nSELECT * FROM amlsrc"
+ORACLE["source_aml_csv_part"] = f"WITH {_AML.strip()}\nSELECT * FROM amlsrc ORDER BY ALL LIMIT 5000 OFFSET 100"
 ORACLE["stable_hash"] = _aml(f"{_hash('from_account', 16)} AS hash16, {_hash('to_bank', 24)} AS hash24")
 ORACLE["stable_int"] = _aml(f"{_int('from_account', 240)} AS mod240, {_int('to_account', 1000)} AS mod1000")
 ORACLE["parse_bool"] = _aml(
