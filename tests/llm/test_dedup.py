@@ -236,3 +236,18 @@ def test_empty_tables_and_clashing_names(spark):
     cut = substring.remove_repeats(named, "body", "key")
     assert cut.columns == named.columns
     assert cases.rows_of(cut) == cases.rows_of(substring.remove_repeats(docs))
+
+
+def test_a_settled_value_is_shared_for_a_repeated_id():
+    # documents 1 and 5 share the value in one block; another row of 1, in another block, asks for it
+    key, buckets = np.uint64(12), 4
+    marked = lambda *m: np.array(m, bool)
+    shipped = []
+    for ids, marks in (([1, 5], marked(False, True)), ([1], marked(True))):
+        part = (np.array(ids), np.full(len(ids), key), None, marks)
+        for batch in exchange._ship([part], buckets, later=False):
+            shipped += [r for r in batch.to_pylist() if not r["known"]]
+    blocks = [(r["ids"], r["keys"], r["checks"], r["marks"]) for r in shipped]
+    told = lambda some: [exchange.unpack_ids(ids).tolist() for _, ids, _ in exchange._answer(some, 0, buckets, later=False)]
+    assert told(blocks) == [[1]]
+    assert told(blocks[1:]) == []

@@ -165,7 +165,8 @@ def _answer(blocks: list[tuple], bucket: int, buckets: int, later: bool) -> Iter
     if later:
         reply = ids > np.repeat(low, sizes)
     else:
-        shared = np.maximum.reduceat(ids, starts) > low
+        # a settled row stands for several documents of its block
+        shared = (np.maximum.reduceat(ids, starts) > low) | np.logical_or.reduceat(marks[:, 0], starts)
         reply = np.repeat(shared, sizes) & ~marks[:, 0] & marks[:, 1]
     found = keys[reply]
     if not wide:
