@@ -25,6 +25,14 @@ R007 = Rule("R007", "用户交易金额突增", "MEDIUM", "当前交易金额超
 R008 = Rule("R008", "商户收款突增", "HIGH", "同一商户5分钟收款金额超过历史5分钟平均水平3倍")
 # ---------------------------------------------------------------------------
 
+# --- fixed values: how long state of a key is kept after its last write (ids: after the first sight), in microseconds ---
+HOUR_US = 3_600_000_000
+DEDUP_TTL_US = 24 * HOUR_US
+FAILURE_TTL_US = 6 * HOUR_US
+USER_MEAN_TTL_US = 30 * 24 * HOUR_US
+MERCHANT_MEAN_TTL_US = 14 * 24 * HOUR_US
+# --------------------------------------------------------------------------------------------------------------------------
+
 RULE_IDS = [r.rule_id for r in (R001, R002, R003, R004, R005, R006, R007, R008)]
 
 
@@ -94,6 +102,10 @@ class StreamConfig:
     #: (version, rule_id, threshold) and black devices (device_id).
     rule_table: str = ""
     device_list: str = ""
+    #: With a cool-down, alerts not too near to another of their rule and key
+    #: also go to this folder (by default beside the alerts).
+    cooldown_minutes: int = 0
+    cooled_output: str = ""
     rules: RuleConfig = field(default_factory=RuleConfig)
 
 

@@ -29,6 +29,9 @@ def _shape(hits: DataFrame, rule: Rule, given: dict[str, Column]) -> DataFrame:
         "risk_level": F.lit(rule.level), "reason": F.lit(rule.reason),
     }
     given = {**constant, **given}
+    if "rule_version" in hits.columns:
+        version = F.create_map(F.lit("rule_version"), F.col("rule_version").cast("string"))
+        given["evidence"] = F.map_concat(given["evidence"], version)
     return hits.select(
         *[given.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in ALERT.fields]
     )

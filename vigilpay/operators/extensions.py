@@ -2,17 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from vigilpay import config
 from vigilpay.config import RULE_IDS, RuleConfig
-from vigilpay.operators import rules, windows
+from vigilpay.operators import rules, scans, windows
 from vigilpay.operators.alerts import alert_event_time, upsert
 from vigilpay.operators.prepare import successful_payments
 from vigilpay.functions.times import minute_of
+from vigilpay.session import stage
 
 _WINDOW_RULES = [
     # rule, key, window minutes
@@ -72,36 +70,30 @@ def blacklist_join(
     return events.filter(F.col("is_black_device") | F.col("is_black_card"))
 
 
-def alert_cooldown(alerts: DataFrame, minutes: int = 10) -> DataFrame:
-    """Alerts that are not within ``minutes`` after an emitted alert of the same rule and key.
-
-    Which alert comes next depends on the one before, so each key is followed in
-    order of time: rows arrive sorted and only the last emitted time is held,
-    never a key's alerts.  Of the alerts, id and time alone make the trip.
-    """
+def follows_key() -> Column:
+    """What an alert's cool-down is kept by: its rule and the key the rule follows."""
     # a window alert fills only the key its rule counts by; event rules follow
     # the user, except the device rule
     key = F.when(F.col("rule_id") == "R006", F.col("device_id")).otherwise(
         F.coalesce("user_id", "device_id", "card_id", "merchant_id")
     )
-    period = minutes * 60_000_000
-    follows = ["_follow", "_us", "_id"]
-
-    def emitted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        current, last = None, 0
-        for batch in batches:
-            ids = []
-            for follow, us, alert_id in zip(*(c.to_pylist() for c in batch.columns)):
-                if follow != current or us - last >= period:
-                    current, last = follow, us
-                    ids.append(alert_id)
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.string())], names=["_emitted"])
-
-    timed = alerts.select(
-        F.concat_ws("|", "rule_id", key).alias("_follow"), F.unix_micros("alert_time").alias("_us"), F.col("alert_id").alias("_id")
-    )
-    passed = timed.repartition("_follow").sortWithinPartitions(*follows).mapInArrow(emitted, "_emitted string")
-    return alerts.join(passed, F.col("alert_id") == F.col("_emitted"), "left_semi")
+    return F.concat_ws("|", "rule_id", key)
+
+
+def alert_cooldown(alerts: DataFrame, minutes: int = 10) -> DataFrame:
+    """Alerts that are not within ``minutes`` after an emitted alert of the same rule and key.
+
+    Of alerts of a rule and key at one time, that with the smallest id counts.
+    Of the alerts, key, time and id alone are worked on
+    (``scans.spaced_after_first``), and a key with any share of all alerts is
+    spread over all tasks.
+    """
+    timed = alerts.select(follows_key().alias("key"), F.unix_micros("alert_time").alias("at"), "alert_id")
+    points = stage(timed.groupBy("key", "at").agg(F.min("alert_id").alias("alert_id")), "alert-times")
+    first = points.groupBy("key").agg(F.min(F.struct("at", "alert_id"))["alert_id"].alias("alert_id")).select("alert_id")
+    again = scans.spaced_after_first(points.select("key", "at"), minutes * 60_000_000)
+    emitted = first.unionByName(again.join(points, ["key", "at"]).select("alert_id"))
+    return alerts.join(emitted, "alert_id", "left_semi")
 
 
 def feature_stream(alerts: DataFrame) -> DataFrame:

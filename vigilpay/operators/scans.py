@@ -14,6 +14,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from vigilpay.session import stage
+
 # 65,536 arrivals per block; 4,096 blocks per group of blocks.
 BLOCK_BITS = 16
 GROUP_BITS = 12
@@ -23,6 +25,8 @@ HOT_ROWS = 1 << 20
 # than 1/50,000 of all rows, and the list stays small enough to broadcast.
 HOT_KEYS = 50_000
 HOT_BLOCK_BITS = 20
+# Rows of a key that share a cell of time, if the key's rows are spread evenly over it.
+CELL_ROWS = 1 << 16
 
 _START = Window.unboundedPreceding
 
@@ -108,6 +112,34 @@ def split_hot(
     return everything.drop("_hot"), hot_rows.drop("_hot")
 
 
+def segmented_before(
+    stretches: DataFrame, key: str, block: str, reset: str, values: list[str], cut: str | None = None
+) -> DataFrame:
+    """What every stretch of a key starts with: the sums of ``values`` since the last reset before it.
+
+    A stretch has a flag, whether anything in it resets, and for each value the
+    sum after its last reset (over all of it if there is none).  Two neighbours
+    combine to (f or g, w if g else v + w), which is associative, so a run may
+    reach over any number of stretches.  ``cut`` flags stretches that begin
+    anew: they reset and start with nothing.  One row per stretch goes in.
+    """
+    by_key = Window.partitionBy(key).orderBy(block)
+    flag = F.col(reset) if cut is None else F.col(reset) | F.col(cut)
+    rows = stretches.withColumn("_run", F.sum(flag.cast("int")).over(by_key.rowsBetween(_START, 0)))
+    in_run = Window.partitionBy(key, "_run").orderBy(block).rowsBetween(_START, 0)
+    for value in values:
+        rows = rows.withColumn(value, F.sum(value).over(in_run))
+    before = {value: F.lag(value).over(by_key) for value in values}
+    if cut is not None:
+        before = {value: F.when(~F.col(cut), column) for value, column in before.items()}
+    return rows.select(key, block, *[column.alias(value) for value, column in before.items()])
+
+
+def gap_above(clock: str, limit_us: int, order: Window) -> Column:
+    """Whether more than ``limit_us`` passed since the row before; never at the first row of ``order``."""
+    return F.coalesce(F.col(clock) - F.lag(clock).over(order) > F.lit(limit_us), F.lit(False))
+
+
 def ranks_picked(
     rows: DataFrame, levels: list[Column], every: int | Column, first: int | Column, limit: int
 ) -> DataFrame:
@@ -148,3 +180,68 @@ def ranks_picked(
         else:
             cells = cells.select(*names, (F.col("_below") + 1).alias("_rank"))
     return cells
+
+
+def _next_points(points: DataFrame, spacing: int, cell_rows: int) -> DataFrame:
+    """``key``, ``at``, ``prev`` and ``next``: the point before, and the first at least ``spacing`` later.
+
+    Only of keys that span ``spacing``.  A key's time is cut into cells, the more
+    the more points it has.  Where a point looks (``spacing`` later) is put into
+    the cell it falls in, and meets the points there; if none follows in the
+    cell, the answer is the first point of the next cell that has any.
+    """
+    spans = points.groupBy("key").agg(F.min("at").alias("lo"), F.max("at").alias("hi"), F.count(F.lit(1)).alias("n"))
+    # cells so wide that an even key has ``cell_rows`` points in each, but none wider than the spacing
+    even = F.expr(f"CAST((hi - lo) DIV greatest(1L, n DIV {cell_rows}L) AS BIGINT)")
+    width = F.greatest(F.lit(1).cast("bigint"), F.least(even, F.lit(spacing).cast("bigint"))).alias("width")
+    long = spans.filter(F.col("hi") - F.col("lo") >= spacing).select("key", width)
+    placed = stage(points.join(long, "key").select("key", "at", "width"), "points")
+    cell = lambda t: F.expr(f"CAST(({t} - pmod({t}, width)) DIV width AS BIGINT)")
+    own = placed.select("key", cell("at").alias("cell"), F.col("at").alias("t"), F.lit(0).alias("looks"), F.col("at").alias("of"))
+    looks = placed.withColumn("t", F.col("at") + F.lit(spacing)).select("key", cell("t").alias("cell"), "t", F.lit(1).alias("looks"), F.col("at").alias("of"))
+    both = own.unionByName(looks)
+    is_point = F.col("looks") == 0
+    cells = both.groupBy("key", "cell").agg(F.min(F.when(is_point, F.col("t"))).alias("first"), F.max(F.when(is_point, F.col("t"))).alias("last"))
+    by_key = Window.partitionBy("key")
+    cells = cells.select(
+        "key", "cell",
+        F.last("last", ignorenulls=True).over(_before(by_key.orderBy("cell"))).alias("before"),
+        F.last("first", ignorenulls=True).over(_before(by_key.orderBy(F.desc("cell")))).alias("after"),
+    )
+    inside = Window.partitionBy("key", "cell").orderBy(F.desc("t"), "looks").rowsBetween(_START, 0)
+    follows = F.last(F.when(is_point, F.col("t")), ignorenulls=True).over(inside)
+    upward = Window.partitionBy("key", "cell", "looks").orderBy("t")
+    found = both.withColumn("follows", follows).withColumn("precedes", F.lag("t").over(upward)).join(cells, ["key", "cell"])
+    prev, following = F.coalesce("precedes", "before"), F.coalesce("follows", "after")
+    return found.groupBy("key", F.col("of").alias("at")).agg(
+        F.max(F.when(is_point, prev)).alias("prev"), F.max(F.when(~is_point, following)).alias("next")
+    )
+
+
+def spaced_after_first(points: DataFrame, spacing: int, cell_rows: int = CELL_ROWS) -> DataFrame:
+    """The points taken beyond the first of each key, if none is taken within ``spacing`` after another.
+
+    ``points`` are distinct pairs of ``key`` and ``at`` (a bigint).  Which point
+    is taken depends on the one taken before, yet no key is followed row by
+    row.  A point that comes ``spacing`` or more after the point before it is
+    always taken, so chains begin there.  From each point to the next that could
+    be taken after it there is one step; steps are doubled round by round, and
+    the chains grow to 2, 4, 8, ... points until a round adds none: about log2
+    of the longest chain rounds, in which a key of any size is spread over all
+    tasks.  Cells hold a bounded number of points where a key's points are even
+    in time, and never more than there are distinct times in a cell.
+    """
+    steps = stage(_next_points(points, spacing, cell_rows), "steps")
+    begins = F.col("prev").isNull() | (F.col("at") - F.col("prev") >= spacing)
+    taken = steps.filter(begins).select("key", "at", F.col("prev").isNull().alias("is_first"))
+    taken = stage(taken, "taken")
+    jumps, known = steps.filter("next IS NOT NULL").select("key", "at", "next"), taken.count()
+    while True:
+        reached = taken.join(jumps, ["key", "at"]).select("key", F.col("next").alias("at"), F.lit(False).alias("is_first"))
+        taken = stage(taken.unionByName(reached).groupBy("key", "at").agg(F.max("is_first").alias("is_first")), "taken")
+        now = taken.count()
+        if now == known:
+            return taken.filter("NOT is_first").select("key", "at")
+        known = now
+        ahead = jumps.select("key", F.col("at").alias("next"), F.col("next").alias("beyond"))
+        jumps = stage(jumps.join(ahead, ["key", "next"]).select("key", "at", F.col("beyond").alias("next")), "jumps")

@@ -7,12 +7,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from vigilpay import schemas, session
-from vigilpay.config import stream_config
+from vigilpay import config, schemas, session
+from vigilpay.config import RuleConfig, stream_config
 from vigilpay.functions import ids, times
 from vigilpay.operators import (
-    alerts as al, aml, dashboard as dash, extensions as ext, metrics as mt, prepare, rules,
-    scans, serving, validate, windows,
+    alerts as al, aml, dashboard as dash, extensions as ext, metrics as mt, prepare, replay, rules,
+    scans, serving, validate, versions, windows,
 )
 from vigilpay.sources import adapter, files, kafka
 from vigilpay.streaming import job
@@ -236,6 +236,45 @@ def _(spark, sf):
     return ext.late_replay(good, behind, known).select("alert_id", "rule_id", "window_start", "evidence")
 
 
+def _late_and_not(spark, sf):
+    flagged = session.stage(prepare.flag_late(arrivals(spark, sf)), "flagged")
+    return flagged.filter(~F.col("is_late")).drop("is_late"), flagged.filter("is_late").drop("is_late")
+
+
+@query("late_replay_users")
+def _(spark, sf):
+    """The two rules that follow a user, taken up where a late event belongs."""
+    good, behind = _late_and_not(spark, sf)
+    cfg, hot = RuleConfig(consecutive_failures=2), session.stage(_hot_users(spark, sf), "hot-users")
+    known = rules.r005_consecutive_failure(good, cfg, hot).unionByName(rules.r007_user_amount_spike(good, cfg, hot))
+    known = session.stage(known, "alerts")
+    done = replay.replay_payments(good, behind, replay.replay_failures(good, behind, known, cfg, hot), cfg, hot)
+    return done.select("alert_id", "rule_id", "event_id", "user_id", "evidence")
+
+
+def _replayed(spark, sf):
+    good, behind = _late_and_not(spark, sf)
+    hot = session.stage(_hot_users(spark, sf), "hot-users")
+    amounts = session.stage(windows.merchant_window_amount(prepare.successful_payments(good)), "merchant-windows")
+    known = session.stage(rules.risk_alerts(good, hot_users=hot, merchant_windows=amounts), "alerts")
+    after = session.stage(replay.replay_alerts(good, behind, known, amounts, hot=hot), "alerts-replayed")
+    return good, behind, amounts, known, after
+
+
+@query("late_replay_all")
+def _(spark, sf):
+    """All alerts as if no event had been late, withdrawn ones gone."""
+    return _replayed(spark, sf)[-1].select("alert_id", "rule_id", "event_id", "window_start", "evidence")
+
+
+@query("metric_replay")
+def _(spark, sf):
+    """All metrics as if no event had been late, from stored ones and differences."""
+    good, behind, amounts, known, after = _replayed(spark, sf)
+    stored = session.stage(mt.realtime_metrics(good, known, amounts), "metrics")
+    return replay.metric_replay(stored, behind, known, after)
+
+
 @query("publish_keyed")
 def _(spark, sf):
     events = arrivals(spark, sf)
@@ -393,6 +432,46 @@ query("merchant_window_amount")(merchant_windows)
 query("risk_alerts")(alerts)
 
 
+# --- state that is forgotten ------------------------------------------------------------
+
+def _clocked(events: DataFrame, seconds: int) -> DataFrame:
+    """Arrivals so many seconds apart by the clock; in the table itself all come within minutes."""
+    return events.withColumn("clock_us", F.col("arrival_seq") * F.lit(seconds * 1_000_000) + F.lit(adapter.EPOCH_US))
+
+
+@query("r005_consecutive_failure_ttl")
+def _(spark, sf):
+    """Two failures in a row, no more than six hours apart."""
+    events = _clocked(on_time(spark, sf), 20)
+    cfg = RuleConfig(consecutive_failures=2)
+    return rules.r005_consecutive_failure(events, cfg, _hot_users(spark, sf), config.FAILURE_TTL_US)
+
+
+@query("r007_user_amount_spike_ttl")
+def _(spark, sf):
+    """Histories that end where a user pays nothing for more than thirty days."""
+    events = _clocked(on_time(spark, sf), 1500)
+    return rules.r007_user_amount_spike(events, hot=_hot_users(spark, sf), ttl_us=config.USER_MEAN_TTL_US)
+
+
+@query("r008_merchant_spike_ttl")
+def _(spark, sf):
+    """Events of minutes as if of years, so that merchants are silent for more than fourteen days."""
+    us = F.unix_micros("event_ts")
+    events = on_time(spark, sf).withColumn("event_ts", F.timestamp_micros((us - adapter.EPOCH_US) * 115_200 + adapter.EPOCH_US))
+    found = windows.merchant_window_amount(prepare.successful_payments(events))
+    return rules.r008_merchant_spike(found, ttl_us=config.MERCHANT_MEAN_TTL_US)
+
+
+@query("dedup_event_id_24h")
+def _(spark, sf):
+    """Ids that come again over weeks, one of them on a third of all arrivals."""
+    seq = F.col("arrival_seq")
+    again = F.when(seq % 3 == 0, "evt-hot").otherwise(F.concat(F.lit("evt-"), (seq % 997).cast("string")))
+    events = _clocked(arrivals(spark, sf).withColumn("event_id", again), 60)
+    return prepare.dedup(events, config.DEDUP_TTL_US).select("event_id", "arrival_seq", "user_id", "clock_us")
+
+
 @query("alert_id")
 def _(spark, sf):
     return arrivals(spark, sf).select(
@@ -597,6 +676,28 @@ def _(spark, sf):
     return found.select("alert_id", "rule_id", "evidence").withColumn("version", F.lit(cfg.version))
 
 
+def _rule_versions(spark, sf) -> DataFrame:
+    """Five versions of each rule, three minutes each, from the region keys; the device rule is off in every other one."""
+    key = F.col("r_regionkey").cast("double")
+    per_rule = {
+        "R001": key + 8, "R002": (key + 1) * 10000, "R003": key + 3, "R004": key + 2, "R005": key + 1,
+        "R006": key * 0, "R007": key + 3, "R008": key * 0.5 + 2,
+    }
+    rows = F.explode(F.array(*[F.struct(F.lit(r).alias("rule_id"), t.alias("threshold")) for r, t in per_rule.items()]))
+    start = F.timestamp_micros(F.lit(adapter.EPOCH_US) + F.col("r_regionkey").cast("bigint") * 180_000_000)
+    table = adapter.read_table(spark, sf, "region").select(F.col("r_regionkey").alias("version"), start.alias("valid_from"), rows.alias("r"))
+    on = (F.col("r.rule_id") != "R006") | (F.col("version") % 2 == 0)
+    return table.select("r.rule_id", "version", "r.threshold", "valid_from", on.alias("enabled"))
+
+
+@query("rules_by_time")
+def _(spark, sf):
+    """All eight rules, each row judged by the version that was valid at its time."""
+    return versions.alerts_by_version(staged(spark, sf), _rule_versions(spark, sf), hot=_hot_users(spark, sf)).select(
+        "alert_id", "rule_id", "event_id", "window_end", "evidence"
+    )
+
+
 @query("blacklist_join")
 def _(spark, sf):
     suppliers = adapter.read_table(spark, sf, "supplier")
@@ -611,7 +712,7 @@ def _(spark, sf):
 
 @query("alert_cooldown")
 def _(spark, sf):
-    return ext.alert_cooldown(alerts(spark, sf)).select("alert_id", "rule_id", "alert_time")
+    return ext.alert_cooldown(staged_alerts(spark, sf)).select("alert_id", "rule_id", "alert_time")
 
 
 # --- streaming -----------------------------------------------------------------------------------------
@@ -620,19 +721,42 @@ _BATCHES = 6
 _PREPARING = ["ingest", "route"]
 
 
-def _streamed(spark, sf, *runs: list[str]):
-    """The job over raw text that arrives in several micro-batches; ``runs`` name the stages of each run."""
+#: Rows of a source file.
+_FILE_ROWS = 2_000_000
+
+
+def _published(spark, held: str, source: str, steps: int):
+    """Move the files of a folder, which hold ranges of arrivals, to the source in some steps, as old as their order says."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    place = hadoop.Path(f"{held}/part-*")
+    system = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    files = sorted(system.globStatus(place), key=lambda f: f.getPath().getName())
+    newest = max(f.getModificationTime() for f in files)
+    system.mkdirs(hadoop.Path(source))
+    for step in range(steps):
+        for i in range(len(files) * step // steps, len(files) * (step + 1) // steps):
+            path = files[i].getPath()
+            system.setTimes(path, newest + 1000 * (i - len(files)), -1)
+            system.rename(path, hadoop.Path(f"{source}/{path.getName()}"))
+        yield step
+
+
+def _streamed(spark, sf, *runs: list[str], steps: int = 1, **options):
+    """The job over raw text that arrives in several micro-batches.
+
+    ``runs`` name the stages of each run; with more ``steps`` the text comes bit
+    by bit, and all runs follow each.
+    """
     root = session.new_dir(spark, "stream")
     lines = session.stage(adapter.raw_lines(spark, sf).select("value", "arrival_seq"), "stream_lines")
-    last = lines.agg(F.max("arrival_seq")).first()[0]
-    for i in range(_BATCHES):
-        # files of consecutive arrivals, each read as a micro-batch of its own
-        part = lines.filter(F.floor(F.col("arrival_seq") * _BATCHES / (last + 1)) == i)
-        part.coalesce(1).write.mode("append").parquet(f"{root}/source")
-    cfg = stream_config(root, max_files_per_trigger=16)
-    stream = job.RiskStream(spark, cfg, job.numbered_source(spark, f"{root}/source", max_files=1))
-    for names in runs:
-        stream.catch_up(names)
+    # files of consecutive arrivals, as many to a micro-batch as its size asks for
+    per_batch = max(1, -(-lines.count() // (_BATCHES * _FILE_ROWS)))
+    lines.repartitionByRange(_BATCHES * per_batch, "arrival_seq").write.parquet(f"{root}/held")
+    cfg = stream_config(root, **{"max_files_per_trigger": 16, **options})
+    stream = job.RiskStream(spark, cfg, job.numbered_source(spark, f"{root}/source", max_files=per_batch))
+    for _ in _published(spark, f"{root}/held", f"{root}/source", steps):
+        for names in runs:
+            stream.catch_up(names)
     return cfg
 
 
@@ -646,11 +770,39 @@ def _stream_rule(stage, *before):
 
 
 query("stream_user_frequency")(_stream_rule("user_frequency"))
+query("stream_user_amount")(_stream_rule("user_amount"))
+query("stream_device_users")(_stream_rule("device_users"))
+query("stream_card_users")(_stream_rule("card_users"))
+query("stream_black_device")(_stream_rule("black_device"))
 query("stream_consecutive_failure")(_stream_rule("consecutive_failure"))
 query("stream_user_spike")(_stream_rule("user_spike"))
 query("stream_merchant_spike")(_stream_rule("merchant_spike", "merchant_amount"))
 
 
+def _stream_metric(stage):
+    def run(spark, sf):
+        cfg = _streamed(spark, sf, [*_PREPARING, stage])
+        rows = spark.read.schema(schemas.METRIC_JSON).option("recursiveFileLookup", True).json(f"{cfg.metric_output}/{stage}")
+        return rows.drop("emit_time")
+
+    return run
+
+
+query("stream_transaction_count")(_stream_metric("transaction_count"))
+query("stream_transaction_amount")(_stream_metric("transaction_amount"))
+query("stream_channel_rate")(_stream_metric("channel_rate"))
+query("stream_merchant_amount")(_stream_metric("merchant_amount"))
+
+
+@query("stream_alert_cooldown")
+def _(spark, sf):
+    """Cooled alerts of three rules, over several runs of rules and cool-down."""
+    stages = [*_PREPARING, "user_amount", "black_device", "user_spike"]
+    cfg = _streamed(spark, sf, stages, ["alert_cooldown"], steps=3, cooldown_minutes=10)
+    rows = spark.read.schema(schemas.ALERT_JSON).option("recursiveFileLookup", True).json(f"{cfg.alert_output}-cooled")
+    return rows.select("alert_id", "rule_id", "window_end")
+
+
 @query("stream_late_events")
 def _(spark, sf):
     cfg = _streamed(spark, sf, _PREPARING)

@@ -209,6 +209,41 @@ _STORED = [*_ALERTS, "\nal AS (SELECT * FROM alerts)"]
 ORACLE["merchant_window_amount"] = _sql(
     "SELECT merchant_id, CAST(amount AS DOUBLE) AS amount, w * 60000 AS window_start, (w + 5) * 60000 AS window_end FROM mw",
     _RULE_CTES["R008"])
+
+# --- state that is forgotten: the clock runs so many seconds per arrival number -------------
+def _clock(seconds: int) -> str:
+    return f"(1704067200000000 + arrival_seq * {seconds} * 1000000)"
+
+
+_HOUR = 3_600_000_000
+ORACLE["r005_consecutive_failure_ttl"] = _sql(
+    _RULE_BODY["R005"].replace("n >= 5", "n >= 2").replace("'5'", "'2'"), f"""
+timed AS (SELECT *, {_clock(20)} - lag({_clock(20)}) OVER (PARTITION BY user_id ORDER BY arrival_seq) AS pause FROM ont),
+isl AS (SELECT *, sum((transaction_status <> 'FAILED' OR coalesce(pause, 0) > {6 * _HOUR})::INT)
+        OVER (PARTITION BY user_id ORDER BY arrival_seq) AS g FROM timed),
+runs AS (SELECT *, sum((transaction_status = 'FAILED')::INT) OVER (PARTITION BY user_id, g ORDER BY arrival_seq) AS n FROM isl)""")
+ORACLE["r007_user_amount_spike_ttl"] = _sql(_RULE_BODY["R007"], f"""
+timed AS (SELECT *, {_clock(1500)} - lag({_clock(1500)}) OVER (PARTITION BY user_id ORDER BY arrival_seq) AS pause FROM paid),
+parts AS (SELECT *, sum((coalesce(pause, 0) > {30 * 24 * _HOUR})::INT) OVER (PARTITION BY user_id ORDER BY arrival_seq) AS g FROM timed),
+hist AS (SELECT *, count(*) OVER prev AS n, sum(amount) OVER prev AS t FROM parts
+         WINDOW prev AS (PARTITION BY user_id, g ORDER BY arrival_seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))""")
+ORACLE["r008_merchant_spike_ttl"] = _sql(_RULE_BODY["R008"], f"""
+slow AS (SELECT merchant_id, amount, (1704067200000000 + (us - 1704067200000000) * 115200) // 60000000 AS m FROM paid),
+mw AS (SELECT merchant_id, w, sum(amount) AS amount FROM (SELECT merchant_id, amount, {_windows(5)} AS w FROM slow) GROUP BY 1, 2),
+gaps AS (SELECT *, (w - lag(w) OVER (PARTITION BY merchant_id ORDER BY w) > {14 * 24 * 60})::INT AS pause FROM mw),
+parts AS (SELECT *, sum(coalesce(pause, 0)) OVER (PARTITION BY merchant_id ORDER BY w) AS g FROM gaps),
+mh AS (SELECT *, count(*) OVER prev AS n, sum(amount) OVER prev AS t FROM parts
+       WINDOW prev AS (PARTITION BY merchant_id, g ORDER BY w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))""")
+ORACLE["dedup_event_id_24h"] = _sql(
+    "SELECT event_id, arrival_seq, user_id, clock AS clock_us FROM seen JOIN taken USING (event_id, clock)", f"""
+seen AS (SELECT CASE WHEN arrival_seq % 3 = 0 THEN 'evt-hot' ELSE 'evt-' || (arrival_seq % 997) END AS event_id,
+  arrival_seq, user_id, {_clock(60)} AS clock FROM arr)""", f"""
+nexts AS (SELECT event_id, clock, (SELECT min(b.clock) FROM seen b
+  WHERE b.event_id = a.event_id AND b.clock > a.clock + {24 * _HOUR}) AS following FROM seen a)""", """
+taken AS (SELECT event_id, min(clock) AS clock FROM seen GROUP BY 1
+  UNION ALL SELECT n.event_id, n.following FROM taken JOIN nexts n USING (event_id, clock) WHERE n.following IS NOT NULL)""",
+    base=_SRC).replace("WITH ", "WITH RECURSIVE ", 1)
+
 ORACLE["alert_id"] = _sql(
     f"SELECT arrival_seq, event_id, {_uuid('''concat_ws('|','R006',event_id)''')} AS event_alert_id, "
     f"{_uuid('''concat_ws('|','R008','商户',merchant_id)''')} AS key_alert_id FROM arr", base=_SRC)
@@ -272,6 +307,17 @@ def _replay() -> str:
 
 
 ORACLE["late_replay"] = _replay()
+# nothing is late: every first arrival counts
+_ALL_ON_TIME = _SRC + """,
+marked AS (SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY arrival_seq) AS nth FROM arr),
+ont AS (SELECT *, us // 60000000 AS m FROM marked WHERE nth = 1),
+paid AS (SELECT * FROM ont WHERE transaction_status = 'SUCCESS')"""
+_TWO = _RULE_BODY["R005"].replace("n >= 5", "n >= 2").replace("'5'", "'2'")
+ORACLE["late_replay_users"] = _sql(
+    f"SELECT alert_id, rule_id, event_id, user_id, evidence FROM ({_TWO} UNION ALL {_RULE_BODY['R007']})",
+    _RULE_CTES["R005"], _RULE_CTES["R007"], base=_ALL_ON_TIME)
+ORACLE["late_replay_all"] = _sql(
+    "SELECT alert_id, rule_id, event_id, window_start, evidence FROM alerts", *_ALERTS, base=_ALL_ON_TIME)
 ORACLE["publish_keyed"] = _sql(
     """SELECT CASE WHEN arrival_seq % 5 <> 0 THEN user_id WHEN arrival_seq % 7 <> 0 THEN device_id ELSE event_id END AS key,
     event_id, '2026-01-01T00:00:00Z' AS process_time FROM arr""", base=_SRC)
@@ -383,6 +429,8 @@ _ALL_METRICS = "\nUNION ALL\n".join([_M_COUNT, _M_AMOUNT, _M_RATE, _M_MERCHANT,
 ORACLE["realtime_metrics"] = _sql(_ALL_METRICS, *_ALERTS)
 ORACLE["metric_id"] = _sql(f"SELECT metric_id, metric_name, window_start, window_end FROM ({_ALL_METRICS})", *_ALERTS)
 
+ORACLE["metric_replay"] = _sql(_ALL_METRICS, *_ALERTS, base=_ALL_ON_TIME)
+
 # --- serving -----------------------------------------------------------------------------
 ORACLE["q_alert_volume_by_minute"] = _sql(
     "SELECT alert_time // 60000 * 60000 AS minute_bucket, count(*) AS alert_count FROM alerts GROUP BY 1 ORDER BY 1 DESC LIMIT 60",
@@ -592,19 +640,60 @@ ORACLE["rules_from_config"] = _sql(
     + _RULE_BODY["R001"].replace("n > 10", "n > 12").replace("'10'", "'12'") + " UNION ALL "
     + _RULE_BODY["R002"].replace("t > 20000", "t > 40000").replace("'20000.00'", "'40000.00'") + ")",
     _RULE_CTES["R001"], _RULE_CTES["R002"])
+
+
+def _by_time() -> str:
+    """The rules with their thresholds as functions of the version, three minutes each from the start."""
+    def version(ms: str) -> str:
+        return f"least(4, ({ms} - 1704067200000) // 180000)"
+
+    def window(minutes: int) -> str:
+        return version(f"((w + {minutes}) * 60000 - 1)")
+
+    def noted(body: str, old: str, new: str, shown: str, v: str) -> str:
+        # the threshold in the condition, in the evidence, and the version as its last entry
+        condition, text = old
+        body = body.replace(condition, new).replace(text, shown)
+        return body.replace("|| '}'", f"""|| ',"rule_version":"' || {v} || '"}}'""", 1)
+
+    now = version("(us // 1000)")
+    whole = lambda v, add: f"CAST({v} + {add} AS BIGINT)"
+    tenths = lambda v, a, b: f"CAST(({v} * {a} + {b}) AS DECIMAL(9,1))"
+    users = {"R003": ("dev", 3), "R004": ("crd", 2)}
+    bodies = [
+        noted(_RULE_BODY["R001"], ("n > 10", "'10'"), f"n > {whole(window(1), 8)}", whole(window(1), 8), window(1)),
+        noted(_RULE_BODY["R002"], ("t > 20000", "'20000.00'"), f"t > ({window(5)} + 1) * 10000",
+              f"(({window(5)} + 1) * 10000) || '.00'", window(5)),
+        *[noted(_RULE_BODY[r], (f"FROM {name}", "'5'" if r == "R003" else "'3'"),
+                f"FROM (SELECT * FROM {name} WHERE n > {whole(window(10), add)})", whole(window(10), add), window(10))
+          for r, (name, add) in users.items()],
+        noted(_RULE_BODY["R005"], ("n >= 5", "'5'"), f"n >= {whole(now, 1)}", whole(now, 1), now),
+        noted(_RULE_BODY["R006"], ("ont WHERE is_black_device", "'unused'"), f"ont WHERE is_black_device AND {now} % 2 = 0", "", now),
+        noted(_RULE_BODY["R007"], ("amount * n > 5 * t", "'5.0'"), f"amount * n > {whole(now, 3)} * t", tenths(now, 1, 3), now),
+        noted(_RULE_BODY["R008"], ("amount * n > 3 * t", "'3.0'"), f"amount * n > {tenths(window(5), 0.5, 2)} * t",
+              tenths(window(5), 0.5, 2), window(5)),
+    ]
+    ctes = {**_RULE_CTES, "R003": _users_cte("dev", "device_id", 0), "R004": _users_cte("crd", "card_id", 0)}
+    return _sql(
+        "SELECT alert_id, rule_id, event_id, window_end, evidence FROM (" + "\nUNION ALL\n".join(bodies) + ")",
+        *[c for c in ctes.values() if c])
+
+
+ORACLE["rules_by_time"] = _by_time()
 ORACLE["blacklist_join"] = _sql(
     """SELECT * FROM (SELECT event_id, device_id, card_id,
       is_black_device OR EXISTS (SELECT 1 FROM supplier WHERE s_acctbal < 0 AND 'device-' || s_suppkey = device_id) AS is_black_device,
       is_black_card OR EXISTS (SELECT 1 FROM supplier WHERE s_acctbal < 0 AND 'card-' || s_suppkey = card_id) AS is_black_card
       FROM ont) WHERE is_black_device OR is_black_card""")
-ORACLE["alert_cooldown"] = _sql(
-    """SELECT alert_id, rule_id, alert_time FROM emitted""", *_ALERTS, """
-keyed AS (SELECT alert_id, rule_id, alert_time, rule_id || '|' || CASE WHEN rule_id = 'R006' THEN device_id
+_COOLDOWN = """
+keyed AS (SELECT alert_id, rule_id, alert_time, window_end, rule_id || '|' || CASE WHEN rule_id = 'R006' THEN device_id
       ELSE coalesce(user_id, device_id, card_id, merchant_id) END AS k FROM alerts),
 ordered AS (SELECT *, row_number() OVER (PARTITION BY k ORDER BY alert_time, alert_id) AS r FROM keyed),
 nexts AS (SELECT *, (SELECT min(o.r) FROM ordered o WHERE o.k = ordered.k AND o.alert_time >= ordered.alert_time + 600000) AS nr FROM ordered),
-emitted AS (SELECT k, r, nr, alert_id, rule_id, alert_time FROM nexts WHERE r = 1
-  UNION ALL SELECT n.k, n.r, n.nr, n.alert_id, n.rule_id, n.alert_time FROM emitted e JOIN nexts n ON n.k = e.k AND n.r = e.nr)""").replace("WITH ", "WITH RECURSIVE ", 1)
+emitted AS (SELECT * FROM nexts WHERE r = 1
+  UNION ALL SELECT n.* FROM emitted e JOIN nexts n ON n.k = e.k AND n.r = e.nr)"""
+ORACLE["alert_cooldown"] = _sql("SELECT alert_id, rule_id, alert_time FROM emitted", *_ALERTS, _COOLDOWN).replace(
+    "WITH ", "WITH RECURSIVE ", 1)
 
 # --- streaming: the rules over all that arrived, windows that the watermark has closed -----------
 _STREAM = _RAW + _PREP[len(_SRC):].replace("FROM arr)", "FROM raw WHERE reject_reason IS NULL)")
@@ -619,6 +708,10 @@ def _stream_rule(rule: str) -> str:
 
 
 ORACLE["stream_user_frequency"] = _stream_rule("R001")
+ORACLE["stream_user_amount"] = _stream_rule("R002")
+ORACLE["stream_device_users"] = _stream_rule("R003")
+ORACLE["stream_card_users"] = _stream_rule("R004")
+ORACLE["stream_black_device"] = _stream_rule("R006")
 ORACLE["stream_consecutive_failure"] = _stream_rule("R005")
 ORACLE["stream_user_spike"] = _stream_rule("R007")
 ORACLE["stream_merchant_spike"] = _stream_rule("R008")
@@ -631,3 +724,18 @@ ORACLE["stream_alert_counts"] = _sql(
       UNION ALL
       SELECT 'high_risk_alert_count_1m', alert_time // 60000 * 60000 FROM (SELECT * {_COUNTED}) WHERE risk_level = 'HIGH')
     GROUP BY 1, 2""", *_ALERTS, base=_STREAM)
+
+
+def _stream_metric(metric: str, *ctes: str) -> str:
+    return _sql(f"SELECT * EXCLUDE (emit_time) FROM ({metric}) WHERE {_CLOSED}", *ctes, base=_STREAM)
+
+
+ORACLE["stream_transaction_count"] = _stream_metric(_M_COUNT)
+ORACLE["stream_transaction_amount"] = _stream_metric(_M_AMOUNT)
+ORACLE["stream_channel_rate"] = _stream_metric(_M_RATE)
+ORACLE["stream_merchant_amount"] = _stream_metric(_M_MERCHANT, _RULE_CTES["R008"])
+ORACLE["stream_alert_cooldown"] = _sql(
+    "SELECT alert_id, rule_id, window_end FROM emitted", *_CTES,
+    f"\nalerts AS (SELECT * FROM ({_ALL_ALERTS}) WHERE rule_id IN ('R002', 'R006', 'R007') AND (window_end IS NULL OR {_CLOSED}))",
+    _COOLDOWN,
+    base=_STREAM).replace("WITH ", "WITH RECURSIVE ", 1)

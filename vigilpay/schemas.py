@@ -61,6 +61,9 @@ METRIC = _struct(
     ("count", _L), ("window_start", _TS), ("window_end", _TS), ("emit_time", _TS),
 )
 
+#: metrics as published
+METRIC_JSON = _struct(*[(f.name, _L if f.dataType == _TS else f.dataType) for f in METRIC.fields])
+
 DEAD_LETTER = _struct(("topic", _S), ("raw_event", _S), ("error_message", _S), ("created_at", _TS))
 
 #: raw anti-money-laundering file; the time column is accepted under either of its two names

@@ -35,6 +35,8 @@ _PARSED = T.StructType(
     [T.StructField(f.name, {"amount": T.StringType(), "event_ts": T.LongType()}.get(f.name, f.dataType)) for f in _EVENT.fields]
     + [T.StructField("is_late", T.BooleanType()), T.StructField("ingest_ms", T.LongType())]
 )
+#: On-time events with the clock of their arrival.
+_ON_TIME = T.StructType(_EVENT.fields + [T.StructField("ingest_ms", T.LongType())])
 _PROGRESS = "next_seq bigint, newest_us bigint"
 _MERCHANT_WINDOW = T.StructType(
     [
@@ -83,7 +85,7 @@ class RiskStream:
         behind this one, so no row is dropped here.
         """
         delay = f"{self.cfg.watermark_seconds} seconds"
-        return self._stream("on_time", _EVENT).withWatermark("event_ts", delay)
+        return self._stream("on_time", _ON_TIME).withWatermark("event_ts", delay)
 
     def _stream(self, name: str, schema: T.StructType) -> DataFrame:
         return tables.stream(self.spark, self._table(name), schema, max_files=self.cfg.max_files_per_trigger)
@@ -103,6 +105,28 @@ class RiskStream:
         timed = al.union_alerts(*parts).withColumn("window_end", F.timestamp_millis("window_end"))
         return timed.select("risk_level", al.alert_event_time().alias("event_ts"))
 
+    def _cooled(self) -> DataFrame:
+        """Alerts of all rules without those too near to an emitted one of the same rule and key.
+
+        A rule's alerts are in order of time from one of its micro-batches to the
+        next, not inside of one, so those are read whole.
+        """
+        parts = [
+            tables.stream(self.spark, f"{self.cfg.alert_output}/{name}", schemas.ALERT_JSON, "json", max_files=None)
+            for name in ALERT_QUERIES
+        ]
+        rows = al.union_alerts(*parts)
+        time = F.coalesce(
+            F.timestamp_millis("window_end") - F.expr("INTERVAL '0.001' SECOND"), F.try_to_timestamp(F.col("event_time"))
+        )
+        body = F.to_json(F.struct(*rows.columns), {"ignoreNullFields": "false"})
+        rows = rows.select(ext.follows_key().alias("key"), F.unix_micros(time).alias("at"), "alert_id", body.alias("alert"))
+        return state.cooled(rows, self.cfg.cooldown_minutes * 60_000_000)
+
+    def _write_cooled(self, batch: DataFrame, batch_id: int) -> None:
+        rows = batch.select(F.from_json("alert", schemas.ALERT_JSON).alias("a")).select("a.*")
+        tables.write_batch(rows, self.cfg.cooled_output or f"{self.cfg.alert_output}-cooled", batch_id, "json")
+
     # --- rules and lists that change while the job runs ---------------------------
 
     def rules_now(self) -> config.RuleConfig:
@@ -209,7 +233,7 @@ class RiskStream:
         try:
             behind = events.filter("is_late").select(*schemas.TRANSACTION_FIELDS)
             tables.write_batch(files.json_view(behind), self.cfg.late_output, batch_id, "json")
-            tables.write_batch(events.filter("NOT is_late").select(*_EVENT.names), self._table("on_time"), batch_id)
+            tables.write_batch(events.filter("NOT is_late").select(*_ON_TIME.names), self._table("on_time"), batch_id)
         finally:
             events.unpersist()
 
@@ -305,24 +329,28 @@ class RiskStream:
                   metrics("channel_rate", rate)),
             Stage("alert_count", alert_count(False), metrics("alert_count", minute_metric(mt.ALERT_COUNT)), 4, "update"),
             Stage("high_alert_count", alert_count(True), metrics("high_alert_count", minute_metric(mt.HIGH_ALERT_COUNT)), 4, "update"),
+            *([Stage("alert_cooldown", self._cooled, self._write_cooled, 4, timers=True)] if self.cfg.cooldown_minutes else []),
         ]
 
     def _failures(self) -> DataFrame:
-        rows = self._stream("on_time", _EVENT).withColumn(
+        rows = self._stream("on_time", _ON_TIME).withColumn(
             "failed", same_text(F.col("transaction_status"), "FAILED")
         )
-        rows = rows.select("user_id", "arrival_seq", "failed", *rules.EVENT_COLUMNS).withColumn("amount", F.col("amount").cast("string"))
+        rows = rows.select("user_id", "arrival_seq", "failed", F.col("ingest_ms").alias("clock_ms"), *rules.EVENT_COLUMNS).withColumn("amount", F.col("amount").cast("string"))
         return state.failure_runs(rows, self._least(self.cfg.rules.consecutive_failures))
 
     def _user_history(self) -> DataFrame:
-        rows = prepare.successful_payments(self._stream("on_time", _EVENT))
-        rows = rows.select("user_id", "arrival_seq", *rules.EVENT_COLUMNS, state.cents().alias("cents")).drop("amount")
+        rows = prepare.successful_payments(self._stream("on_time", _ON_TIME))
+        rows = rows.select(
+            "user_id", "arrival_seq", F.col("ingest_ms").alias("clock_ms"), *rules.EVENT_COLUMNS, state.cents().alias("cents")
+        ).drop("amount")
         return state.amount_history(
             rows, "user_id", "arrival_seq", self._least(self.cfg.rules.user_spike_min_samples), state.USER_MEAN_TTL_MS
         )
 
     def _merchant_history(self) -> DataFrame:
-        rows = self._stream("merchant_windows", _MERCHANT_WINDOW)
+        # windows follow each other by their ends
+        rows = self._stream("merchant_windows", _MERCHANT_WINDOW).withColumn("clock_ms", F.unix_millis("window_end"))
         return state.amount_history(
             rows, "merchant_id", "window_end", self._least(self.cfg.rules.merchant_spike_min_windows), state.MERCHANT_MEAN_TTL_MS
         )

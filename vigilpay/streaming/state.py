@@ -4,6 +4,10 @@ Each function gets the rows of one key in a micro-batch, puts them in arrival
 order (a shuffle does not keep it), and handles them as whole columns.  State
 is a pair of numbers plus the time of its last write; state not written for
 the rule's time to live is forgotten, as is a key that stays silent that long.
+
+Rows may bring the clock along, as ``clock_ms``; without it the clock of the
+micro-batch counts.  With it a run that catches up forgets what the live run
+would have forgotten, and so do the operators on tables.
 """
 
 from __future__ import annotations
@@ -15,43 +19,69 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F, types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-HOUR_MS = 3_600_000
-DEDUP_TTL_MS = 24 * HOUR_MS
-FAILURE_TTL_MS = 6 * HOUR_MS
-USER_MEAN_TTL_MS = 30 * 24 * HOUR_MS
-MERCHANT_MEAN_TTL_MS = 14 * 24 * HOUR_MS
+from vigilpay import config
+
+DEDUP_TTL_MS = config.DEDUP_TTL_US // 1000
+FAILURE_TTL_MS = config.FAILURE_TTL_US // 1000
+USER_MEAN_TTL_MS = config.USER_MEAN_TTL_US // 1000
+MERCHANT_MEAN_TTL_MS = config.MERCHANT_MEAN_TTL_US // 1000
+#: A key's last emitted alert is kept this long beyond the cool-down, for alerts that come late.
+COOLDOWN_KEPT_MS = 24 * config.HOUR_US // 1000
 
 
-def _load(state: GroupState, ttl_ms: int) -> tuple[int, int]:
+def _load(state: GroupState, now: int, ttl_ms: int) -> tuple[int, int]:
     """The two numbers, or zeros when absent or too old."""
     if not state.exists:
         return 0, 0
     first, second, written = state.get
-    fresh = state.getCurrentProcessingTimeMs() - written <= ttl_ms
-    return (int(first), int(second)) if fresh else (0, 0)
+    return (int(first), int(second)) if now - written <= ttl_ms else (0, 0)
 
 
-def _store(state: GroupState, first: int, second: int, ttl_ms: int) -> None:
-    state.update((int(first), str(second), state.getCurrentProcessingTimeMs()))
+def _store(state: GroupState, first: int, second: int, now: int, ttl_ms: int) -> None:
+    state.update((int(first), str(second), int(now)))
     state.setTimeoutDuration(ttl_ms)
 
 
+def _clock(batch: pd.DataFrame, state: GroupState) -> np.ndarray:
+    if "clock_ms" in batch:
+        return batch["clock_ms"].to_numpy(dtype=np.int64)
+    return np.full(len(batch), state.getCurrentProcessingTimeMs(), np.int64)
+
+
+def _forgotten(clock: np.ndarray, ttl_ms: int) -> np.ndarray:
+    """Places before which the row before is longer ago than the time to live."""
+    return np.flatnonzero(np.diff(clock) > ttl_ms) + 1
+
+
 def _in_order(frames: Iterator[pd.DataFrame], order: str) -> pd.DataFrame:
     return pd.concat(list(frames)).sort_values(order, kind="stable")
 
 
-def fold_failures(rows: pd.DataFrame, run_before: int) -> np.ndarray:
+def fold_failures(failed: np.ndarray, clock: np.ndarray, run_before: int, ttl_ms: int) -> np.ndarray:
     """Failures in a row up to each row, given the run the key came with."""
-    failed = rows["failed"].to_numpy(dtype=bool)
     place = np.arange(1, len(failed) + 1)
-    ended = np.maximum.accumulate(np.where(failed, 0, place))
+    ended = np.where(failed, 0, place)
+    gaps = _forgotten(clock, ttl_ms)
+    ended[gaps] = np.maximum(ended[gaps], gaps)
+    ended = np.maximum.accumulate(ended)
     return place - ended + np.where(ended == 0, run_before, 0)
 
 
-def fold_history(values: np.ndarray, count: int, total: int) -> tuple[np.ndarray, np.ndarray]:
-    """Count and total of the earlier values at each place; totals are Python integers, which do not wrap."""
-    values = values.astype(object)
-    return count + np.arange(len(values)), total + np.cumsum(values) - values
+def fold_history(
+    values: np.ndarray, clock: np.ndarray, count: int, total: int, ttl_ms: int
+) -> tuple[np.ndarray, np.ndarray, int, int]:
+    """Count and total of the earlier values at each place, and of all up to the end.
+
+    Totals are Python integers, which do not wrap.
+    """
+    counts, totals = [], []
+    for part in np.split(values.astype(object), _forgotten(clock, ttl_ms)):
+        if counts:
+            count, total = 0, 0
+        counts.append(count + np.arange(len(part)))
+        totals.append(total + np.cumsum(part) - part)
+        count, total = count + len(part), total + sum(part.tolist())
+    return np.concatenate(counts), np.concatenate(totals), count, total
 
 
 def _with_state(rows: DataFrame, key: str, fold, added: T.StructType) -> DataFrame:
@@ -65,7 +95,8 @@ def first_sights(rows: DataFrame, ttl_ms: int = DEDUP_TTL_MS) -> DataFrame:
     """The first arrival of every ``event_id``, and again the first one later than ``ttl_ms`` after it.
 
     ``rows`` has ``event_id``, ``arrival_seq`` and ``ingest_ms``, the clock of
-    the rule; columns are of types that pandas keeps.
+    the rule; columns are of types that pandas keeps.  On tables:
+    ``prepare.dedup`` with a time to live.
     """
 
     def fold(key, frames: Iterator[pd.DataFrame], state: GroupState):
@@ -101,9 +132,11 @@ def failure_runs(
             state.remove()
             return
         batch = _in_order(frames, "arrival_seq")
-        runs = fold_failures(batch, _load(state, ttl_ms)[0])
+        clock = _clock(batch, state)
+        failed = batch["failed"].to_numpy(dtype=bool)
+        runs = fold_failures(failed, clock, _load(state, clock[0], ttl_ms)[0], ttl_ms)
         if runs[-1]:
-            _store(state, runs[-1], 0, ttl_ms)
+            _store(state, runs[-1], 0, clock[-1], ttl_ms)
         elif state.exists:
             state.remove()
         batch["failed_run"] = runs
@@ -125,10 +158,10 @@ def amount_history(
             state.remove()
             return
         batch = _in_order(frames, order)
+        clock = _clock(batch, state)
         cents = batch["cents"].to_numpy(dtype=np.int64)
-        count, total = _load(state, ttl_ms)
-        counts, totals = fold_history(cents, count, total)
-        _store(state, count + len(cents), total + sum(cents.tolist()), ttl_ms)
+        counts, totals, count, total = fold_history(cents, clock, *_load(state, clock[0], ttl_ms), ttl_ms)
+        _store(state, count, total, clock[-1], ttl_ms)
         batch["history_count"], batch["history_cents"] = counts, [str(t) for t in totals]
         yield batch[counts >= min_count]
 
@@ -136,6 +169,38 @@ def amount_history(
     return _with_state(rows, key, fold, added)
 
 
+def cooled(rows: DataFrame, period_us: int) -> DataFrame:
+    """Rows that are not within ``period_us`` of an emitted row of the same ``key``.
+
+    ``rows`` has ``key``, ``at`` (microseconds) and ``alert_id``.  Rows of a
+    micro-batch are taken in order of time; a row that comes after a later one
+    was emitted, and is nearer to it than the period, is passed over too.
+    """
+
+    def fold(key, frames: Iterator[pd.DataFrame], state: GroupState):
+        if state.hasTimedOut:
+            state.remove()
+            return
+        batch = pd.concat(list(frames)).sort_values(["at", "alert_id"], kind="stable")
+        at = batch["at"].to_numpy(dtype=np.int64)
+        last = state.get[0] if state.exists else None
+        if last is None:
+            emitted, last = [0], int(at[0])
+        else:
+            # older by a period or more than what was emitted last: the first of them counts
+            emitted = [0] if at[0] <= last - period_us else []
+        while (place := int(np.searchsorted(at, last + period_us, side="left"))) < len(at):
+            emitted.append(place)
+            last = int(at[place])
+        state.update((last,))
+        state.setTimeoutDuration(period_us // 1000 + COOLDOWN_KEPT_MS)
+        yield batch.iloc[emitted]
+
+    return rows.groupBy("key").applyInPandasWithState(
+        fold, rows.schema, "last bigint", "append", GroupStateTimeout.ProcessingTimeTimeout
+    )
+
+
 def cents(amount: str = "amount"):
     return (F.col(amount) * 100).cast("bigint")
 

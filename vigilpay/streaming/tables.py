@@ -58,13 +58,19 @@ def drop_batch(spark: SparkSession, path: str, batch_id: int) -> None:
     drop(spark, _folder(path, batch_id))
 
 
-def stream(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet", max_files: int = 1000) -> DataFrame:
-    """The batches as a stream, in the order they were written."""
+def stream(
+    spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet", max_files: int | None = 1000
+) -> DataFrame:
+    """The batches as a stream, in the order they were written.
+
+    With ``max_files`` a batch may be read in parts.  Without it all that is
+    there is read, and as batches appear whole, none is ever cut.
+    """
     system, target = _file_system(spark, path)
     system.mkdirs(target)
-    return (
+    reader = (
         spark.readStream.schema(schema).format(fmt)
-        .option("recursiveFileLookup", True).option("pathGlobFilter", f"*.{fmt}")
-        .option("maxFileAge", _MAX_FILE_AGE).option("maxFilesPerTrigger", max_files)
-        .load(path).select(*schema.names)
+        .option("recursiveFileLookup", True).option("pathGlobFilter", f"*.{fmt}").option("maxFileAge", _MAX_FILE_AGE)
     )
+    reader = reader if max_files is None else reader.option("maxFilesPerTrigger", max_files)
+    return reader.load(path).select(*schema.names)
