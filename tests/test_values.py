@@ -199,3 +199,48 @@ def test_shared_folder_is_required_off_a_local_master(spark):
 
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         session.shared_dir(Session())
+
+
+def test_convert_file_counts_what_was_skipped(spark, tmp_path):
+    from vigilpay.operators import convert, dashboard
+    from vigilpay.schemas import AML_ROW
+
+    rows = spark.createDataFrame([(str(i), "2022-09-01T00:08:00Z", *["1"] * (len(AML_ROW.names) - 2)) for i in range(6)], AML_ROW)
+    source = f"{tmp_path}/in"
+    files.write_aml_csv(rows.coalesce(1), source)
+    size = sum(p.stat().st_size for p in (tmp_path / "in").iterdir())
+    for skip, done, skipped in ((0, 6, 0), (4, 2, 4), (9, 0, 6)):
+        left = files.read_aml_csv(spark, source, skip=skip)
+        row = convert.convert_file(source, f"{tmp_path}/out{skip}", left, skip).first()
+        assert (row.converted_rows, row.skipped_rows) == (done, skipped)
+        assert 0 < row.source_size_bytes <= size
+    whole = convert.convert_file(source, f"{tmp_path}/again", files.read_aml_csv(spark, source))
+    events = frame(spark, [event(1)])
+    shown = dashboard.overview(events, rules_alerts(spark), events.limit(0), whole).first()
+    assert shown.enterprise_source_size_bytes == whole.first().source_size_bytes
+
+
+def rules_alerts(spark):
+    from vigilpay.operators import rules
+
+    return rules.r006_black_device(frame(spark, [event(1, is_black_device=True)]))
+
+
+def test_first_merge_keeps_the_latest_and_later_ones_touch_their_days(spark, tmp_path):
+    from vigilpay.operators import alerts as al, rules
+
+    day = 86_400
+    rows = [event(i, i * day, is_black_device=True, device_id=f"d{i}") for i in range(3)]
+    found = rules.r006_black_device(frame(spark, rows))
+    path = f"{tmp_path}/alerts"
+    older = found.withColumn("alert_time", F.col("alert_time") - F.expr("INTERVAL 1 HOUR")).withColumn("reason", F.lit("older"))
+    al.merge_into(path, older.unionByName(found))
+    stored = spark.read.parquet(path)
+    assert stored.count() == 3 and stored.filter("reason = 'older'").count() == 0
+    before = {p: p.stat().st_mtime_ns for p in tmp_path.rglob("*.parquet")}
+    today = found.filter(F.col("event_id") == rows[2]["event_id"]).withColumn("alert_time", F.col("alert_time") + F.expr("INTERVAL 1 HOUR"))
+    al.merge_into(path, today)
+    after = {p: p.stat().st_mtime_ns for p in tmp_path.rglob("*.parquet")}
+    # files of the other two days are the same
+    assert len(set(before.items()) & set(after.items())) == 2
+    assert spark.read.schema(stored.schema).parquet(path).count() == 3

@@ -93,33 +93,38 @@ def upsert(old: DataFrame, new: DataFrame) -> DataFrame:
     return o.join(n, F.col("o.alert_id") == F.col("n.alert_id"), "full_outer").select(*columns)
 
 
-_BUCKETS = 32
+#: Alerts of a stored file.
+_FILE_ROWS = 1_000_000
 
 
-def _bucketed(alerts: DataFrame) -> DataFrame:
-    return alerts.withColumn("bucket", F.pmod(F.crc32(F.col("alert_id").cast("binary")), F.lit(_BUCKETS)).cast("int"))
+def _by_day(alerts: DataFrame) -> DataFrame:
+    """Alerts with the day of their event time, which an update of the alert does not change."""
+    day = F.date_format(alert_event_time(), "yyyy-MM-dd")
+    return alerts.withColumn("day", F.coalesce(day, F.lit("unknown")))
 
 
 def merge_into(path: str, new: DataFrame, batch_id: int | None = None) -> None:
     """Merge alerts into the table at ``path`` as ``upsert`` does; a sink for ``foreachBatch`` too.
 
-    The table is partitioned by a bucket of the alert id.  Only buckets that
-    ``new`` touches are read and replaced, and a merge that runs again changes
-    nothing.
+    The table is partitioned by the day of the alert's event time.  Only days
+    that ``new`` touches are read and replaced, in as many files as their rows
+    ask for, and a merge that runs again changes nothing.
     """
     spark = new.sparkSession
-    new = stage(_bucketed(new), "merge-new")
-    merged = new
+    merged = stage(_by_day(latest(new)), "merge-new")
+    days = {r["day"]: r["n"] for r in merged.groupBy("day").agg(F.count(F.lit(1)).alias("n")).collect()}  # a row per day
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     if target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target):
-        stored = spark.read.schema(new.schema).parquet(path)
-        touched = [r["bucket"] for r in new.select("bucket").distinct().collect()]  # at most _BUCKETS
-        stored = stored.filter(F.col("bucket").isin(touched))
+        # the day is a text also where all of them look like dates
+        stored = spark.read.schema(merged.schema).parquet(path).filter(F.col("day").isin(list(days)))
         # written aside first: the partitions read are the partitions replaced
-        merged = stage(_bucketed(upsert(stored.drop("bucket"), new.drop("bucket"))), "merge-done")
+        merged = stage(_by_day(upsert(stored.drop("day"), merged.drop("day"))), "merge-done")
+        days = {r["day"]: r["n"] for r in merged.groupBy("day").agg(F.count(F.lit(1)).alias("n")).collect()}
+    files = -(-max(days.values(), default=1) // _FILE_ROWS)
+    part = F.pmod(F.crc32(F.col("alert_id").cast("binary")), F.lit(files))
     (
-        merged.repartition("bucket").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy("bucket").parquet(path)
+        merged.repartition(max(1, min(len(days) * files, 10_000)), "day", part).write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic").partitionBy("day").parquet(path)
     )
 
 

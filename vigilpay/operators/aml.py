@@ -27,7 +27,7 @@ HIGH_SCORE, BLACK_SCORE, BLACK_CARD_AMOUNT, FAILED_PER_MILLE = 0.85, 0.97, 50000
 # ---------------------------------------------------------------------------
 
 _NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
-_UNSET = "1970-01-01T00:00:00Z"
+UNSET = "1970-01-01T00:00:00Z"
 
 
 def _text(name: str) -> Column:
@@ -52,7 +52,7 @@ def parse_float(text: Column) -> Column:
     return F.coalesce(F.when(F.abs(number) < F.lit(float("inf")), number), F.lit(0.0))
 
 
-def iso_timestamp(text: Column, as_of: str = _UNSET) -> Column:
+def iso_timestamp(text: Column, as_of: str = UNSET) -> Column:
     """The instant in UTC as ISO text; blank text becomes ``as_of``."""
     filled = F.coalesce(F.nullif(text, F.lit("")), F.lit(as_of))
     return iso_text(F.try_to_timestamp(filled))
@@ -100,12 +100,16 @@ def _with_basics(rows: DataFrame, as_of: str) -> DataFrame:
     """Typed and defaulted inputs of the mapping."""
     whole_row = F.concat_ws("|", *[_text(c) for c in rows.columns])
     time = "timestamp" if "timestamp" in rows.columns else "event_ts"
+    # numbers are parsed once per row: filters and columns above stop at the generator
+    parsed = F.struct(
+        parse_float(F.col("model_score")).alias("_score"),
+        parse_float(_first_filled("amount_paid", "amount_received")).alias("_value"),
+    )
+    numbers = rows.select("*", F.explode(F.array(parsed)).alias("_numbers")).select("*", "_numbers.*").drop("_numbers")
     return (
-        rows.withColumn("_key", F.coalesce(F.nullif(F.col("record_key"), F.lit("")), whole_row))
-        .withColumn("_score", parse_float(F.col("model_score")))
+        numbers.withColumn("_key", F.coalesce(F.nullif(F.col("record_key"), F.lit("")), whole_row))
         .withColumn("_laundering", parse_bool(F.col("is_laundering")))
         .withColumn("_predicted", parse_bool(F.col("predicted_alert")))
-        .withColumn("_value", parse_float(_first_filled("amount_paid", "amount_received")))
         .withColumn("_amount", F.col("_value").try_cast(MONEY))
         .withColumn("_event_time", iso_timestamp(F.col(time), as_of))
     )
@@ -114,10 +118,10 @@ def _with_basics(rows: DataFrame, as_of: str) -> DataFrame:
 def unmappable(rows: DataFrame) -> DataFrame:
     """Rows whose amount does not fit the money type; ``to_transactions`` leaves them out."""
     names = [c for c in rows.columns]
-    return _with_basics(rows, _UNSET).filter(F.col("_amount").isNull()).select(*names)
+    return _with_basics(rows, UNSET).filter(F.col("_amount").isNull()).select(*names)
 
 
-def to_transactions(rows: DataFrame, as_of: str = _UNSET) -> DataFrame:
+def to_transactions(rows: DataFrame, as_of: str = UNSET) -> DataFrame:
     """The published event for every row whose amount fits; ``as_of`` stands in for a blank time."""
     df = _with_basics(rows, as_of).filter(F.col("_amount").isNotNull())
     key, account, to_account = F.col("_key"), _text("from_account"), _text("to_account")

@@ -45,11 +45,12 @@ def time_series(events: DataFrame, buckets: int = 36) -> DataFrame:
         F.greatest(F.ceil(F.count(F.lit(1)) / buckets), F.lit(1)).alias("chunk")
     ).scalar()
     ts = F.unix_micros("event_ts")
-    levels = [F.floor(F.unix_seconds("event_ts") / 60), ts,
+    # no level has more cells in one of the level before than a task can order
+    levels = [F.floor(F.unix_seconds("event_ts") / 3600), F.unix_seconds("event_ts"), F.unix_millis("event_ts"), ts,
               F.shiftright("arrival_seq", scans.BLOCK_BITS), F.col("arrival_seq")]
     ends = scans.ranks_picked(events, levels, every=size, first=size, limit=buckets)
     ends = ends.agg(
-        F.array_sort(F.collect_list(F.struct(F.col("_l1").alias("us"), F.col("_l3").alias("seq"))))
+        F.array_sort(F.collect_list(F.struct(F.col("_l3").alias("us"), F.col("_l5").alias("seq"))))
     ).scalar()
     # Chunk number of a row: how many chunk ends (at most ``buckets``) precede it.
     # Rows after the last full chunk form the last, shorter one.
@@ -153,13 +154,14 @@ def _alert_facts(alerts: DataFrame) -> DataFrame:
 
 
 def overview(events: DataFrame, alerts: DataFrame, late: DataFrame, conversion: DataFrame) -> DataFrame:
-    """Headline numbers; ``conversion`` is the summary of ``aml.conversion_summary``."""
+    """Headline numbers; ``conversion`` is the summary of ``aml.conversion_summary`` or ``aml.convert_file``."""
+    size = F.col("source_size_bytes") if "source_size_bytes" in conversion.columns else F.lit(0).cast("bigint")
     return one_row(
         _event_facts(events),
         _alert_facts(alerts),
         late.agg(F.count(F.lit(1)).alias("late_event_count")),
         conversion.select(
-            F.col("converted_rows").alias("enterprise_converted_rows"), "max_amount"
+            F.col("converted_rows").alias("enterprise_converted_rows"), size.alias("enterprise_source_size_bytes"), "max_amount"
         ),
     )
 

@@ -21,8 +21,9 @@ BLOCK_BITS = 16
 GROUP_BITS = 12
 # A key is split once it has more rows than fit comfortably in one sorted task.
 HOT_ROWS = 1 << 20
-# At most this many keys are split.  The next largest key then holds no more
-# than 1/50,000 of all rows, and the list stays small enough to broadcast.
+# A key also counts as large only if it holds more than 1/50,000 of all rows.  So
+# fewer keys than that are split, all of those that are large, and their list is
+# small enough to broadcast.
 HOT_KEYS = 50_000
 HOT_BLOCK_BITS = 20
 # Rows of a key that share a cell of time, if the key's rows are spread evenly over it.
@@ -87,11 +88,10 @@ def running_max_before(
 def hot_keys(
     rows: DataFrame, key: str, hot_rows: int = HOT_ROWS, max_keys: int = HOT_KEYS
 ) -> DataFrame:
-    """The keys too large for one task: at most ``max_keys`` rows of one column."""
+    """The keys too large for one task: all with more than ``hot_rows`` rows and ``1 / max_keys`` of the table."""
     counts = rows.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    return (
-        counts.filter(F.col("_n") > hot_rows).orderBy(F.desc("_n"), key).limit(max_keys).select(key)
-    )
+    share = rows.agg(F.count(F.lit(1)) / max_keys).scalar()
+    return counts.filter((F.col("_n") > hot_rows) & (F.col("_n") > share)).select(key)
 
 
 def split_hot(

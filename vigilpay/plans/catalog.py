@@ -11,7 +11,7 @@ from vigilpay import config, schemas, session
 from vigilpay.config import RuleConfig, stream_config
 from vigilpay.functions import ids, times
 from vigilpay.operators import (
-    alerts as al, aml, dashboard as dash, extensions as ext, metrics as mt, prepare, replay, rules,
+    alerts as al, aml, convert, dashboard as dash, extensions as ext, metrics as mt, prepare, replay, rules,
     scans, serving, validate, versions, windows,
 )
 from vigilpay.sources import adapter, files, kafka
@@ -64,6 +64,17 @@ def staged(spark, sf) -> DataFrame:
     return session.stage(on_time(spark, sf), "on_time")
 
 
+def _with_amounts(spark, sf) -> tuple[DataFrame, DataFrame]:
+    """On-time events and merchant windows, each worked out once."""
+    events = staged(spark, sf)
+    return events, session.stage(windows.merchant_window_amount(prepare.successful_payments(events)), "merchant-windows")
+
+
+def _metrics(spark, sf) -> DataFrame:
+    events, amounts = _with_amounts(spark, sf)
+    return mt.realtime_metrics(events, session.stage(rules.risk_alerts(events, merchant_windows=amounts), "alerts"), amounts)
+
+
 def alerts(spark, sf) -> DataFrame:
     return rules.risk_alerts(staged(spark, sf))
 
@@ -102,7 +113,8 @@ def _(spark, sf):
         F.when(no % 19 == 0, F.concat(F.lit("  # "), "value")).when(no % 23 == 0, "   ").otherwise(F.col("value")),
     )
     rows = files.parse_json_lines(lines, schemas.TRANSACTION_TEXT)
-    return rows.select("event_id", "transaction_id", "city", "process_time")
+    amount = F.nanvl(F.col("amount").cast("double"), F.lit(None))
+    return rows.select(*[c for c in schemas.TRANSACTION_FIELDS if c != "amount"], amount.alias("amount"))
 
 
 @query("source_dir_filter")
@@ -126,7 +138,7 @@ def _(spark, sf):
 def _(spark, sf):
     """Alerts as the serving table stores them."""
     rows = files.alerts_table(alerts(spark, sf), F.col("alert_time"))
-    return rows.select("alert_id", "rule_id", "user_id", "event_time", "alert_time", "created_at")
+    return rows
 
 
 @query("source_aml_csv")
@@ -147,6 +159,16 @@ def _(spark, sf):
     return rows.select(*[F.coalesce(F.col(c), F.lit("")).alias(c) for c in rows.columns])
 
 
+@query("convert_file")
+def _(spark, sf):
+    """A conversion that leaves out the first rows, from file to JSON lines, and its summary."""
+    path = session.new_dir(spark, "aml_csv")
+    rows = adapter.aml_rows(spark, sf)
+    files.write_aml_csv(rows.orderBy(*rows.columns), path)
+    kept = files.read_aml_csv(spark, path, skip=100)
+    return convert.convert_file(path, session.new_dir(spark, "converted"), kept, 100).drop("source_size_bytes")
+
+
 @query("table_dwd_transactions")
 def _(spark, sf):
     path = session.new_dir(spark, "dwd")
@@ -161,9 +183,7 @@ def _(spark, sf):
 def _(spark, sf):
     path = session.new_dir(spark, "alerts_json")
     files.write_json_lines(alerts(spark, sf), path)
-    return files.read_json_lines(spark, path, schemas.ALERT_JSON).select(
-        "alert_id", "rule_id", "event_id", "amount", "event_time", "alert_time", "evidence"
-    )
+    return files.read_json_lines(spark, path, schemas.ALERT_JSON)
 
 
 def _two_runs(spark, sf):
@@ -186,14 +206,16 @@ def _(spark, sf):
 
 @query("sink_alert_merge")
 def _(spark, sf):
-    """The same two runs, merged into a stored table bucket by bucket, the second one twice."""
+    """The same two runs, merged into a stored table day by day, the second one twice."""
     stored, later = _two_runs(spark, sf)
     some = F.conv(F.substring("alert_id", 1, 1), 16, 10).cast("int")
     path = session.new_dir(spark, "alert_table")
-    al.merge_into(path, stored.filter(some < 8))
+    # the first merge has every alert twice, the older one with another text
+    older = stored.withColumn("alert_time", F.col("alert_time") - F.expr("INTERVAL 1 HOUR")).withColumn("reason", F.lit("older"))
+    al.merge_into(path, stored.unionByName(older).filter(some < 8))
     for _ in range(2):
         al.merge_into(path, later.filter(some >= 4))
-    return spark.read.parquet(path).drop("bucket")
+    return spark.read.parquet(path).drop("day")
 
 
 @query("sink_alert_dedup_latest")
@@ -495,17 +517,12 @@ query("metric_risk_alert_count_1m")(lambda s, d: mt.risk_alert_count_1m(alerts(s
 query("metric_high_risk_alert_count_1m")(lambda s, d: mt.high_risk_alert_count_1m(alerts(s, d)))
 
 
-@query("realtime_metrics")
-def _(spark, sf):
-    events = staged(spark, sf)
-    return mt.realtime_metrics(events, session.stage(rules.risk_alerts(events), "alerts"))
+query("realtime_metrics")(_metrics)
 
 
 @query("metric_id")
 def _(spark, sf):
-    events = staged(spark, sf)
-    rows = mt.realtime_metrics(events, session.stage(rules.risk_alerts(events), "alerts"))
-    return rows.select("metric_id", "metric_name", "window_start", "window_end")
+    return _metrics(spark, sf).select("metric_id", "metric_name", "window_start", "window_end")
 
 
 # --- serving -----------------------------------------------------------------------------
@@ -589,9 +606,7 @@ def _(spark, sf):
 
 @query("recent_metrics")
 def _(spark, sf):
-    ev = staged(spark, sf)
-    rows = mt.realtime_metrics(ev, session.stage(rules.risk_alerts(ev), "alerts"))
-    return dash.recent(rows, "emit_time", "metric_id").select("metric_id", "metric_name", "value", "emit_time")
+    return dash.recent(_metrics(spark, sf), "emit_time", "metric_id").select("metric_id", "metric_name", "value", "emit_time")
 
 
 @query("filter_scatter")

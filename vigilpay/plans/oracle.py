@@ -251,10 +251,9 @@ ORACLE["alert_event_time"] = _sql(
     "SELECT alert_id, rule_id, alert_time AS alert_event_time FROM alerts", *_ALERTS)
 
 # --- sinks ---------------------------------------------------------------------
-ORACLE["sink_jsonl"] = _sql(
-    "SELECT alert_id, rule_id, event_id, amount, event_time, alert_time, evidence FROM alerts", *_ALERTS)
+ORACLE["sink_jsonl"] = _sql("SELECT * FROM alerts", *_ALERTS)
 ORACLE["sink_alert_table"] = _sql(
-    "SELECT alert_id, rule_id, user_id, CASE WHEN window_start IS NULL THEN alert_time END AS event_time, alert_time, alert_time AS created_at FROM alerts",
+    "SELECT * REPLACE (CASE WHEN window_start IS NULL THEN alert_time END AS event_time), alert_time AS created_at FROM alerts",
     *_ALERTS)
 _HEX = "('0x' || substr(alert_id, 1, 1))::INT"
 _RUN2 = "replace(evidence, '}', ',\"run\":\"2\"}')"
@@ -330,8 +329,13 @@ raw AS (
       WHEN no % 73 = 0 THEN 'negative_amount' WHEN no % 71 = 0 THEN 'bad_event_time' END AS reject_reason
   FROM arr)"""
 ORACLE["source_jsonl"] = _sql(
-    """SELECT event_id, transaction_id, city, process_time FROM arr
-    WHERE no % 83 <> 0 AND no % 19 <> 0 AND no % 23 <> 0""", base=_SRC)
+    """SELECT event_id, transaction_id, CASE WHEN no % 89 = 0 THEN '  ' ELSE user_id END AS user_id, account_id, card_id,
+    merchant_id, device_id, ip, province, city, currency, payment_method, transaction_type, transaction_status,
+    CASE WHEN no % 71 = 0 THEN substr(event_time, 1, 10) ELSE event_time END AS event_time, process_time,
+    CASE WHEN no % 79 <> 0 THEN channel END AS channel, app_version, is_black_device::VARCHAR AS is_black_device,
+    is_black_card::VARCHAR AS is_black_card, risk_label,
+    CAST(CASE WHEN no % 67 = 0 THEN NULL WHEN no % 73 = 0 THEN -amount - 1 ELSE amount END AS DOUBLE) AS amount
+    FROM arr WHERE no % 83 <> 0 AND no % 19 <> 0 AND no % 23 <> 0""", base=_SRC)
 ORACLE["source_dir_filter"] = _sql(
     "SELECT CASE WHEN no % 83 <> 0 THEN event_id END AS event_id, count(*) AS n FROM arr GROUP BY 1", base=_SRC)
 ORACLE["parse_transactions"] = _sql(
@@ -606,12 +610,14 @@ _CONV = """SELECT count(*) AS converted_rows, CAST(0 AS BIGINT) AS skipped_rows,
     count(*) FILTER (WHERE risk_label = 'AML_LAUNDERING') AS laundering_rows,
     CAST(sum(CAST(amount AS DECIMAL(18,2))) AS DOUBLE) AS total_amount, max(amount) AS max_amount FROM aml"""
 ORACLE["convert_metadata"] = f"WITH {_AML_EVENTS.strip()}\n{_CONV}"
+_REST = _AML_EVENTS.strip().replace("FROM amlsrc)", "FROM (SELECT * FROM amlsrc ORDER BY ALL OFFSET 100))")
+ORACLE["convert_file"] = f"WITH {_REST}\n" + _CONV.replace("CAST(0 AS BIGINT)", "CAST(100 AS BIGINT)")
 ORACLE["overview"] = _sql(
     f"""SELECT (SELECT count(*) FROM ont) AS event_sample_count, (SELECT CAST(sum(amount) AS DOUBLE) FROM ont) AS sample_amount,
     (SELECT {_MEAN} FROM scored) AS avg_risk_score, (SELECT count(*) FROM alerts) AS alert_count,
     (SELECT count(*) FROM alerts WHERE risk_level = 'HIGH') AS high_alert_count,
-    (SELECT count(*) FROM ded WHERE is_late) AS late_event_count, converted_rows AS enterprise_converted_rows, max_amount
-    FROM conv""", _SCORE, *_ALERTS, _AML_EVENTS, f"\nconv AS ({_CONV})")
+    (SELECT count(*) FROM ded WHERE is_late) AS late_event_count, converted_rows AS enterprise_converted_rows,
+    CAST(0 AS BIGINT) AS enterprise_source_size_bytes, max_amount FROM conv""", _SCORE, *_ALERTS, _AML_EVENTS, f"\nconv AS ({_CONV})")
 ORACLE["insight_facts"] = _sql(
     f"""SELECT (SELECT {_MEAN} FROM scored) AS avg_risk_score,
     (SELECT "time" FROM series ORDER BY amount DESC, chunk LIMIT 1) AS peak_time,
