@@ -47,15 +47,15 @@ PART_OF = (100, 80)
 SCALE = 2_000_000
 TOP = 2000
 #: Words that a task gathers before it cuts them into ranges.
-FLUSH = 1 << 21
+FLUSH = 1 << 20
 #: Bytes of text whose n-grams make one range.
-RANGE_BYTES = 12 << 20
+RANGE_BYTES = 8 << 20
 #: Ranges that one step cuts blocks into; more are reached in several steps.
 FANOUT = 256
 #: Bytes of text from which the bounds of ranges are chosen, and n-grams taken from a chunk at most.
 SAMPLE_BYTES, SAMPLE_ROWS = 8 << 20, 4096
 #: Phrases of a range in the later steps, and ranges at most; they are streamed, so their size is not bound by memory.
-PHRASES, MOST_RANGES = 200_000, 4096
+PHRASES, MOST_RANGES = 25_000, 4096
 
 _WORDS = [f"w{i}" for i in range(1, ORDER + 1)]
 _LOWER = np.arange(256, dtype=np.uint8)
