@@ -106,6 +106,11 @@ class StreamConfig:
     #: also go to this folder (by default beside the alerts).
     cooldown_minutes: int = 0
     cooled_output: str = ""
+    #: A parquet table of additions to and removals from the lists (``operators.lists``), read like the two above.
+    list_changes: str = ""
+    #: How many cities of each window to keep, and whether to count alerts as features of users.
+    city_topn: int = 0
+    user_features: bool = False
     rules: RuleConfig = field(default_factory=RuleConfig)
 
 

@@ -11,11 +11,11 @@ from vigilpay import config, schemas, session
 from vigilpay.config import RuleConfig, stream_config
 from vigilpay.functions import ids, times
 from vigilpay.operators import (
-    alerts as al, aml, convert, dashboard as dash, extensions as ext, metrics as mt, prepare, replay, rules,
+    alerts as al, aml, convert, dashboard as dash, extensions as ext, lists, metrics as mt, prepare, replay, rules,
     scans, serving, validate, versions, windows,
 )
 from vigilpay.sources import adapter, files, kafka
-from vigilpay.streaming import job
+from vigilpay.streaming import features, job
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -725,6 +725,29 @@ def _(spark, sf):
     )
 
 
+def _list_changes(spark, sf) -> DataFrame:
+    """Suppliers with debts are listed as devices and cards, at times of their own, and every other one later removed."""
+    key, start = F.col("s_suppkey"), F.lit(adapter.EPOCH_US)
+    rows = adapter.read_table(spark, sf, "supplier").filter("s_acctbal < 2000")
+    change = lambda name, listed, second: F.struct(
+        F.lit(name).alias("list"), F.concat(F.lit(f"{name}-"), key.cast("string")).alias("id"), F.lit(listed).alias("listed"),
+        F.timestamp_micros(start + second * 1_000_000).alias("at"),
+    )
+    changes = F.array(
+        change("device", True, key % 300), change("device", True, key % 300 + 50), change("device", False, key % 300 + 200 + key % 2 * 90_000),
+        change("card", True, key % 400), change("card", False, key % 400 + 150), change("card", True, key % 400 + 300),
+        change("card", False, key % 400 + 300 - key % 3 * 20),
+    )
+    return rows.select(F.explode(changes).alias("c")).select("c.*")
+
+
+@query("blacklist_by_time")
+def _(spark, sf):
+    return lists.listed_events(on_time(spark, sf), _list_changes(spark, sf)).select(
+        "event_id", "device_id", "card_id", "is_black_device", "is_black_card"
+    )
+
+
 @query("alert_cooldown")
 def _(spark, sf):
     return ext.alert_cooldown(staged_alerts(spark, sf)).select("alert_id", "rule_id", "alert_time")
@@ -818,6 +841,29 @@ def _(spark, sf):
     return rows.select("alert_id", "rule_id", "window_end")
 
 
+@query("stream_city_topn")
+def _(spark, sf):
+    cfg = _streamed(spark, sf, [*_PREPARING, "city_topn"], city_topn=3)
+    return spark.read.option("recursiveFileLookup", True).parquet(f"{cfg.metric_output}-city-topn")
+
+
+@query("stream_blacklist")
+def _(spark, sf):
+    """Events on the lists of their time, the change log read anew for every micro-batch."""
+    changes = session.new_dir(spark, "list-changes")
+    _list_changes(spark, sf).write.parquet(changes)
+    cfg = _streamed(spark, sf, [*_PREPARING, "listed_events"], list_changes=changes)
+    return spark.read.option("recursiveFileLookup", True).parquet(f"{cfg.alert_output}-listed")
+
+
+@query("stream_features")
+def _(spark, sf):
+    """Rule hits per user, counted as alerts arrive in two steps."""
+    stages = [*_PREPARING, "user_frequency", "user_amount", "consecutive_failure", "black_device", "user_spike"]
+    cfg = _streamed(spark, sf, stages, ["user_features"], steps=2, user_features=True)
+    return features.features(spark, f"{cfg.alert_output}-features")
+
+
 @query("stream_late_events")
 def _(spark, sf):
     cfg = _streamed(spark, sf, _PREPARING)

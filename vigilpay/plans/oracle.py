@@ -691,6 +691,23 @@ ORACLE["blacklist_join"] = _sql(
       is_black_device OR EXISTS (SELECT 1 FROM supplier WHERE s_acctbal < 0 AND 'device-' || s_suppkey = device_id) AS is_black_device,
       is_black_card OR EXISTS (SELECT 1 FROM supplier WHERE s_acctbal < 0 AND 'card-' || s_suppkey = card_id) AS is_black_card
       FROM ont) WHERE is_black_device OR is_black_card""")
+_CHANGES = """
+changed AS (SELECT list, list || '-' || s_suppkey AS id, listed, 1704067200000000 + second * 1000000 AS t FROM supplier,
+  LATERAL (VALUES ('device', true, s_suppkey % 300), ('device', true, s_suppkey % 300 + 50),
+    ('device', false, s_suppkey % 300 + 200 + s_suppkey % 2 * 90000), ('card', true, s_suppkey % 400),
+    ('card', false, s_suppkey % 400 + 150), ('card', true, s_suppkey % 400 + 300),
+    ('card', false, s_suppkey % 400 + 300 - s_suppkey % 3 * 20)) AS v(list, listed, second) WHERE s_acctbal < 2000),
+at_once AS (SELECT list, id, t, bool_and(listed) AS listed FROM changed GROUP BY 1, 2, 3)"""
+
+
+def _on_list(name: str, key: str) -> str:
+    """The last change up to the event is an addition."""
+    return f"coalesce((SELECT arg_max(listed, t) FROM at_once WHERE list = '{name}' AND id = {key} AND t <= us), false)"
+
+
+_LISTED = f"""SELECT * FROM (SELECT event_id, device_id, card_id, is_black_device OR {_on_list('device', 'device_id')} AS is_black_device,
+    is_black_card OR {_on_list('card', 'card_id')} AS is_black_card FROM ont) WHERE is_black_device OR is_black_card"""
+ORACLE["blacklist_by_time"] = _sql(_LISTED, _CHANGES)
 _COOLDOWN = """
 keyed AS (SELECT alert_id, rule_id, alert_time, window_end, rule_id || '|' || CASE WHEN rule_id = 'R006' THEN device_id
       ELSE coalesce(user_id, device_id, card_id, merchant_id) END AS k FROM alerts),
@@ -745,3 +762,14 @@ ORACLE["stream_alert_cooldown"] = _sql(
     f"\nalerts AS (SELECT * FROM ({_ALL_ALERTS}) WHERE rule_id IN ('R002', 'R006', 'R007') AND (window_end IS NULL OR {_CLOSED}))",
     _COOLDOWN,
     base=_STREAM).replace("WITH ", "WITH RECURSIVE ", 1)
+ORACLE["stream_blacklist"] = _sql(_LISTED, _CHANGES, base=_STREAM)
+ORACLE["stream_city_topn"] = _sql(
+    f"""SELECT * FROM (SELECT city, CAST(amount AS DOUBLE) AS amount, w * 60000 AS window_start, (w + 5) * 60000 AS window_end,
+      CAST(row_number() OVER (PARTITION BY w ORDER BY amount DESC, city) AS INT) AS place FROM ca)
+    WHERE place <= 3 AND {_CLOSED}""",
+    f"\nca AS (SELECT city, w, sum(amount) AS amount FROM (SELECT city, amount, {_windows(5)} AS w FROM paid) GROUP BY 1, 2)", base=_STREAM)
+_FIVE = ["R001", "R002", "R005", "R006", "R007"]
+ORACLE["stream_features"] = _sql(
+    "SELECT user_id, " + ", ".join(f"count(*) FILTER (rule_id = '{r}') AS {r}" if r in _FIVE else f"CAST(0 AS BIGINT) AS {r}" for r in RULE_IDS)
+    + f" FROM alerts WHERE user_id IS NOT NULL AND rule_id IN {tuple(_FIVE)} AND (window_end IS NULL OR {_CLOSED}) GROUP BY 1",
+    *_ALERTS, base=_STREAM)

@@ -25,9 +25,9 @@ from pyspark.sql.streaming import StreamingQuery
 from vigilpay import config, schemas
 from vigilpay.config import StreamConfig
 from vigilpay.functions.scores import same_text
-from vigilpay.operators import alerts as al, extensions as ext, metrics as mt, prepare, rules, validate
+from vigilpay.operators import alerts as al, extensions as ext, lists, metrics as mt, prepare, rules, validate
 from vigilpay.sources import files, kafka
-from vigilpay.streaming import state, tables
+from vigilpay.streaming import features, state, tables
 
 _EVENT = schemas.EVENT
 #: First arrivals of a micro-batch.  Money as text and instants as numbers, as pandas keeps those.
@@ -123,6 +123,29 @@ class RiskStream:
         rows = rows.select(ext.follows_key().alias("key"), F.unix_micros(time).alias("at"), "alert_id", body.alias("alert"))
         return state.cooled(rows, self.cfg.cooldown_minutes * 60_000_000)
 
+    def _all_alerts(self) -> DataFrame:
+        parts = [
+            tables.stream(
+                self.spark, f"{self.cfg.alert_output}/{name}", schemas.ALERT_JSON, "json", self.cfg.max_files_per_trigger
+            )
+            for name in ALERT_QUERIES
+        ]
+        return al.union_alerts(*parts).select("user_id", "rule_id")
+
+    def _write_features(self, batch: DataFrame, batch_id: int) -> None:
+        features.add(batch, f"{self.cfg.alert_output}-features", batch_id)
+
+    def _write_topn(self, rows: DataFrame, batch_id: int) -> None:
+        # a window closes in one micro-batch, with all its cities
+        order = Window.partitionBy("window_start", "window_end").orderBy(F.desc("amount"), "city")
+        best = rows.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= self.cfg.city_topn)
+        tables.write_batch(best, f"{self.cfg.metric_output}-city-topn", batch_id)
+
+    def _write_listed(self, batch: DataFrame, batch_id: int) -> None:
+        found = self._listed(batch).filter("is_black_device OR is_black_card")
+        rows = found.select("event_id", "device_id", "card_id", "is_black_device", "is_black_card")
+        tables.write_batch(rows, f"{self.cfg.alert_output}-listed", batch_id)
+
     def _write_cooled(self, batch: DataFrame, batch_id: int) -> None:
         rows = batch.select(F.from_json("alert", schemas.ALERT_JSON).alias("a")).select("a.*")
         tables.write_batch(rows, self.cfg.cooled_output or f"{self.cfg.alert_output}-cooled", batch_id, "json")
@@ -140,6 +163,8 @@ class RiskStream:
         return 1 if self.cfg.rule_table else fixed
 
     def _listed(self, events: DataFrame) -> DataFrame:
+        if self.cfg.list_changes:
+            events = lists.listed_at(events, self.spark.read.parquet(self.cfg.list_changes))
         if not self.cfg.device_list:
             return events
         listed = self.spark.read.parquet(self.cfg.device_list)
@@ -329,6 +354,9 @@ class RiskStream:
                   metrics("channel_rate", rate)),
             Stage("alert_count", alert_count(False), metrics("alert_count", minute_metric(mt.ALERT_COUNT)), 4, "update"),
             Stage("high_alert_count", alert_count(True), metrics("high_alert_count", minute_metric(mt.HIGH_ALERT_COUNT)), 4, "update"),
+            *([Stage("city_topn", lambda: self._windowed(["city"], 5, success=True, amount=amount), self._write_topn)] if self.cfg.city_topn else []),
+            *([Stage("listed_events", self.on_time, self._write_listed)] if self.cfg.list_changes else []),
+            *([Stage("user_features", self._all_alerts, self._write_features, 4)] if self.cfg.user_features else []),
             *([Stage("alert_cooldown", self._cooled, self._write_cooled, 4, timers=True)] if self.cfg.cooldown_minutes else []),
         ]
 

@@ -54,6 +54,19 @@ def read_batch(spark: SparkSession, path: str, batch_id: int) -> DataFrame | Non
     return spark.read.parquet(folder) if exists(spark, folder) else None
 
 
+def batch_ids(spark: SparkSession, path: str) -> list[int]:
+    """The numbers of the batches that are there."""
+    if not exists(spark, path):
+        return []
+    system, target = _file_system(spark, path)
+    names = [f.getPath().getName() for f in system.listStatus(target)]
+    return sorted(int(n.removeprefix("batch-")) for n in names if n.startswith("batch-"))
+
+
+def read_batches(spark: SparkSession, path: str, batch_ids: list[int]) -> DataFrame | None:
+    return spark.read.parquet(*[_folder(path, i) for i in batch_ids]) if batch_ids else None
+
+
 def drop_batch(spark: SparkSession, path: str, batch_id: int) -> None:
     drop(spark, _folder(path, batch_id))
 
