@@ -2,7 +2,9 @@
 
 import random
 
+import numpy as np
 import pytest
+import regex
 import tiktoken
 from pyspark.sql import functions as F
 
@@ -27,12 +29,34 @@ def mixed_texts(n, seed=1):
         yield text + r.choice("x 9.é日") * r.randrange(0, 400)
 
 
+def encoded(encoder, texts):
+    raws = [t.encode() for t in texts]
+    offsets = np.cumsum([0, *map(len, raws)])
+    return encoder.texts(np.frombuffer(b"".join(raws), np.uint8), offsets).to_pylist()
+
+
+def test_pre_tokens_are_those_of_the_pattern(vocabulary):
+    pattern = regex.compile(bytebpe.PATTERN)
+    points = "".join(f"a{chr(c)}1{chr(c)} {chr(c)}b " for c in [*range(0x3000), 0x2028, 0x1D7D8, 0x1F600, 0x10FFFF])
+    r = random.Random(11)
+    texts = [points, "", " ", "'", "'s", " 's", "x's'll've're'm'd't'Sa're", "'r'v'l're", "\n's\t'll  're", "a  ", "a \n b", "'re's'"]
+    texts += ["".join(r.choice("a'srveltmd \n\t!1é") for _ in range(r.randrange(40))) for _ in range(3000)]
+    for text in texts:
+        assert vocabulary.encoder.boundaries(text).tolist() == np.cumsum([len(p) for p in pattern.findall(text)]).tolist(), text
+    # many at once, and by the pattern itself for another one
+    other = bytebpe.Encoder(bytebpe.Vocabulary(vocabulary.data, f"(?:{bytebpe.PATTERN})"))
+    assert other.matches is not None
+    assert encoded(other, texts) == encoded(vocabulary.encoder, texts)
+
+
 def test_pieces_have_the_library_ids(vocabulary, library):
     encoder = vocabulary.encoder
     for text in [*mixed_texts(400), *(t for _, t, *_ in cases.odd_rows() if t), "x" * 20_000, " " * 3000 + "a", "<|endoftext|>"]:
-        assert encoder.ids(encoder.pieces(text)).tolist() == library.encode_ordinary(text)
+        assert encoded(encoder, [text]) == [library.encode_ordinary(text)]
         raw = text.encode()[:300]
-        assert encoder._heap(raw) == encoder._scan(raw)
+        if raw:
+            ids, counts = encoder.merged(np.frombuffer(raw * 2, np.uint8), np.array([len(raw)] * 2))
+            assert ids.tolist() == 2 * encoder.long_piece(raw) and counts.tolist() == [len(ids) // 2] * 2
 
 
 def test_chunks_meet_at_the_same_boundaries(vocabulary):
@@ -44,7 +68,7 @@ def test_chunks_meet_at_the_same_boundaries(vocabulary):
         for part, ends in bytebpe.stitched(scans, encoder.boundaries):
             ends = ends.tolist()
             pieces += [part[a:b] for a, b in zip([0, *ends], ends)]
-        assert pieces == encoder.pieces(text)
+        assert pieces == regex.findall(bytebpe.PATTERN, text)
 
 
 @pytest.mark.parametrize("chunk, overlap", [(1 << 16, 1 << 10), (40, 8)])
