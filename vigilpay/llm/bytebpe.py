@@ -42,7 +42,7 @@ OVERLAP = 1 << 10
 #: A boundary this close to the end of a chunk may depend on what follows it.
 MARGIN = 4
 #: Bytes of text whose pieces are encoded together.
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 3 << 20
 #: Pieces of this many bytes and more are merged one by one, with a heap.
 LONG_PIECE = 64
 #: Rows of an output batch.
@@ -86,11 +86,12 @@ _KINDS: list[np.ndarray] = []
 def _kinds() -> np.ndarray:
     """White space, letter, number or other, for every code point, as the pattern's classes have it; built once in a process."""
     if not _KINDS:
-        points = [c for c in range(0x110000) if not 0xD800 <= c < 0xE000]
-        text = "".join(map(chr, points))
         kind = np.full(0x110000, _OTHER, np.uint8)
-        for which, of in ((_SPACE, r"\s"), (_LETTER, r"\p{L}"), (_NUMBER, r"\p{N}")):
-            kind[[ord(c) for c in regex.findall(of, text)]] = which
+        classes = [(_SPACE, regex.compile(r"\s")), (_LETTER, regex.compile(r"\p{L}")), (_NUMBER, regex.compile(r"\p{N}"))]
+        for block in range(0, 0x110000, 0x800):  # surrogates fill blocks of their own
+            text = "" if 0xD800 <= block < 0xE000 else "".join(map(chr, range(block, block + 0x800)))
+            for which, of in classes:
+                kind[[ord(c) for c in of.findall(text)]] = which
         _KINDS.append(kind)
     return _KINDS[0]
 
