@@ -98,18 +98,19 @@ def _halves(sequence: DataFrame, steps: int) -> list[DataFrame]:
     return levels
 
 
-def _named(lengths: DataFrame, sequence: DataFrame, steps: int) -> list[DataFrame]:
-    """What each step of halving named, wide ranges first.
-
-    ``lo``, ``root`` (name of the node where the range begins), ``name`` (of the
-    node in its middle), ``rep``, ``w``, ``until``, ``cut``: the sequence ``rep``
-    stands for ``w`` conversations and ends at depth ``until``, where it is a
-    named node (``cut``) or the end of a conversation.
+def _named(lengths: DataFrame, sequence: DataFrame, steps: int, root: int | None) -> list[tuple[DataFrame, DataFrame]]:
+    """What each step of halving named, wide ranges first; ``root`` is the name of the root of all.
+
+    Two tables a step.  Names: ``lo``, ``root`` (name of the node where the range
+    begins), ``name`` (of the node in its middle) and ``w``, the conversations
+    behind it.  Sequences: ``lo``, ``root``, ``name``, ``rep``, ``w``, ``until``,
+    ``cut``: ``rep`` stands for ``w`` conversations and ends at depth ``until``,
+    where it is a named node (``cut``) or the end of a conversation.
     """
     halves = _halves(sequence, steps)
-    root = lengths.agg(F.min("c").alias("root"))
-    items = lengths.filter("turns > 0").crossJoin(F.broadcast(root)).select(  # one row
-        F.lit(0).cast("bigint").alias("lo"), "root", F.col("c").alias("rep"), F.lit(1).cast("bigint").alias("w"),
+    items = lengths.filter("turns > 0").select(
+        F.lit(0).cast("bigint").alias("lo"), F.lit(root).cast("bigint").alias("root"), F.col("c").alias("rep"),
+        F.lit(1).cast("bigint").alias("w"),
         F.col("turns").alias("until"), F.lit(False).alias("cut"),
     )
     named = []
@@ -117,11 +118,12 @@ def _named(lengths: DataFrame, sequence: DataFrame, steps: int) -> list[DataFram
         middle = F.col("lo") + (1 << step)
         stretch = halves[step].select(F.col("c").alias("rep"), F.shiftleft("idx", step).alias("lo"), "hash")
         reach = stage(items.filter(F.col("until") >= middle).join(stretch, ["rep", "lo"]), "reach")
-        names = reach.groupBy("lo", "root", "hash").agg(F.min("rep").alias("name"))
-        now = stage(reach.join(names, ["lo", "root", "hash"]).drop("hash"), "named")
-        named.append(now)
+        names = reach.groupBy("lo", "root", "hash").agg(F.min("rep").alias("name"), F.sum("w").alias("w"))
+        names = stage(names, "names")
+        now = stage(reach.join(names.drop("w"), ["lo", "root", "hash"]).drop("hash"), "named")
+        named.append((names, now))
         if step:
-            upper = now.groupBy("lo", "root", F.col("name").alias("rep")).agg(F.sum("w").alias("w"))
+            upper = names.select("lo", "root", F.col("name").alias("rep"), "w")
             lower = now.filter(F.col("until") > middle)
             items = stage(reduce(DataFrame.unionByName, [
                 items.filter(F.col("until") < middle),
@@ -215,16 +217,18 @@ def prefix_trie(conversations: DataFrame) -> DataFrame:
 
 def trie(lengths: DataFrame, sequence: DataFrame) -> DataFrame:
     """The trie of given sequences: (``c``, ``turns``), and (``c``, ``pos``, ``hash``, ``bytes``) of their turns."""
-    steps = (lengths.agg(F.max("turns")).first()[0] or 0).bit_length()
-    named = _named(lengths, sequence, steps)
+    longest, root, all_ = lengths.agg(F.max("turns"), F.min("c"), F.count(F.lit(1))).first()
+    steps = (longest or 0).bit_length()
+    named = _named(lengths, sequence, steps, root)
     none = F.lit(None).cast("bigint")
-    top = lengths.agg(F.min("c").alias("name"), F.count(F.lit(1)).alias("n_convs")).filter("name IS NOT NULL").select(
-        F.lit(steps).alias("level"), F.lit(0).cast("bigint").alias("depth"), "name", none.alias("root"), none.alias("root_depth"), "n_convs"
+    at_top = [F.lit(0).cast("bigint").alias("depth"), F.lit(root).cast("bigint").alias("name")]
+    top = lengths.filter(F.col("c") == F.lit(root)).select(
+        F.lit(steps).alias("level"), *at_top, none.alias("root"), none.alias("root_depth"), F.lit(all_).cast("bigint").alias("n_convs")
     )
     own, links, ends = [top], [None] * steps, []
-    for step, now in zip(reversed(range(steps)), named):
+    for step, (names, now) in zip(reversed(range(steps)), named):
         depth = (F.col("lo") + (1 << step)).alias("depth")
-        own.append(now.groupBy(F.lit(step).alias("level"), depth, "name", "root", F.col("lo").alias("root_depth")).agg(F.sum("w").alias("n_convs")))
+        own.append(names.select(F.lit(step).alias("level"), depth, "name", "root", F.col("lo").alias("root_depth"), F.col("w").alias("n_convs")))
         below = now.filter(F.col("until") > F.col("lo") + (1 << step))
         links[step] = below.filter("cut").filter(F.col("until") == F.col("lo") + (2 << step)).select(
             depth, "name", F.col("until").alias("end_depth"), F.col("rep").alias("end")
@@ -243,7 +247,7 @@ def trie(lengths: DataFrame, sequence: DataFrame) -> DataFrame:
     full = full.withColumn("leaf", (F.col("n_children") == 0).cast("int"))
     full = stage(full.withColumn("saved", (F.col("n_convs") - 1).cast("decimal(19,0)") * F.coalesce("bytes", F.lit(0)).cast("decimal(19,0)")), "full")
     totals = _grafted(full, links, steps)
-    turnless = lengths.filter("turns = 0").crossJoin(F.broadcast(top.select("depth", "name"))).select("depth", "name", "c")  # one row
+    turnless = lengths.filter("turns = 0").select(*at_top, "c")
     digests = _id_digests(reduce(DataFrame.unionByName, [turnless, *ends]))
     empty = hashlib.sha256(b"").hexdigest()
     result = full.join(totals, ["depth", "name"]).join(digests, ["depth", "name"], "left")
