@@ -2,6 +2,7 @@
 
 import math
 import os
+import unicodedata
 from collections import Counter
 
 import numpy as np
@@ -133,6 +134,59 @@ def test_language_learns_only_from_its_side(spark):
     assert {r["lang_pred"] for r in language.identify(cases.documents(spark, rows)).collect()} <= set(LANGUAGES)
 
 
+def plain_language(rows, least):
+    """Words first, then n-grams of 5 to 1, by counting in plain dictionaries; (best language, its share) per text."""
+    import zlib
+
+    def words(text):
+        out, word = [], ""
+        for c in (text or "").lower() + " ":
+            if unicodedata.category(c).startswith("L"):
+                word += c
+            elif word:
+                out.append(word)
+                word = ""
+        return out
+
+    def cut(word, n):
+        edged = f" {word} "
+        return list(word) if n == 1 else [edged[i : i + n] for i in range(len(edged) - n + 1)]
+
+    learned = [r for r in rows if r[0] is not None and r[1] is not None and r[2] is not None and zlib.crc32(str(r[0]).encode()) % 4 != 2]
+    names = sorted({r[2] for r in learned})
+    tables = []
+    for n in range(6):
+        counts = {}
+        for _, text, name, *_ in learned:
+            for w in words(text):
+                for item in [w] if n == 0 else cut(w, n):
+                    counts.setdefault(item, Counter())[name] += 1
+        counts = {i: c for i, c in counts.items() if sum(c.values()) >= least}
+        totals = {name: sum(c[name] for c in counts.values()) for name in names}
+        tables.append({i: [math.log((c[x] + 0.5) / (totals[x] + 0.5 * (len(counts) + 1))) for x in names] for i, c in counts.items()})
+    out = []
+    for _, text, *_ in rows:
+        sums, seen = [0.0] * len(names), words(text)
+        for w in seen:
+            known = [tables[0][w]] if w in tables[0] else []
+            for n in range(5, 0, -1):
+                known = known or [tables[n][g] for g in cut(w, n) if g in tables[n]]
+            for k in range(len(names)):
+                sums[k] += sum(v[k] for v in known) / len(known) if known else 0.0
+        best = max(range(len(names)), key=lambda k: (sums[k], -k))
+        out.append((names[best], 1 / sum(math.exp(x - sums[best]) for x in sums)) if seen else ("und", 0.0))
+    return out
+
+
+def test_language_equals_plain_model(spark):
+    odd = ["½", "² ①", "Ⅷ ⅻ 12", "é ½ ba", "a\u0301b do", "İstanbul ßa", "日本 ba", None, "", "x" * 5000, " ".join(["do ki"] * 3000)]
+    rows = labelled(90) + [(1000 + i, t, None, "s", 1) for i, t in enumerate(odd)]
+    got = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in language.identify(cases.documents(spark, rows)).collect()}
+    for r, (name, score) in zip(rows, plain_language(rows, language.LEAST)):
+        assert got[r[0]][0] == name and got[r[0]][1] == pytest.approx(score, abs=1e-9), r
+    assert [got[1000 + i][0] for i in range(3)] == ["und"] * 3
+
+
 def test_language_backoff():
     model = language.LanguageModel(["a", "b"], [
         ({"known": 0}, np.array([[-1.0, -2.0]])), ({"q": 0}, np.array([[-3.0, -1.0]])),

@@ -7,9 +7,13 @@ document gets the language with the largest sum over all its words; the score is
 the posterior probability of that language under equal priors.
 
 The model is fitted on a bounded sample of labelled documents: about
-``per_language`` for each language, chosen by a hash of the id, and holds the
-most frequent ``most_words`` words and ``most_grams`` n-grams of each length.  It
-is counted by Spark and broadcast.  Prediction reads whole texts.
+``per_language`` for each language, chosen by a hash of the id.  It holds every
+word and n-gram that the sample has ``least`` times or more, whatever their
+number; it is counted by Spark and broadcast, and the sample bounds its size.
+Prediction reads whole texts.
+
+Letters are those of Unicode category L; marks and numbers, also those written
+with letter-like signs, end a word.
 
 Defined results: a null text or one without letters is ``und`` with score 0, as
 is everything if no language was learned; ties go to the first language in code
@@ -20,27 +24,27 @@ replaced.
 
 from __future__ import annotations
 
-import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from vigilpay.llm.common import pass_through
 
 PER_LANGUAGE = 4000
-MOST_WORDS = 60_000
-MOST_GRAMS = 60_000
+#: What the sample has less often than this is not learned.
+LEAST = 3
 LONGEST_GRAM = 5
 SMOOTHING = 0.5
 #: Characters of a text that are split into words at once.
 _STRETCH = 1 << 20
 #: Distinct words of which a worker remembers the scores.
 REMEMBERED = 300_000
-_WORD = re.compile(r"[^\W\d_]+")
+_WORD = regex.compile(r"\p{L}+")
 UNKNOWN = "und"
 
 
@@ -64,7 +68,7 @@ def grams(word: str, n: int) -> list[str]:
 
 @dataclass
 class LanguageModel:
-    """Log frequencies by language; at most ``MOST_WORDS`` and ``LONGEST_GRAM * MOST_GRAMS`` rows."""
+    """Log frequencies by language, as many rows as a bounded sample has items."""
 
     languages: list[str]
     tables: list[tuple[dict[str, int], np.ndarray]]  # 0: words; n: n-grams
@@ -90,7 +94,7 @@ def held_out(doc_id: str | Column = "doc_id") -> Column:
 
 def fit(
     labelled: DataFrame, text: str = "text", lang: str = "lang", doc_id: str = "doc_id",
-    per_language: int = PER_LANGUAGE, most_words: int = MOST_WORDS, most_grams: int = MOST_GRAMS,
+    per_language: int = PER_LANGUAGE, least: int = LEAST,
 ) -> LanguageModel:
     """Learn from rows with a language and a text."""
     rows = labelled.filter(F.col(lang).isNotNull() & F.col(text).isNotNull() & F.col(doc_id).isNotNull())
@@ -138,12 +142,11 @@ def fit(
     items = words.mapInArrow(cut, "lang string, length int, item string, n long")
     per_item = items.groupBy("length", "item").pivot("lang", languages).agg(F.sum("n"))
     total = sum((F.coalesce(F.col(f"`{name}`"), F.lit(0)) for name in languages), F.lit(0))
-    per_item = per_item.withColumn("total", total).persist()
+    per_item = per_item.filter(total >= least).persist()
     try:
         tables = []
         for n in range(LONGEST_GRAM + 1):
-            most = most_grams if n else most_words
-            top = per_item.filter(F.col("length") == n).orderBy(F.desc("total"), "item").limit(most).collect()
+            top = per_item.filter(F.col("length") == n).orderBy("item").collect()
             counts = np.array([[r[name] or 0 for name in languages] for r in top], float).reshape(-1, len(languages))
             logs = np.log((counts + SMOOTHING) / (counts.sum(axis=0) + SMOOTHING * (len(top) + 1)))
             tables.append(({r["item"]: i for i, r in enumerate(top)}, logs))

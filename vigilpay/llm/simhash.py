@@ -214,10 +214,17 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id")
 def drop_near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """The document with the smallest id of every component, with all columns; of equal rows, one.
 
-    Documents without an id stay, once per text, where their component has no id at all.
+    Rows are told apart by id and text, so of several rows of one id only those
+    whose own text is in the id's component stay.  Documents without an id stay,
+    once per text, where their component has no id at all.
     """
-    groups = near_duplicates(docs, text, doc_id)
-    keepers = groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__keep"))
-    kept = docs.join(keepers.distinct(), F.col(doc_id).eqNullSafe(F.col("__keep")), "left_semi")
+    key = F.xxhash64(F.col(text))
+    prints = fingerprints(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), key.alias("text_key")))
+    groups = with_components(stage(prints, "simhash-prints"))
+    keepers = groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(
+        F.col("doc_id").alias("__keep"), F.col("text_key").alias("__key")
+    )
+    same = F.col(doc_id).eqNullSafe(F.col("__keep")) & (key == F.col("__key"))
+    kept = docs.join(keepers.distinct(), same, "left_semi")
     order = Window.partitionBy(doc_id, F.xxhash64(text)).orderBy(F.xxhash64(*docs.columns))
     return kept.withColumn("__copy", F.row_number().over(order)).filter("__copy = 1").select(*docs.columns)
