@@ -11,7 +11,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from vigilpay.llm import mixing, pieces, quality, simhash, substring
-from vigilpay.session import new_dir
+from vigilpay.session import stage
 
 #: The SentencePiece model of the last stage.
 PIECE_MODEL = os.environ.get("VIGILPAY_PIECE_MODEL", "/opt/tokenizers/piece_bpe_32k.model")
@@ -42,9 +42,10 @@ def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def sentencepiece_encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Piece ids of every document of the mix."""
-    encoded = pieces.encode(docs.select("doc_id", "source", "lang", "text"), pieces.load_model(PIECE_MODEL))
-    return encoded.select("doc_id", "source", "lang", F.size("ids").alias("n_ids"), "ids")
+    """Piece ids of every document of the mix, and whether decoding them gives the text back."""
+    model = pieces.load_model(PIECE_MODEL)
+    encoded = pieces.encode(docs.select("doc_id", "source", "lang", "text"), model, check="round_trip")
+    return encoded.select("doc_id", "source", "lang", F.size("ids").alias("n_ids"), "ids", "round_trip")
 
 
 STAGES = [
@@ -57,10 +58,11 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; between two stages the documents are written and read again."""
+    """All stages over ``documents``; between two stages the documents are written and read again.
+
+    The folders belong to the application until ``session.drop_staged``.
+    """
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, stage in STAGES[:-1]:
-        path = new_dir(spark, f"pipeline-{name.replace(' ', '-')}")
-        stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+    for name, function in STAGES[:-1]:
+        docs = stage(function(spark, docs, sf_dir), f"pipeline-{name.replace(' ', '-')}")
     return STAGES[-1][1](spark, docs, sf_dir)
