@@ -46,8 +46,10 @@ def scenario():
 
 
 def read_json(folder):
+    """Rows of the batches that are published; what is still written is hidden."""
     found = []
-    for base, _, names in os.walk(folder):
+    for base, folders, names in os.walk(folder):
+        folders[:] = [f for f in folders if not f.startswith(("_", "."))]
         for name in names:
             if name.endswith(".json"):
                 with open(os.path.join(base, name)) as f:

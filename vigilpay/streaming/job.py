@@ -264,16 +264,26 @@ class RiskStream:
 
     # --- windows ----------------------------------------------------------------------
 
-    def _windowed(self, keys: list[str], minutes: int, success: bool = False, **measures: Column) -> DataFrame:
+    def _windowed(self, keys: list[str], minutes: int, success: bool = False, **measures: tuple[Column, Callable]) -> DataFrame:
+        """Windows of ``minutes`` that move by one minute.
+
+        A measure is its column over events and the function that puts panes
+        together.  Events are reduced to one-minute panes, and a pane goes into
+        the windows that hold it when it closes, so an event changes one row of
+        state, not one per window.  Windows close in the batch of their last pane.
+        """
         events = self.on_time()
         if success:
             events = prepare.successful_payments(events)
-        size, slide = f"{minutes} minutes", "1 minute"
-        return (
-            events.groupBy(F.window("event_ts", size, slide).alias("w"), *keys)
-            .agg(*[column.alias(name) for name, column in measures.items()])
-            .select(*keys, *measures, F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"))
+        rows = events.groupBy(F.window("event_ts", "1 minute").alias("w"), *keys).agg(
+            *[column.alias(name) for name, (column, _) in measures.items()]
         )
+        if minutes > 1:
+            rows = rows.select(*keys, *measures, F.window_time("w").alias("pane_time"))
+            rows = rows.groupBy(F.window("pane_time", f"{minutes} minutes", "1 minute").alias("w"), *keys).agg(
+                *[together(name).alias(name) for name, (_, together) in measures.items()]
+            )
+        return rows.select(*keys, *measures, F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"))
 
     def _shared_key(self, rule: config.Rule, key: str, live: Callable[[], int]):
         """Counts the users of windows that closed; a closed window arrives in one batch."""
@@ -303,8 +313,9 @@ class RiskStream:
 
     def stages(self) -> list[Stage]:
         now, n = self.rules_now, F.count(F.lit(1))
-        users = lambda key: self._windowed([key, "user_id"], 10, first_seq=F.min("arrival_seq"))
-        amount, ok = F.sum("amount"), F.count_if(same_text(F.col("transaction_status"), "SUCCESS"))
+        users = lambda key: self._windowed([key, "user_id"], 10, first_seq=(F.min("arrival_seq"), F.min))
+        amount, events = (F.sum("amount"), F.sum), (n, F.sum)
+        ok = (F.count_if(same_text(F.col("transaction_status"), "SUCCESS")), F.sum)
         alerts, metrics = self._write_alerts, self._write_metrics
 
         def rate(rows):
@@ -332,7 +343,7 @@ class RiskStream:
         return [
             Stage("ingest", self.source, self._ingest, 0),
             Stage("route", self._deduplicated, self._route, 1, timers=True),
-            Stage("user_frequency", lambda: self._windowed(["user_id"], 1, transaction_count=n),
+            Stage("user_frequency", lambda: self._windowed(["user_id"], 1, transaction_count=events),
                   alerts("user_frequency", lambda r: rules.frequency_alerts(r, now()))),
             Stage("user_amount", lambda: self._windowed(["user_id"], 5, success=True, total_amount=amount),
                   alerts("user_amount", lambda r: rules.amount_alerts(r, now()))),
@@ -346,11 +357,11 @@ class RiskStream:
             Stage("merchant_amount", lambda: self._windowed(["merchant_id"], 5, success=True, amount=amount), merchant_sink),
             Stage("merchant_spike", self._merchant_history,
                   alerts("merchant_spike", lambda r: rules.merchant_spike_alerts(_history(r), now())), 3, timers=True),
-            Stage("transaction_count", lambda: self._windowed([], 1, n=n),
+            Stage("transaction_count", lambda: self._windowed([], 1, n=events),
                   metrics("transaction_count", minute_metric(mt.TRANSACTION_COUNT))),
             Stage("transaction_amount", lambda: self._windowed([], 5, success=True, amount=amount),
                   metrics("transaction_amount", lambda r: mt.as_metric(r, mt.TRANSACTION_AMOUNT, F.col("amount"), F.lit(0)))),
-            Stage("channel_rate", lambda: self._windowed(["channel"], 5, total=n, success_count=ok),
+            Stage("channel_rate", lambda: self._windowed(["channel"], 5, total=events, success_count=ok),
                   metrics("channel_rate", rate)),
             Stage("alert_count", alert_count(False), metrics("alert_count", minute_metric(mt.ALERT_COUNT)), 4, "update"),
             Stage("high_alert_count", alert_count(True), metrics("high_alert_count", minute_metric(mt.HIGH_ALERT_COUNT)), 4, "update"),
