@@ -111,6 +111,13 @@ class StreamConfig:
     #: How many cities of each window to keep, and whether to count alerts as features of users.
     city_topn: int = 0
     user_features: bool = False
+    #: When ``RiskStream.roll`` makes larger files of an output: at this size, at this
+    #: age of its oldest batch, or when nothing came for so long; and how long rolled
+    #: batches stay for streams that read them.
+    roll_bytes: int = 64 << 20
+    roll_seconds: int = 120
+    idle_seconds: int = 30
+    keep_seconds: int = 86_400
     rules: RuleConfig = field(default_factory=RuleConfig)
 
 

@@ -15,7 +15,7 @@ from vigilpay.operators import (
     scans, serving, validate, versions, windows,
 )
 from vigilpay.sources import adapter, files, kafka
-from vigilpay.streaming import features, job
+from vigilpay.streaming import features, job, rolling
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -779,11 +779,11 @@ def _published(spark, held: str, source: str, steps: int):
         yield step
 
 
-def _streamed(spark, sf, *runs: list[str], steps: int = 1, **options):
+def _streamed(spark, sf, *runs: list[str], steps: int = 1, rolls: bool = False, **options):
     """The job over raw text that arrives in several micro-batches.
 
     ``runs`` name the stages of each run; with more ``steps`` the text comes bit
-    by bit, and all runs follow each.
+    by bit, and all runs follow each, with a roll of the outputs if asked for.
     """
     root = session.new_dir(spark, "stream")
     lines = session.stage(adapter.raw_lines(spark, sf).select("value", "arrival_seq"), "stream_lines")
@@ -795,6 +795,8 @@ def _streamed(spark, sf, *runs: list[str], steps: int = 1, **options):
     for _ in _published(spark, f"{root}/held", f"{root}/source", steps):
         for names in runs:
             stream.catch_up(names)
+        if rolls:
+            stream.roll()
     return cfg
 
 
@@ -864,6 +866,19 @@ def _(spark, sf):
     return features.features(spark, f"{cfg.alert_output}-features")
 
 
+@query("stream_rolled_alerts")
+def _(spark, sf):
+    """Alerts of a stream whose outputs are rolled, and whose rolled batches go, after each of three steps."""
+    now = dict(roll_seconds=0, keep_seconds=0)
+    cfg = _streamed(spark, sf, [*_PREPARING, "user_frequency", "alert_count"], steps=3, rolls=True, **now)
+    rows = rolling.read_output(spark, f"{cfg.alert_output}/user_frequency", schemas.ALERT_JSON)
+    counts = rolling.read_output(spark, f"{cfg.metric_output}/alert_count", schemas.METRIC_JSON)
+    # the count of a minute is written again when it grows
+    counted = counts.groupBy("window_start").agg(F.max("count").alias("alerts_in_minute"))
+    # the only rule that ran has windows of one minute
+    return rows.select("alert_id", "user_id", "window_start", "window_end", "evidence").join(counted, "window_start", "left")
+
+
 @query("stream_late_events")
 def _(spark, sf):
     cfg = _streamed(spark, sf, _PREPARING)

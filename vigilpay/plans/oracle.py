@@ -731,6 +731,9 @@ def _stream_rule(rule: str) -> str:
 
 
 ORACLE["stream_user_frequency"] = _stream_rule("R001")
+ORACLE["stream_rolled_alerts"] = _sql(
+    f"""SELECT alert_id, user_id, window_start, window_end, evidence, count(*) OVER (PARTITION BY window_start) AS alerts_in_minute
+    FROM ({_RULE_BODY["R001"]}) WHERE {_CLOSED}""", _RULE_CTES["R001"], base=_STREAM)
 ORACLE["stream_user_amount"] = _stream_rule("R002")
 ORACLE["stream_device_users"] = _stream_rule("R003")
 ORACLE["stream_card_users"] = _stream_rule("R004")

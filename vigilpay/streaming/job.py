@@ -27,7 +27,7 @@ from vigilpay.config import StreamConfig
 from vigilpay.functions.scores import same_text
 from vigilpay.operators import alerts as al, extensions as ext, lists, metrics as mt, prepare, rules, validate
 from vigilpay.sources import files, kafka
-from vigilpay.streaming import features, state, tables
+from vigilpay.streaming import features, rolling, state, tables
 
 _EVENT = schemas.EVENT
 #: First arrivals of a micro-batch.  Money as text and instants as numbers, as pandas keeps those.
@@ -421,6 +421,27 @@ class RiskStream:
                 for _, running in started:
                     running.stop()
 
+    def outputs(self) -> list[str]:
+        """Folders of JSON lines that the job has published so far."""
+        cooled = self.cfg.cooled_output or f"{self.cfg.alert_output}-cooled"
+        found = [self.cfg.late_output, self.cfg.dead_letter_output, cooled]
+        for root in (self.cfg.alert_output, self.cfg.metric_output):
+            found += [f"{root}/{name}" for name in tables.folder_names(self.spark, root) if not name.endswith("-rolled")]
+        return [path for path in found if tables.exists(self.spark, path)]
+
+    def roll(self) -> int:
+        """Roll what is due in all outputs and remove what was rolled long enough ago; the number of batches rolled.
+
+        May run beside the queries, again and again, as one job at a time.
+        """
+        rolled = 0
+        for path in self.outputs():
+            rolled += rolling.roll(
+                self.spark, path, "json", self.cfg.roll_bytes, self.cfg.roll_seconds, self.cfg.idle_seconds
+            )
+            rolling.retire(self.spark, path, self.cfg.keep_seconds)
+        return rolled
+
 
 def _drain(stage: Stage, running: StreamingQuery) -> None:
     """Wait until a query has read all its input.

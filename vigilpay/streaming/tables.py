@@ -54,13 +54,18 @@ def read_batch(spark: SparkSession, path: str, batch_id: int) -> DataFrame | Non
     return spark.read.parquet(folder) if exists(spark, folder) else None
 
 
-def batch_ids(spark: SparkSession, path: str) -> list[int]:
-    """The numbers of the batches that are there."""
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies in a folder, hidden ones left out."""
     if not exists(spark, path):
         return []
     system, target = _file_system(spark, path)
     names = [f.getPath().getName() for f in system.listStatus(target)]
-    return sorted(int(n.removeprefix("batch-")) for n in names if n.startswith("batch-"))
+    return sorted(n for n in names if not n.startswith(("_", ".")))
+
+
+def batch_ids(spark: SparkSession, path: str) -> list[int]:
+    """The numbers of the batches that are there."""
+    return sorted(int(n.removeprefix("batch-")) for n in folder_names(spark, path) if n.startswith("batch-"))
 
 
 def read_batches(spark: SparkSession, path: str, batch_ids: list[int]) -> DataFrame | None:
