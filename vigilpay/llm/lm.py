@@ -14,10 +14,6 @@ what the blocks have and answers each of them, so a very common bigram reaches
 its bucket once per block, and no model is gathered or broadcast.  Hash equality
 stands for equality: 64 bits, and the bucket by other bits.
 
-``fit`` and ``score`` are models of a bounded size, for callers that want one to
-carry along: the words that occur at least as often as needed to have no more
-than ``most_words`` of them, likewise the bigrams, and a target given as ids.
-
 Defined results: words are runs without white space, in lower case; a document
 without words has null losses and score; a null id is scored but is never of the
 target; repeated rows count and are scored one by one; an empty table gives an
@@ -28,9 +24,7 @@ from __future__ import annotations
 
 import zlib
 from array import array
-from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -42,177 +36,22 @@ from vigilpay.llm.arrays import mix
 from vigilpay.llm.common import stage
 from vigilpay.llm.exchange import bucket_count
 
-MOST_WORDS = 1 << 15
-MOST_BIGRAMS = 1 << 19
-TARGET_ROWS = 20_000
 PRIOR = 50.0
-#: Bigrams a task gathers before it counts them.
-FLUSH = 1 << 22
 #: Words of one block; a longer text is a block of its own.
 BLOCK = 1 << 21
-#: Counts above this need no finer threshold.
-_HIGH = 1 << 16
 _LOSSES = "doc_id long, n_tokens long, target_loss double, background_loss double, score double"
 
 
-@dataclass
-class BigramModels:
-    """Word 0 stands for words out of the vocabulary, the last number for the start of a text."""
-
-    index: dict[str, int]
-    codes: np.ndarray  # sorted bigrams, first * width + second
-    counts: np.ndarray  # two rows: target, background
-    after: np.ndarray  # two rows: bigrams kept after each word
-    words: np.ndarray  # two rows: probability of each word
-
-    @property
-    def width(self) -> int:
-        return self.words.shape[1] + 1
-
-    def losses(self, codes: np.ndarray) -> np.ndarray:
-        """Two rows of losses of bigrams, target and background."""
-        at = np.minimum(np.searchsorted(self.codes, codes), max(0, len(self.codes) - 1))
-        kept = self.codes[at] == codes if len(self.codes) else np.zeros(len(codes), bool)
-        first, second = codes // self.width, codes % self.width
-        out = np.empty((2, len(codes)))
-        for k in range(2):
-            own = np.where(kept, self.counts[k][at], 0.0) if len(self.codes) else 0.0
-            out[k] = -np.log((own + PRIOR * self.words[k][second]) / (self.after[k][first] + PRIOR))
-        return out
-
-
 def _tokens(text: str | None) -> list[str]:
     return text.lower().split() if text else []
 
 
-def _bigrams(texts: list, index: dict[str, int], width: int) -> tuple[np.ndarray, np.ndarray]:
-    """Bigrams of all texts on end, and their number per text; a text starts after the start mark."""
-    lists = [[index.get(w, 0) for w in _tokens(t)] for t in texts]
-    counts = np.array([len(x) for x in lists], np.int64)
-    flat = np.fromiter((i for x in lists for i in x), np.int64, int(counts.sum()))
-    before = np.empty_like(flat)
-    before[1:] = flat[:-1]
-    starts = (np.cumsum(counts) - counts)[counts > 0]
-    before[starts] = width - 1
-    return before * width + flat, counts
-
-
 def _slices(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for lo in range(0, batch.num_rows, rows):
             yield batch.slice(lo, rows)
 
 
-def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    def out(seen: Counter) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays(
-            [pa.array(list(seen.keys()), pa.string()), pa.array(list(seen.values()), pa.int64())], names=["word", "n"]
-        )
-
-    seen: Counter = Counter()
-    for batch in _slices(batches):
-        for text in batch.column(0).to_pylist():
-            seen.update(_tokens(text))
-        if len(seen) >= FLUSH // 8:
-            yield out(seen)
-            seen = Counter()
-    yield out(seen)
-
-
-def _least_count(counts: DataFrame, most: int) -> int:
-    """The smallest count of which no more than ``most`` rows have it or a larger one."""
-    seen = counts.groupBy(F.least("n", F.lit(_HIGH)).alias("n")).agg(F.count(F.lit(1)).alias("rows")).collect()
-    rows, least = 0, _HIGH + 1
-    for r in sorted(seen, key=lambda r: -r["n"]):
-        rows += r["rows"]
-        if rows > most:
-            break
-        least = r["n"]
-    return least
-
-
-def target_ids(labels: DataFrame, condition: str, rows: int = TARGET_ROWS) -> np.ndarray:
-    """About ``rows`` ids of labelled documents that meet a condition, by a hash of the id; all if they are fewer."""
-    chosen = labels.filter(condition).filter("doc_id IS NOT NULL").select(F.col("doc_id").cast("long")).distinct()
-    n = chosen.count()
-    draw = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / float(1 << 30)
-    return np.sort(np.array([r[0] for r in chosen.filter(draw < (rows / n if n > rows else 1.0)).collect()], np.int64))
-
-
-def fit(
-    docs: DataFrame, target: np.ndarray, most_words: int = MOST_WORDS, most_bigrams: int = MOST_BIGRAMS
-) -> BigramModels:
-    """Both models from all of ``docs`` (``doc_id``, ``text``); ``target`` are the ids of the target."""
-    context = docs.sparkSession.sparkContext
-    words = stage(docs.select("text").mapInArrow(_count_words, "word string, n long").groupBy("word").agg(F.sum("n").alias("n")), "lm-words")
-    kept = words.filter(F.col("n") >= _least_count(words, most_words)).select("word").collect()
-    index = {w: i + 1 for i, w in enumerate(sorted(r["word"] for r in kept))}
-    width = len(index) + 2
-    shared, wanted = context.broadcast(index), context.broadcast(target)
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def out(parts: list) -> pa.RecordBatch:
-            # the lowest bit tells the target
-            marked, n = np.unique(np.concatenate(parts), return_counts=True) if parts else (np.zeros(0, np.int64),) * 2
-            return pa.RecordBatch.from_arrays(
-                [pa.array(marked >> 1, pa.int64()), pa.array(n, pa.int64()), pa.array(n * (marked & 1), pa.int64())],
-                names=["code", "n", "t"],
-            )
-
-        parts, size = [], 0
-        for batch in _slices(batches):
-            codes, counts = _bigrams(batch.column(1).to_pylist(), shared.value, width)
-            ids = batch.column(0)
-            inside = np.isin(ids.fill_null(0).to_numpy(), wanted.value) & ids.is_valid().to_numpy(zero_copy_only=False)
-            parts.append(codes * 2 + np.repeat(inside, counts))
-            size += len(codes)
-            if size >= FLUSH:
-                yield out(parts)
-                parts, size = [], 0
-        yield out(parts)
-
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(count, "code long, n long, t long")
-    bigrams = stage(rows.groupBy("code").agg(F.sum("n").alias("n"), F.sum("t").alias("t")), "lm-bigrams")
-    # word counts follow from the bigrams: at most one row per word of the vocabulary
-    totals = bigrams.groupBy(F.pmod("code", F.lit(width)).alias("word")).agg(F.sum("t"), F.sum("n")).collect()
-    ones = np.zeros((2, width - 1))
-    for r in totals:
-        ones[:, r[0]] = r[1], r[2]
-    top = bigrams.filter(F.col("n") >= _least_count(bigrams, most_bigrams)).toArrow()
-    codes = top["code"].to_numpy()
-    order = np.argsort(codes)
-    codes, counts = codes[order], np.stack([top["t"].to_numpy()[order], top["n"].to_numpy()[order]]).astype(float)
-    after = np.stack([np.bincount(codes // width, weights=c, minlength=width) for c in counts])
-    probability = (ones + 1.0) / (ones.sum(axis=1, keepdims=True) + width - 1)
-    return BigramModels(index, codes, counts, after, probability)
-
-
-def score(docs: DataFrame, models: BigramModels) -> DataFrame:
-    """One row per document: id, ``n_tokens``, both mean losses and their difference as ``score``."""
-    shared = docs.sparkSession.sparkContext.broadcast(models)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        models = shared.value
-        for batch in _slices(batches):
-            codes, counts = _bigrams(batch.column(1).to_pylist(), models.index, models.width)
-            some = np.flatnonzero(counts)
-            sums = np.zeros((2, len(counts)))
-            if len(some):
-                starts = (np.cumsum(counts) - counts)[some]
-                sums[:, some] = np.add.reduceat(models.losses(codes), starts, axis=1)
-            empty = counts == 0
-            mean = sums / np.maximum(counts, 1)
-            columns = [mean[0], mean[1], mean[0] - mean[1]]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(counts), *[pa.array(c, pa.float64(), mask=empty) for c in columns]],
-                names=["doc_id", "n_tokens", "target_loss", "background_loss", "score"],
-            )
-
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, _LOSSES)
-
-
-# --- all words and bigrams, block by block ------------------------------------------------
-
 _BLOCK = "block long, bucket int, texts long, target_texts long, tokens long, target_tokens long, ids binary, inside binary, counts binary, words binary, flat binary"
 _ASKED = "bucket int, block long, word_keys binary, word_counts binary, pair_keys binary, pair_counts binary"
 _ANSWER = "block long, bucket int, distinct long, word_counts binary, pair_counts binary"
