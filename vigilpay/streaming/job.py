@@ -26,8 +26,9 @@ from vigilpay import config, schemas
 from vigilpay.config import StreamConfig
 from vigilpay.functions.scores import same_text
 from vigilpay.operators import alerts as al, extensions as ext, lists, metrics as mt, prepare, rules, validate
+from vigilpay.session import drop, new_dir
 from vigilpay.sources import files, kafka
-from vigilpay.streaming import features, rolling, state, tables
+from vigilpay.streaming import features, rolling, sights, state, tables
 
 _EVENT = schemas.EVENT
 #: First arrivals of a micro-batch.  Money as text and instants as numbers, as pandas keeps those.
@@ -139,7 +140,7 @@ class RiskStream:
         # a window closes in one micro-batch, with all its cities
         order = Window.partitionBy("window_start", "window_end").orderBy(F.desc("amount"), "city")
         best = rows.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= self.cfg.city_topn)
-        tables.write_batch(best, f"{self.cfg.metric_output}-city-topn", batch_id)
+        tables.write_batch(best, f"{self.cfg.metric_output}-city-topn", batch_id, stateful=True)
 
     def _write_listed(self, batch: DataFrame, batch_id: int) -> None:
         found = self._listed(batch).filter("is_black_device OR is_black_card")
@@ -148,7 +149,7 @@ class RiskStream:
 
     def _write_cooled(self, batch: DataFrame, batch_id: int) -> None:
         rows = batch.select(F.from_json("alert", schemas.ALERT_JSON).alias("a")).select("a.*")
-        tables.write_batch(rows, self.cfg.cooled_output or f"{self.cfg.alert_output}-cooled", batch_id, "json")
+        tables.write_batch(rows, self.cfg.cooled_output or f"{self.cfg.alert_output}-cooled", batch_id, "json", stateful=True)
 
     # --- rules and lists that change while the job runs ---------------------------
 
@@ -177,7 +178,7 @@ class RiskStream:
 
         def sink(batch: DataFrame, batch_id: int) -> None:
             found = build(batch).withColumn("alert_time", F.current_timestamp())
-            tables.write_batch(files.json_view(found), path, batch_id, "json")
+            tables.write_batch(files.json_view(found), path, batch_id, "json", stateful=True)
 
         return sink
 
@@ -186,7 +187,7 @@ class RiskStream:
 
         def sink(batch: DataFrame, batch_id: int) -> None:
             rows = build(batch).withColumn("emit_time", F.current_timestamp())
-            tables.write_batch(files.json_view(rows), path, batch_id, "json")
+            tables.write_batch(files.json_view(rows), path, batch_id, "json", stateful=True)
 
         return sink
 
@@ -247,20 +248,23 @@ class RiskStream:
             if not numbered:
                 batch.unpersist()
 
-    def _deduplicated(self) -> DataFrame:
-        """The first arrival of every id within a day of its first sight."""
-        return state.first_sights(self._stream("parsed", _PARSED))
-
     def _route(self, batch: DataFrame, batch_id: int) -> None:
-        events = batch.withColumn("amount", F.col("amount").cast(schemas.MONEY)).withColumn(
-            "event_ts", F.timestamp_micros("event_ts")
-        ).persist()
+        """The first arrival of every id within a day of its first sight, late or not."""
+        path, held = self._table("sights"), new_dir(self.spark, "routed")
         try:
+            # written before it is cut up: adaptive execution chooses the files
+            first = sights.first_sights(batch, path, batch_id)
+            first.write.parquet(held)
+            passed = self.spark.read.schema(_PARSED).parquet(held)
+            events = passed.withColumn("amount", F.col("amount").cast(schemas.MONEY)).withColumn(
+                "event_ts", F.timestamp_micros("event_ts")
+            )
             behind = events.filter("is_late").select(*schemas.TRANSACTION_FIELDS)
             tables.write_batch(files.json_view(behind), self.cfg.late_output, batch_id, "json")
             tables.write_batch(events.filter("NOT is_late").select(*_ON_TIME.names), self._table("on_time"), batch_id)
+            sights.remember(passed, path, batch_id)
         finally:
-            events.unpersist()
+            drop(self.spark, held)
 
     # --- windows ----------------------------------------------------------------------
 
@@ -323,9 +327,13 @@ class RiskStream:
             return mt.as_metric(rows, mt.CHANNEL_SUCCESS_RATE, F.col("success_count") / F.col("total"), F.col("total"), "channel", dims)
 
         def merchant_sink(rows: DataFrame, batch_id: int) -> None:
-            metrics("merchant_amount", lambda r: mt.merchant_amount_5m(r))(rows, batch_id)
-            out = rows.withColumn("cents", state.cents()).select(*_MERCHANT_WINDOW.names)
-            tables.write_batch(out, self._table("merchant_windows"), batch_id)
+            rows = rows.persist()  # else the state is worked out for each output
+            try:
+                metrics("merchant_amount", lambda r: mt.merchant_amount_5m(r))(rows, batch_id)
+                out = rows.withColumn("cents", state.cents()).select(*_MERCHANT_WINDOW.names)
+                tables.write_batch(out, self._table("merchant_windows"), batch_id, stateful=True)
+            finally:
+                rows.unpersist()
 
         def minute_metric(name):
             return lambda rows: mt.as_metric(rows, name, F.col("n"), F.col("n"))
@@ -342,7 +350,7 @@ class RiskStream:
 
         return [
             Stage("ingest", self.source, self._ingest, 0),
-            Stage("route", self._deduplicated, self._route, 1, timers=True),
+            Stage("route", lambda: self._stream("parsed", _PARSED), self._route, 1),
             Stage("user_frequency", lambda: self._windowed(["user_id"], 1, transaction_count=events),
                   alerts("user_frequency", lambda r: rules.frequency_alerts(r, now()))),
             Stage("user_amount", lambda: self._windowed(["user_id"], 5, success=True, total_amount=amount),
@@ -415,8 +423,10 @@ class RiskStream:
         for level in sorted({stage.level for stage in stages}):
             started = [(s, self.start(s, every=0)) for s in stages if s.level == level]
             try:
+                _drain_timed([running for stage, running in started if stage.timers])
                 for stage, running in started:
-                    _drain(stage, running)
+                    if not stage.timers:
+                        running.processAllAvailable()
             finally:
                 for _, running in started:
                     running.stop()
@@ -443,21 +453,21 @@ class RiskStream:
         return rolled
 
 
-def _drain(stage: Stage, running: StreamingQuery) -> None:
-    """Wait until a query has read all its input.
+def _drain_timed(queries: list[StreamingQuery]) -> None:
+    """Wait until queries with timers have read all their input, and stop each when it has.
 
-    With timers a query goes on with batches without input; the first of them
-    comes when there is no more input.
+    Such a query goes on with batches without input, which take cores from the
+    others; the first of them comes when there is no more input.
     """
-    if not stage.timers:
-        running.processAllAvailable()
-        return
-    while True:
-        if running.exception():
-            raise running.exception()
-        last = running.lastProgress
-        if last is not None and last["numInputRows"] == 0:
-            return
+    waiting = list(queries)
+    while waiting:
+        for running in list(waiting):
+            if running.exception():
+                raise running.exception()
+            last = running.lastProgress
+            if last is not None and last["numInputRows"] == 0:
+                running.stop()
+                waiting.remove(running)
         time.sleep(0.05)
 
 

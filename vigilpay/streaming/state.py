@@ -8,11 +8,14 @@ the rule's time to live is forgotten, as is a key that stays silent that long.
 Rows may bring the clock along, as ``clock_ms``; without it the clock of the
 micro-batch counts.  With it a run that catches up forgets what the live run
 would have forgotten, and so do the operators on tables.
+
+A key costs Python time for every column of its rows, so columns that no rule
+looks at travel as one text (``_packed``).
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -21,7 +24,6 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from vigilpay import config
 
-DEDUP_TTL_MS = config.DEDUP_TTL_US // 1000
 FAILURE_TTL_MS = config.FAILURE_TTL_US // 1000
 USER_MEAN_TTL_MS = config.USER_MEAN_TTL_US // 1000
 MERCHANT_MEAN_TTL_MS = config.MERCHANT_MEAN_TTL_US // 1000
@@ -53,8 +55,10 @@ def _forgotten(clock: np.ndarray, ttl_ms: int) -> np.ndarray:
     return np.flatnonzero(np.diff(clock) > ttl_ms) + 1
 
 
-def _in_order(frames: Iterator[pd.DataFrame], order: str) -> pd.DataFrame:
-    return pd.concat(list(frames)).sort_values(order, kind="stable")
+def _in_order(frames: Iterator[pd.DataFrame], *order: str) -> pd.DataFrame:
+    parts = list(frames)
+    batch = parts[0] if len(parts) == 1 else pd.concat(parts)
+    return batch if len(batch) == 1 else batch.sort_values(list(order), kind="stable")
 
 
 def fold_failures(failed: np.ndarray, clock: np.ndarray, run_before: int, ttl_ms: int) -> np.ndarray:
@@ -84,38 +88,36 @@ def fold_history(
     return np.concatenate(counts), np.concatenate(totals), count, total
 
 
-def _with_state(rows: DataFrame, key: str, fold, added: T.StructType) -> DataFrame:
-    output = T.StructType(rows.schema.fields + added.fields)
-    # the second number as text: totals of money go beyond 64 bits
-    state = "first bigint, second string, written bigint"
-    return rows.groupBy(key).applyInPandasWithState(fold, output, state, "append", GroupStateTimeout.ProcessingTimeTimeout)
+def _packed(rows: DataFrame, *needed: str) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """Rows whose columns other than ``needed`` are one text, and what puts them back.
 
+    Texts, whole numbers and flags come back from JSON as they were; columns of
+    other types stay as they are.
+    """
+    kept_by_json = (T.StringType, T.BooleanType, T.IntegralType)
+    others = [f for f in rows.schema.fields if f.name not in needed and isinstance(f.dataType, kept_by_json)]
+    if len(others) < 2:
+        return rows, lambda done: done
+    inside = [f.name for f in others]
+    left = [c for c in rows.columns if c not in inside]
 
-def first_sights(rows: DataFrame, ttl_ms: int = DEDUP_TTL_MS) -> DataFrame:
-    """The first arrival of every ``event_id``, and again the first one later than ``ttl_ms`` after it.
+    def unpacked(done: DataFrame) -> DataFrame:
+        added = [c for c in done.columns if c not in left and c != "_rest"]
+        # as a generator the text is parsed once per row
+        whole = done.select(*left, *added, F.inline_outer(F.array(F.from_json("_rest", T.StructType(others)))))
+        return whole.select(*rows.columns, *added)
 
-    ``rows`` has ``event_id``, ``arrival_seq`` and ``ingest_ms``, the clock of
-    the rule; columns are of types that pandas keeps.  On tables:
-    ``prepare.dedup`` with a time to live.
-    """
+    return rows.select(*left, F.to_json(F.struct(*inside)).alias("_rest")), unpacked
 
-    def fold(key, frames: Iterator[pd.DataFrame], state: GroupState):
-        if state.hasTimedOut:
-            state.remove()
-            return
-        batch = _in_order(frames, "arrival_seq")
-        seen = state.get[0] if state.exists else None
-        passed = []
-        for at in batch["ingest_ms"].tolist():
-            passed.append(seen is None or at - seen > ttl_ms)
-            if passed[-1]:
-                seen = at
-        state.update((int(seen),))
-        state.setTimeoutDuration(ttl_ms + 1)
-        yield batch[np.array(passed, dtype=bool)]
-
-    return rows.groupBy("event_id").applyInPandasWithState(
-        fold, rows.schema, "seen bigint", "append", GroupStateTimeout.ProcessingTimeTimeout
+
+def _with_state(rows: DataFrame, key: str, fold, added: T.StructType, *needed: str) -> DataFrame:
+    """``needed``: the columns that ``fold`` looks at besides the key."""
+    rows, unpacked = _packed(rows, key, "clock_ms", *needed)
+    output = T.StructType(rows.schema.fields + added.fields)
+    # the second number as text: totals of money go beyond 64 bits
+    state = "first bigint, second string, written bigint"
+    return unpacked(
+        rows.groupBy(key).applyInPandasWithState(fold, output, state, "append", GroupStateTimeout.ProcessingTimeTimeout)
     )
 
 
@@ -142,7 +144,7 @@ def failure_runs(
         batch["failed_run"] = runs
         yield batch[batch["failed"] & (runs >= threshold)]
 
-    return _with_state(rows, "user_id", fold, T.StructType().add("failed_run", "long"))
+    return _with_state(rows, "user_id", fold, T.StructType().add("failed_run", "long"), "arrival_seq", "failed")
 
 
 def amount_history(
@@ -166,7 +168,7 @@ def amount_history(
         yield batch[counts >= min_count]
 
     added = T.StructType().add("history_count", "long").add("history_cents", "string")
-    return _with_state(rows, key, fold, added)
+    return _with_state(rows, key, fold, added, order, "cents")
 
 
 def cooled(rows: DataFrame, period_us: int) -> DataFrame:
@@ -181,7 +183,7 @@ def cooled(rows: DataFrame, period_us: int) -> DataFrame:
         if state.hasTimedOut:
             state.remove()
             return
-        batch = pd.concat(list(frames)).sort_values(["at", "alert_id"], kind="stable")
+        batch = _in_order(frames, "at", "alert_id")
         at = batch["at"].to_numpy(dtype=np.int64)
         last = state.get[0] if state.exists else None
         if last is None:

@@ -13,6 +13,8 @@ from vigilpay.session import drop
 
 #: Files older than this, next to the newest, would be skipped by the file source.
 _MAX_FILE_AGE = "36500d"
+#: Rows of a file that rows of a query with state are written to.
+FILE_ROWS = 250_000
 
 
 def _file_system(spark: SparkSession, path: str):
@@ -30,20 +32,40 @@ def _folder(path: str, batch_id: int) -> str:
     return f"{path}/batch-{batch_id:012d}"
 
 
-def write_batch(df: DataFrame, path: str, batch_id: int, fmt: str = "parquet", keep_empty: bool = False) -> None:
-    """Write a micro-batch into its own folder, once."""
+def write_batch(
+    df: DataFrame, path: str, batch_id: int, fmt: str = "parquet", keep_empty: bool = False, stateful: bool = False
+) -> None:
+    """Write a micro-batch into its own folder, once.
+
+    ``stateful``: the rows come from a query with state.  Adaptive execution does
+    not join its partitions, so they are joined here, into as many files as the
+    rows ask for.  Stages take a table file by file; were there a file for every
+    partition of state, a small batch would become many micro-batches.
+    """
     spark, folder = df.sparkSession, _folder(path, batch_id)
     if exists(spark, folder):
         return
     hidden = f"{path}/_writing-{batch_id:012d}"
-    writer = df.write.mode("overwrite")
-    if fmt == "json":
-        writer = writer.option("ignoreNullFields", "false")
-    writer.format(fmt).save(hidden)
-    written = spark.read.text(hidden) if fmt == "json" else spark.read.schema(df.schema).format(fmt).load(hidden)
-    if not keep_empty and written.isEmpty():
-        drop(spark, hidden)
-        return
+    rows = df.persist() if stateful else df
+    try:
+        if stateful:
+            # counted by all tasks, so that only what is ready is read by few
+            n = rows.count()
+            if not n and not keep_empty:
+                return
+            rows = rows.coalesce(max(1, -(-n // FILE_ROWS)))
+        writer = rows.write.mode("overwrite")
+        if fmt == "json":
+            writer = writer.option("ignoreNullFields", "false")
+        writer.format(fmt).save(hidden)
+    finally:
+        if stateful:
+            df.unpersist()
+    if not stateful and not keep_empty:
+        written = spark.read.text(hidden) if fmt == "json" else spark.read.schema(df.schema).format(fmt).load(hidden)
+        if written.isEmpty():
+            drop(spark, hidden)
+            return
     system, source = _file_system(spark, hidden)
     if not system.rename(source, _file_system(spark, folder)[1]):
         raise OSError(f"could not publish {folder}")
