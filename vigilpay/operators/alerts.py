@@ -80,7 +80,11 @@ def union_alerts(*parts: DataFrame) -> DataFrame:
 
 def upsert(old: DataFrame, new: DataFrame) -> DataFrame:
     """Merge by ``alert_id``: a known alert takes only the new evidence and alert time."""
-    new = latest(new)
+    return _merged(old, latest(new))
+
+
+def _merged(old: DataFrame, new: DataFrame) -> DataFrame:
+    """``upsert`` of new alerts that have one row per id."""
     taken = {"evidence", "alert_time"}
     o, n = old.alias("o"), new.alias("n")
     columns = []
@@ -94,7 +98,7 @@ def upsert(old: DataFrame, new: DataFrame) -> DataFrame:
 
 
 #: Alerts of a stored file.
-_FILE_ROWS = 1_000_000
+_FILE_ROWS = 250_000
 
 
 def _by_day(alerts: DataFrame) -> DataFrame:
@@ -118,12 +122,12 @@ def merge_into(path: str, new: DataFrame, batch_id: int | None = None) -> None:
         # the day is a text also where all of them look like dates
         stored = spark.read.schema(merged.schema).parquet(path).filter(F.col("day").isin(list(days)))
         # written aside first: the partitions read are the partitions replaced
-        merged = stage(_by_day(upsert(stored.drop("day"), merged.drop("day"))), "merge-done")
+        merged = stage(_by_day(_merged(stored.drop("day"), merged.drop("day"))), "merge-done")
         days = {r["day"]: r["n"] for r in merged.groupBy("day").agg(F.count(F.lit(1)).alias("n")).collect()}
-    files = -(-max(days.values(), default=1) // _FILE_ROWS)
-    part = F.pmod(F.crc32(F.col("alert_id").cast("binary")), F.lit(files))
+    # ranges are of one size, also where one day has nearly all alerts
+    files = sum(-(-n // _FILE_ROWS) for n in days.values())
     (
-        merged.repartition(max(1, min(len(days) * files, 10_000)), "day", part).write.mode("overwrite")
+        merged.repartitionByRange(max(1, min(files, 10_000)), "day", F.xxhash64("alert_id")).write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic").partitionBy("day").parquet(path)
     )
 
