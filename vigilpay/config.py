@@ -98,6 +98,10 @@ class StreamConfig:
     trigger_seconds: int = 10
     max_offsets_per_trigger: int = 5_000_000
     max_files_per_trigger: int = 1000
+    #: Into how many partitions a query divides its state; it stays so for its checkpoint.
+    #: 0: the session's shuffle partitions.  A partition costs files in every
+    #: micro-batch, however few its rows.
+    state_partitions: int = 0
     #: Parquet tables that are read anew for every micro-batch: thresholds
     #: (version, rule_id, threshold) and black devices (device_id).
     rule_table: str = ""

@@ -15,7 +15,7 @@ from vigilpay.operators import (
     scans, serving, validate, versions, windows,
 )
 from vigilpay.sources import adapter, files, kafka
-from vigilpay.streaming import features, job, rolling
+from vigilpay.streaming import features, job, rolling, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -761,6 +761,14 @@ _PREPARING = ["ingest", "route"]
 
 #: Rows of a source file.
 _FILE_ROWS = 2_000_000
+#: Events for which the state gets one more partition.
+_STATE_ROWS = 100_000
+
+
+def _state_partitions(spark, events: int) -> int:
+    """As many as the events ask for, one per core at least, and no more than the session has."""
+    most = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return min(most, max(spark.sparkContext.defaultParallelism, -(-events // _STATE_ROWS)))
 
 
 def _published(spark, held: str, source: str, steps: int):
@@ -788,9 +796,10 @@ def _streamed(spark, sf, *runs: list[str], steps: int = 1, rolls: bool = False,
     root = session.new_dir(spark, "stream")
     lines = session.stage(adapter.raw_lines(spark, sf).select("value", "arrival_seq"), "stream_lines")
     # files of consecutive arrivals, as many to a micro-batch as its size asks for
-    per_batch = max(1, -(-lines.count() // (_BATCHES * _FILE_ROWS)))
+    events = lines.count()
+    per_batch = max(1, -(-events // (_BATCHES * _FILE_ROWS)))
     lines.repartitionByRange(_BATCHES * per_batch, "arrival_seq").write.parquet(f"{root}/held")
-    cfg = stream_config(root, **{"max_files_per_trigger": 16, **options})
+    cfg = stream_config(root, **{"max_files_per_trigger": 16, "state_partitions": _state_partitions(spark, events), **options})
     stream = job.RiskStream(spark, cfg, job.numbered_source(spark, f"{root}/source", max_files=per_batch))
     for _ in _published(spark, f"{root}/held", f"{root}/source", steps):
         for names in runs:
@@ -801,7 +810,7 @@ def _streamed(spark, sf, *runs: list[str], steps: int = 1, rolls: bool = False,
 
 
 def _stream_alerts(spark, cfg, name):
-    found = spark.read.schema(schemas.ALERT_JSON).option("recursiveFileLookup", True).json(f"{cfg.alert_output}/{name}")
+    found = tables.read_output(spark, f"{cfg.alert_output}/{name}", schemas.ALERT_JSON, "json")
     return found.select("alert_id", "rule_id", "user_id", "merchant_id", "event_id", "window_start", "window_end", "evidence")
 
 
@@ -822,7 +831,7 @@ query("stream_merchant_spike")(_stream_rule("merchant_spike", "merchant_amount")
 def _stream_metric(stage):
     def run(spark, sf):
         cfg = _streamed(spark, sf, [*_PREPARING, stage])
-        rows = spark.read.schema(schemas.METRIC_JSON).option("recursiveFileLookup", True).json(f"{cfg.metric_output}/{stage}")
+        rows = tables.read_output(spark, f"{cfg.metric_output}/{stage}", schemas.METRIC_JSON, "json")
         return rows.drop("emit_time")
 
     return run
@@ -839,14 +848,15 @@ def _(spark, sf):
     """Cooled alerts of three rules, over several runs of rules and cool-down."""
     stages = [*_PREPARING, "user_amount", "black_device", "user_spike"]
     cfg = _streamed(spark, sf, stages, ["alert_cooldown"], steps=3, cooldown_minutes=10)
-    rows = spark.read.schema(schemas.ALERT_JSON).option("recursiveFileLookup", True).json(f"{cfg.alert_output}-cooled")
+    rows = tables.read_output(spark, f"{cfg.alert_output}-cooled", schemas.ALERT_JSON, "json")
     return rows.select("alert_id", "rule_id", "window_end")
 
 
 @query("stream_city_topn")
 def _(spark, sf):
     cfg = _streamed(spark, sf, [*_PREPARING, "city_topn"], city_topn=3)
-    return spark.read.option("recursiveFileLookup", True).parquet(f"{cfg.metric_output}-city-topn")
+    best = "city string, amount decimal(38,2), window_start timestamp, window_end timestamp, place int"
+    return tables.read_output(spark, f"{cfg.metric_output}-city-topn", best)
 
 
 @query("stream_blacklist")
@@ -855,7 +865,8 @@ def _(spark, sf):
     changes = session.new_dir(spark, "list-changes")
     _list_changes(spark, sf).write.parquet(changes)
     cfg = _streamed(spark, sf, [*_PREPARING, "listed_events"], list_changes=changes)
-    return spark.read.option("recursiveFileLookup", True).parquet(f"{cfg.alert_output}-listed")
+    listed = "event_id string, device_id string, card_id string, is_black_device boolean, is_black_card boolean"
+    return tables.read_output(spark, f"{cfg.alert_output}-listed", listed)
 
 
 @query("stream_features")
@@ -882,7 +893,7 @@ def _(spark, sf):
 @query("stream_late_events")
 def _(spark, sf):
     cfg = _streamed(spark, sf, _PREPARING)
-    rows = spark.read.schema(schemas.TRANSACTION_TEXT).option("recursiveFileLookup", True).json(cfg.late_output)
+    rows = tables.read_output(spark, cfg.late_output, schemas.TRANSACTION_TEXT, "json")
     return rows.select("event_id", "transaction_id", "user_id", "process_time")
 
 
@@ -893,8 +904,8 @@ def _(spark, sf):
     slow = [n for n in job.ALERT_QUERIES if n not in quick] + ["merchant_amount"]
     cfg = _streamed(spark, sf, [*_PREPARING, *quick, *counts], slow, counts)
     rows = [
-        spark.read.option("recursiveFileLookup", True).json(f"{cfg.metric_output}/{name}").select(
-            "metric_name", F.col("window_start").cast("bigint"), F.col("window_end").cast("bigint"), F.col("count").cast("bigint")
+        tables.read_output(spark, f"{cfg.metric_output}/{name}", schemas.METRIC_JSON, "json").select(
+            "metric_name", "window_start", "window_end", "count"
         )
         for name in counts
     ]

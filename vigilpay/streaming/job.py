@@ -38,6 +38,7 @@ _PARSED = T.StructType(
 )
 #: On-time events with the clock of their arrival.
 _ON_TIME = T.StructType(_EVENT.fields + [T.StructField("ingest_ms", T.LongType())])
+_NO_EMPTY_BATCHES = {"spark.sql.streaming.noDataMicroBatches.enabled": "false"}
 _PROGRESS = "next_seq bigint, newest_us bigint"
 _MERCHANT_WINDOW = T.StructType(
     [
@@ -63,6 +64,7 @@ class Stage:
     level: int = 2  # stages of a level read only tables of lower levels
     mode: str = "append"
     timers: bool = False  # has state that is forgotten by the clock
+    state: bool = True  # keeps state between micro-batches
 
 
 class RiskStream:
@@ -349,8 +351,8 @@ class RiskStream:
             return frame
 
         return [
-            Stage("ingest", self.source, self._ingest, 0),
-            Stage("route", lambda: self._stream("parsed", _PARSED), self._route, 1),
+            Stage("ingest", self.source, self._ingest, 0, state=False),
+            Stage("route", lambda: self._stream("parsed", _PARSED), self._route, 1, state=False),
             Stage("user_frequency", lambda: self._windowed(["user_id"], 1, transaction_count=events),
                   alerts("user_frequency", lambda r: rules.frequency_alerts(r, now()))),
             Stage("user_amount", lambda: self._windowed(["user_id"], 5, success=True, total_amount=amount),
@@ -359,7 +361,7 @@ class RiskStream:
                   alerts("device_users", self._shared_key(config.R003, "device_id", lambda: now().device_users))),
             Stage("card_users", lambda: users("card_id"),
                   alerts("card_users", self._shared_key(config.R004, "card_id", lambda: now().card_users))),
-            Stage("black_device", self.on_time, alerts("black_device", lambda r: rules.r006_black_device(self._listed(r)))),
+            Stage("black_device", self.on_time, alerts("black_device", lambda r: rules.r006_black_device(self._listed(r))), state=False),
             Stage("consecutive_failure", self._failures, alerts("consecutive_failure", lambda r: rules.failure_alerts(r, now())), timers=True),
             Stage("user_spike", self._user_history, alerts("user_spike", lambda r: rules.user_spike_alerts(_history(r), now())), timers=True),
             Stage("merchant_amount", lambda: self._windowed(["merchant_id"], 5, success=True, amount=amount), merchant_sink),
@@ -374,8 +376,8 @@ class RiskStream:
             Stage("alert_count", alert_count(False), metrics("alert_count", minute_metric(mt.ALERT_COUNT)), 4, "update"),
             Stage("high_alert_count", alert_count(True), metrics("high_alert_count", minute_metric(mt.HIGH_ALERT_COUNT)), 4, "update"),
             *([Stage("city_topn", lambda: self._windowed(["city"], 5, success=True, amount=amount), self._write_topn)] if self.cfg.city_topn else []),
-            *([Stage("listed_events", self.on_time, self._write_listed)] if self.cfg.list_changes else []),
-            *([Stage("user_features", self._all_alerts, self._write_features, 4)] if self.cfg.user_features else []),
+            *([Stage("listed_events", self.on_time, self._write_listed, state=False)] if self.cfg.list_changes else []),
+            *([Stage("user_features", self._all_alerts, self._write_features, 4, state=False)] if self.cfg.user_features else []),
             *([Stage("alert_cooldown", self._cooled, self._write_cooled, 4, timers=True)] if self.cfg.cooldown_minutes else []),
         ]
 
@@ -402,13 +404,26 @@ class RiskStream:
             rows, "merchant_id", "window_end", self._least(self.cfg.rules.merchant_spike_min_windows), state.MERCHANT_MEAN_TTL_MS
         )
 
-    def start(self, stage: Stage, every: int | None = None) -> StreamingQuery:
+    def start(self, stage: Stage, every: int | None = None, settings: dict[str, str] | None = None) -> StreamingQuery:
         seconds = self.cfg.trigger_seconds if every is None else every
-        return (
+        writer = (
             stage.frame().writeStream.queryName(stage.name).outputMode(stage.mode)
             .option("checkpointLocation", f"{self.cfg.checkpoint_dir}/queries/{stage.name}")
-            .foreachBatch(stage.sink).trigger(processingTime=f"{seconds} seconds").start()
+            .foreachBatch(stage.sink).trigger(processingTime=f"{seconds} seconds")
         )
+        settings = dict(settings or {})
+        if stage.state and self.cfg.state_partitions:
+            settings["spark.sql.shuffle.partitions"] = str(self.cfg.state_partitions)
+        # a query copies the settings when it starts; with a checkpoint the first count of partitions stays
+        conf = self.spark.conf
+        before = {key: conf.get(key) for key in settings}
+        try:
+            for key, value in settings.items():
+                conf.set(key, value)
+            return writer.start()
+        finally:
+            for key, value in before.items():
+                conf.set(key, value)
 
     def run(self) -> list[StreamingQuery]:
         """Start all queries; they run until stopped."""
@@ -417,18 +432,18 @@ class RiskStream:
     def catch_up(self, names: list[str] | None = None) -> None:
         """Process what is there now, level after level, then stop; ``names`` picks stages.
 
-        The queries and their checkpoints are those of ``run``.
+        The queries and their checkpoints are those of ``run``.  Those with timers
+        have no micro-batches without input here: there would be no end of them,
+        and state that is too old is passed over when it is read.
         """
         stages = [s for s in self.stages() if names is None or s.name in names]
         for level in sorted({stage.level for stage in stages}):
-            started = [(s, self.start(s, every=0)) for s in stages if s.level == level]
+            started = [self.start(s, every=0, settings=_NO_EMPTY_BATCHES if s.timers else None) for s in stages if s.level == level]
             try:
-                _drain_timed([running for stage, running in started if stage.timers])
-                for stage, running in started:
-                    if not stage.timers:
-                        running.processAllAvailable()
+                for running in started:
+                    running.processAllAvailable()
             finally:
-                for _, running in started:
+                for running in started:
                     running.stop()
 
     def outputs(self) -> list[str]:
@@ -453,24 +468,6 @@ class RiskStream:
         return rolled
 
 
-def _drain_timed(queries: list[StreamingQuery]) -> None:
-    """Wait until queries with timers have read all their input, and stop each when it has.
-
-    Such a query goes on with batches without input, which take cores from the
-    others; the first of them comes when there is no more input.
-    """
-    waiting = list(queries)
-    while waiting:
-        for running in list(waiting):
-            if running.exception():
-                raise running.exception()
-            last = running.lastProgress
-            if last is not None and last["numInputRows"] == 0:
-                running.stop()
-                waiting.remove(running)
-        time.sleep(0.05)
-
-
 def _history(rows: DataFrame) -> DataFrame:
     return rows.withColumn("amount", state.money("cents").cast(schemas.MONEY)).withColumn(
         "history_total", state.money("history_cents")

@@ -85,6 +85,13 @@ def folder_names(spark: SparkSession, path: str) -> list[str]:
     return sorted(n for n in names if not n.startswith(("_", ".")))
 
 
+def read_output(spark: SparkSession, path: str, schema: T.StructType | str, fmt: str = "parquet") -> DataFrame:
+    """Rows of all batches that are there; of an output that has none yet, no rows."""
+    system, target = _file_system(spark, path)
+    system.mkdirs(target)
+    return spark.read.schema(schema).option("recursiveFileLookup", True).format(fmt).load(path)
+
+
 def batch_ids(spark: SparkSession, path: str) -> list[int]:
     """The numbers of the batches that are there."""
     return sorted(int(n.removeprefix("batch-")) for n in folder_names(spark, path) if n.startswith("batch-"))
