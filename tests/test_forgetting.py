@@ -138,6 +138,16 @@ def test_points_kept_apart(spark, cell_rows):
     assert sorted(map(tuple, got.collect())) == plain_spaced(points, 10)
 
 
+def test_steps_of_long_chains_shrink_from_round_to_round(spark, monkeypatch):
+    staged, stage = [], scans.stage
+    monkeypatch.setattr(scans, "stage", lambda df, name: staged.append((name, stage(df, name))) or staged[-1][1])
+    # many points in each stretch, and points that are nearly all taken
+    points = {("dense", at) for at in range(0, 2560, 2)} | {("sparse", at) for at in range(3, 16003, 12)}
+    got = scans.spaced_after_first(spark.createDataFrame(list(points), "key string, at bigint"), 10)
+    assert sorted(map(tuple, got.collect())) == plain_spaced(points, 10)
+    assert sum(rows.count() for name, rows in staged if name == "jumps") < 2.2 * 1280
+
+
 def test_points_of_an_empty_table(spark):
     assert scans.spaced_after_first(spark.createDataFrame([], "key string, at bigint"), 10).count() == 0
 

@@ -224,24 +224,46 @@ def spaced_after_first(points: DataFrame, spacing: int, cell_rows: int = CELL_RO
     ``points`` are distinct pairs of ``key`` and ``at`` (a bigint).  Which point
     is taken depends on the one taken before, yet no key is followed row by
     row.  A point that comes ``spacing`` or more after the point before it is
-    always taken, so chains begin there.  From each point to the next that could
-    be taken after it there is one step; steps are doubled round by round, and
-    the chains grow to 2, 4, 8, ... points until a round adds none: about log2
-    of the longest chain rounds, in which a key of any size is spread over all
+    always taken, so chains begin there, and end before the next of these.  From
+    each point to the next that could be taken after it there is one step, and a
+    step leaves its stretch of time ``spacing`` wide.  Stretches are joined two
+    by two: of the steps only those stay that begin a chain or come in from
+    another stretch, and they are lengthened until they leave the new stretch.
+    So steps about halve in every round, and log2 of the time in ``spacing``
+    rounds handle no more rows than the first few.  The same rounds backwards
+    find what the long steps passed over.  A key of any size is spread over all
     tasks.  Cells hold a bounded number of points where a key's points are even
     in time, and never more than there are distinct times in a cell.
     """
     steps = stage(_next_points(points, spacing, cell_rows), "steps")
+    low, high = steps.agg(F.min("at"), F.max("at")).first()
     begins = F.col("prev").isNull() | (F.col("at") - F.col("prev") >= spacing)
-    taken = steps.filter(begins).select("key", "at", F.col("prev").isNull().alias("is_first"))
-    taken = stage(taken, "taken")
-    jumps, known = steps.filter("next IS NOT NULL").select("key", "at", "next"), taken.count()
-    while True:
-        reached = taken.join(jumps, ["key", "at"]).select("key", F.col("next").alias("at"), F.lit(False).alias("is_first"))
-        taken = stage(taken.unionByName(reached).groupBy("key", "at").agg(F.max("is_first").alias("is_first")), "taken")
-        now = taken.count()
-        if now == known:
-            return taken.filter("NOT is_first").select("key", "at")
-        known = now
-        ahead = jumps.select("key", F.col("at").alias("next"), F.col("next").alias("beyond"))
-        jumps = stage(jumps.join(ahead, ["key", "next"]).select("key", "at", F.col("beyond").alias("next")), "jumps")
+    again = steps.filter(begins & F.col("prev").isNotNull()).select("key", "at")
+    if low is None:
+        return again
+    inside = steps.filter("next IS NOT NULL").select("key", "at", "next", begins.alias("begins"))
+    inside = inside.join(again.withColumnRenamed("at", "next"), ["key", "next"], "left_anti")
+    jumps = [stage(inside.select("key", "at", "next", "begins"), "jumps")]
+
+    def stays(level: int) -> Column:
+        stretch = lambda t: F.expr(f"({t} - {low}L) DIV {spacing << level}L")
+        return stretch("at") == stretch("next")
+
+    while not jumps[-1].isEmpty():
+        last, within = jumps[-1], stays(len(jumps))
+        entries = last.filter(~within).select("key", F.col("next").alias("at")).distinct()
+        own = last.filter("begins").unionByName(last.filter("NOT begins").join(entries, ["key", "at"], "left_semi"))
+        ahead = last.select("key", F.col("at").alias("next"), F.col("next").alias("beyond"))
+        longer = own.filter(within).join(ahead, ["key", "next"]).select("key", "at", F.col("beyond").alias("next"), "begins")
+        jumps.append(stage(own.filter(~within).unionByName(longer), "jumps"))
+    taken = None
+    for level in range(len(jumps) - 1, 0, -1):
+        ahead = jumps[level - 1].filter(stays(level))
+        reached = ahead.filter("begins").select("key", F.col("next").alias("at"))
+        if taken is not None:
+            passed = taken.join(ahead.filter("NOT begins"), ["key", "at"]).select("key", F.col("next").alias("at"))
+            reached = reached.unionByName(passed)
+        # chains do not meet, so a point is reached once
+        reached = stage(reached, "taken")
+        taken = reached if taken is None else taken.unionByName(reached)
+    return again if taken is None else again.unionByName(taken)
