@@ -154,7 +154,7 @@ def _(spark, sf):
     """A part of the file, as a conversion that is picked up in the middle reads it."""
     path = session.new_dir(spark, "aml_csv")
     rows = adapter.aml_rows(spark, sf)
-    files.write_aml_csv(rows.orderBy(*rows.columns), path)
+    files.write_aml_csv(files.in_order(rows, *rows.columns), path)
     rows = files.read_aml_csv(spark, path, skip=100, limit=5000)
     return rows.select(*[F.coalesce(F.col(c), F.lit("")).alias(c) for c in rows.columns])
 
@@ -164,7 +164,7 @@ def _(spark, sf):
     """A conversion that leaves out the first rows, from file to JSON lines, and its summary."""
     path = session.new_dir(spark, "aml_csv")
     rows = adapter.aml_rows(spark, sf)
-    files.write_aml_csv(rows.orderBy(*rows.columns), path)
+    files.write_aml_csv(files.in_order(rows, *rows.columns), path)
     kept = files.read_aml_csv(spark, path, skip=100)
     return convert.convert_file(path, session.new_dir(spark, "converted"), kept, 100).drop("source_size_bytes")
 

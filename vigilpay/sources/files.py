@@ -12,6 +12,8 @@ from vigilpay.operators.validate import is_blank
 SKIPPED_ENDINGS = r"(?i)\.(md|crc|inprogress)$"
 # ---------------------------------------------------------------------------
 _TARGET_FILE_ROWS = 2_000_000
+#: Rows that one task sorts for a file of sorted rows.
+_SORTED_ROWS = 100_000
 
 
 def text_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -81,7 +83,18 @@ def read_aml_csv(
     wanted = position >= skip
     if limit:
         wanted = wanted & (position < skip + limit)
-    return placed.join(offsets, ["_file", "_split"]).filter(wanted).select(*names)
+    # a row per input split; else the rows would move, and a task would sort a split or more
+    return placed.join(F.broadcast(offsets), ["_file", "_split"]).filter(wanted).select(*names)
+
+
+def in_order(rows: DataFrame, *columns: str) -> DataFrame:
+    """Rows in the order of ``columns`` from file to file, in ranges of a bounded number of rows.
+
+    The ranges of ``orderBy`` are as many as the session has, and adaptive
+    execution joins them by their packed size, so a task's sort grows with the input.
+    """
+    ranges = max(rows.sparkSession.sparkContext.defaultParallelism, -(-rows.count() // _SORTED_ROWS))
+    return rows.repartitionByRange(ranges, *columns).sortWithinPartitions(*columns)
 
 
 def write_aml_csv(rows: DataFrame, path: str) -> None:
