@@ -759,8 +759,8 @@ _BATCHES = 6
 _PREPARING = ["ingest", "route"]
 
 
-#: Rows of a source file.
-_FILE_ROWS = 2_000_000
+#: Rows of a source file: as many at most, and not fewer only to give every core a file.  A file is read by one task.
+_FILE_ROWS, _LEAST_FILE_ROWS = 200_000, 5_000
 #: Events for which the state gets one more partition.
 _STATE_ROWS = 100_000
 
@@ -771,6 +771,12 @@ def _state_partitions(spark, events: int) -> int:
     return min(most, max(spark.sparkContext.defaultParallelism, -(-events // _STATE_ROWS)))
 
 
+def _batch_files(events: int, cores: int) -> int:
+    """Source files of one micro-batch."""
+    rows = -(-events // _BATCHES)
+    return max(1, -(-rows // _FILE_ROWS), min(cores, rows // _LEAST_FILE_ROWS))
+
+
 def _published(spark, held: str, source: str, steps: int):
     """Move the files of a folder, which hold ranges of arrivals, to the source in some steps, as old as their order says."""
     hadoop = spark._jvm.org.apache.hadoop.fs
@@ -794,11 +800,11 @@ def _streamed(spark, sf, *runs: list[str], steps: int = 1, rolls: bool = False,
     by bit, and all runs follow each, with a roll of the outputs if asked for.
     """
     root = session.new_dir(spark, "stream")
-    lines = session.stage(adapter.raw_lines(spark, sf).select("value", "arrival_seq"), "stream_lines")
     # files of consecutive arrivals, as many to a micro-batch as its size asks for
-    events = lines.count()
-    per_batch = max(1, -(-events // (_BATCHES * _FILE_ROWS)))
-    lines.repartitionByRange(_BATCHES * per_batch, "arrival_seq").write.parquet(f"{root}/held")
+    events = adapter.arrivals(spark, sf).count()
+    per_batch = _batch_files(events, spark.sparkContext.defaultParallelism)
+    lines = adapter.raw_lines(spark, sf, ranges=_BATCHES * per_batch).select("value", "arrival_seq")
+    lines.write.parquet(f"{root}/held")
     cfg = stream_config(root, **{"max_files_per_trigger": 16, "state_partitions": _state_partitions(spark, events), **options})
     stream = job.RiskStream(spark, cfg, job.numbered_source(spark, f"{root}/source", max_files=per_batch))
     for _ in _published(spark, f"{root}/held", f"{root}/source", steps):

@@ -29,8 +29,12 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The ``events`` table as typed payment events, copies and delays included."""
+def arrivals(spark: SparkSession, sf_dir: str, ranges: int | None = None) -> DataFrame:
+    """The ``events`` table as typed payment events, copies and delays included.
+
+    With ``ranges``, in as many partitions of consecutive arrivals, dealt out
+    while the rows are narrow.
+    """
     src = read_table(spark, sf_dir, "events")
     event_id, user = F.col("event_id"), F.col("user_id")
     # microseconds of a zone-less timestamp, independent of the session zone
@@ -47,6 +51,7 @@ def arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
     copy = (event_id + COPY_AFTER) * 4 + 1
     seqs = F.when(event_id % COPY_EVERY == 0, F.array(first, copy)).otherwise(F.array(first))
     src = src.select("*", F.posexplode(seqs).alias("copy", "arrival_seq"))
+    src = src.repartitionByRange(ranges, "arrival_seq") if ranges else src
     amount = (F.col("value") * 100).cast("decimal(18,2)")
     black = F.col("k") % 25 == 0
     event_ts = F.timestamp_micros("us")
@@ -127,12 +132,13 @@ DEFECTS = [
 ]
 
 
-def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_lines(spark: SparkSession, sf_dir: str, ranges: int | None = None) -> DataFrame:
     """The arrivals as JSON text, ``value``, some of them broken, with ``event_no`` and ``arrival_ts``.
 
     Amounts are quoted on every third event, one in ten has an unknown field.
+    ``ranges`` as in ``arrivals``.
     """
-    events = arrivals(spark, sf_dir).withColumn(
+    events = arrivals(spark, sf_dir, ranges).withColumn(
         "event_no", F.expr("cast(substring(event_id, 5) as bigint)")
     )
     no = F.col("event_no")

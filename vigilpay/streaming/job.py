@@ -39,6 +39,10 @@ _PARSED = T.StructType(
 #: On-time events with the clock of their arrival.
 _ON_TIME = T.StructType(_EVENT.fields + [T.StructField("ingest_ms", T.LongType())])
 _NO_EMPTY_BATCHES = {"spark.sql.streaming.noDataMicroBatches.enabled": "false"}
+#: How long a query that waits for the one before it does not look for new batches.
+_POLLING = {"spark.sql.streaming.pollingDelay": "200ms"}
+#: Stages from here on follow all alerts, those below follow the events.
+_ALERT_LEVEL = 4
 _PROGRESS = "next_seq bigint, newest_us bigint"
 _MERCHANT_WINDOW = T.StructType(
     [
@@ -91,7 +95,8 @@ class RiskStream:
         return self._stream("on_time", _ON_TIME).withWatermark("event_ts", delay)
 
     def _stream(self, name: str, schema: T.StructType) -> DataFrame:
-        return tables.stream(self.spark, self._table(name), schema, max_files=self.cfg.max_files_per_trigger)
+        """Whole batches of an inner table: cut, a part would be late behind the watermark or the state of the part before."""
+        return tables.stream(self.spark, self._table(name), schema, max_files=None)
 
     def alerts(self) -> DataFrame:
         """Identity, level and minute of all alerts.
@@ -416,30 +421,36 @@ class RiskStream:
             settings["spark.sql.shuffle.partitions"] = str(self.cfg.state_partitions)
         # a query copies the settings when it starts; with a checkpoint the first count of partitions stays
         conf = self.spark.conf
-        before = {key: conf.get(key) for key in settings}
+        before = {key: conf.get(key, None) for key in settings}
         try:
             for key, value in settings.items():
                 conf.set(key, value)
             return writer.start()
         finally:
             for key, value in before.items():
-                conf.set(key, value)
+                conf.unset(key) if value is None else conf.set(key, value)
 
     def run(self) -> list[StreamingQuery]:
         """Start all queries; they run until stopped."""
         return [self.start(stage) for stage in self.stages()]
 
     def catch_up(self, names: list[str] | None = None) -> None:
-        """Process what is there now, level after level, then stop; ``names`` picks stages.
-
-        The queries and their checkpoints are those of ``run``.  Those with timers
-        have no micro-batches without input here: there would be no end of them,
-        and state that is too old is passed over when it is read.
+        """Process what is there now, then stop; ``names`` picks stages.
+
+        The queries and their checkpoints are those of ``run``.  As there, the
+        levels run side by side, so a stage works on a batch while the one before
+        it makes the next; each is waited for when those below it have ended.
+        Stages that follow alerts start when all alerts are there.  Queries with
+        timers have no micro-batches without input here: there would be no end of
+        them, and state that is too old is passed over when it is read.
         """
         stages = [s for s in self.stages() if names is None or s.name in names]
-        for level in sorted({stage.level for stage in stages}):
-            started = [self.start(s, every=0, settings=_NO_EMPTY_BATCHES if s.timers else None) for s in stages if s.level == level]
+        of_events = sorted((s for s in stages if s.level < _ALERT_LEVEL), key=lambda s: s.level)
+        for part in (of_events, [s for s in stages if s.level >= _ALERT_LEVEL]):
+            started = []
             try:
+                for s in part:
+                    started.append(self.start(s, every=0, settings=_POLLING | (_NO_EMPTY_BATCHES if s.timers else {})))
                 for running in started:
                     running.processAllAvailable()
             finally:
