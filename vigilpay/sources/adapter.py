@@ -40,9 +40,6 @@ def arrivals(spark: SparkSession, sf_dir: str, ranges: int | None = None) -> Dat
     # microseconds of a zone-less timestamp, independent of the session zone
     micros = F.expr("timestampdiff(MICROSECOND, TIMESTAMP_NTZ '1970-01-01 00:00:00', ts)")
     k = F.get_json_object("props", "$.k").cast("int")
-    src = src.select(
-        event_id, user, "event_type", "value", k.alias("k"), micros.alias("_us")
-    ).withColumn("us", F.expr(f"{EPOCH_US} + (_us - {EPOCH_US}) div {COMPRESSION}"))
     # Up to three arrivals fall on one place: a delayed event, a copy and an event
     # on time.  Four numbers per place keep them apart, in order of event id.
     first = F.when(event_id % DELAY_EVERY == 0, (event_id + DELAY_ARRIVALS) * 4).otherwise(
@@ -51,7 +48,11 @@ def arrivals(spark: SparkSession, sf_dir: str, ranges: int | None = None) -> Dat
     copy = (event_id + COPY_AFTER) * 4 + 1
     seqs = F.when(event_id % COPY_EVERY == 0, F.array(first, copy)).otherwise(F.array(first))
     src = src.select("*", F.posexplode(seqs).alias("copy", "arrival_seq"))
+    # ranges are found by a pass of its own over the rows, so fields are taken out of the text after it
     src = src.repartitionByRange(ranges, "arrival_seq") if ranges else src
+    src = src.select(
+        event_id, user, "event_type", "value", k.alias("k"), micros.alias("_us"), "copy", "arrival_seq"
+    ).withColumn("us", F.expr(f"{EPOCH_US} + (_us - {EPOCH_US}) div {COMPRESSION}"))
     amount = (F.col("value") * 100).cast("decimal(18,2)")
     black = F.col("k") % 25 == 0
     event_ts = F.timestamp_micros("us")

@@ -26,7 +26,6 @@ from vigilpay import config, schemas
 from vigilpay.config import StreamConfig
 from vigilpay.functions.scores import same_text
 from vigilpay.operators import alerts as al, extensions as ext, lists, metrics as mt, prepare, rules, validate
-from vigilpay.session import drop, new_dir
 from vigilpay.sources import files, kafka
 from vigilpay.streaming import features, rolling, sights, state, tables
 
@@ -39,10 +38,21 @@ _PARSED = T.StructType(
 #: On-time events with the clock of their arrival.
 _ON_TIME = T.StructType(_EVENT.fields + [T.StructField("ingest_ms", T.LongType())])
 _NO_EMPTY_BATCHES = {"spark.sql.streaming.noDataMicroBatches.enabled": "false"}
+#: A micro-batch as one job for each of its outputs.  Planned stage by stage, and with
+#: broadcasts, it would be a chain of some fifteen small jobs, which take longer than its rows.
+_PLANNED_ONCE = {
+    "spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1",
+    # the parser's stage is one method, too long for the JVM to compile; taken apart it is compiled
+    "spark.sql.codegen.wholeStage": "false",
+    # what is kept is read a few times and dropped; choosing an encoding for every column takes longer
+    "spark.sql.inMemoryColumnarStorage.compressed": "false",
+}
 #: How long a query that waits for the one before it does not look for new batches.
 _POLLING = {"spark.sql.streaming.pollingDelay": "200ms"}
 #: Stages from here on follow all alerts, those below follow the events.
 _ALERT_LEVEL = 4
+#: Arrivals of a micro-batch are far fewer than those of a table; blocks of 4,096 of them keep all tasks busy.
+_BLOCK_BITS = 12
 _PROGRESS = "next_seq bigint, newest_us bigint"
 _MERCHANT_WINDOW = T.StructType(
     [
@@ -69,6 +79,7 @@ class Stage:
     mode: str = "append"
     timers: bool = False  # has state that is forgotten by the clock
     state: bool = True  # keeps state between micro-batches
+    planned_once: bool = False  # no key of its shuffles is hot, so its plan need not follow their sizes
 
 
 class RiskStream:
@@ -204,7 +215,7 @@ class RiskStream:
         """The next arrival number and the largest event time so far, as the batch before left them."""
         if batch_id == 0:
             return 0, None
-        before = tables.read_batch(self.spark, self._table("progress"), batch_id - 1)
+        before = tables.read_batch(self.spark, self._table("progress"), batch_id - 1, _PROGRESS)
         row = before.first() if before is not None else None
         if row is None:
             raise RuntimeError(f"no progress of batch {batch_id - 1} in {self._table('progress')}")
@@ -232,11 +243,13 @@ class RiskStream:
             batch = batch.orderBy("arrival_order") if "arrival_order" in batch.columns else batch
             batch = batch.withColumn("_id", F.monotonically_increasing_id()).persist()
         arrived = batch if numbered else self._numbered(batch, next_seq)
-        parsed = validate.parse_transactions(arrived.select("value", "arrival_seq")).persist()
+        parsed = validate.parse_transactions(arrived.select("value", "arrival_seq"))
+        # only dead letters need the raw text again
+        parsed = parsed.withColumn("value", F.when(F.col("reject_reason").isNotNull(), F.col("value"))).persist()
         try:
             rejects = validate.dead_letters(parsed, self.cfg.transaction_topic, F.current_timestamp())
             tables.write_batch(files.json_view(rejects), self.cfg.dead_letter_output, batch_id, "json")
-            good = prepare.flag_late(validate.valid_events(parsed), self.cfg.watermark_seconds, newest_us=newest_us)
+            good = prepare.flag_late(validate.valid_events(parsed).drop("value"), self.cfg.watermark_seconds, block_bits=_BLOCK_BITS, newest_us=newest_us)
             good = good.withColumn("amount", F.col("amount").cast("string")).withColumn(
                 "event_ts", F.unix_micros("event_ts")
             ).withColumn("ingest_ms", F.lit(self.clock()).cast("bigint"))
@@ -257,12 +270,9 @@ class RiskStream:
 
     def _route(self, batch: DataFrame, batch_id: int) -> None:
         """The first arrival of every id within a day of its first sight, late or not."""
-        path, held = self._table("sights"), new_dir(self.spark, "routed")
+        path = self._table("sights")
+        passed = sights.first_sights(batch, path, batch_id).persist()
         try:
-            # written before it is cut up: adaptive execution chooses the files
-            first = sights.first_sights(batch, path, batch_id)
-            first.write.parquet(held)
-            passed = self.spark.read.schema(_PARSED).parquet(held)
             events = passed.withColumn("amount", F.col("amount").cast(schemas.MONEY)).withColumn(
                 "event_ts", F.timestamp_micros("event_ts")
             )
@@ -271,7 +281,7 @@ class RiskStream:
             tables.write_batch(events.filter("NOT is_late").select(*_ON_TIME.names), self._table("on_time"), batch_id)
             sights.remember(passed, path, batch_id)
         finally:
-            drop(self.spark, held)
+            passed.unpersist()
 
     # --- windows ----------------------------------------------------------------------
 
@@ -356,8 +366,8 @@ class RiskStream:
             return frame
 
         return [
-            Stage("ingest", self.source, self._ingest, 0, state=False),
-            Stage("route", lambda: self._stream("parsed", _PARSED), self._route, 1, state=False),
+            Stage("ingest", self.source, self._ingest, 0, state=False, planned_once=True),
+            Stage("route", lambda: self._stream("parsed", _PARSED), self._route, 1, state=False, planned_once=True),
             Stage("user_frequency", lambda: self._windowed(["user_id"], 1, transaction_count=events),
                   alerts("user_frequency", lambda r: rules.frequency_alerts(r, now()))),
             Stage("user_amount", lambda: self._windowed(["user_id"], 5, success=True, total_amount=amount),
@@ -417,8 +427,9 @@ class RiskStream:
             .foreachBatch(stage.sink).trigger(processingTime=f"{seconds} seconds")
         )
         settings = dict(settings or {})
-        if stage.state and self.cfg.state_partitions:
+        if (stage.state or stage.planned_once) and self.cfg.state_partitions:
             settings["spark.sql.shuffle.partitions"] = str(self.cfg.state_partitions)
+            settings |= _PLANNED_ONCE if stage.planned_once else {}
         # a query copies the settings when it starts; with a checkpoint the first count of partitions stays
         conf = self.spark.conf
         before = {key: conf.get(key, None) for key in settings}

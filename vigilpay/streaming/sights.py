@@ -17,6 +17,7 @@ from vigilpay.operators import prepare
 from vigilpay.streaming import tables
 
 FOLD_EVERY = 20
+_SIGHT = "event_id string, seen_ms bigint"
 
 
 def _before(spark: SparkSession, path: str, batch_id: int) -> DataFrame | None:
@@ -24,7 +25,7 @@ def _before(spark: SparkSession, path: str, batch_id: int) -> DataFrame | None:
     folded = tables.batch_ids(spark, f"{path}/folded")
     last = max(folded, default=-1)
     added = [i for i in tables.batch_ids(spark, f"{path}/added") if last < i < batch_id]
-    parts = [tables.read_batches(spark, f"{path}/{name}", ids) for name, ids in (("folded", folded), ("added", added)) if ids]
+    parts = [tables.read_batches(spark, f"{path}/{name}", ids, _SIGHT) for name, ids in (("folded", folded), ("added", added)) if ids]
     return parts[0].unionByName(parts[1]) if len(parts) == 2 else parts[0] if parts else None
 
 
@@ -62,9 +63,9 @@ def _fold(spark: SparkSession, path: str, batch_id: int, oldest_ms: int | None)
     """Fold what was added up to a micro-batch since the fold before; remove folds with nothing from ``oldest_ms`` on."""
     last = max(tables.batch_ids(spark, f"{path}/folded"), default=-1)
     there = tables.batch_ids(spark, f"{path}/added")
-    rows = tables.read_batches(spark, f"{path}/added", [i for i in there if last < i <= batch_id])
+    rows = tables.read_batches(spark, f"{path}/added", [i for i in there if last < i <= batch_id], _SIGHT)
     if rows is not None:
-        # adaptive execution makes files of a size
+        # adaptive execution makes files of a size; without it there is one for every partition
         tables.write_batch(rows.repartition("event_id"), f"{path}/folded", batch_id)
     folded = tables.batch_ids(spark, f"{path}/folded")
     for i in there:
@@ -72,7 +73,7 @@ def _fold(spark: SparkSession, path: str, batch_id: int, oldest_ms: int | None)
             tables.drop_batch(spark, f"{path}/added", i)
     # folds follow each other in time; the newest says which batches are folded and stays
     for i in folded[:-1]:
-        newest = tables.read_batch(spark, f"{path}/folded", i).agg(F.max("seen_ms")).first()[0]
+        newest = tables.read_batch(spark, f"{path}/folded", i, _SIGHT).agg(F.max("seen_ms")).first()[0]
         if oldest_ms is None or newest >= oldest_ms:
             break
         tables.drop_batch(spark, f"{path}/folded", i)

@@ -7,7 +7,7 @@ finds its folder and leaves it.  Batches without rows make no folder.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from vigilpay.session import drop
 
@@ -27,6 +27,14 @@ def exists(spark: SparkSession, path: str) -> bool:
     return system.exists(target)
 
 
+def _has_rows(spark: SparkSession, folder: str, schema: T.StructType, fmt: str) -> bool:
+    if fmt == "json":
+        # a row has bytes, and their number is known without a job
+        system, target = _file_system(spark, folder)
+        return system.getContentSummary(target).getLength() > 0
+    return bool(spark.read.schema(schema).format(fmt).load(folder).select(F.lit(1)).take(1))
+
+
 def _folder(path: str, batch_id: int) -> str:
     # no "name=value": the source would take it for a partition column
     return f"{path}/batch-{batch_id:012d}"
@@ -61,19 +69,22 @@ def write_batch(
     finally:
         if stateful:
             df.unpersist()
-    if not stateful and not keep_empty:
-        written = spark.read.text(hidden) if fmt == "json" else spark.read.schema(df.schema).format(fmt).load(hidden)
-        if written.isEmpty():
-            drop(spark, hidden)
-            return
+    if not stateful and not keep_empty and not _has_rows(spark, hidden, df.schema, fmt):
+        drop(spark, hidden)
+        return
     system, source = _file_system(spark, hidden)
     if not system.rename(source, _file_system(spark, folder)[1]):
         raise OSError(f"could not publish {folder}")
 
 
-def read_batch(spark: SparkSession, path: str, batch_id: int) -> DataFrame | None:
+def _reader(spark: SparkSession, schema: T.StructType | str | None):
+    # without a schema a job reads it from a file
+    return spark.read if schema is None else spark.read.schema(schema)
+
+
+def read_batch(spark: SparkSession, path: str, batch_id: int, schema: T.StructType | str | None = None) -> DataFrame | None:
     folder = _folder(path, batch_id)
-    return spark.read.parquet(folder) if exists(spark, folder) else None
+    return _reader(spark, schema).parquet(folder) if exists(spark, folder) else None
 
 
 def folder_names(spark: SparkSession, path: str) -> list[str]:
@@ -97,8 +108,10 @@ def batch_ids(spark: SparkSession, path: str) -> list[int]:
     return sorted(int(n.removeprefix("batch-")) for n in folder_names(spark, path) if n.startswith("batch-"))
 
 
-def read_batches(spark: SparkSession, path: str, batch_ids: list[int]) -> DataFrame | None:
-    return spark.read.parquet(*[_folder(path, i) for i in batch_ids]) if batch_ids else None
+def read_batches(
+    spark: SparkSession, path: str, batch_ids: list[int], schema: T.StructType | str | None = None
+) -> DataFrame | None:
+    return _reader(spark, schema).parquet(*[_folder(path, i) for i in batch_ids]) if batch_ids else None
 
 
 def drop_batch(spark: SparkSession, path: str, batch_id: int) -> None:
