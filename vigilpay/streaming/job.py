@@ -140,7 +140,7 @@ class RiskStream:
         )
         body = F.to_json(F.struct(*rows.columns), {"ignoreNullFields": "false"})
         rows = rows.select(ext.follows_key().alias("key"), F.unix_micros(time).alias("at"), "alert_id", body.alias("alert"))
-        return state.cooled(rows, self.cfg.cooldown_minutes * 60_000_000)
+        return state.cooled(rows, self.cfg.cooldown_minutes * 60_000_000, buckets=state.BUCKETS)
 
     def _all_alerts(self) -> DataFrame:
         parts = [
@@ -401,7 +401,7 @@ class RiskStream:
             "failed", same_text(F.col("transaction_status"), "FAILED")
         )
         rows = rows.select("user_id", "arrival_seq", "failed", F.col("ingest_ms").alias("clock_ms"), *rules.EVENT_COLUMNS).withColumn("amount", F.col("amount").cast("string"))
-        return state.failure_runs(rows, self._least(self.cfg.rules.consecutive_failures))
+        return state.failure_runs(rows, self._least(self.cfg.rules.consecutive_failures), buckets=state.BUCKETS)
 
     def _user_history(self) -> DataFrame:
         rows = prepare.successful_payments(self._stream("on_time", _ON_TIME))
@@ -409,14 +409,16 @@ class RiskStream:
             "user_id", "arrival_seq", F.col("ingest_ms").alias("clock_ms"), *rules.EVENT_COLUMNS, state.cents().alias("cents")
         ).drop("amount")
         return state.amount_history(
-            rows, "user_id", "arrival_seq", self._least(self.cfg.rules.user_spike_min_samples), state.USER_MEAN_TTL_MS
+            rows, "user_id", "arrival_seq", self._least(self.cfg.rules.user_spike_min_samples), state.USER_MEAN_TTL_MS,
+            buckets=state.BUCKETS,
         )
 
     def _merchant_history(self) -> DataFrame:
         # windows follow each other by their ends
         rows = self._stream("merchant_windows", _MERCHANT_WINDOW).withColumn("clock_ms", F.unix_millis("window_end"))
         return state.amount_history(
-            rows, "merchant_id", "window_end", self._least(self.cfg.rules.merchant_spike_min_windows), state.MERCHANT_MEAN_TTL_MS
+            rows, "merchant_id", "window_end", self._least(self.cfg.rules.merchant_spike_min_windows), state.MERCHANT_MEAN_TTL_MS,
+            buckets=state.BUCKETS,
         )
 
     def start(self, stage: Stage, every: int | None = None, settings: dict[str, str] | None = None) -> StreamingQuery:
