@@ -59,8 +59,20 @@ def merchant_window_amount(success: DataFrame, minutes: int = 5) -> DataFrame:
     return slide(pane_rows, ["merchant_id"], minutes, F.sum("amount").alias("amount"))
 
 
+def appearances(events: DataFrame, key: str) -> DataFrame:
+    """Users of a key per minute, with the first arrival of each."""
+    return panes(events, [key, "user_id"], F.min("arrival_seq").alias("first_seq")).filter(
+        F.col(key).isNotNull() & F.col("pane").isNotNull()
+    )
+
+
 def distinct_user_windows(events: DataFrame, key: str, minutes: int, threshold: int) -> DataFrame:
-    """Windows in which ``key`` was used by more than ``threshold`` distinct users.
+    """Windows in which ``key`` was used by more than ``threshold`` distinct users, see ``seen_windows``."""
+    return seen_windows(appearances(events, key), key, minutes, threshold)
+
+
+def seen_windows(seen: DataFrame, key: str, minutes: int, threshold: int, starts: Column | None = None) -> DataFrame:
+    """Windows with more than ``threshold`` of the users in ``seen`` (``appearances``).
 
     A user's appearance in pane ``m`` is new to exactly those windows that do
     not reach back to the user's previous pane.  Each appearance therefore adds
@@ -68,14 +80,11 @@ def distinct_user_windows(events: DataFrame, key: str, minutes: int, threshold:
     length, which aggregate per key and minute before the running sum.
 
     Adds ``distinct_user_count`` and ``users``, the first ``sample`` users in
-    arrival order.
+    arrival order.  ``starts`` says of which windows, by ``first_pane``.
     """
     # The join below would ask for known keys on one of the two uses of ``seen``
     # only, and only one needs ``first_seq``.  Asking for both in both keeps the
     # two plans alike, so they share one shuffle.
-    seen = panes(events, [key, "user_id"], F.min("arrival_seq").alias("first_seq")).filter(
-        F.col(key).isNotNull() & F.col("pane").isNotNull()
-    )
     previous = F.lag("pane").over(Window.partitionBy(key, "user_id").orderBy("pane", "first_seq"))
     opens = F.greatest(F.col("pane") - (minutes - 1), previous + 1)
     deltas = seen.select(key, "pane", opens.alias("opens")).select(
@@ -98,6 +107,7 @@ def distinct_user_windows(events: DataFrame, key: str, minutes: int, threshold:
     hits = counted.withColumn(
         "first_pane", F.explode(F.sequence(F.col("first_pane"), F.col("next_change") - 1))
     ).drop("next_change")
+    hits = hits if starts is None else hits.filter(starts)
     return add_bounds(_with_first_users(seen, hits, key, minutes), minutes)
 
 

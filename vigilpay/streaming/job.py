@@ -27,7 +27,7 @@ from vigilpay.config import StreamConfig
 from vigilpay.functions.scores import same_text
 from vigilpay.operators import alerts as al, extensions as ext, lists, metrics as mt, prepare, rules, validate
 from vigilpay.sources import files, kafka
-from vigilpay.streaming import features, rolling, sights, state, tables
+from vigilpay.streaming import features, rolling, shared, sights, state, tables
 
 _EVENT = schemas.EVENT
 #: First arrivals of a micro-batch.  Money as text and instants as numbers, as pandas keeps those.
@@ -306,35 +306,24 @@ class RiskStream:
             )
         return rows.select(*keys, *measures, F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"))
 
-    def _shared_key(self, rule: config.Rule, key: str, live: Callable[[], int]):
-        """Counts the users of windows that closed; a closed window arrives in one batch."""
+    def _shared_key(self, name: str, rule: config.Rule, key: str, live: Callable[[], int], minutes: int = 10) -> Stage:
+        """Counts the users of a key in windows that close; who appeared when is kept in tables."""
+        path = self._table(name)
 
-        def build(rows: DataFrame) -> DataFrame:
+        def sink(batch: DataFrame, batch_id: int) -> None:
             threshold = live()
-            window = [key, "window_start", "window_end"]
-            counts = rows.groupBy(*window).agg(F.count(F.lit(1)).alias("distinct_user_count")).filter(
-                F.col("distinct_user_count") > threshold
-            )
-            order = Window.partitionBy(*window).orderBy("first_seq", "user_id")
-            firsts = (
-                rows.withColumn("_nth", F.row_number().over(order)).filter("_nth <= 8")
-                .groupBy(*window).agg(F.array_sort(F.collect_list(F.struct("first_seq", "user_id"))).alias("firsts"))
-            )
-            hits = counts.join(firsts, window)
-            proof = al.evidence(
-                **{key: F.col(key)}, distinct_user_count=F.col("distinct_user_count"),
-                threshold=str(threshold), sample_user_ids=F.array_join("firsts.user_id", ","),
-                window="10 minute sliding event-time window",
-            )
-            return al.window_alerts(hits, rule, key, proof)
+            before, after = shared.add(batch, path, batch_id, key, minutes, self.cfg.watermark_seconds)
+            found = shared.closing(batch.sparkSession, path, key, minutes, threshold, before, after)
+            if found is not None:
+                self._write_alerts(name, lambda counted: rules.shared_key_alerts(counted, rule, key, threshold))(found, batch_id)
+            shared.done(batch.sparkSession, path, batch_id, before, after)
 
-        return build
+        return Stage(name, lambda: self._stream("on_time", _ON_TIME).select(key, "user_id", "event_ts", "arrival_seq"), sink)
 
     # --- the queries ----------------------------------------------------------------------
 
     def stages(self) -> list[Stage]:
         now, n = self.rules_now, F.count(F.lit(1))
-        users = lambda key: self._windowed([key, "user_id"], 10, first_seq=(F.min("arrival_seq"), F.min))
         amount, events = (F.sum("amount"), F.sum), (n, F.sum)
         ok = (F.count_if(same_text(F.col("transaction_status"), "SUCCESS")), F.sum)
         alerts, metrics = self._write_alerts, self._write_metrics
@@ -372,10 +361,8 @@ class RiskStream:
                   alerts("user_frequency", lambda r: rules.frequency_alerts(r, now()))),
             Stage("user_amount", lambda: self._windowed(["user_id"], 5, success=True, total_amount=amount),
                   alerts("user_amount", lambda r: rules.amount_alerts(r, now()))),
-            Stage("device_users", lambda: users("device_id"),
-                  alerts("device_users", self._shared_key(config.R003, "device_id", lambda: now().device_users))),
-            Stage("card_users", lambda: users("card_id"),
-                  alerts("card_users", self._shared_key(config.R004, "card_id", lambda: now().card_users))),
+            self._shared_key("device_users", config.R003, "device_id", lambda: now().device_users),
+            self._shared_key("card_users", config.R004, "card_id", lambda: now().card_users),
             Stage("black_device", self.on_time, alerts("black_device", lambda r: rules.r006_black_device(self._listed(r))), state=False),
             Stage("consecutive_failure", self._failures, alerts("consecutive_failure", lambda r: rules.failure_alerts(r, now())), timers=True),
             Stage("user_spike", self._user_history, alerts("user_spike", lambda r: rules.user_spike_alerts(_history(r), now())), timers=True),
