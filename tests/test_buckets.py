@@ -71,6 +71,17 @@ def test_a_bucket_gives_what_its_keys_give(spark, monkeypatch, seed, most):
         assert list(many(("all",), iter([]), states["all"])) == [] and not states["all"].exists
 
 
+def test_rows_near_the_mean_are_left_out(spark, monkeypatch):
+    """A payment of exactly the multiple, or above it, comes out; one plainly below does not."""
+    with monkeypatch.context() as patched:
+        _, many = folds(spark, patched, lambda rows, n: state.amount_history(rows, "user_id", "arrival_seq", 1, TTL, n, 5.0), SCHEMA)
+    cents = [100, 500, 1500, 3499, 2**61, 2**62]
+    rows = pd.DataFrame({"user_id": "u", "arrival_seq": range(6), "failed": False, "cents": cents, "clock_ms": 0})
+    out = pd.concat(many(("all",), iter([rows]), FakeState()))
+    assert out["cents"].tolist() == [500, 1500, 2**61, 2**62]
+    assert out["history_cents"].tolist() == ["100", "600", "5599", str(5599 + 2**61)]
+
+
 def test_cooled_alerts_of_a_bucket(spark, monkeypatch):
     rng = random.Random(4)
     batches, n = [], 0

@@ -18,6 +18,7 @@ from __future__ import annotations
 import time
 from collections.abc import Callable
 from dataclasses import dataclass
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -181,6 +182,10 @@ class RiskStream:
         """What state must let through; with a rule table, the sink decides."""
         return 1 if self.cfg.rule_table else fixed
 
+    def _mean_multiple(self, fixed: Decimal) -> float:
+        """How many times the mean a row must reach to be looked at by the sink; with a rule table, any."""
+        return 0.0 if self.cfg.rule_table else float(fixed)
+
     def _listed(self, events: DataFrame) -> DataFrame:
         if self.cfg.list_changes:
             events = lists.listed_at(events, self.spark.read.parquet(self.cfg.list_changes))
@@ -397,7 +402,7 @@ class RiskStream:
         ).drop("amount")
         return state.amount_history(
             rows, "user_id", "arrival_seq", self._least(self.cfg.rules.user_spike_min_samples), state.USER_MEAN_TTL_MS,
-            buckets=state.BUCKETS,
+            buckets=state.BUCKETS, above=self._mean_multiple(self.cfg.rules.user_spike_multiplier),
         )
 
     def _merchant_history(self) -> DataFrame:
@@ -405,7 +410,7 @@ class RiskStream:
         rows = self._stream("merchant_windows", _MERCHANT_WINDOW).withColumn("clock_ms", F.unix_millis("window_end"))
         return state.amount_history(
             rows, "merchant_id", "window_end", self._least(self.cfg.rules.merchant_spike_min_windows), state.MERCHANT_MEAN_TTL_MS,
-            buckets=state.BUCKETS,
+            buckets=state.BUCKETS, above=self._mean_multiple(self.cfg.rules.merchant_spike_multiplier),
         )
 
     def start(self, stage: Stage, every: int | None = None, settings: dict[str, str] | None = None) -> StreamingQuery:

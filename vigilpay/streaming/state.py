@@ -23,7 +23,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from vigilpay import config
@@ -151,11 +151,14 @@ def fold_histories(
     return counts, totals, counts[ends] + 1, totals[ends] + values[ends]
 
 
-def _packed(rows: DataFrame, *needed: str) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+def _packed(
+    rows: DataFrame, *needed: str, only: Column | None = None
+) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
     """Rows whose columns other than ``needed`` are one text, and what puts them back.
 
     Texts, whole numbers and flags come back from JSON as they were; columns of
-    other types stay as they are.
+    other types stay as they are.  Rows that are not ``only`` do not come back
+    and have no text.
     """
     kept_by_json = (T.StringType, T.BooleanType, T.IntegralType)
     others = [f for f in rows.schema.fields if f.name not in needed and isinstance(f.dataType, kept_by_json)]
@@ -170,7 +173,8 @@ def _packed(rows: DataFrame, *needed: str) -> tuple[DataFrame, Callable[[DataFra
         whole = done.select(*left, *added, F.inline_outer(F.array(F.from_json("_rest", T.StructType(others)))))
         return whole.select(*rows.columns, *added)
 
-    return rows.select(*left, F.to_json(F.struct(*inside)).alias("_rest")), unpacked
+    rest = F.to_json(F.struct(*inside))
+    return rows.select(*left, (rest if only is None else F.when(only, rest)).alias("_rest")), unpacked
 
 
 def _kept(rows: DataFrame, key: str, fold, output: T.StructType, state: str, buckets: int) -> DataFrame:
@@ -181,12 +185,14 @@ def _kept(rows: DataFrame, key: str, fold, output: T.StructType, state: str, buc
     return rows.groupBy(key).applyInPandasWithState(fold, output, state, "append", GroupStateTimeout.ProcessingTimeTimeout)
 
 
-def _with_state(rows: DataFrame, key: str, fold, fold_all, added: T.StructType, *needed: str, buckets: int = 0) -> DataFrame:
+def _with_state(
+    rows: DataFrame, key: str, fold, fold_all, added: T.StructType, *needed: str, buckets: int = 0, only: Column | None = None
+) -> DataFrame:
     """``fold``: the function of one key; ``fold_all``: that of a bucket, also given the columns to return.
 
-    ``needed``: the columns that they look at besides the key.
+    ``needed``: the columns that they look at besides the key.  No row that is not ``only`` is returned.
     """
-    rows, unpacked = _packed(rows, key, "clock_ms", *needed)
+    rows, unpacked = _packed(rows, key, "clock_ms", *needed, only=only)
     output = T.StructType(rows.schema.fields + added.fields)
 
     def run(_bucket, frames: Iterator[pd.DataFrame], state: GroupState):
@@ -235,16 +241,18 @@ def failure_runs(
         yield batch[hit].assign(failed_run=runs[hit])[columns]
 
     added = T.StructType().add("failed_run", "long")
-    return _with_state(rows, "user_id", fold, fold_all, added, "arrival_seq", "failed", buckets=buckets)
+    only = F.col("failed") if buckets else None
+    return _with_state(rows, "user_id", fold, fold_all, added, "arrival_seq", "failed", buckets=buckets, only=only)
 
 
 def amount_history(
-    rows: DataFrame, key: str, order: str, min_count: int, ttl_ms: int, buckets: int = 0
+    rows: DataFrame, key: str, order: str, min_count: int, ttl_ms: int, buckets: int = 0, above: float = 0.0
 ) -> DataFrame:
     """Rows with enough history, with ``history_count`` and ``history_cents`` before them.
 
     ``rows`` has the key, the order column and ``cents``, with ``buckets`` also
-    ``clock_ms``.
+    ``clock_ms``.  With ``above`` rows that are plainly not above so many times
+    the mean are left out; whether the others are is not decided here.
     """
 
     def fold(_key, frames: Iterator[pd.DataFrame], state: GroupState):
@@ -269,6 +277,9 @@ def amount_history(
         held |= {k: rest for k, *rest in zip(keys, count.tolist(), total.tolist(), clock[ends].tolist())}
         _write(state, held, int(clock.min()), ttl_ms)
         hit = counts >= min_count
+        if above:
+            # in floating point, so rows near the bound are left in
+            hit &= cents.astype(float) * counts >= totals.astype(float) * above * (1 - 1e-9)
         yield batch[hit].assign(history_count=counts[hit], history_cents=[str(t) for t in totals[hit].tolist()])[columns]
 
     added = T.StructType().add("history_count", "long").add("history_cents", "string")
